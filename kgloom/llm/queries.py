@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import encode_texts
 from .substring import dedup_substrings
 from .suffix_dedup import dedup_suffixes
+from .token_files import read_token_files, store_path, write_token_files
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,5 +23,16 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_suffixes(read(spark, sf_dir, "documents"), texts=False).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup)}
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_texts(read(spark, sf_dir, "documents"), ranks, ids=False).drop("ids")
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = store_path(spark)
+    write_token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return read_token_files(spark, path, ids=False).drop("ids")
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op9_token_files)}
 ORACLE_SQL: dict[str, str] = {}

@@ -26,7 +26,7 @@ U64 = np.uint64
 ANCHOR = 64
 #: Bytes in a symbol of the construction.
 BLOCK = 16
-RUN = "part long, anchor long, bucket long, doc int, start long, shift int, text binary"
+RUN = "part long, anchor long, bucket long, places binary, shift int, text binary"
 SPAN = "bucket long, doc int, spans binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
@@ -74,7 +74,7 @@ def _anchor_sets(length: int, anchor: int, parts: int):
 
 def _repeated_runs(length: int, anchor: int, parts: int):
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
-        schema = pa.schema([("part", pa.int64()), ("anchor", pa.int64()), ("bucket", pa.int64()), ("doc", pa.int32()), ("start", pa.int64()), ("shift", pa.int32()), ("text", pa.binary())])
+        schema = pa.schema([("part", pa.int64()), ("anchor", pa.int64()), ("bucket", pa.int64()), ("places", pa.binary()), ("shift", pa.int32()), ("text", pa.binary())])
         if not table.num_rows or not answers.num_rows:
             return schema.empty_table()
         table = ordered(table)
@@ -82,14 +82,20 @@ def _repeated_runs(length: int, anchor: int, parts: int):
         doc, first, count, spot, h = anchored_runs(data, offsets, length, anchor)
         some = np.flatnonzero(member(place(h, parts), looked_up(answers)))
         raw = data.tobytes()
+        places: dict[bytes, list[int]] = defaultdict(list)  # a run that repeats within the bucket goes out once
+        kind: dict[bytes, int] = {}
+        for k, a, n, d, o in zip(some.tolist(), first[some].tolist(), count[some].tolist(), doc[some].tolist(), offsets[doc[some]].tolist()):
+            text = raw[a : a + n + length - 1]
+            places[text] += (d, a - o)
+            kind.setdefault(text, k)
+        one = np.fromiter(kind.values(), np.int64, len(kind))
         return pa.table({
-            "part": pa.array(split_hash(h[some], parts)[0].astype(np.int64), pa.int64()),
-            "anchor": pa.array(h[some].view(np.int64), pa.int64()),
-            "bucket": pa.array(np.full(len(some), table["bucket"][0].as_py()), pa.int64()),
-            "doc": pa.array(doc[some], pa.int32()),
-            "start": pa.array(first[some] - offsets[doc[some]], pa.int64()),
-            "shift": pa.array(spot[some] - first[some], pa.int32()),
-            "text": pa.array([raw[a : a + n + length - 1] for a, n in zip(first[some].tolist(), count[some].tolist())], pa.binary()),
+            "part": pa.array(split_hash(h[one], parts)[0].astype(np.int64), pa.int64()),
+            "anchor": pa.array(h[one].view(np.int64), pa.int64()),
+            "bucket": pa.array(np.full(len(one), table["bucket"][0].as_py()), pa.int64()),
+            "places": pa.array([np.array(x, np.int64).tobytes() for x in places.values()], pa.binary()),
+            "shift": pa.array(spot[one] - first[one], pa.int32()),
+            "text": pa.array(list(places), pa.binary()),
         }, schema=schema)
 
     return cut
@@ -136,9 +142,10 @@ def _repeated_spans(length: int, batch: int):
         texts = table["text"].to_pylist()
         by_anchor: dict[int, dict[bytes, int]] = defaultdict(dict)
         copies: dict[bytes, int] = defaultdict(int)
-        for a, t, s in zip(table["anchor"].to_pylist(), texts, table["shift"].to_pylist()):
+        places = [np.frombuffer(p, np.int64).reshape(-1, 2) for p in table["places"].to_pylist()]
+        for a, t, s, p in zip(table["anchor"].to_pylist(), texts, table["shift"].to_pylist(), places):
             by_anchor[a][t] = s
-            copies[t] += 1
+            copies[t] += len(p)
         spans: dict[bytes, list[tuple[int, int]]] = {t: [(0, len(t))] for t, n in copies.items() if n > 1}
         waiting: dict[bytes, int] = {}
 
@@ -157,9 +164,10 @@ def _repeated_spans(length: int, batch: int):
         if waiting:
             work()
         out: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for t, b, d, s in zip(texts, table["bucket"].to_pylist(), table["doc"].to_pylist(), table["start"].to_pylist()):
+        for t, b, p in zip(texts, table["bucket"].to_pylist(), places):
             for x, y in spans.get(t, ()):
-                out[b, d] += (s + x, s + y)
+                for d, s in p.tolist():
+                    out[b, d] += (s + x, s + y)
         keys = list(out)
         return pa.table({"bucket": pa.array([k[0] for k in keys], pa.int64()), "doc": pa.array([k[1] for k in keys], pa.int32()), "spans": pa.array([np.array(out[k], np.int64).tobytes() for k in keys], pa.binary())})
 
