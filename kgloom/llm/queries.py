@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encode_texts
+from . import toxicity
 from .substring import dedup_substrings
 from .suffix_dedup import dedup_suffixes
 from .token_files import read_token_files, store_path, write_token_files
@@ -28,11 +30,19 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(read(spark, sf_dir, "documents"), ranks, ids=False).drop("ids")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = toxicity.train(docs, labels.where(~held_out))
+    scored = toxicity.score(docs.select("doc_id", "text"), model, ["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store_path(spark)
     write_token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return read_token_files(spark, path, ids=False).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op5_toxicity, op9_token_files)}
 ORACLE_SQL: dict[str, str] = {}
