@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_texts
 from . import toxicity
+from .lm_score import score_texts
 from .substring import dedup_substrings
 from .suffix_dedup import dedup_suffixes
 from .token_files import read_token_files, store_path, write_token_files
@@ -38,11 +39,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store_path(spark)
     write_token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return read_token_files(spark, path, ids=False).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op5_toxicity, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op5_toxicity, op6_lm_score, op9_token_files)}
 ORACLE_SQL: dict[str, str] = {}
