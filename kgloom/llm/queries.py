@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_texts
 from . import toxicity
+from .embedding_dedup import link_embeddings
 from .lm_score import score_texts
 from .substring import dedup_substrings
 from .suffix_dedup import dedup_suffixes
@@ -43,11 +44,27 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store_path(spark)
     write_token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return read_token_files(spark, path, ids=False).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op5_toxicity, op6_lm_score, op9_token_files)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op5_toxicity, op6_lm_score, op7_embedding_dedup, op9_token_files)}
+ORACLE_SQL: dict[str, str] = {
+    "op7_embedding_dedup": """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, c.component_id, c.vec_id = c.component_id AS kept FROM c
+""",
+}
