@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_texts
 from . import toxicity
 from .embedding_dedup import link_embeddings
+from .jaccard import jaccard_components
 from .lm_score import score_texts
 from .substring import dedup_substrings
 from .suffix_dedup import dedup_suffixes
@@ -48,14 +49,38 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(read(spark, sf_dir, "embeddings"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store_path(spark)
     write_token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return read_token_files(spark, path, ids=False).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op5_toxicity, op6_lm_score, op7_embedding_dedup, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op5_toxicity, op6_lm_score, op7_embedding_dedup, op8_ngram_jaccard, op9_token_files)}
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS s, w FROM d WHERE len(w) >= 20),
+k AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(w[s:s + 19], ' ') ORDER BY doc_id, s) AS n FROM x),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM k WHERE n > 1),
+t AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS rest FROM t ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op8_ngram_jaccard": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)
+""",
     "op7_embedding_dedup": """
 WITH RECURSIVE v AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
