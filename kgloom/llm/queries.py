@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_texts
 from . import toxicity
+from .decontaminate import contaminated
 from .embedding_dedup import link_embeddings
 from .jaccard import jaccard_components
 from .lm_score import score_texts
@@ -33,6 +34,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(read(spark, sf_dir, "documents"), ranks, ids=False).drop("ids")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -59,7 +64,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, ids=False).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op5_toxicity, op6_lm_score, op7_embedding_dedup, op8_ngram_jaccard, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op4_decontaminate, op5_toxicity, op6_lm_score, op7_embedding_dedup, op8_ngram_jaccard, op9_token_files)}
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
