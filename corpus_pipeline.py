@@ -1,11 +1,92 @@
-"""Corpus pipeline; stages are added as their operators land."""
+"""Corpus pipeline over `documents`: toxicity, near-duplicates, repeated passages,
+benchmark leaks, token ids.
 
-STAGES: list = []
+Each stage is written as Parquet and read again as the next one's documents.
+All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kgloom.llm import toxicity
+from kgloom.llm.bpe import encode_texts
+from kgloom.llm.buckets import shared_dir
+from kgloom.llm.decontaminate import contaminated
+from kgloom.llm.jaccard import jaccard_components
+from kgloom.llm.suffix_dedup import dedup_suffixes
+
+#: Documents at or over this score are rejected.
+TOXIC = 0.3
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """A key by content: rows that share it are equal in all that an operator looks at."""
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is under the threshold; the model learns from the labels of these documents."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    return toxicity.score(docs, model, docs.columns).where(F.col("score") < TOXIC).drop("score")
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component of the n-gram Jaccard join.
+
+    Rows without an id stay; of rows that repeat an id, and so are one document, one stays.
+    """
+    found = jaccard_components(docs)
+    lost = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(lost, "doc_id", "left_anti").select(docs.columns)
+    named, nameless = kept.where("doc_id IS NOT NULL"), kept.where("doc_id IS NULL")
+    return named.dropDuplicates(["doc_id"]).union(nameless)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 400-byte strings that occur more than once; a character cut in two goes whole.
+
+    A document that loses nothing keeps its text, null included; one that loses all stays with an empty text.
+    """
+    given = _keyed(docs)
+    cut = dedup_suffixes(given, id_col="_key").where("n_removed > 0").select(F.col("doc_id").alias("_key"), F.col("kept").alias("_kept")).dropDuplicates(["_key"])
+    joined = given.join(cut, "_key", "left")
+    changed = {"text": F.coalesce("_kept", "text"), "n_chars": F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept").cast("long"))}
+    return joined.select([changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item within its edit budget."""
+    given = _keyed(docs)
+    found = contaminated(given, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
+    return given.join(found.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text (little-endian unsigned 32-bit), with digests of the ids and of the decoded bytes."""
+    return encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", keep_one_of_near_duplicates),
+    ("suffix_dedup", cut_repeated_passages),
+    ("decontaminate", drop_contaminated),
+    ("bpe", encode),
+]
+#: SQL expresses neither the classifier nor the alignment; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what lies between them is in the shared folder."""
+    out, docs = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{out}/{name}")
+        docs = spark.read.parquet(f"{out}/{name}")
     return docs

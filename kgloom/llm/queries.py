@@ -10,6 +10,7 @@ from .bpe import encode_texts
 from . import toxicity
 from .decontaminate import contaminated
 from .embedding_dedup import link_embeddings
+from .html_extract import extract_pages
 from .jaccard import jaccard_components
 from .lm_score import score_texts
 from .substring import dedup_substrings
@@ -64,7 +65,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, ids=False).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op4_decontaminate, op5_toxicity, op6_lm_score, op7_embedding_dedup, op8_ngram_jaccard, op9_token_files)}
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op4_decontaminate, op5_toxicity, op6_lm_score, op7_embedding_dedup, op8_ngram_jaccard, op9_token_files, op10_html_extract)}
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -28,7 +28,7 @@ ANCHOR = 64
 BLOCK = 16
 RUN = "part long, anchor long, bucket long, places binary, shift int, text binary"
 SPAN = "bucket long, doc int, spans binary"
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -194,8 +194,8 @@ def _removed(texts: bool):
             rows["n_removed"].append(lost)
             rows["n_spans"].append(n)
             rows["kept_sha256"].append(hashlib.sha256(raw).hexdigest())
-            rows["kept"].append(raw if texts else None)
-        return pa.table({"doc_id": table["doc_id"], **{k: pa.array(v, pa.string() if k == "kept_sha256" else pa.binary() if k == "kept" else pa.int64()) for k, v in rows.items()}})
+            rows["kept"].append(raw.decode(errors="ignore") if texts else None)
+        return pa.table({"doc_id": table["doc_id"], **{k: pa.array(v, pa.string() if k.startswith("kept") else pa.int64()) for k, v in rows.items()}})
 
     return remove
 
@@ -205,7 +205,8 @@ def dedup_suffixes(docs: DataFrame, length: int = 400, anchor: int = ANCHOR, bat
 
     Texts are UTF-8 bytes; a match lies within one document; strings are judged
     on the input.  Returns doc_id, n_bytes, n_removed, n_spans (maximal removed
-    runs), kept_sha256 and the kept bytes (null unless `texts`).
+    runs), kept_sha256 of the kept bytes, and kept, those as text without characters
+    that were cut in two (null unless `texts`).
 
     A null or empty text has no bytes; a null id is a document like any other;
     rows that repeat an id or a whole row are separate documents, so repeated
