@@ -54,15 +54,39 @@ class Layout:
         self.parts = max(least, math.ceil(total / part_bytes))
 
 
+PACKED = "bucket long, rows binary"
+
+
+def _packed(batches):
+    """A batch's rows of each bucket as one compressed Arrow stream."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        bucket = batch.column(0).to_numpy()
+        order = np.argsort(bucket, kind="stable")
+        at = runs(bucket[order])
+        rows = pa.Table.from_batches([batch.select(batch.schema.names[1:])]).take(pa.array(order))
+        cells = []
+        for a, b in zip(at, np.append(at[1:], len(order))):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+                out.write_table(rows.slice(a, b - a).combine_chunks())
+            cells.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[order][at], pa.int64()), "rows": pa.array(cells, pa.binary())})
+
+
 def bucketed(docs: DataFrame, layout: Layout, id_col: str = "doc_id", text_col: str = "text", *more) -> DataFrame:
-    """bucket, id, text (and more columns). Rows without an id are dealt by their text."""
+    """Packed rows of doc_id, text (and more columns) by bucket. Rows without an id are dealt by their text."""
     key = F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))))
-    return docs.select(F.pmod(key, F.lit(layout.buckets)).alias("bucket"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
+    rows = docs.select(F.pmod(key, F.lit(layout.buckets)).alias("bucket"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
+    return rows.mapInArrow(_packed, PACKED)
 
 
 def ordered(table: pa.Table) -> pa.Table:
     """A bucket's documents by id, then text: the same order each time the bucket is read."""
-    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    bucket = table["bucket"][0]
+    rows = pa.concat_tables([pa.ipc.open_stream(cell).read_all() for cell in table["rows"].to_pylist()])
+    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return rows.append_column("bucket", pa.repeat(bucket, rows.num_rows))
 
 
 def set_rows(bucket: int, part: np.ndarray, values: np.ndarray) -> pa.Table:
