@@ -16,6 +16,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,10 +83,10 @@ def bucketed(docs: DataFrame, layout: Layout, id_col: str = "doc_id", text_col:
 
 
 def ordered(table: pa.Table) -> pa.Table:
-    """A bucket's documents by id, then text: the same order each time the bucket is read."""
+    """A bucket's documents by id (null first), then text: the same order each time the bucket is read."""
     bucket = table["bucket"][0]
     rows = pa.concat_tables([pa.ipc.open_stream(cell).read_all() for cell in table["rows"].to_pylist()])
-    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    rows = rows.take(pc.sort_indices(rows, [("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start"))
     return rows.append_column("bucket", pa.repeat(bucket, rows.num_rows))
 
 
