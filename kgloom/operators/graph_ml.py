@@ -89,3 +89,10 @@ def mean_messages(edges: DataFrame, vectors: DataFrame) -> DataFrame:
     """Mean of source vectors for each target and dimension; edges (src, dst), vectors (id, vector)."""
     long = vectors.select(F.col("id").alias("src"), F.posexplode("vector").alias("dim", "value"))
     return edges.join(long, "src").groupBy("dst", "dim").agg(F.avg(F.col("value").cast("double")).alias("value"))
+
+
+def distmult(pairs: DataFrame, head: str, tail: str, relation: str) -> DataFrame:
+    """Sum of head * relation * tail for each pair, and its sigmoid."""
+    part = F.zip_with(head, tail, lambda a, b: a.cast("double") * b.cast("double"))
+    score = F.aggregate(F.zip_with(part, relation, lambda x, r: x * r.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    return pairs.withColumn("score", score).withColumn("probability", 1 / (1 + F.exp(-F.col("score"))))

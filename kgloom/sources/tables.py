@@ -1,4 +1,4 @@
-"""A graph of the same shape as the reference's, over business tables."""
+"""A typed graph over business tables."""
 
 from __future__ import annotations
 
