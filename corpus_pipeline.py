@@ -22,6 +22,8 @@ from kgloom.llm.suffix_dedup import dedup_suffixes
 
 #: Documents at or over this score are rejected.
 TOXIC = 0.3
+#: Bytes of a repeated string that is cut: few enough that a passage of 51 words holds one.
+PASSAGE = 250
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -49,12 +51,12 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the 400-byte strings that occur more than once; a character cut in two goes whole.
+    """Texts without the strings of PASSAGE bytes that occur more than once; a character cut in two goes whole.
 
     A document that loses nothing keeps its text, null included; one that loses all stays with an empty text.
     """
     given = _keyed(docs)
-    cut = dedup_suffixes(given, id_col="_key").where("n_removed > 0").select(F.col("doc_id").alias("_key"), F.col("kept").alias("_kept")).dropDuplicates(["_key"])
+    cut = dedup_suffixes(given, PASSAGE, id_col="_key").where("n_removed > 0").select(F.col("doc_id").alias("_key"), F.col("kept").alias("_kept")).dropDuplicates(["_key"])
     joined = given.join(cut, "_key", "left")
     changed = {"text": F.coalesce("_kept", "text"), "n_chars": F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept").cast("long"))}
     return joined.select([changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])

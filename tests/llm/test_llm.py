@@ -283,3 +283,23 @@ def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
         assert given.count() > 0
     left = {r.doc_id: r.text for r in given.collect()}
     assert 31 not in left and 30 not in left and 3 in left and 36 not in left and 32 in left
+
+
+def test_pipeline_cuts_short_shared_passages(spark):
+    import corpus_pipeline as C
+
+    rnd = random.Random(8)
+    shared = " ".join("".join(rnd.choice("abcdefghij") for _ in range(4)) for _ in range(51))  # 254 bytes
+    texts = [words(rnd, 80), f"{words(rnd, 60)}\n{shared}\n{words(rnd, 60)}", f"{words(rnd, 50)}\n{shared}\n{words(rnd, 90)}", None]
+    given = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    seen = Counter(b[a : a + 250] for t in texts for b in [(t or "").encode()] for a in range(len(b) - 249))
+    want = {}
+    for i, t in enumerate(texts):
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for a in range(len(b) - 249):
+            if seen[b[a : a + 250]] > 1:
+                gone[a : a + 250] = True
+        want[i] = None if t is None else bytes(np.frombuffer(b, np.uint8)[~gone]).decode(errors="ignore")
+    got = {r.doc_id: r.text for r in C.cut_repeated_passages(spark, given, "").collect()}
+    assert got == want and shared not in got[1] and got[0] == texts[0]
