@@ -136,9 +136,10 @@ def flagged_set(bucket: int, h: np.ndarray, flag: np.ndarray, parts: int) -> pa.
     return set_rows(bucket, keys >> U64(32), values)
 
 
-def repeated_answer(table: pa.Table, need_flag: bool) -> pa.Table:
+def repeated_answer(table: pa.Table, need_flag: bool, crowd: int | None = None) -> pa.Table:
     """For one partition of flagged sets: each bucket's keys that occur at least twice in all
-    (and are flagged somewhere, where that is asked)."""
+    (and are flagged somewhere, where that is asked).  With `crowd`, those that are flagged
+    somewhere or held by more buckets than that are the second kind of answer."""
     buckets = np.array(table["bucket"].to_pylist(), np.int64)
     order = np.argsort(buckets, kind="stable")
     cells = table["payload"].to_pylist()
@@ -153,10 +154,14 @@ def repeated_answer(table: pa.Table, need_flag: bool) -> pa.Table:
     keep = (size > 1) | ((flags & U64(2)) > 0)
     if need_flag:
         keep &= (flags & U64(1)) > 0
-    packed = packed[np.repeat(keep, size)]
-    who = (packed & U64(0xFFFFFFFF)).astype(np.int64)
-    by = np.argsort(who, kind="stable")
-    return answer_rows(table["part"][0].as_py(), 0, buckets[order][who[by]], (packed >> U64(34))[by].astype(np.uint32))
+    crowded = keep & ((size > crowd) | ((flags & U64(1)) > 0)) if crowd is not None else np.zeros(len(at), bool)
+    answers = []
+    for kind, which in enumerate((keep & ~crowded, crowded)[: 1 if crowd is None else 2]):
+        some = packed[np.repeat(which, size)]
+        who = (some & U64(0xFFFFFFFF)).astype(np.int64)
+        by = np.argsort(who, kind="stable")
+        answers.append(answer_rows(table["part"][0].as_py(), kind, buckets[order][who[by]], (some >> U64(34))[by].astype(np.uint32)))
+    return pa.concat_tables(answers)
 
 
 def looked_up(answers: pa.Table, kind: int = 0) -> np.ndarray:

@@ -7,6 +7,11 @@ whose anchor occurs once hold nothing repeated and are left out.  In each
 partition the suffixes of the rest are sorted by `bcr.build`, one symbol of each
 run a round; a symbol is a block of 16 bytes, cut in step with the anchor.
 Neighbours with a long common prefix give the places of repeated windows.
+
+An anchor with very many runs (a short line that a third of the documents hold)
+would gather them all in one partition.  The windows of such runs are dealt one
+by one instead, each to the partition of its own hash; a bucket sends a window
+twice at most, and is told which of its windows occur twice in all.
 """
 
 from __future__ import annotations
@@ -16,16 +21,19 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .arrays import covered, member, mix, rolling, text_bytes
+from .arrays import covered, member, mix, rolling, runs, text_bytes
 from .bcr import repeated_starts
-from .buckets import ANSWER, Layout, bucketed, flagged_set, looked_up, ordered, place, repeated_answer, split_hash
+from .buckets import ANSWER, Layout, answer_rows, bucketed, flagged_set, looked_up, ordered, place, repeated_answer, set_rows, split_hash
 
 U64 = np.uint64
 ANCHOR = 64
 #: Bytes in a symbol of the construction.
 BLOCK = 16
+#: An anchor that has MANY_RUNS runs in one bucket, or runs in over MANY_BUCKETS buckets, is crowded.
+MANY_RUNS, MANY_BUCKETS = 32, 512
 RUN = "part long, anchor long, bucket long, places binary, shift int, text binary"
 SPAN = "bucket long, doc int, spans binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
@@ -64,15 +72,45 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int, anchor: in
     return np.searchsorted(offsets, first, side="right") - 1, first, np.diff(np.append(at, len(starts))), spot, h[spot]
 
 
-def _anchor_sets(length: int, anchor: int, parts: int):
+def _anchor_sets(length: int, anchor: int, parts: int, many: int):
     def sets(table: pa.Table) -> pa.Table:
         table = ordered(table)
         h = anchored_runs(*text_bytes(table["text"]), length, anchor)[4]
-        return flagged_set(table["bucket"][0].as_py(), h, np.zeros(len(h), bool), parts)
+        back, count = np.unique(h, return_inverse=True, return_counts=True)[1:]
+        return flagged_set(table["bucket"][0].as_py(), h, count[back] >= many, parts)
 
     return sets
 
 
+def _window_rows(h: np.ndarray, parts: int, bucket: int) -> pa.Table:
+    """Window hashes as rows for their partitions; one that the bucket holds more than once goes twice."""
+    values, count = np.unique(h, return_counts=True)
+    values = np.repeat(values, np.minimum(count, 2))
+    part = split_hash(values, parts)[0]
+    order = np.argsort(part, kind="stable")
+    rows = set_rows(bucket, part[order], values[order])
+    n = rows.num_rows
+    return pa.table({
+        "part": rows["part"], "anchor": pa.nulls(n, pa.int64()), "bucket": rows["bucket"],
+        "places": pa.nulls(n, pa.binary()), "shift": pa.nulls(n, pa.int32()), "text": rows["payload"],
+    })
+
+
+def _repeated_hashes(table: pa.Table) -> pa.Table:
+    """Each bucket's window hashes that a partition got at least twice, as spans without a document."""
+    cells = [np.frombuffer(c, U64) for c in table["text"].to_pylist()]
+    h = np.concatenate(cells)
+    who = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
+    order = np.argsort(h, kind="stable")
+    at = runs(h[order])
+    size = np.diff(np.append(at, len(h)))
+    again = order[np.repeat(size > 1, size)]
+    buckets = np.array(table["bucket"].to_pylist(), np.int64)[who[again]]
+    by = np.argsort(buckets, kind="stable")
+    answer = answer_rows(0, 0, buckets[by], h[again[by]])
+    return pa.table({"bucket": answer["bucket"], "doc": pa.nulls(answer.num_rows, pa.int32()), "spans": answer["payload"]})
+
+
 def _repeated_runs(length: int, anchor: int, parts: int):
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         schema = pa.schema([("part", pa.int64()), ("anchor", pa.int64()), ("bucket", pa.int64()), ("places", pa.binary()), ("shift", pa.int32()), ("text", pa.binary())])
@@ -81,7 +119,9 @@ def _repeated_runs(length: int, anchor: int, parts: int):
         table = ordered(table)
         data, offsets = text_bytes(table["text"])
         doc, first, count, spot, h = anchored_runs(data, offsets, length, anchor)
-        some = np.flatnonzero(member(place(h, parts), looked_up(answers)))
+        spots = place(h, parts)
+        some = np.flatnonzero(member(spots, looked_up(answers)))
+        crowded = np.flatnonzero(member(spots, looked_up(answers, 1)))
         raw = data.tobytes()
         places: dict[bytes, list[int]] = defaultdict(list)  # a run that repeats within the bucket goes out once
         kind: dict[bytes, int] = {}
@@ -90,7 +130,7 @@ def _repeated_runs(length: int, anchor: int, parts: int):
             places[text] += (d, a - o)
             kind.setdefault(text, k)
         one = np.fromiter(kind.values(), np.int64, len(kind))
-        return pa.table({
+        runs_out = pa.table({
             "part": pa.array(split_hash(h[one], parts)[0].astype(np.int64), pa.int64()),
             "anchor": pa.array(h[one].view(np.int64), pa.int64()),
             "bucket": pa.array(np.full(len(one), table["bucket"][0].as_py()), pa.int64()),
@@ -98,6 +138,11 @@ def _repeated_runs(length: int, anchor: int, parts: int):
             "shift": pa.array(spot[one] - first[one], pa.int32()),
             "text": pa.array(list(places), pa.binary()),
         }, schema=schema)
+        if not len(crowded):
+            return runs_out
+        n = count[crowded]
+        windows = np.arange(n.sum()) + np.repeat(first[crowded] - (np.cumsum(n) - n), n)
+        return pa.concat_tables([runs_out, _window_rows(rolling(data, length)[windows], parts, table["bucket"][0].as_py()).cast(schema)])
 
     return cut
 
@@ -140,6 +185,8 @@ def _repeated_windows(texts: list[bytes], shift: list[int], length: int) -> list
 
 def _repeated_spans(length: int, batch: int):
     def find(table: pa.Table) -> pa.Table:
+        windows = table.filter(pc.is_null(table["anchor"]))
+        table = table.filter(pc.is_valid(table["anchor"]))
         texts = table["text"].to_pylist()
         by_anchor: dict[int, dict[bytes, int]] = defaultdict(dict)
         copies: dict[bytes, int] = defaultdict(int)
@@ -159,9 +206,9 @@ def _repeated_spans(length: int, batch: int):
 
         for group in by_anchor.values():
             if len(group) > 1:
-                waiting.update(group)
-                if len(waiting) >= batch:
+                if waiting and len(waiting) + len(group) > batch:
                     work()
+                waiting.update(group)
         if waiting:
             work()
         out: dict[tuple[int, int], list[int]] = defaultdict(list)
@@ -170,18 +217,32 @@ def _repeated_spans(length: int, batch: int):
                 for d, s in p.tolist():
                     out[b, d] += (s + x, s + y)
         keys = list(out)
-        return pa.table({"bucket": pa.array([k[0] for k in keys], pa.int64()), "doc": pa.array([k[1] for k in keys], pa.int32()), "spans": pa.array([np.array(out[k], np.int64).tobytes() for k in keys], pa.binary())})
+        found = pa.table({"bucket": pa.array([k[0] for k in keys], pa.int64()), "doc": pa.array([k[1] for k in keys], pa.int32()), "spans": pa.array([np.array(out[k], np.int64).tobytes() for k in keys], pa.binary())})
+        return pa.concat_tables([found, _repeated_hashes(windows)]) if windows.num_rows else found
 
     return find
 
 
-def _removed(texts: bool):
+def _removed(texts: bool, length: int):
     def remove(table: pa.Table, found: pa.Table) -> pa.Table:
         table = ordered(table)
         spans: dict[int, list[np.ndarray]] = defaultdict(list)
+        again: list[np.ndarray] = []
         if found.num_rows:
             for d, cell in zip(found["doc"].to_pylist(), found["spans"].to_pylist()):
-                spans[d].append(np.frombuffer(cell, np.int64))
+                if d is None:
+                    again.append(np.frombuffer(cell, U64))
+                else:
+                    spans[d].append(np.frombuffer(cell, np.int64))
+        if again:
+            data, offsets = text_bytes(table["text"])
+            at = np.flatnonzero(member(rolling(data, length), np.unique(np.concatenate(again))))
+            doc = np.searchsorted(offsets, at, side="right") - 1
+            inside = at + length <= offsets[doc + 1]
+            at, doc = (at - offsets[doc])[inside], doc[inside]
+            starts = runs(doc)
+            for a, b in zip(starts, np.append(starts[1:], len(doc))):
+                spans[int(doc[a])].append(np.stack((at[a:b], at[a:b] + length), axis=1).ravel())
         rows: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
         for i, text in enumerate(table["text"].to_pylist()):
             raw, lost, n = (text or "").encode(), 0, 0
@@ -201,7 +262,7 @@ def _removed(texts: bool):
     return remove
 
 
-def dedup_suffixes(docs: DataFrame, length: int = 400, anchor: int = ANCHOR, batch: int = 700, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
+def dedup_suffixes(docs: DataFrame, length: int = 400, anchor: int = ANCHOR, batch: int = 700, id_col: str = "doc_id", text_col: str = "text", texts: bool = True, many: tuple[int, int] = (MANY_RUNS, MANY_BUCKETS)) -> DataFrame:
     """Remove every byte covered by a string of `length` bytes that also starts anywhere else.
 
     Texts are UTF-8 bytes; a match lies within one document; strings are judged
@@ -216,8 +277,8 @@ def dedup_suffixes(docs: DataFrame, length: int = 400, anchor: int = ANCHOR, bat
     layout = Layout(docs, text_col)
     parts = layout.parts
     texts_in = bucketed(docs, layout, id_col, text_col)
-    sets = texts_in.groupBy("bucket").applyInArrow(_anchor_sets(length, anchor, parts), "part long, bucket long, payload binary")
-    repeated = sets.groupBy("part").applyInArrow(lambda t: repeated_answer(t, False), ANSWER)
+    sets = texts_in.groupBy("bucket").applyInArrow(_anchor_sets(length, anchor, parts, many[0]), "part long, bucket long, payload binary")
+    repeated = sets.groupBy("part").applyInArrow(lambda t: repeated_answer(t, False, many[1]), ANSWER)
     found = texts_in.groupBy("bucket").cogroup(repeated.groupBy("bucket")).applyInArrow(_repeated_runs(length, anchor, parts), RUN)
     spans = found.groupBy("part").applyInArrow(_repeated_spans(length, batch), SPAN)
-    return texts_in.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(_removed(texts), RESULT)
+    return texts_in.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(_removed(texts, length), RESULT)

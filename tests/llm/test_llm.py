@@ -8,12 +8,15 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from kgloom.llm import html_extract, labelled_pages, mixing, toxicity
+from kgloom.llm import html_extract, labelled_pages, mixing, suffix_dedup, toxicity
 from kgloom.llm.bcr import repeated_starts
+from kgloom.llm.buckets import repeated_answer
 from kgloom.llm.bpe import encode_texts, read_ranks
 from kgloom.llm.components import components
 from kgloom.llm.decontaminate import alignment, contaminated
@@ -87,6 +90,45 @@ def test_suffix_dedup(docs, rows):
     assert sorted(map(tuple, dedup_suffixes(docs).collect()), key=str) == sorted(want, key=str)
 
 
+def test_suffix_dedup_crowded_anchor(spark, docs, monkeypatch):
+    rnd = random.Random(9)
+    line = words(rnd, 45)[:300]
+    copied = f"{words(rnd, 20)} {line} {words(rnd, 20)}"
+    texts = [f"{words(rnd, 40)} {copied if i % 40 == 0 else line} {words(rnd, 40)}" for i in range(300)]
+    raw = [t.encode() for t in texts]
+    seen = Counter(b[a : a + 400] for b in raw for a in range(len(b) - 399))
+    want = {}
+    for i, b in enumerate(raw):
+        gone = np.zeros(len(b), bool)
+        for a in range(len(b) - 399):
+            if seen[b[a : a + 400]] > 1:
+                gone[a : a + 400] = True
+        want[i] = int(gone.sum())
+    many = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = []
+    inner = suffix_dedup._repeated_windows
+    monkeypatch.setattr(suffix_dedup, "_repeated_windows", lambda t, s, n: groups.append(len(t)) or inner(t, s, n))
+    assert {r.doc_id: r.n_removed for r in dedup_suffixes(many, many=(8, 20)).collect()} == want and sum(want.values()) > 0
+    # the runs of the common line no longer meet in one group
+    tables = [pa.table({"bucket": [b], "rows": [suffix_dedup_rows(texts[b::4], b)]}) for b in range(4)]
+    sets = pa.concat_tables([suffix_dedup._anchor_sets(400, 64, 1, 8)(t) for t in tables])
+    answers = repeated_answer(sets, False, 20)
+    cut = [suffix_dedup._repeated_runs(400, 64, 1)(t, answers.filter(pc.equal(answers["bucket"], b))) for b, t in enumerate(tables)]
+    suffix_dedup._repeated_spans(400, 10)(pa.concat_tables(cut))
+    assert max(groups, default=0) < 40
+    # every anchor crowded: all goes by windows, with the same result
+    same = lambda d: sorted(map(tuple, d.collect()), key=str)
+    assert same(dedup_suffixes(docs, many=(1, 0))) == same(dedup_suffixes(docs))
+
+
+def suffix_dedup_rows(texts, first):
+    rows = pa.table({"doc_id": pa.array([first + 4 * i for i in range(len(texts))], pa.int64()), "text": pa.array(texts)})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def test_column_wise_construction():
     rnd = random.Random(2)
     for trial in range(40):
