@@ -4,12 +4,17 @@ A partition's distinct words become rows (word, position, token).  A recursive
 query joins neighbours with the merge table and contracts, in every word at
 once, the leftmost pair of least rank, until no word has a pair that merges.
 An ordered aggregation of the vocabulary's bytes decodes the result.
+
+The query keeps the rows of all rounds, about n * n / 2 for a word of n bytes.
+So a call gets words of ROWS_AT_ONCE such rows at most, and a word of over LONG
+bytes is contracted in the same order by a heap of its pairs instead.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import os
 import tempfile
 from functools import lru_cache
@@ -52,6 +57,29 @@ SELECT t.w, string_agg(v.hex, '' ORDER BY t.pos) AS hex
 FROM tokens t JOIN vocab v ON v.id = t.tok GROUP BY t.w ORDER BY t.w
 """
 WORDS_AT_ONCE = 20_000
+ROWS_AT_ONCE = 4_000_000
+LONG = 512
+
+
+def contracted(tok: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
+    """Tokens of one word once no pair merges, the leftmost pair of least rank first."""
+    n = len(tok)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(merges[p], i, *p) for i, p in enumerate(zip(tok, tok[1:])) if p in merges]
+    heapq.heapify(heap)
+    while heap:
+        merged, i, a, b = heapq.heappop(heap)
+        j = after[i]
+        if tok[i] != a or j == n or tok[j] != b:  # one of the two has merged since
+            continue
+        tok[i], tok[j] = merged, -1
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+        for x, y in ((before[i], i), (i, k)):
+            if x >= 0 and y < n and (tok[x], tok[y]) in merges:
+                heapq.heappush(heap, (merges[tok[x], tok[y]], x, tok[x], tok[y]))
+    return [t for t in tok if t >= 0]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -65,6 +93,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int]):
         self.symbol = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         cuts = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+        self.merges = {(a, b): c for a, b, c in cuts}
         a, b, c = (pa.array(x, pa.int32()) for x in zip(*cuts)) if cuts else (pa.array([], pa.int32()),) * 3
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": os.path.join(tempfile.gettempdir(), "bpe")})
         for name, table in (("merges", pa.table({"k": pa.array((np.array(a, np.int64) << 32) | np.array(b, np.int64)), "id": c})), ("vocab", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [t.hex() for t in ranks]}))):
@@ -89,10 +118,19 @@ class Codec:
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each (not empty) word."""
-        out: list[list[int]] = []
-        for a in range(0, len(words), WORDS_AT_ONCE):
-            some = words[a : a + WORDS_AT_ONCE]
-            out += self._rows(ENCODE, "symbols", np.array([len(w) for w in some]), self.symbol[np.frombuffer(b"".join(some), np.uint8)])
+        size = np.array([len(w) for w in words], np.int64)
+        out: list[list[int]] = [[]] * len(words)
+        for i in np.flatnonzero(size > LONG).tolist():
+            out[i] = contracted(self.symbol[np.frombuffer(words[i], np.uint8)].tolist(), self.merges)
+        short = np.flatnonzero(size <= LONG)
+        rows = np.cumsum(size[short] * (size[short] + 1) // 2)
+        a = 0
+        while a < len(short):
+            most = int(np.searchsorted(rows, (rows[a - 1] if a else 0) + ROWS_AT_ONCE, side="right"))
+            some = short[a : min(a + WORDS_AT_ONCE, max(a + 1, most))].tolist()
+            for i, ids in zip(some, self._rows(ENCODE, "symbols", size[some], self.symbol[np.frombuffer(b"".join(words[i] for i in some), np.uint8)])):
+                out[i] = ids
+            a += len(some)
         return out
 
     def decode(self, words: list[list[int]]) -> list[bytes]:

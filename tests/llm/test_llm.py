@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from kgloom.llm import html_extract, labelled_pages, mixing, suffix_dedup, toxicity
 from kgloom.llm.bcr import repeated_starts
 from kgloom.llm.buckets import repeated_answer
-from kgloom.llm.bpe import encode_texts, read_ranks
+from kgloom.llm.bpe import Codec, encode_texts, read_ranks
 from kgloom.llm.components import components
 from kgloom.llm.decontaminate import alignment, contaminated
 from kgloom.llm.embedding_dedup import link_embeddings
@@ -149,6 +149,16 @@ def test_bpe(docs, rows):
     assert sorted(((*r[:4], bytes(r[4])) for r in encode_texts(docs, RANKS).collect()), key=str) == sorted(want, key=str)
 
 
+def test_bpe_long_words():
+    rnd = random.Random(7)
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(RANKS), special_tokens={})
+    codec = Codec(read_ranks(RANKS))
+    long = ["".join(rnd.choice("etaoinshrdlucmfwypvbgkqjxz") for _ in range(n)) for n in (100_000, 513, 512, 300, 30)] + ["a" * 5000, "字" * 700, "the" * 2000]
+    assert codec.encode([w.encode() for w in long]) == [known.encode_ordinary(w) for w in long]
+    short = ["".join(rnd.choice("etaoins") for _ in range(400)) for _ in range(120)]  # more rows than one call gets
+    assert codec.encode([w.encode() for w in short]) == [known.encode_ordinary(w) for w in short]
+
+
 def test_pfor_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 127, 128, 129, 3000):
