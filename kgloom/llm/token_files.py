@@ -9,6 +9,7 @@ so readers split a file anywhere between them.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from functools import lru_cache
@@ -30,14 +31,40 @@ SEGMENT_ROW = "file long, segment long, n_ids long, doc_ids binary, no_id binary
 DOCUMENT = "file long, segment long, doc_id long, local long, n_tokens long, ids_crc32 long, ids binary"
 
 
+class _Encoder:
+    """The library's ids of whole texts, taken word by word where a text holds no added token.
+
+    The library finds its added tokens before it looks for words, so a text that
+    holds the string of one is given to it whole.
+    """
+
+    def __init__(self, whole, table: WordTable):
+        self.whole, self.table = whole, table
+        self.added = [t.content.encode() for t in whole.get_added_tokens_decoder().values()]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all documents end to end and their number in each."""
+        ids, n = self.table.encode(data, offsets)[:2]
+        raw = data.tobytes()
+        docs = sorted({int(np.searchsorted(offsets, m.start(), side="right")) - 1 for t in self.added for m in re.finditer(re.escape(t), raw)})
+        if docs:
+            texts = [raw[offsets[i] : offsets[i + 1]].decode() for i in docs]
+            cells = np.split(ids, np.cumsum(n)[:-1])
+            for i, found in zip(docs, self.whole.encode_batch(texts, add_special_tokens=False)):
+                cells[i] = np.array(found.ids, ids.dtype)
+            ids, n = np.concatenate(cells), np.array([len(c) for c in cells], n.dtype)
+        return ids, n
+
+
 @lru_cache(maxsize=2)
-def _words(path: str) -> WordTable:
+def _words(path: str) -> _Encoder:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return WordTable(lambda words: [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)])
+    table = WordTable(lambda words: [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)])
+    return _Encoder(Tokenizer.from_file(path), table)
 
 
 def _segments(path: str, end_id: int):
@@ -65,7 +92,7 @@ def _segments(path: str, end_id: int):
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for a, b in slices(offsets, 1 << 20):
-                ids, n = table.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[:2]
+                ids, n = table.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 ends = np.cumsum(n)
                 ids_held.append(np.insert(ids, ends, np.uint32(end_id)))
                 docs_held.append((batch.column("doc_id").slice(a, b - a), n + 1))

@@ -182,6 +182,17 @@ def test_token_files(spark, docs, rows):
     assert sorted((tuple(r) for r in read_token_files(spark, out, ids=False).drop("ids").collect()), key=lambda r: r[1]) == want
 
 
+def test_token_files_added_token(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, out = Tokenizer.from_file(path), store_path(spark)
+    texts = ["a <|endoftext|> b", "plain words", "", "<|endoftext|>", "<|endof", "text|> x", "x<|endoftext|><|endoftext|>字 \n"]
+    write_token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, out)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in read_token_files(spark, out).collect()}
+    assert got == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+
+
 def test_decontamination(spark):
     rnd = random.Random(4)
     items = [(k, " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8))) for _ in range(25))) for k in range(6)] + [(6, None), (7, "ab")]
