@@ -76,6 +76,25 @@ def span_hash(pre: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int)
     return mix((pre[ends] - pre[starts]) * inv[starts])
 
 
+def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hashes of the disjoint, ascending spans data[start:end].
+
+    The sum of a scrambled value for each (place in the span, byte): no pattern of
+    bytes makes two different spans cancel, as powers of one base modulo 2**64 do.
+    """
+    sums, carry = np.zeros(len(data) + 1, U64), U64(0)
+    begin = np.zeros(len(data), np.int64)
+    begin[starts] = starts
+    np.maximum.accumulate(begin, out=begin)
+    for a in range(0, len(data), CHUNK):
+        b = min(len(data), a + CHUNK)
+        place = (np.arange(a, b) - begin[a:b]).astype(U64)
+        np.cumsum(mix((place << U64(8)) | data[a:b], 5 + seed), out=sums[a + 1 : b + 1])
+        sums[a + 1 : b + 1] += carry
+        carry = sums[b]
+    return mix(sums[ends] - sums[starts] + (ends - starts).astype(U64), seed)
+
+
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column laid end to end and the offsets; a null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -109,14 +128,15 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets)
         self.n = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.n)
-        self.hash = span_hash(prefix(_BYTE[data], 0), self.starts, self.ends, 0)
+        self.data = data
+        self.hash = word_hash(data, self.starts, self.ends)
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start words of the windows of `size` words inside one document, and their hashes."""
+    def windows(self, size: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Start words of the windows of `size` words inside one document, and their hashes (independent ones by seed)."""
         n = len(self.starts)
         if n < size:
             return np.zeros(0, np.int64), np.zeros(0, U64)
-        pre = prefix(self.hash, 1)
+        pre = prefix(word_hash(self.data, self.starts, self.ends, seed) if seed else self.hash, 1)
         every = mix((pre[size:] - pre[:-size]) * _power(1, True, n - size + 1))
         same = self.doc[: n - size + 1] == self.doc[size - 1 :]
         return np.flatnonzero(same), every[same]

@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import regex
 
-from .arrays import _BYTE, prefix, span_hash
+from .arrays import word_hash
 
 U64 = np.uint64
 SPACE, LETTER, NUMBER, OTHER = range(4)
@@ -92,7 +92,7 @@ class Ragged:
 
 
 class WordTable:
-    """Tokens of the words seen so far, by the hash of the word's bytes.
+    """Tokens of the words seen so far, found by the hash of the word's bytes and compared byte by byte.
 
     `encode` is asked once for the ids of each new word, `decode` (where given)
     for the bytes of those ids.  The table is emptied when it holds over `most` words.
@@ -104,31 +104,51 @@ class WordTable:
 
     def clear(self) -> None:
         self.keys, self.row = np.zeros(0, U64), np.zeros(0, np.int64)
-        self.ids, self.bytes = Ragged(np.uint32), Ragged(np.uint8)
+        self.ids, self.bytes, self.words = Ragged(np.uint32), Ragged(np.uint8), Ragged(np.uint8)
 
-    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
+    def _add(self, words: list[bytes]) -> np.ndarray:
+        """Rows of new words."""
         lists = self._encode(words)
-        n = len(self.row)
+        n = len(self.words.size)
+        self.words.add(np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words], np.int64))
         self.ids.add(np.fromiter((i for x in lists for i in x), np.uint32), np.array([len(x) for x in lists], np.int64))
         if self._decode:
             back = self._decode(lists)
             self.bytes.add(np.frombuffer(b"".join(back), np.uint8), np.array([len(x) for x in back], np.int64))
-        keys = np.concatenate((self.keys, keys))
+        return np.arange(n, n + len(words))
+
+    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
+        keys, row = np.concatenate((self.keys, keys)), np.concatenate((self.row, self._add(words)))
         order = np.argsort(keys, kind="stable")
-        self.keys, self.row = keys[order], np.concatenate((self.row, np.arange(n, n + len(words))))[order]
+        self.keys, self.row = keys[order], row[order]
+
+    def _exact(self, rows: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """rows, but a word whose hash another word has taken gets a row of its own."""
+        size = ends - starts
+        if np.array_equal(self.words.size[rows], size) and np.array_equal(self.words.take(rows, np.arange(len(rows)))[0], data):
+            return rows
+        pool, raw, own = self.words.pool.tobytes(), data.tobytes(), {}
+        rows = rows.copy()
+        for i, (r, a, n) in enumerate(zip(rows.tolist(), starts.tolist(), size.tolist())):
+            word, at = raw[a : a + n], int(self.words.start[r])
+            if pool[at : at + int(self.words.size[r])] != word:
+                own.setdefault(word, []).append(i)
+        for row, places in zip(self._add(list(own)), own.values()):
+            rows[places] = row
+        return rows
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """Ids of all documents end to end and their number in each; then decoded bytes likewise."""
         starts = match_starts(data, offsets)
         ends = np.append(starts[1:], len(data))[: len(starts)]
-        h, first, back = np.unique(span_hash(prefix(_BYTE[data], 0), starts, ends, 0), return_index=True, return_inverse=True)
-        if len(self.keys) > self.most:
+        h, first, back = np.unique(word_hash(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.words.size) > self.most:
             self.clear()
         new = ~np.isin(h, self.keys, assume_unique=True)
         if new.any():
             raw, f = data.tobytes(), first[new]
             self._learn(h[new], [raw[a:b] for a, b in zip(starts[f].tolist(), ends[f].tolist())])
-        rows = self.row[np.searchsorted(self.keys, h)][back]
+        rows = self._exact(self.row[np.searchsorted(self.keys, h)][back], data, starts, ends)
         first_word = np.searchsorted(starts, offsets)
         return *self.ids.take(rows, first_word), *(self.bytes.take(rows, first_word) if self._decode else (None, None))
 

@@ -48,16 +48,17 @@ def _candidate_sets(block: int, window: int, parts: int):
         hits[1:][at[member(place(h, parts), looked_up(answers))]] = 1
         hits = np.cumsum(hits)
         at, h = words.windows(window)
+        check = _check(words, window)
         some = hits[at + window - block + 1] > hits[at]
-        at, h = at[some], h[some]
+        at, h, check = at[some], h[some], check[some]
         ids = np.array([-(1 << 62) if i is None else i for i in table["doc_id"].to_pylist()], np.int64)
         part, _ = split_hash(h, parts)
-        order = np.lexsort((at, h, part))
-        h, part, doc = h[order], part[order], ids[words.doc[at[order]]]
-        first = runs(h)
+        order = np.lexsort((at, check, h, part))
+        h, check, part, doc = h[order], check[order], part[order], ids[words.doc[at[order]]]
+        first = _runs2(h, check)
         multi = np.diff(np.append(first, len(h))) > 1
-        cell = np.zeros(len(first), [("h", U64), ("doc", np.int64), ("multi", np.bool_)])
-        cell["h"], cell["doc"], cell["multi"] = h[first], doc[first], multi
+        cell = np.zeros(len(first), [("h", U64), ("check", np.uint32), ("doc", np.int64), ("multi", np.bool_)])
+        cell["h"], cell["check"], cell["doc"], cell["multi"] = h[first], check[first], doc[first], multi
         part = part[first]
         cuts = runs(part)
         ends = np.append(cuts[1:], len(part))
@@ -70,19 +71,36 @@ def _candidate_sets(block: int, window: int, parts: int):
     return sets
 
 
+def _check(words: Words, window: int) -> np.ndarray:
+    """32 more bits of every window from other word hashes: with them, 96 bits stand for a window."""
+    return (words.windows(window, 1)[1] >> U64(32)).astype(np.uint32)
+
+
+def _runs2(h: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """Where each run of equal (h, check) starts."""
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
+    return np.flatnonzero(new)
+
+
 def _pack(cell: np.ndarray) -> bytes:
     """Column by column: equal high bytes lie together, and the shuffle compresses them."""
     n = np.array([len(cell)], np.int64).tobytes()
     planes = cell["doc"].copy().view(np.uint8).reshape(-1, 8).T.copy()
-    return n + cell["h"].tobytes() + planes.tobytes() + np.packbits(cell["multi"]).tobytes()
+    return n + cell["h"].tobytes() + cell["check"].tobytes() + planes.tobytes() + np.packbits(cell["multi"]).tobytes()
 
 
-def _unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(payload: bytes) -> tuple[np.ndarray, ...]:
     n = int(np.frombuffer(payload, np.int64, 1)[0])
     h = np.frombuffer(payload, U64, n, 8)
-    planes = np.frombuffer(payload, np.uint8, 8 * n, 8 + 8 * n).reshape(8, n)
-    multi = np.unpackbits(np.frombuffer(payload, np.uint8, -1, 8 + 16 * n), count=n).astype(bool) if n else np.zeros(0, bool)
-    return h, np.ascontiguousarray(planes.T).view(np.int64).ravel(), multi
+    check = np.frombuffer(payload, np.uint32, n, 8 + 8 * n)
+    planes = np.frombuffer(payload, np.uint8, 8 * n, 8 + 12 * n).reshape(8, n)
+    multi = np.unpackbits(np.frombuffer(payload, np.uint8, -1, 8 + 20 * n), count=n).astype(bool) if n else np.zeros(0, bool)
+    return h, check, np.ascontiguousarray(planes.T).view(np.int64).ravel(), multi
+
+
+#: A window as it is answered.
+WINDOW = np.dtype([("h", U64), ("check", np.uint32)])
 
 
 def _first_owner(table: pa.Table) -> pa.Table:
@@ -90,18 +108,29 @@ def _first_owner(table: pa.Table) -> pa.Table:
     buckets = np.array(table["bucket"].to_pylist(), np.int64)
     cells = [_unpack(c) for c in table["payload"].to_pylist()]
     owner = np.repeat(buckets, [len(c[0]) for c in cells])
-    h, doc, multi = (np.concatenate([c[k] for c in cells]) for k in range(3))
-    order = np.lexsort((doc, h))
-    h, owner, multi = h[order], owner[order], multi[order]
+    h, check, doc, multi = (np.concatenate([c[k] for c in cells]) for k in range(4))
+    order = np.lexsort((doc, check, h))
+    h, check, owner, multi = h[order], check[order], owner[order], multi[order]
     first = np.zeros(len(h), bool)
-    first[runs(h)] = True
+    first[_runs2(h, check)] = True
+    answer = np.zeros(len(h), WINDOW)
+    answer["h"], answer["check"] = h, check
     part, out = table["part"][0].as_py(), []
     for kind, which in ((1, ~first), (0, first & multi)):
         by = np.argsort(owner[which], kind="stable")
-        out.append(answer_rows(part, kind, owner[which][by], h[which][by]))
+        out.append(answer_rows(part, kind, owner[which][by], answer[which][by]))
     return pa.concat_tables(out)
 
 
+def _told(h: np.ndarray, check: np.ndarray, answers: np.ndarray) -> np.ndarray:
+    """Which windows are among the answers: by hash, and by hash and check together."""
+    both = lambda x, c: x * U64(0xD1342543DE82EF95) + c.astype(U64)
+    hit = member(h, np.sort(answers["h"]))
+    some = np.flatnonzero(hit)
+    hit[some] = member(both(h[some], check[some]), np.sort(both(answers["h"], answers["check"])))
+    return hit
+
+
 def _removed(window: int, texts: bool):
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         table = ordered(table)
@@ -111,12 +140,14 @@ def _removed(window: int, texts: bool):
         if answers.num_rows:
             kinds = np.array(answers["kind"].to_pylist())
             cells = answers["payload"].to_pylist()
-            get = lambda k: np.sort(concat([cells[i] for i in np.flatnonzero(kinds == k)], U64)[0])
-            gone = member(h, get(1))
-            here = np.flatnonzero(member(h, get(0)))
+            check = _check(words, window)
+            get = lambda k: concat([cells[i] for i in np.flatnonzero(kinds == k)], WINDOW)[0]
+            gone = _told(h, check, get(1))
+            here = np.flatnonzero(_told(h, check, get(0)))
+            order = here[np.lexsort((here, check[here], h[here]))]
             late = np.ones(len(here), bool)
-            late[np.unique(h[here], return_index=True)[1]] = False
-            gone[here[late]] = True
+            late[_runs2(h[order], check[order])] = False
+            gone[order[late]] = True
         drop = covered(at[gone], at[gone] + window, len(words.starts))
         lost = np.add.reduceat(np.append(drop, False).astype(np.int64), words.first[:-1]) * (words.n > 0) if table.num_rows else words.n
         digests, kept = [], []
