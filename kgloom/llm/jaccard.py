@@ -1,9 +1,9 @@
 """N-gram Jaccard join: prefix filters under several global token orders, intersected.
 
 A document is its set of word shingles.  Two sets as similar as asked share a
-token among the first few of either, under any order of all tokens.  Two orders
-are used, both rarest first, with different orders among equally rare tokens; a
-candidate pair must share a prefix token under both.
+token among the first few of either, under any order of all tokens.  Four orders
+are used: rarest first by one hash, rarest first by another, and two random orders
+that look at no frequency; a candidate pair must share a prefix token under each.
 
 Equal sets are one class.  Classes that share a prefix token under the first
 order are joined to that token's smallest class, and the components of these
@@ -27,12 +27,15 @@ from .buckets import ANSWER, Layout, answer_rows, bucketed, cut, flagged_set, or
 from .components import components
 
 U64 = np.uint64
-BLOCK = 1500
+#: Sets, and tokens of sets, that a block of a large component holds.
+BLOCK, BLOCK_TOKENS = 1500, 400_000
 LEVELS = 12
 TOKEN, SET = 0, 1
 SENT = "kind int, part long, bucket long, payload binary"
 SHOWN = "kind int, doc_id long, n_shingles long, class long, part long, payload binary"
 LINK = "a long, b long"
+#: A token's key within its partition, and how common it is.
+GRADED = np.dtype([("key", np.uint32), ("level", np.uint8)])
 
 
 def shingles(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +87,8 @@ def _sent(size: int, parts: int):
 
 
 def _answered(table: pa.Table) -> pa.Table:
-    """Tokens held by two documents or more, by how common they are; the class of each set that is not its own."""
+    """For each bucket one row: its tokens held by two documents or more, and how common each is; or
+    the class of each set that is not its own."""
     kind, part = table["kind"][0].as_py(), table["part"][0].as_py()
     buckets = np.array(table["bucket"].to_pylist(), np.int64)
     order = np.argsort(buckets, kind="stable")
@@ -98,13 +102,12 @@ def _answered(table: pa.Table) -> pa.Table:
         held = np.diff(np.append(at, len(packed)))
         multi = (np.bitwise_or.reduceat(packed >> U64(33), at) & U64(1)) > 0
         level = np.where((held > 1) | multi, np.minimum(np.frexp(held.astype(float))[1], LEVELS), 0)
-        each, out = np.repeat(level, held), []
-        for k in range(1, LEVELS + 1):
-            some = packed[each == k]
-            who = (some & U64(0xFFFFFFFF)).astype(np.int64)
-            by = np.argsort(who, kind="stable")
-            out.append(answer_rows(part, k, buckets[who[by]], (some >> U64(34))[by].astype(np.uint32)))
-        return pa.concat_tables(out)
+        some = np.repeat(level > 0, held)
+        cell = np.zeros(int(some.sum()), GRADED)
+        cell["key"], cell["level"] = key[some], np.repeat(level, held)[some]
+        who = (packed[some] & U64(0xFFFFFFFF)).astype(np.int64)
+        by = np.argsort(who, kind="stable")
+        return answer_rows(part, TOKEN + 1, buckets[who[by]], cell[by])
     values = [np.frombuffer(cells[k], U64).reshape(-1, 3) for k in order]
     owner = np.repeat(buckets, [len(v) for v in values])
     v = np.concatenate(values)
@@ -135,10 +138,10 @@ def _shown(size: int, parts: int, num: int, den: int):
         rep = dict()
         if answers.num_rows:
             kinds, from_part, cells = answers["kind"].to_pylist(), answers["part"].to_pylist(), answers["payload"].to_pylist()
-            keys = [np.frombuffer(c, np.uint32).astype(U64) | (U64(p) << U64(32)) for k, p, c in zip(kinds, from_part, cells) if k]
-            if keys:
-                lengths, keys = [len(k) for k in keys], np.concatenate(keys)
-                grade = np.repeat([k for k in kinds if k], lengths)
+            graded = [(p, np.frombuffer(c, GRADED)) for k, p, c in zip(kinds, from_part, cells) if k]
+            if graded:
+                keys = np.concatenate([g["key"].astype(U64) | (U64(p) << U64(32)) for p, g in graded])
+                grade = np.concatenate([g["level"] for _, g in graded])
                 order = np.argsort(keys)
                 keys, grade = keys[order], grade[order]
                 spot = np.minimum(np.searchsorted(keys, p := place(h, parts)), len(keys) - 1)
@@ -147,8 +150,6 @@ def _shown(size: int, parts: int, num: int, den: int):
                 if not k:
                     rep |= dict(np.frombuffer(c, np.int64).reshape(-1, 2).tolist())
         own = np.array([rep.get(i, i) for i in ids.tolist()], np.int64)
-
-
         shared = np.bincount(doc, level > 0, table.num_rows)
         can = (n > 0) & (own == ids) & (shared >= need(n, num, den))
         rows: dict[str, list] = {k: [] for k in ("kind", "doc_id", "n_shingles", "class", "part", "payload")}
@@ -196,9 +197,14 @@ class _Set:
         tokens = np.frombuffer(payload, U64, size, 4 * (LEVELS + 1))
         level = np.repeat(np.arange(LEVELS + 1), counts)
         lead = size - int(need(size, num, den)) + 1
-        other = tokens[np.lexsort((mix(tokens, 8), level))]
-        self.size, self.tokens = size, frozenset(tokens.tolist())
-        self.first, self.second = tokens[counts[0] : lead].tolist(), frozenset(other[counts[0] : lead].tolist())
+        self.size, self.tokens = size, np.sort(tokens)
+        self.first = tokens[counts[0] : lead].tolist()  # tokens of one document only join nothing
+        others = [np.lexsort((mix(tokens, 8), level)), *(np.argsort(mix(tokens, seed), kind="stable") for seed in (9, 10))]
+        self.others = [frozenset(tokens[o[:lead]][level[o[:lead]] > 0].tolist()) for o in others]
+
+    def candidate(self, other: "_Set") -> bool:
+        """A common prefix token under each of the other orders."""
+        return not any(a.isdisjoint(b) for a, b in zip(self.others, other.others))
 
 
 def join_sets(sets: list[tuple[int, int, _Set]], num: int, den: int, across: bool) -> list[tuple[int, int]]:
@@ -228,9 +234,9 @@ def join_sets(sets: list[tuple[int, int, _Set]], num: int, den: int, across: boo
                     if y in tried or across and sets[y][1] == block or num * max(s.size, other.size) > den * min(s.size, other.size):
                         continue
                     tried.add(y)
-                    if s.second.isdisjoint(other.second):
+                    if not s.candidate(other):
                         continue
-                    common = len(s.tokens & other.tokens)
+                    common = len(np.intersect1d(s.tokens, other.tokens, assume_unique=True))
                     if den * common >= num * (s.size + other.size - common):
                         links.append((name, sets[y][0]))
                         parent[find(x)] = find(y)
@@ -275,7 +281,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 75, den: int =
     shown = cut(texts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_shown(size, parts, num, den), SHOWN))
     stars = shown.where("kind = 1").select("part", "payload").groupBy("part").applyInArrow(_stars, LINK)
     groups = cut(components(stars).select(F.col("node").alias("doc_id"), F.col("component").alias("group")))
-    sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    held = shown.where("kind = 2").select("doc_id", "n_shingles").join(groups, "doc_id")
+    sizes = held.groupBy("group").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_TOKENS)).cast("int").alias("blocks"))
     members = shown.where("kind = 2").select("doc_id", "n_shingles", "payload").join(groups, "doc_id").join(sizes, "group")
     members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select("group", "doc_id", "n_shingles", "payload", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
