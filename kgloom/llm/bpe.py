@@ -57,7 +57,7 @@ SELECT t.w, string_agg(v.hex, '' ORDER BY t.pos) AS hex
 FROM tokens t JOIN vocab v ON v.id = t.tok GROUP BY t.w ORDER BY t.w
 """
 WORDS_AT_ONCE = 20_000
-ROWS_AT_ONCE = 4_000_000
+ROWS_AT_ONCE = 2_000_000
 LONG = 512
 
 
@@ -95,7 +95,7 @@ class Codec:
         cuts = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.merges = {(a, b): c for a, b, c in cuts}
         a, b, c = (pa.array(x, pa.int32()) for x in zip(*cuts)) if cuts else (pa.array([], pa.int32()),) * 3
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": os.path.join(tempfile.gettempdir(), "bpe")})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": os.path.join(tempfile.gettempdir(), "bpe")})
         for name, table in (("merges", pa.table({"k": pa.array((np.array(a, np.int64) << 32) | np.array(b, np.int64)), "id": c})), ("vocab", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [t.hex() for t in ranks]}))):
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
