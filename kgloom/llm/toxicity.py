@@ -123,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 2000, id_col: str = "d
     return fit(rows["text"], rows["toxic"].to_numpy().astype(np.int64), counts.get(1, 0) / total if total else 0.0)
 
 
-def _scores(model: Model):
+def _scores(model: Model, name: str = "score"):
     def score(batches):
         table = model.table()
         wanted = table != 0
@@ -133,18 +133,20 @@ def _scores(model: Model):
                 pairs = _pairs(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], wanted)
                 margin = np.bincount((pairs >> U64(BITS)).astype(np.int64), table[(pairs & U64((1 << BITS) - 1)).astype(np.int64)], b - a) + model.intercept
                 out = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*out.columns[:-1], pa.array(1 / (1 + np.exp(-np.clip(margin, -500, 500))), pa.float64())], names=[*out.schema.names[:-1], "score"])
+                yield pa.RecordBatch.from_arrays([*out.columns[:-1], pa.array(1 / (1 + np.exp(-np.clip(margin, -500, 500))), pa.float64())], names=[*out.schema.names[:-1], name])
 
     return score
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns `keep` and score (0 to 1), a row for each input row.
+def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
+    """Columns `keep` and the score (0 to 1) as column `name`, a row for each input row.
 
     A null or empty text has no n-gram and gets the score of the intercept.
     Without labels of both classes all rows get the share of toxic labels.
     """
-    given = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("_scored_text"))
-    schema = T.StructType([*given.schema.fields[:-1], T.StructField("score", T.DoubleType())])
-    return given.mapInArrow(_scores(model), schema)
+    if name in keep:
+        raise ValueError(f"a column {name!r} is already kept")
+    given = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias(name))
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField(name, T.DoubleType())])
+    return given.mapInArrow(_scores(model, name), schema)
 
