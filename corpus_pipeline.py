@@ -26,16 +26,26 @@ TOXIC = 0.3
 PASSAGE = 250
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """A key by content: rows that share it are equal in all that an operator looks at."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+def _spare(docs: DataFrame, name: str) -> str:
+    """A column name like this one that docs does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a key by content, and its name: rows that share it are equal in all that an operator looks at."""
+    key = _spare(docs, "_key")
+    return docs.withColumn(key, F.xxhash64("doc_id", "text")), key
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under the threshold; the model learns from the labels of these documents."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels)
-    return toxicity.score(docs, model, docs.columns).where(F.col("score") < TOXIC).drop("score")
+    score = _spare(docs, "_score")
+    return toxicity.score(docs, model, docs.columns, name=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,18 +65,19 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A document that loses nothing keeps its text, null included; one that loses all stays with an empty text.
     """
-    given = _keyed(docs)
-    cut = dedup_suffixes(given, PASSAGE, id_col="_key").where("n_removed > 0").select(F.col("doc_id").alias("_key"), F.col("kept").alias("_kept")).dropDuplicates(["_key"])
-    joined = given.join(cut, "_key", "left")
-    changed = {"text": F.coalesce("_kept", "text"), "n_chars": F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept").cast("long"))}
+    given, key = _keyed(docs)
+    kept = _spare(given, "_kept")
+    cut = dedup_suffixes(given, PASSAGE, id_col=key).where("n_removed > 0").select(F.col("doc_id").alias(key), F.col("kept").alias(kept)).dropDuplicates([key])
+    joined = given.join(cut, key, "left")
+    changed = {"text": F.coalesce(kept, "text"), "n_chars": F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(F.length(kept).cast("long"))}
     return joined.select([changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item within its edit budget."""
-    given = _keyed(docs)
-    found = contaminated(given, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
-    return given.join(found.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(docs.columns)
+    given, key = _keyed(docs)
+    found = contaminated(given, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=key)
+    return given.join(found.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
