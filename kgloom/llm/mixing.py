@@ -1,12 +1,16 @@
 """The context-mixing model itself: hashed-context bit predictors, gated mixing, refinement.
 
 A symbol (a byte, or 0 at the end of a text) is coded as eight binary decisions.
-For each, predictors of orders 1 to 5, and one of the current word so far, look up
-what followed the same context in training; their stretched probabilities are summed with weights that a gate
-chooses (bit position, longest context seen, trust in the word); an adaptive table
-refines the mixed probability.  A code is one integer: from the highest byte, the
-last five bytes, nearest first, a 16-bit hash of what the word holds before those,
-and the symbol.
+For each, predictors of orders 1 to 5, and one of the current word so far, tell
+what followed the same context in training; their stretched probabilities are
+summed with weights that a gate chooses (bit position, longest context seen,
+trust in the word); an adaptive table refines the mixed probability.
+
+A code is one integer: from the highest byte, the last five bytes, nearest first,
+a 16-bit hash of what the word holds before those, and the symbol.  A cell is a
+fixed set of contexts of three bytes, with all longer contexts that end in them;
+it is modelled on its own, in an order that depends on its codes alone, so scores
+do not depend on how cells are dealt to tasks.
 """
 
 from __future__ import annotations
@@ -19,13 +23,16 @@ from .arrays import _BYTE, _SPACE, mix, prefix, runs, span_hash
 
 U64 = np.uint64
 WORD = 6
-HIGH = (2, 3, 4, 5, WORD)  # predictors with hashed contexts
+HIGH = (3, 4, 5, WORD)  # predictors whose counts lie in a cell
+INPUTS = len(HIGH) + 3  # those of orders 1 and 2, and a constant
 _BREAK = _SPACE.copy()
 _BREAK[0] = True
-SCALE = 10.0  # a stretched probability of +-12.7 fits a byte
-GATES = 8 * len(HIGH) * 4
-RATE, PASSES, BATCH = 0.003, 4, 256
-CHUNK = 1 << 14
+LIMIT = 12.0  # of stretched probabilities
+GATES = len(HIGH) * 4
+#: Weights of orders 1, 2, 3, 4, 5, of the word and of the constant before anything is learnt.
+START = np.array([0.05, 0.1, 0.2, 0.3, 0.4, 0.6, 0.0], np.float32)
+RATE, BATCH = 0.4, 2048
+BINS = 33
 
 
 def codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -63,181 +70,157 @@ def context(code: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
-def _stretch(p):
-    return np.log(p / (1 - p))
+def cell_of(code: np.ndarray, cells: int) -> np.ndarray:
+    """All contexts that end in the same three bytes have one cell."""
+    return (mix(code >> U64(40), 99) % U64(cells)).astype(np.int64)
 
 
-def _trust(n):
-    return np.minimum(3, (np.frexp(n.astype(np.float64))[1] + 1) // 2).astype(np.uint8)
+def pairs_of(code: np.ndarray) -> np.ndarray:
+    """Last two bytes and symbol."""
+    return (code >> U64(48) << U64(8)) | (code & U64(0xFF))
 
 
-def _nodes(codes_k: np.ndarray, count: np.ndarray, bit: int):
-    """For sorted codes of one order: each distinct (context, bits so far) and its counts of zeros and ones."""
-    key = codes_k >> U64(8 - bit)
-    at = runs(key)
-    n = np.add.reduceat(count, at)
-    ones = np.add.reduceat(count * ((codes_k >> U64(7 - bit)) & U64(1)).astype(np.int64), at)
-    return key[at], n - ones, ones
+def _stretch(zeros, ones, prior: float):
+    return np.clip(np.log((ones + np.float32(prior)) / (zeros + np.float32(prior))), -LIMIT, LIMIT).astype(np.float32)
 
 
-def _slot(key: np.ndarray, order: int, bit: int, region: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot of a context, and the byte by which it knows its own."""
-    h = (key + U64(16 * order + bit + 1)) * U64(0x9E3779B97F4A7C15)
-    h ^= h >> U64(29)
-    h *= U64(0xBF58476D1CE4E5B9)
-    return ((h >> U64(32)) * U64(region)) >> U64(32), (h >> U64(20)).astype(np.uint8)
+def _nodes(counts: np.ndarray, prior: float) -> np.ndarray:
+    """Stretched probability of a one by (context, bits so far with a leading one), from counts by symbol."""
+    out = np.zeros((len(counts), 256), np.float32)
+    level = counts.astype(np.float32)
+    for bit in range(7, -1, -1):
+        zeros, ones = level[:, 0::2], level[:, 1::2]
+        out[:, 1 << bit : 2 << bit] = _stretch(zeros, ones, prior)
+        level = zeros + ones
+    return out
 
 
-def region_of(code: np.ndarray, parts: int) -> np.ndarray:
-    """All contexts of order 2 and more that end in the same two bytes have one region."""
-    return mix(code >> U64(48), 99) % U64(parts)
+@dataclass
+class Low:
+    """Predictors of orders 1 and 2, counted over all training texts: at most 2**24 counts, whatever the corpus."""
 
+    keys: np.ndarray  # sorted: last two bytes and symbol
+    counts: np.ndarray
 
-def pair_of(code: np.ndarray) -> np.ndarray:
-    """Last byte and symbol."""
-    return (code >> U64(56) << U64(8)) | (code & U64(0xFF))
+    def __post_init__(self):
+        keys = self.keys.astype(np.int64)
+        pair, row = np.unique(keys >> 8, return_inverse=True)
+        two = np.zeros((len(pair) + 1, 256), np.float32)  # the last row is of pairs that training does not hold
+        np.add.at(two, (row, keys & 255), self.counts)
+        one = np.zeros((256, 256), np.float32)
+        np.add.at(one, (keys >> 16, keys & 255), self.counts)
+        self.row = np.full(1 << 16, len(pair), np.int64)
+        self.row[pair] = np.arange(len(pair))
+        self.one, self.two = _nodes(one, 0.02), _nodes(two, 0.1)
 
 
-def learn_region(code: np.ndarray, count: np.ndarray, region: int, sample: int):
-    """Predictor states of one region and a sample of codes with what each predictor says of them.
+def _paths(low: np.ndarray, count: np.ndarray):
+    """For the codes of one order: their sorting, and for a bit the zeros and ones of the node on each code's way."""
+    order = np.argsort(low, kind="stable")
+    sorted_low, sorted_count = low[order], count[order].astype(np.int64)
 
-    code is sorted and distinct.  The sample takes occurrences at even steps; counts leave the
-    sampled occurrence out, and each stands for as many as a step has.
-    """
-    state, trust, check = np.zeros(region, np.int8), np.zeros(region, np.uint8), np.zeros(region, np.uint8)
-    total = int(count.sum())
-    sample = min(sample, total)
-    chosen = np.searchsorted(np.cumsum(count), (np.arange(sample) * total) // max(1, sample), side="right")
-    seen = np.zeros((len(chosen), len(HIGH), 8, 2), np.int64)
-    best = np.zeros(region, np.uint16)
-    for i, k in enumerate(HIGH):
-        low = context(code, k)
-        order = np.argsort(low, kind="stable")
-        at = runs(low[order])
-        codes_k, count_k = low[order][at], np.add.reduceat(count[order], at) if len(at) else count
-        for bit in range(8):
-            key, zeros, ones = _nodes(codes_k, count_k, bit)
-            slot, own = _slot(key, k, bit, region)
-            weight = np.minimum(zeros + ones, 65535).astype(np.uint16)
-            fit_in = np.flatnonzero(weight >= best[slot])  # of all contexts in a slot the most frequent stays, of equals the last
-            by = fit_in[np.argsort(weight[fit_in], kind="stable")]
-            to, n0, n1 = slot[by], zeros[by], ones[by]
-            best[to], check[to], trust[to] = weight[by], own[by], _trust(n0 + n1)
-            state[to] = np.clip(np.round(_stretch((n1 + 0.4) / (n0 + n1 + 0.8)) * SCALE), -127, 127)
-            where = np.searchsorted(key, low[chosen] >> U64(8 - bit))
-            seen[:, i, bit, 0], seen[:, i, bit, 1] = zeros[where], ones[where]
-    return state, trust, check, code[chosen], np.full(sample, -(-total // max(1, sample))), np.minimum(seen, 2**31 - 1).astype(np.int32)
+    def at(bit: int) -> tuple[np.ndarray, np.ndarray]:
+        key = sorted_low >> U64(8 - bit)
+        first = runs(key)
+        size = np.diff(np.append(first, len(key)))
+        one = ((sorted_low >> U64(7 - bit)) & U64(1)).astype(np.int64)
+        total = np.add.reduceat(sorted_count, first)
+        ones = np.add.reduceat(sorted_count * one, first)
+        n0, n1 = np.empty(len(low), np.float32), np.empty(len(low), np.float32)
+        n0[order], n1[order] = np.repeat(total - ones, size), np.repeat(ones, size)
+        return n0, n1
 
+    return at
 
-@dataclass
-class Model:
-    state: np.ndarray  # parts * region
-    trust: np.ndarray
-    check: np.ndarray
-    parts: int
-    first: np.ndarray  # order 1: stretched probability by (last byte, bits so far)
-    weights: np.ndarray  # GATES x inputs
-    refine: np.ndarray  # bits so far x bins
-
-    def __post_init__(self):
-        self.slots = self.state.view(np.uint8).astype(np.uint32) | (self.trust.astype(np.uint32) << 8) | (self.check.astype(np.uint32) << 16)
-        self.stretched = (np.arange(256, dtype=np.uint8).view(np.int8) / SCALE).astype(np.float32)
-
-    def log10(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of the symbol of each code, in chunks that stay in the cache."""
-        return np.concatenate([np.zeros(0), *(self._log10(code[a : a + CHUNK]) for a in range(0, len(code), CHUNK))])
-
-    def _log10(self, code: np.ndarray) -> np.ndarray:
-        region = len(self.slots) // self.parts
-        base = region_of(code, self.parts) * U64(region)
-        contexts = [context(code, k) for k in HIGH]
-        symbol, last = (code & U64(0xFF)).astype(np.int64), (code >> U64(56)).astype(np.int64)
-        total = np.ones(len(code))
-        inputs, known = np.empty((len(code), len(HIGH) + 2), np.float32), np.empty((len(code), len(HIGH)), np.uint8)
-        inputs[:, -1] = 0.3
-        for bit in range(8):
-            node = (symbol >> (8 - bit)) + (1 << bit)
-            inputs[:, 0] = self.first[last, node]
-            for i, k in enumerate(HIGH):
-                at, own = _slot(contexts[i] >> U64(8 - bit), k, bit, region)
-                got = self.slots[at + base]
-                got[(got >> 16) != own] = 0
-                inputs[:, i + 1] = self.stretched[got & 0xFF]
-                known[:, i] = got >> 8
-            p = refined(self.refine, mixed(self.weights[gate(known, bit)], inputs), node)
-            total *= np.where((symbol >> (7 - bit)) & 1, p, 1 - p)
-        return np.log10(total)
-
-
-def gate(known: np.ndarray, bit: int) -> np.ndarray:
-    """By bit position, longest context of bytes seen, and trust in the word so far."""
-    longest = np.zeros(len(known), np.int64)
-    for k in range(known.shape[1] - 1):
-        longest[known[:, k] > 0] = k + 1
-    return (bit * len(HIGH) + longest) * 4 + known[:, -1]
-
-
-def mixed(weights: np.ndarray, inputs: np.ndarray) -> np.ndarray:
-    return np.clip(np.einsum("ij,ij->i", weights, inputs), -12, 12)
 
-
-BINS = 33
+def _trust(n: np.ndarray) -> np.ndarray:
+    """0 to 3 by how often a context was seen."""
+    return (n > 0).astype(np.int64) + (n > 2) + (n > 12)
 
 
 def _bins(stretched: np.ndarray):
-    x = (stretched + 12) * (BINS - 1) / 24
+    x = (stretched + LIMIT) * np.float32((BINS - 1) / (2 * LIMIT))
     low = np.minimum(x.astype(np.int64), BINS - 2)
-    return low, x - low
-
-
-def refined(table: np.ndarray, stretched: np.ndarray, node: np.ndarray) -> np.ndarray:
-    low, part = _bins(stretched)
-    own = table[node, low] * (1 - part) + table[node, low + 1] * part
-    return np.clip((1 / (1 + np.exp(-stretched)) + own) / 2, 1e-6, 1 - 1e-6)
-
-
-def fit(state: np.ndarray, trust: np.ndarray, check: np.ndarray, parts: int, order1: np.ndarray, sample) -> Model:
-    """Mixing weights and refinement, learnt online in passes over the sample.
-
-    order1 counts (last byte, symbol); sample is code, count and seen of all regions.
+    return low, (x - low).astype(np.float32)
+
+
+class Mixer:
+    """Weights and refinement of one bit position, learnt as codes come."""
+
+    def __init__(self, bit: int):
+        self.weights = np.tile(START, (GATES, 1))
+        self.steps = np.zeros(GATES)
+        self.hits = np.full((1 << bit) * BINS, 4.0)
+        self.sums = np.tile(4.0 / (1 + np.exp(-np.linspace(-LIMIT, LIMIT, BINS))), 1 << bit)
+
+    def predict(self, x: np.ndarray, gate: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
+        stretched = np.clip(np.einsum("ij,ij->i", self.weights[gate], x), -LIMIT, LIMIT)
+        plain = 1 / (1 + np.exp(-stretched))
+        low, part = _bins(stretched)
+        at = node * BINS + low
+        own = (self.sums[at] / self.hits[at]) * (1 - part) + (self.sums[at + 1] / self.hits[at + 1]) * part
+        return np.clip((plain + own) / 2, 1e-6, 1 - 1e-6), plain, at, part
+
+    def learn(self, x: np.ndarray, gate: np.ndarray, node: np.ndarray, one: np.ndarray, share: np.ndarray) -> None:
+        """One step along the mean gradient of every gate, ever smaller; the table counts what came of each bin."""
+        _, plain, at, part = self.predict(x, gate, node)
+        error = (one - plain) * share
+        held = np.bincount(gate, share, GATES)
+        slope = np.stack([np.bincount(gate, error * x[:, i], GATES) for i in range(INPUTS)], axis=1)
+        some = held > 0
+        self.steps[some] += 1
+        rate = RATE / np.sqrt(self.steps[some]) * np.minimum(1, held[some] / 16)
+        self.weights[some] += (rate[:, None] * slope[some] / held[some, None]).astype(np.float32)
+        for place, weight in ((at, (1 - part) * share), (at + 1, part * share)):
+            self.hits += np.bincount(place, weight, len(self.hits))
+            self.sums += np.bincount(place, weight * one, len(self.sums))
+
+
+def cell_log2(code: np.ndarray, count: np.ndarray, low: Low) -> np.ndarray:
+    """log2 probability of the symbol of each distinct code of one cell; count is its occurrences in training.
+
+    Codes come in an order by the hash of their context, twice.  First weights and
+    refinement are learnt from training codes, each seen as if one occurrence of it
+    were not in the counts.  Then codes are scored batch by batch, and learning
+    goes on after each batch.  All codes of a context are in one batch, so the
+    probabilities of its symbols sum to 1.
     """
-    code, count, seen = sample
-    pairs = order1.reshape(256, 256)
-    zeros, ones = np.zeros((256, 256)), np.zeros((256, 256))
-    for bit in range(8):
-        for node in range(1 << bit):
-            span = 256 >> bit
-            low = pairs[:, node * span : (node + 1) * span]
-            zeros[:, (1 << bit) + node], ones[:, (1 << bit) + node] = low[:, : span // 2].sum(1), low[:, span // 2 :].sum(1)
-    first = np.clip(_stretch((ones + 0.02) / (zeros + ones + 0.04)), -12, 12).astype(np.float32)
-    weights = np.full((GATES, len(HIGH) + 2), 0.3, np.float32)
-    refine = np.tile(1 / (1 + np.exp(-np.linspace(-12, 12, BINS))), (256, 1))
-    if not len(code):
-        return Model(state, trust, check, parts, first, weights, refine)
+    order = np.lexsort((code, mix(code >> U64(8), 7)))
+    code, count = code[order], count[order]
+    first = runs(code >> U64(8))
+    cuts = np.append(first[np.unique(np.searchsorted(first, np.arange(0, len(code), BATCH), side="right") - 1)], len(code))
+    symbol, last = (code & U64(0xFF)).astype(np.int64), (code >> U64(56)).astype(np.int64)
+    pair = low.row[(code >> U64(48)).astype(np.int64)]
+    paths = [_paths(context(code, k), count) for k in HIGH]
+    known = (count > 0).astype(np.float32)
     share = count.astype(np.float32)
-    share /= share.mean()
-    given = []
+    total = np.zeros(len(code))
     for bit in range(8):
-        one = ((code >> U64(7 - bit)) & U64(1)).astype(np.int64)
-        n0, n1 = seen[:, :, bit, 0] - (1 - one)[:, None], seen[:, :, bit, 1] - one[:, None]
-        node = ((code & U64(0xFF)) >> U64(8 - bit)).astype(np.int64) + (1 << bit)
-        x = np.empty((len(code), len(HIGH) + 2), np.float32)
-        x[:, 0] = first[(code >> U64(56)).astype(np.int64), node]
-        x[:, 1:-1] = np.round(np.clip(_stretch((n1 + 0.4) / (n0 + n1 + 0.8)), -12.7, 12.7) * SCALE) / SCALE
-        x[:, -1] = 0.3
-        given.append((x, gate(_trust(n0 + n1), bit), one.astype(np.float32), node))
-    for turn in range(PASSES):
-        order = np.random.default_rng(turn).permutation(len(code))
-        for a in range(0, len(code), BATCH):
-            some = order[a : a + BATCH]
-            for x, g, one, _ in given:
-                xs, gs = x[some], g[some]
-                error = (one[some] - 1 / (1 + np.exp(-mixed(weights[gs], xs)))) * share[some]
-                np.add.at(weights, gs, (RATE / (1 + turn)) * error[:, None] * xs)
-    hits, sums = np.full((256, BINS), 4.0), refine * 4.0
-    for x, g, one, node in given:
-        low, part = _bins(mixed(weights[g], x))
-        for place, weight in ((low, (1 - part) * share), (low + 1, part * share)):
-            np.add.at(hits, (node, place), weight)
-            np.add.at(sums, (node, place), weight * one)
-    return Model(state, trust, check, parts, first, weights, sums / hits)
+        one = ((symbol >> (7 - bit)) & 1).astype(np.float32)
+        node = symbol >> (8 - bit)
+        full, less = np.zeros((len(code), INPUTS), np.float32), np.zeros((len(code), INPUTS), np.float32)
+        full[:, 0], full[:, 1] = low.one[last, node + (1 << bit)], low.two[pair, node + (1 << bit)]
+        full[:, -1] = 0.3
+        less[:, (0, 1, -1)] = full[:, (0, 1, -1)]
+        longest, without = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+        for i, at in enumerate(paths):
+            n0, n1 = at(bit)
+            full[:, i + 2] = _stretch(n0, n1, 0.4)
+            seen = _trust(n0 + n1)
+            n0 -= known * (1 - one)
+            n1 -= known * one
+            less[:, i + 2] = _stretch(n0, n1, 0.4)
+            before = _trust(n0 + n1)
+            if i < len(HIGH) - 1:
+                longest[seen > 0], without[before > 0] = i + 1, i + 1
+        gate, gate_less = longest * 4 + seen, without * 4 + before
+        mixer = Mixer(bit)
+        for scoring in (False, True):
+            for b in map(slice, cuts[:-1], cuts[1:]):
+                if scoring:
+                    p = mixer.predict(full[b], gate[b], node[b])[0]
+                    total[b] += np.log2(np.where(one[b] > 0, p, 1 - p))
+                mixer.learn(less[b], gate_less[b], node[b], one[b], share[b])
+    out = np.empty(len(code))
+    out[order] = total
+    return out

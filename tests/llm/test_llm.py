@@ -245,21 +245,121 @@ def test_lm_base_score_and_gain(docs, rows):
         own = low(t)
         want[i].append((len(own), sum(train[w] > 0 for w in own), n, round(sum(math.log10((train[w] + 0.1) / (n + 0.1 * (v + 1))) for w in own), 6)))
     got = defaultdict(list)
-    for r in score_texts(docs, held_out, slots=1 << 16).collect():
+    for r in score_texts(docs, held_out).collect():
         got[r.doc_id].append((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)))
         assert r.score < 0 and r.bits_per_byte < 12
     assert {k: sorted(x) for k, x in got.items()} == {k: sorted(x) for k, x in want.items()}
 
 
-def test_mixing_probabilities_sum_to_one():
-    data = np.frombuffer(b"abcabcabd" * 50, np.uint8)
-    code = mixing.codes(data, np.array([0, len(data)]))
-    u, n = np.unique(code, return_counts=True)
-    learnt = mixing.learn_region(u, n, 1 << 12, 100)
-    order1 = np.bincount(mixing.pair_of(code).astype(np.int64), minlength=1 << 16)
-    model = mixing.fit(*learnt[:3], 1, order1, learnt[3:])
-    every = (code[5] & ~np.uint64(0xFF)) | np.arange(256, dtype=np.uint64)
-    assert abs((10 ** model.log10(every)).sum() - 1) < 1e-6
+def slow_mixing(code, count, pairs):
+    """cell_log2 written symbol by symbol, with dictionaries; pairs counts (last two bytes, symbol)."""
+    stretch = lambda n0, n1, prior: float(np.clip(math.log((n1 + prior) / (n0 + prior)), -12, 12))
+    squash = lambda x: 1 / (1 + math.exp(-x))
+    seen, one_back, two_back = Counter(), Counter(), Counter()
+    for k in mixing.HIGH:
+        for c, n in zip(mixing.context(code, k).tolist(), count.tolist()):
+            for bit in range(8):
+                seen[k, bit, c >> (8 - bit), c >> (7 - bit) & 1] += n
+    for (pair, symbol), n in pairs.items():
+        for bit in range(8):
+            one_back[pair >> 8, bit, symbol >> (8 - bit), symbol >> (7 - bit) & 1] += n
+            two_back[pair, bit, symbol >> (8 - bit), symbol >> (7 - bit) & 1] += n
+    low = {k: mixing.context(code, k).tolist() for k in mixing.HIGH}
+    turn = mixing.mix(code >> np.uint64(8), 7)
+    order = sorted(range(len(code)), key=lambda i: (int(turn[i]), int(code[i])))
+    batches, ctx = [], None
+    for place, i in enumerate(order):
+        if code[i] >> np.uint64(8) != ctx:
+            ctx, start = code[i] >> np.uint64(8), place
+        if place % mixing.BATCH == 0:
+            batches.append(start)
+    batches = sorted(set(batches)) + [len(order)]
+    trust = lambda n: int(n > 0) + int(n > 2) + int(n > 12)
+    out = [0.0] * len(code)
+    for bit in range(8):
+        w = {}
+        steps, hits, sums = Counter(), {}, {}
+        place_of = lambda x: (min(int((x + 12) * 32 / 24), 31), (x + 12) * 32 / 24 - min(int((x + 12) * 32 / 24), 31))
+
+        def look(i, less):
+            symbol, one = int(code[i]) & 255, int(code[i]) >> (7 - bit) & 1
+            node, pair = symbol >> (8 - bit), int(code[i]) >> 48
+            x = [stretch(one_back[pair >> 8, bit, node, 0], one_back[pair >> 8, bit, node, 1], 0.02), stretch(two_back[pair, bit, node, 0], two_back[pair, bit, node, 1], 0.1)]
+            longest = 0
+            for k in mixing.HIGH:
+                n = [seen[k, bit, low[k][i] >> (8 - bit), v] for v in (0, 1)]
+                n[one] -= less and count[i] > 0
+                x.append(stretch(*n, 0.4))
+                last = trust(sum(n))
+                if last and k < mixing.WORD:
+                    longest = k - 2
+            return x + [0.3], longest * 4 + last, node, one
+
+        def predict(x, gate, node):
+            st = float(np.clip(sum(a * b for a, b in zip(w.get(gate, mixing.START.tolist()), x)), -12, 12))
+            at, part = place_of(st)
+            value = lambda p: sums.get((node, p), 4 * squash(-12 + p * 24 / 32)) / hits.get((node, p), 4)
+            own = value(at) * (1 - part) + value(at + 1) * part
+            return min(max((squash(st) + own) / 2, 1e-6), 1 - 1e-6), squash(st), at, part
+
+        for scoring in (False, True):
+            for a, b in zip(batches, batches[1:]):
+                if scoring:
+                    for i in order[a:b]:
+                        x, gate, node, one = look(i, False)
+                        p = predict(x, gate, node)[0]
+                        out[i] += math.log2(p if one else 1 - p)
+                slope, held, more = defaultdict(lambda: [0.0] * mixing.INPUTS), Counter(), []
+                for i in order[a:b]:
+                    x, gate, node, one = look(i, True)
+                    _, plain, at, part = predict(x, gate, node)
+                    held[gate] += int(count[i])
+                    slope[gate] = [s + (one - plain) * int(count[i]) * v for s, v in zip(slope[gate], x)]
+                    more += [(node, at, (1 - part) * int(count[i]), one), (node, at + 1, part * int(count[i]), one)]
+                for g, n in held.items():
+                    if n:
+                        steps[g] += 1
+                        rate = mixing.RATE / math.sqrt(steps[g]) * min(1, n / 16)
+                        w[g] = [v + rate * s / n for v, s in zip(w.get(g, mixing.START.tolist()), slope[g])]
+                for node, at, n, one in more:
+                    sums[node, at] = sums.get((node, at), 4 * squash(-12 + at * 24 / 32)) + n * one
+                    hits[node, at] = hits.get((node, at), 4) + n
+    return out
+
+
+@pytest.fixture(scope="module")
+def cell():
+    rnd = random.Random(5)
+    data = np.frombuffer(words(rnd, 400).encode(), np.uint8)
+    code, count = np.unique(mixing.codes(data, np.array([0, len(data)])), return_counts=True)
+    some = code[len(code) // 2] >> np.uint64(8) << np.uint64(8)
+    every = np.union1d(code, some | np.arange(256, dtype=np.uint64))  # one context with all symbols
+    n = np.zeros(len(every), np.int64)
+    n[np.searchsorted(every, code)] = count
+    keys, back = np.unique(mixing.pairs_of(code), return_inverse=True)
+    return every, n, mixing.Low(keys, np.bincount(back, count)), {(int(k) >> 8, int(k) & 255): int(c) for k, c in zip(keys, np.bincount(back, count))}, some
+
+
+def test_mixing_against_a_slow_version(cell, monkeypatch):
+    code, count, low, pairs, _ = cell
+    monkeypatch.setattr(mixing, "BATCH", 300)
+    assert np.allclose(mixing.cell_log2(code, count, low), slow_mixing(code, count, pairs), atol=2e-3)
+
+
+def test_mixing_probabilities_sum_to_one(cell):
+    code, count, low, _, some = cell
+    p = 2.0 ** mixing.cell_log2(code, count, low)
+    assert abs(p[(code >> np.uint64(8)) == (some >> np.uint64(8))].sum() - 1) < 1e-6
+
+
+def test_lm_scores_do_not_depend_on_partitions(spark, docs):
+    held_out, found = F.crc32(F.col("doc_id").cast("string")) % 10 == 0, []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("2", "5"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(sorted((str(r.doc_id), r.n_tokens, round(r.score, 9)) for r in score_texts(docs, held_out, cell_bytes=4096).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
 
 
 def test_embeddings(spark):
@@ -309,7 +409,7 @@ def test_jaccard(docs, rows):
 
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOC)
-    for found in (dedup_substrings(none), dedup_suffixes(none), encode_texts(none, RANKS), jaccard_components(none), score_texts(none, F.lit(False), slots=1 << 12)):
+    for found in (dedup_substrings(none), dedup_suffixes(none), encode_texts(none, RANKS), jaccard_components(none), score_texts(none, F.lit(False))):
         assert found.count() == 0
     assert link_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
     assert contaminated(none, spark.createDataFrame([], "item_id long, text string")).count() == 0
