@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Ontology prefixes written with an underscore in some sources; texts that stand for nothing.
-CURIE_PREFIXES = ("EFO", "MONDO", "HP", "GO", "CL", "UBERON", "DOID", "CHEBI", "NCIT", "BTO", "Orphanet", "OTAR", "MP")
+CURIE_PREFIXES = ("EFO", "MONDO", "HP", "OBA", "GO", "MP", "NCIT", "GSSO", "DOID", "CL", "UBERON", "Orphanet")
 BLANK = ("nan", "none", "null", "<na>")
 
 
@@ -21,13 +21,22 @@ def normalize_curie(c: Column) -> Column:
     return F.regexp_replace(clean(c), rf"^({'|'.join(CURIE_PREFIXES)})_([A-Za-z0-9]+)$", "$1:$2")
 
 
+#: Labels of ids by pattern, the first that fits.
+NAMESPACES = (
+    ("^$", "<blank>"), ("^PMID:", "PMID"), ("^CHEMBL", "ChEMBL"), ("^DB[0-9]+$", "DrugBank"), ("^CVCL_", "Cellosaurus"), ("^EH38E", "ENCODE"), ("^R-HSA-", "Reactome"), ("^rs[0-9]+$", "dbSNP"),
+    ("(?i)^(chr)?[0-9XYM]+[_:-][0-9]+[_:-][ACGTN]+[_:-][ACGTN]+$", "gnomAD-like"), ("^(EFO|DOID|CL|HP|GO|MONDO|UBERON|OBA|NCIT|GSSO|MP)_", "{prefix}_underscore"),
+    ("^ENSG", "Ensembl Gene"), ("^ENST", "Ensembl Transcript"), ("^ENSP", "Ensembl Protein"), (":", "{prefix}"), ("^[0-9]+$", "numeric"),
+)
+
+
 def namespace(c: Column) -> Column:
-    """What kind of id a text is."""
-    rules = ((r"^[0-9]+$", "numeric"), (r"^ENSG[0-9]+$", "Ensembl Gene"), (r"^CHEMBL[0-9]+$", "ChEMBL"), (r"^[A-Za-z]+:", "prefixed"))
-    out = F.when(clean(c).isNull(), "blank")
-    for pattern, name in rules:
-        out = out.when(c.rlike(pattern), F.lower(F.split_part(c, F.lit(":"), F.lit(1))) if name == "prefixed" else F.lit(name))
-    return out.otherwise("other")
+    """What kind of id a text is; null counts as blank."""
+    t = F.trim(F.coalesce(c, F.lit("")))
+    out = None
+    for pattern, name in NAMESPACES:
+        label = F.concat(F.split_part(t, F.lit("_"), F.lit(1)), F.lit("_underscore")) if name == "{prefix}_underscore" else F.split_part(t, F.lit(":"), F.lit(1)) if name == "{prefix}" else F.lit(name)
+        out = F.when(t.rlike(pattern), label) if out is None else out.when(t.rlike(pattern), label)
+    return out.otherwise("unprefixed")
 
 
 def edge_key(relation: Column, x: Column, y: Column) -> Column:

@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from .ids import clean
 
-#: Words by which a trial's stop reason is classed, in order of precedence.
-STOP_WORDS = (
-    ("safety", "safety|toxic|adverse|side effect"),
-    ("business", "business|sponsor|funding|financ|strateg"),
-    ("efficacy", "efficacy|futility|lack of effect|ineffective"),
+#: Terms of a stop reason and the class they give, in order of precedence.
+STOP_TERMS = (
+    ("safety_failure_or_harm", ("safety", "adverse", "toxicity", "toxic", "death", "mortality", "harm")),
+    ("terminated_business_funding_or_feasibility", ("business", "commercial", "strategic", "portfolio", "sponsor", "funding", "financial", "resource", "administrative", "recruitment", "enrollment", "accrual", "slow", "feasibility")),
+    ("failed_efficacy_or_endpoint", ("efficacy", "futility", "lack of effect", "lack of efficacy", "ineffective", "not effective", "no benefit", "endpoint", "primary endpoint", "failed")),
 )
 #: States of a trial without a classed reason.
-TRIAL_STATES = (("terminated", "terminated"), ("withdrawn", "withdrawn"), ("active", "active|recruiting|enrolling"), ("completed", "completed"))
+TRIAL_STATES = (
+    ("terminated_unknown_reason", ("TERMINATED", "SUSPENDED")),
+    ("withdrawn_unknown_reason", ("WITHDRAWN",)),
+    ("active_or_recruiting_unknown_outcome", ("RECRUITING", "ENROLLING_BY_INVITATION", "NOT_YET_RECRUITING", "ACTIVE_NOT_RECRUITING")),
+    ("completed_outcome_unknown", ("COMPLETED",)),
+)
 #: IUPAC nucleotide letters and their complements.
 IUPAC, COMPLEMENT = "ACGTURYSWKMBDHVN", "TGCAAYRSWMKVHDBN"
 
@@ -34,9 +39,17 @@ def nct_ids(c: Column) -> Column:
 
 
 def trial_class(state: Column, reason: Column) -> Column:
-    s, r = F.lower(F.coalesce(state, F.lit(""))), F.lower(F.coalesce(reason, F.lit("")))
-    rules = [(r.rlike(p), n) for n, p in STOP_WORDS] + [(s.rlike(p), n) for n, p in TRIAL_STATES]
-    return reduce(lambda out, rule: out.when(*rule), rules[1:], F.when(*rules[0])).otherwise("unknown")
+    """Trajectory of a trial by terms in its stop reason, else by its state."""
+    s = F.translate(F.upper(F.trim(F.coalesce(state, F.lit("")))), " ", "_")
+    r = F.lower(F.trim(F.coalesce(reason, F.lit(""))))
+    rules = [(r.rlike("|".join(terms)), n) for n, terms in STOP_TERMS] + [(s.isin(*states), n) for n, states in TRIAL_STATES]
+    return reduce(lambda out, rule: out.when(*rule), rules[1:], F.when(*rules[0])).otherwise("unknown_trial_trajectory")
+
+
+def doi(c: Column) -> Column:
+    """A DOI in lower case without resolver or prefix, or null."""
+    found = F.regexp_extract(F.lower(F.trim(c)), r"(10\.[0-9]{4,9}/\S+)$", 1)
+    return F.when(found != "", found)
 
 
 def record_id(*parts: Column) -> Column:

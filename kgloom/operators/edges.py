@@ -14,28 +14,58 @@ def ordered_distinct(value: str, pos: str, sep: str = ",") -> Column:
     return F.array_join(F.array_distinct(F.transform(rows, lambda r: r[value])), sep)
 
 
+EVIDENCE_COLUMNS = ("paper_id", "author_group_key", "raw_score", "datatype")
+#: Sources whose edges are established, and datatypes whose score counts.
+CURATED_SOURCES = ("drugbank", "chembl_indication", "chembl_moa", "reactome", "go", "mondo", "hpo")
+SCORED_DATATYPES = ("genetic_association", "animal_model", "known_drug", "clinical_trial")
+
+
 def merge_edges(df: DataFrame, pos: str = "pos") -> DataFrame:
     """One row for each edge: its sources in first-seen order and its highest credibility."""
     firsts = df.groupBy(*KEY, "source").agg(F.min(pos).alias(pos), F.max("credibility").alias("credibility"))  # bounded lists below
     return firsts.groupBy(*KEY).agg(ordered_distinct("source", pos).alias("source"), F.max("credibility").alias("credibility"))
 
 
+def dedup_edges(df: DataFrame, pos: str = "pos") -> DataFrame:
+    """One row for each edge: other columns from its first row by `pos`, sources in first-seen order.
+
+    Credibility is scored from the evidence where the table has evidence columns; without them it
+    is the highest, or that of the first row where the whole table has one source.
+    """
+    extra = [c for c in df.columns if c not in (*KEY, "source", "credibility", pos)]
+    first = df.groupBy(*KEY).agg(F.min_by(F.struct("credibility", *extra), pos).alias("f"), F.max("credibility").alias("highest"))
+    sources = df.groupBy(*KEY, "source").agg(F.min(pos).alias(pos)).groupBy(*KEY).agg(ordered_distinct("source", pos).alias("source"))
+    out = first.join(sources, list(KEY), "left")
+    if set(EVIDENCE_COLUMNS) & set(df.columns):
+        missing = {c: F.lit(None).cast("double" if c == "raw_score" else "string") for c in EVIDENCE_COLUMNS if c not in df.columns}
+        scored = score_credibility(df.withColumns(missing) if missing else df, pos=pos)
+        return out.join(scored, list(KEY)).select(*KEY, *[F.col(f"f.{c}") for c in extra], "source", "credibility")
+    single = df.agg(F.count_distinct(F.coalesce("source", F.lit("\0"))).alias("n")).select((F.col("n") == 1).alias("single"), F.lit(1).alias("one"))
+    credibility = F.when(F.col("single"), F.col("f.credibility")).otherwise(F.col("highest")).alias("credibility")
+    return out.withColumn("one", F.lit(1)).join(F.broadcast(single), "one").select(*KEY, *[F.col(f"f.{c}") for c in extra], "source", credibility)  # one row
+
+
 def evidence_summary(df: DataFrame) -> DataFrame:
     return df.groupBy(*KEY).agg(F.count("*").alias("n_evidence"), F.array_join(F.array_sort(F.collect_set("source")), "; ").alias("sources"), F.max("score").alias("best_score"))
 
 
-def score_credibility(evidence: DataFrame, curated: list[str], key: tuple[str, ...] = KEY) -> DataFrame:
-    """3 for a curated source; 2 for two author groups, else papers, else sources, or a score of 0.75; else 1.
+def score_credibility(evidence: DataFrame, curated: tuple[str, ...] = CURATED_SOURCES, key: tuple[str, ...] = KEY, pos: str = "pos") -> DataFrame:
+    """3 for a curated source; 2 for two author groups, else papers, else sources, or for a score of 0.75 of a datatype that counts; else 1.
 
-    The best-scored row of each paper counts; rows without a paper are never merged.
+    Of the rows of one paper the best-scored counts, the first among equals; rows
+    without a paper are never merged.
     """
-    rank = Window.partitionBy(*key, "paper_id").orderBy(F.desc("score"), "pos")
-    best = evidence.withColumn("n", F.row_number().over(rank)).where("n = 1 OR paper_id IS NULL")
+    rows = evidence.withColumn("_paper", F.coalesce(F.nullif(F.trim(F.col("paper_id").cast("string")), F.lit("")), F.concat(F.lit("\0"), F.col(pos).cast("string"))))
+    rank = F.struct((-F.coalesce("raw_score", F.lit(float("-inf")))).alias("s"), F.col(pos).alias("p"))
+    best = rows.groupBy(*key, "_paper").agg(F.min_by(F.struct("source", "author_group_key", "raw_score", "datatype"), rank).alias("b"), F.bool_or(F.col("source").isin(*curated)).alias("curated"))
+    seen = lambda c: F.size(F.collect_set(c))
+    named = F.when(~F.startswith("_paper", F.lit("\0")), F.col("_paper"))
     agg = best.groupBy(*key).agg(
-        F.bool_or(F.col("source").isin(curated)).alias("curated"), F.countDistinct("author_group").alias("groups"), F.countDistinct("paper_id").alias("papers"), F.countDistinct("source").alias("sources"), F.max("score").alias("best")
-    )
+        F.bool_or("curated").alias("curated"), seen(F.nullif(F.col("b.author_group_key").cast("string"), F.lit(""))).alias("groups"), seen(named).alias("papers"), seen("b.source").alias("sources"),
+        F.bool_or((F.col("b.raw_score") >= 0.75) & F.col("b.datatype").isin(*SCORED_DATATYPES)).alias("strong"),
+    )
     spread = F.when(F.col("groups") > 0, F.col("groups")).when(F.col("papers") > 0, F.col("papers")).otherwise(F.col("sources"))
-    return agg.select(*key, F.when(F.col("curated"), 3).when((spread >= 2) | (F.col("best") >= 0.75), 2).otherwise(1).cast("long").alias("credibility"))
+    return agg.select(*key, F.when(F.col("curated"), 3).when((spread >= 2) | F.col("strong"), 2).otherwise(1).cast("long").alias("credibility"))
 
 
 def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -52,6 +82,12 @@ def stubs(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return ends.join(nodes.select("id"), "id", "left_anti")
 
 
+def point_in_interval(points: DataFrame, intervals: DataFrame, key: str, width: int) -> DataFrame:
+    """Points (pos) inside closed intervals (lo, hi) with the same key, by bins of `width`."""
+    binned = intervals.withColumn("bin", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
+    return points.withColumn("bin", F.floor(F.col("pos") / width)).join(binned, [key, "bin"]).where("pos BETWEEN lo AND hi").drop("bin")
+
+
 def remap(edges: DataFrame, mapping: DataFrame, column: str = "y_id") -> tuple[DataFrame, DataFrame]:
     """Edges with `column` mapped (old, new, status), and those without a clear target."""
     joined = edges.join(mapping.withColumnRenamed("old", column), column, "left").withColumn("status", F.coalesce("status", F.lit("unmapped")))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut
+
 
 def compose(ac: DataFrame, cb: DataFrame, name: str) -> DataFrame:
     """Two-hop paths over a common middle: support, and the best of the weaker credibilities."""
@@ -18,14 +22,23 @@ def novel(candidates: DataFrame, observed: DataFrame) -> DataFrame:
     return candidates.join(observed.select("x_id", "y_id").distinct(), ["x_id", "y_id"], "left_anti")
 
 
+def ranged(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt to ranges of the keys, with the number of the range, written once.
+
+    Range bounds are sampled anew each time a plan runs, so sizes and ranks are
+    read from the same written rows.
+    """
+    return cut(rows.repartitionByRange(*keys).withColumn("chunk", F.spark_partition_id()))
+
+
 def dense_index(nodes: DataFrame) -> DataFrame:
     """node_index 0.. within each type by id: ranks within ranges of ids, and the ranges' offsets."""
-    ranged = nodes.select("node_type", "id").distinct().repartitionByRange("node_type", "id").withColumn("chunk", F.spark_partition_id())
-    sizes = ranged.groupBy("node_type", "chunk").count()
+    dealt = ranged(nodes.select("node_type", "id").distinct(), "node_type", "id")
+    sizes = dealt.groupBy("node_type", "chunk").count()
     before = Window.partitionBy("node_type").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
     offsets = sizes.select("node_type", "chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     rank = F.row_number().over(Window.partitionBy("node_type", "chunk").orderBy("id")) - 1
-    return ranged.withColumn("rank", rank).join(F.broadcast(offsets), ["node_type", "chunk"]).select("node_type", "id", (F.col("rank") + F.col("offset")).cast("long").alias("node_index"))
+    return dealt.withColumn("rank", rank).join(F.broadcast(offsets), ["node_type", "chunk"]).select("node_type", "id", (F.col("rank") + F.col("offset")).cast("long").alias("node_index"))
 
 
 def reversed_edges(edges: DataFrame) -> DataFrame:
@@ -44,11 +57,16 @@ def split_key(seed: int, key: Column) -> Column:
 
 
 def split(df: DataFrame, group: str, key: str, seed: int, valid: float, test: float) -> DataFrame:
-    """Exact shares within each group by a seeded hash order."""
-    w = Window.partitionBy(group)
-    n, rank = F.count("*").over(w), F.row_number().over(w.orderBy(split_key(seed, F.col(key)), key))
-    cut = F.floor(n * test), F.floor(n * test) + F.floor(n * valid)
-    return df.withColumn("split", F.when(rank <= cut[0], "test").when(rank <= cut[1], "valid").otherwise("train"))
+    """Exact shares within each group by a seeded hash order; `key` is unique in its group.
+
+    Ranks come range by range, so a group of most of the rows is not one task.
+    """
+    ids = df.select(F.col(group).cast("string").alias("node_type"), F.concat_ws("|", split_key(seed, F.col(key)), F.col(key).cast("string")).alias("id"))
+    place = dense_index(ids).select(F.col("node_type").alias("_group"), F.substring("id", 66, 1 << 20).alias("_key"), (F.col("node_index") + 1).alias("_rank"))
+    sizes = df.groupBy(F.col(group).cast("string").alias("_group")).agg(F.count("*").alias("_n"))
+    a, b = F.floor(F.col("_n") * test), F.floor(F.col("_n") * test) + F.floor(F.col("_n") * valid)
+    joined = df.withColumns({"_group": F.col(group).cast("string"), "_key": F.col(key).cast("string")}).join(place, ["_group", "_key"]).join(F.broadcast(sizes), "_group")
+    return joined.withColumn("split", F.when(F.col("_rank") <= a, "test").when(F.col("_rank") <= b, "valid").otherwise("train")).select(*df.columns, "split")
 
 
 def threshold_metrics(scored: DataFrame, at: float = 0.5) -> DataFrame:
@@ -78,13 +96,50 @@ def dot(a: str, b: str) -> Column:
 
 
 def knn(vectors: DataFrame, query_id: int, k: int) -> DataFrame:
-    """The k vectors of highest cosine with one vector; an unknown id gives no rows."""
+    """The k vectors of highest cosine with one vector; an unknown id is an error."""
     norm = lambda c: F.sqrt(dot(c, c))
     query = vectors.where(F.col("vec_id") == query_id).limit(1).select(F.col("embedding").alias("q"))  # one row
+    if query.isEmpty():
+        raise KeyError(f"no vector {query_id}")
     scored = vectors.where(F.col("vec_id") != query_id).join(F.broadcast(query)).withColumn("cosine", dot("embedding", "q") / (norm("embedding") * norm("q")))
     return scored.select("vec_id", F.round("cosine", 6).alias("cosine")).orderBy(F.desc("cosine"), "vec_id").limit(k)
 
 
+def _top_of_block(k: int):
+    """The k best partners in one block of vectors for each query of the block's query group."""
+
+    def top(table: pa.Table) -> pa.Table:
+        ids = np.array(table["vec_id"].to_pylist(), np.int64)
+        v = np.array(table["embedding"].to_pylist(), np.float64)
+        v /= np.maximum(np.sqrt((v * v).sum(1)), 1e-300)[:, None]
+        asks = np.flatnonzero(np.array(table["is_query"].to_pylist(), bool))
+        rest = np.flatnonzero(~np.array(table["is_query"].to_pylist(), bool))
+        out: list[tuple] = []
+        for q in asks:
+            cos = np.round(v[rest] @ v[q], 6)
+            best = np.lexsort((ids[rest], -cos))
+            best = best[ids[rest][best] != ids[q]][:k]
+            out += zip([ids[q]] * len(best), ids[rest][best].tolist(), cos[best].tolist())
+        return pa.table({"query_id": pa.array([r[0] for r in out], pa.int64()), "vec_id": pa.array([r[1] for r in out], pa.int64()), "cosine": pa.array([r[2] for r in out], pa.float64())})
+
+    return top
+
+
+def knn_all(vectors: DataFrame, queries: Column, k: int, blocks: int = 8, groups: int = 4) -> DataFrame:
+    """The k vectors of highest cosine for every query row, in blocks: each block of vectors meets each group of queries.
+
+    A task holds one block and one group, and sends k rows a query; `blocks` and `groups` bound its memory.
+    """
+    rows = vectors.where("vec_id IS NOT NULL AND size(embedding) > 0").select("vec_id", "embedding")
+    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    base = rows.select("vec_id", "embedding", F.lit(False).alias("is_query"), deal(blocks).alias("block"), every(groups).alias("group"))
+    asks = rows.where(queries).select("vec_id", "embedding", F.lit(True).alias("is_query"), every(blocks).alias("block"), deal(groups).alias("group"))
+    found = base.unionByName(asks).groupBy("block", "group").applyInArrow(_top_of_block(k), "query_id long, vec_id long, cosine double")
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))
+    return found.withColumn("rank", best).where(F.col("rank") <= k)
+
+
 def mean_messages(edges: DataFrame, vectors: DataFrame) -> DataFrame:
     """Mean of source vectors for each target and dimension; edges (src, dst), vectors (id, vector)."""
     long = vectors.select(F.col("id").alias("src"), F.posexplode("vector").alias("dim", "value"))

@@ -19,21 +19,28 @@ def resolve(nodes: DataFrame, text: str, xrefs: tuple[str, ...] = (), limit: int
     return found.withColumn("rank", F.row_number().over(Window.orderBy("match_order", "id"))).drop("match_order")  # `limit` rows at most
 
 
-def alias_search(aliases: DataFrame, text: str, limit: int = 25) -> DataFrame:
-    """Nodes with an alias (id, alias) that is the text (0), starts with it (1) or holds it (2); one alias for each node."""
-    a, t = F.lower("alias"), text.lower()
+def alias_search(aliases: DataFrame, text: str, limit: int = 25, types: list[str] | None = None) -> DataFrame:
+    """Nodes with an alias that is the text (0), starts with it (1) or holds it (2), by score, type and name.
+
+    aliases has id, node_type, name, pos and alias; the first alias of a node (by pos) that matches counts,
+    and `limit` rows come back, with a flag that says whether there are more.
+    """
+    a, t = F.lower("alias"), text.strip().lower()
     score = F.when(a == t, 0).when(a.startswith(t), 1).when(a.contains(t), 2)
-    best = aliases.select("id", a.alias("alias"), score.alias("score")).where("score IS NOT NULL").groupBy("id").agg(F.min(F.struct("score", "alias")).alias("m")).select("id", "m.score", "m.alias")
-    some = best.orderBy("score", "alias", "id").limit(limit + 1)
-    place = Window.orderBy("score", "alias", "id")  # limit + 1 rows at most
+    rows = aliases if types is None else aliases.where(F.col("node_type").isin(types))
+    first = rows.withColumn("score", score).where("score IS NOT NULL").groupBy("node_type", "id").agg(F.min_by(F.struct("score", "alias", "name"), "pos").alias("m")).select("id", "node_type", "m.score", "m.alias", "m.name")
+    order = ["score", "node_type", F.lower("name"), "id"]
+    some = first.orderBy(*order).limit(limit + 1)
+    place = Window.orderBy(*order)  # limit + 1 rows at most
     return some.withColumn("place", F.row_number().over(place)).withColumn("truncated", F.max("place").over(Window.partitionBy()) > limit).where(F.col("place") <= limit)
 
 
 def page(df: DataFrame, keys: list[str], cursor: int, size: int) -> DataFrame:
     """One page in key order, with the total and the cursor of the next page (null after the last)."""
-    total = df.count()
     after = cursor + size
-    return df.orderBy(*keys).offset(cursor).limit(size).withColumns({"total": F.lit(total).cast("long"), "next_cursor": F.lit(after if after < total else None).cast("long")})
+    total = df.agg(F.count("*").alias("total")).withColumn("_one", F.lit(1))  # one row
+    rows = df.orderBy(*keys).offset(cursor).limit(size).withColumn("_one", F.lit(1))
+    return rows.join(F.broadcast(total), "_one").drop("_one").withColumn("next_cursor", F.when(F.lit(after) < F.col("total"), F.lit(after)).cast("long"))
 
 
 def neighbours(edges: DataFrame, node: str) -> DataFrame:
@@ -56,3 +63,8 @@ def shard(df: DataFrame, column: str, value: str, columns: list[str]) -> DataFra
     if own.isEmpty():
         raise ValueError(f"no shard {value!r} of {column}")
     return own.select(columns)
+
+
+def shards(df: DataFrame, column: str) -> DataFrame:
+    """The shards there are, with their rows."""
+    return df.groupBy(column).agg(F.count("*").alias("n_rows"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import cut
-from .graph_ml import dense_index, split_key
+from .graph_ml import dense_index, ranged, split_key
 
 
 def draw(seed: int, *keys) -> Column:
@@ -61,11 +61,11 @@ def corrupt_targets(edges: DataFrame, targets: DataFrame, k: int, seed: int) ->
 
 def cumulative(weights: DataFrame) -> DataFrame:
     """(id, weight) with the half-open range [lo, hi) that each id owns; whole weights, in id order."""
-    ranged = weights.repartitionByRange("id").withColumn("chunk", F.spark_partition_id())
-    sizes = ranged.groupBy("chunk").agg(F.sum("weight").alias("total"))
+    dealt = ranged(weights, "id")
+    sizes = dealt.groupBy("chunk").agg(F.sum("weight").alias("total"))
     offsets = sizes.select("chunk", F.coalesce(F.sum("total").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))  # a row for each partition
     hi = F.sum("weight").over(Window.partitionBy("chunk").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)) + F.col("offset")
-    return ranged.join(F.broadcast(offsets), "chunk").select("id", (hi - F.col("weight")).alias("lo"), hi.alias("hi"))
+    return dealt.join(F.broadcast(offsets), "chunk").select("id", (hi - F.col("weight")).alias("lo"), hi.alias("hi"))
 
 
 def weighted_targets(edges: DataFrame, k: int, seed: int, power: float = 0.75) -> DataFrame:
@@ -91,16 +91,17 @@ def k_hop(edges: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
     return seen
 
 
-def descendants(parents: DataFrame, roots: DataFrame, most: int = 20) -> DataFrame:
+def descendants(parents: DataFrame, roots: DataFrame) -> DataFrame:
     """Everything below the roots (id) by (child, parent), with its depth; rounds go on until none is new."""
     seen = fresh = cut(roots.select("id", F.lit(0).alias("depth")).distinct())
-    for depth in range(1, most + 1):
+    depth = 0
+    while True:
+        depth += 1
         found = fresh.select(F.col("id").alias("parent")).join(parents, "parent").select(F.col("child").alias("id")).distinct()
         fresh = cut(found.join(seen, "id", "left_anti").withColumn("depth", F.lit(depth)))
         if fresh.isEmpty():
-            break
+            return seen
         seen = cut(seen.unionByName(fresh))
-    return seen
 
 
 def walk(edges: DataFrame, walks: int, length: int, seed: int) -> DataFrame:

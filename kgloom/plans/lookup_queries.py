@@ -20,11 +20,12 @@ def q_resolve_entity(spark: SparkSession, d: str) -> DataFrame:
     return L.resolve(parts, "Brand#2", ("brand",)).select("id", "name", "match_kind", "rank")
 
 
-@query("WITH a AS (SELECT 'part:' || p_partkey AS id, unnest(list_prepend(lower(p_name), string_split(lower(p_name), ' '))) AS alias FROM part), s AS (SELECT *, CASE WHEN alias = 're' THEN 0 WHEN starts_with(alias, 're') THEN 1 WHEN contains(alias, 're') THEN 2 END AS score FROM a), m AS (SELECT * FROM s WHERE score IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY score, alias) = 1) SELECT id, score, alias, row_number() OVER (ORDER BY score, alias, id) AS place, (SELECT count(*) > 25 FROM m) AS truncated FROM m QUALIFY place <= 25")
+@query("WITH a AS (SELECT 'part:' || p_partkey AS id, 'part' AS node_type, p_name AS name, unnest(list_concat(['part:' || p_partkey, p_name], string_split(p_name, ' '))) AS alias, unnest(range(2 + len(string_split(p_name, ' ')))) AS pos FROM part UNION ALL SELECT 'supplier:' || s_suppkey, 'supplier', s_name, unnest(['supplier:' || s_suppkey, s_name]), unnest([0, 1]) FROM supplier), s AS (SELECT *, CASE WHEN lower(alias) = 're' THEN 0 WHEN starts_with(lower(alias), 're') THEN 1 WHEN contains(lower(alias), 're') THEN 2 END AS score FROM a), m AS (SELECT * FROM s WHERE score IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY pos) = 1), r AS (SELECT id, node_type, score, alias, name, row_number() OVER (ORDER BY score, node_type, lower(name), id) AS place, count(*) OVER () > 25 AS truncated FROM m) SELECT * FROM r WHERE place <= 25")
 def q_alias_search(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part")
-    names = F.explode(F.concat(F.array("p_name"), F.split("p_name", " ")))
-    return L.alias_search(p.select(node_id("part", F.col("p_partkey")).alias("id"), names.alias("alias")), "re")
+    p, s = table(spark, d, "part"), table(spark, d, "supplier")
+    part = p.select(node_id("part", F.col("p_partkey")).alias("id"), F.lit("part").alias("node_type"), F.col("p_name").alias("name"), F.posexplode(F.concat(F.array(node_id("part", F.col("p_partkey")), "p_name"), F.split("p_name", " "))).alias("pos", "alias"))
+    supplier = s.select(node_id("supplier", F.col("s_suppkey")).alias("id"), F.lit("supplier").alias("node_type"), F.col("s_name").alias("name"), F.posexplode(F.array(node_id("supplier", F.col("s_suppkey")), "s_name")).alias("pos", "alias"))
+    return L.alias_search(part.unionByName(supplier), "re")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, (SELECT count(*) FROM lineitem WHERE l_suppkey = 1) AS total, CASE WHEN (SELECT count(*) FROM lineitem WHERE l_suppkey = 1) > 20 THEN 20 END::BIGINT AS next_cursor FROM lineitem WHERE l_suppkey = 1 ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity LIMIT 10 OFFSET 10")

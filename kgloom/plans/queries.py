@@ -51,11 +51,42 @@ def q_neighbours_with_evidence(spark: SparkSession, d: str) -> DataFrame:
     return found.join(names, "x_id").join(parts, "y_id", "left").select(F.col("x_id").alias("supplier_id"), "supplier_name", "nation", F.col("y_id").alias("part_id"), "part_name", "n_evidence", "sources")
 
 
-@query(f"WITH {_SUPPLIES}, p AS (SELECT *, l_orderkey % 97 AS paper_id, l_suppkey % 7 AS author_group, score * 10 AS sc FROM s), b AS (SELECT *, row_number() OVER (PARTITION BY x_id, y_id, relation, paper_id ORDER BY sc DESC, pos) AS n FROM p), g AS (SELECT x_id, y_id, relation, bool_or(source = 'A') AS curated, count(DISTINCT author_group) AS ag, max(sc) AS best FROM b WHERE n = 1 GROUP BY x_id, y_id, relation) SELECT x_id, y_id, relation, CASE WHEN curated THEN 3 WHEN ag >= 2 OR best >= 0.75 THEN 2 ELSE 1 END AS credibility FROM g")
-def q_edge_dedup_credibility(spark: SparkSession, d: str) -> DataFrame:
+_PAPERS = """p AS (SELECT x_id, y_id, relation, source, pos, CASE WHEN l_orderkey % 5 > 0 THEN (l_orderkey % 97)::VARCHAR END AS paper, CASE WHEN l_orderkey % 3 = 0 THEN (l_suppkey % 7)::VARCHAR END AS grp,
+  CASE WHEN l_orderkey % 11 > 0 THEN score * 10 END AS sc, CASE l_orderkey % 4 WHEN 0 THEN 'known_drug' WHEN 1 THEN 'animal_model' WHEN 2 THEN 'literature' END AS dt, CASE WHEN l_orderkey % 13 = 0 THEN 'reactome' ELSE source END AS src FROM s)"""
+_CREDIBILITY = """b AS (SELECT *, row_number() OVER (PARTITION BY x_id, y_id, relation, coalesce(paper, '~' || pos) ORDER BY coalesce(sc, -1e300) DESC, pos) AS n FROM p),
+  g AS (SELECT x_id, y_id, relation, bool_or(src IN ('drugbank', 'chembl_indication', 'chembl_moa', 'reactome', 'go', 'mondo', 'hpo')) AS curated, count(DISTINCT grp) FILTER (n = 1) AS groups, count(DISTINCT paper) FILTER (n = 1) AS papers,
+    count(DISTINCT src) FILTER (n = 1) AS sources, coalesce(bool_or(sc >= 0.75 AND dt IN ('genetic_association', 'animal_model', 'known_drug', 'clinical_trial')) FILTER (n = 1), false) AS strong FROM b GROUP BY ALL),
+  k AS (SELECT x_id, y_id, relation, CASE WHEN curated THEN 3 WHEN (CASE WHEN groups > 0 THEN groups WHEN papers > 0 THEN papers ELSE sources END) >= 2 OR strong THEN 2 ELSE 1 END::BIGINT AS credibility FROM g)"""
+
+
+def _papers(spark: SparkSession, d: str) -> DataFrame:
     order, supplier = F.floor(F.col("pos") / 10), F.split_part("x_id", F.lit(":"), F.lit(2)).cast("long")
-    rows = supplies(spark, d).withColumns({"paper_id": order % 97, "author_group": supplier % 7, "score": F.col("score") * 10})
-    return E.score_credibility(rows, ["A"])
+    kind = order % 4
+    datatype = F.when(kind == 0, "known_drug").when(kind == 1, "animal_model").when(kind == 2, "literature")
+    return supplies(spark, d).withColumns({
+        "paper_id": F.when(order % 5 > 0, (order % 97).cast("string")), "author_group_key": F.when(order % 3 == 0, (supplier % 7).cast("string")), "raw_score": F.when(order % 11 > 0, F.col("score") * 10),
+        "datatype": datatype, "source": F.when(order % 13 == 0, "reactome").otherwise(F.col("source")),
+    })
+
+
+@query(f"WITH {_SUPPLIES}, {_PAPERS}, {_CREDIBILITY} SELECT * FROM k")
+def q_edge_dedup_credibility(spark: SparkSession, d: str) -> DataFrame:
+    return E.score_credibility(_papers(spark, d))
+
+
+@query(f"WITH {_SUPPLIES}, {_PAPERS}, {_CREDIBILITY}, f AS (SELECT x_id, y_id, relation, src, min(pos) AS pos FROM p GROUP BY ALL), t AS (SELECT x_id, y_id, relation, string_agg(src, ',' ORDER BY pos) AS source FROM f GROUP BY ALL), o AS (SELECT x_id, y_id, relation, arg_min(struct_pack(score, paper), pos) AS one FROM (SELECT p.*, s.score FROM p JOIN s USING (x_id, y_id, relation, pos)) GROUP BY ALL) SELECT x_id, y_id, relation, source, credibility, one.score AS score, one.paper AS paper_id FROM k JOIN t USING (x_id, y_id, relation) JOIN o USING (x_id, y_id, relation)")
+def q_edge_dedup_evidence(spark: SparkSession, d: str) -> DataFrame:
+    return E.dedup_edges(_papers(spark, d)).select("x_id", "y_id", "relation", "source", "credibility", "score", "paper_id")
+
+
+@query(f"WITH {_SUPPLIES} SELECT x_id, y_id, relation, 'R' AS source, arg_min(credibility, pos)::BIGINT AS credibility, arg_min(score, pos) AS score FROM s WHERE source = 'R' GROUP BY ALL")
+def q_edge_dedup_single_source(spark: SparkSession, d: str) -> DataFrame:
+    return E.dedup_edges(supplies(spark, d).where("source = 'R'")).select("x_id", "y_id", "relation", "source", "credibility", "score")
+
+
+@query(f"WITH {_SUPPLIES}, f AS (SELECT x_id, y_id, relation, source, min(pos) AS pos FROM s GROUP BY ALL), t AS (SELECT x_id, y_id, relation, string_agg(source, ',' ORDER BY pos) AS source FROM f GROUP BY ALL), o AS (SELECT x_id, y_id, relation, max(credibility)::BIGINT AS credibility, arg_min(score, pos) AS score FROM s GROUP BY ALL) SELECT * FROM t JOIN o USING (x_id, y_id, relation)")
+def q_edge_dedup_many_sources(spark: SparkSession, d: str) -> DataFrame:
+    return E.dedup_edges(supplies(spark, d)).select("x_id", "y_id", "relation", "source", "credibility", "score")
 
 
 @query(f"WITH {_BUSINESS}, {_NODES} SELECT relation, count(*) AS n_edges, count(*) FILTER (x.id IS NULL OR y.id IS NULL) AS n_dangling FROM e LEFT JOIN v x ON x.id = x_id LEFT JOIN v y ON y.id = y_id GROUP BY relation")
@@ -63,10 +94,10 @@ def q_dangling_edges(spark: SparkSession, d: str) -> DataFrame:
     return E.dangling(business_edges(spark, d), nodes(spark, d))
 
 
-@query(f"WITH {_BUSINESS} SELECT DISTINCT id, node_type FROM (SELECT x_id AS id, x_type AS node_type FROM e UNION SELECT y_id, y_type FROM e) WHERE id NOT IN (SELECT 'customer:' || c_custkey FROM customer WHERE c_acctbal >= 0) AND node_type = 'customer'")
+@query(f"WITH {_BUSINESS} SELECT DISTINCT id, node_type FROM (SELECT x_id AS id, x_type AS node_type FROM e UNION SELECT y_id, y_type FROM e) WHERE id NOT IN (SELECT 'customer:' || c_custkey FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT 'part:' || p_partkey FROM part WHERE p_size > 10)")
 def q_stub_nodes(spark: SparkSession, d: str) -> DataFrame:
-    known = table(spark, d, "customer").where("c_acctbal >= 0").select(F.concat(F.lit("customer:"), "c_custkey").alias("id"))
-    return E.stubs(business_edges(spark, d), known).where("node_type = 'customer'")
+    known = table(spark, d, "customer").where("c_acctbal >= 0").select(F.concat(F.lit("customer:"), "c_custkey").alias("id")).union(table(spark, d, "part").where("p_size > 10").select(F.concat(F.lit("part:"), "p_partkey")))
+    return E.stubs(business_edges(spark, d), known)
 
 
 @query("SELECT o.o_orderpriority AS grp, count(*) AS n_edges, count(*) FILTER (l.l_orderkey IS NULL) AS without_evidence FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) l ON l.l_orderkey = o.o_orderkey GROUP BY 1")
@@ -75,17 +106,30 @@ def q_edge_evidence_audit(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").join(held, "o_orderkey", "left").groupBy(F.col("o_orderpriority").alias("grp")).agg(F.count("*").alias("n_edges"), F.count_if(F.col("held").isNull()).alias("without_evidence"))
 
 
-@query(f"WITH {_NODES} SELECT node_type, split_part(id, ':', 1) AS label, count(*) AS n FROM v GROUP BY ALL UNION ALL SELECT 'event', 'numeric', count(*) FROM events")
+#: Id shapes by a number's remainder, one for each label and some that just miss one.
+_SHAPES = ("'' || ''", "'  '", "'PMID:' || k", "'CHEMBL' || k", "'DB0' || k", "'DBx' || k", "'CVCL_' || k", "'EH38E' || k", "'R-HSA-' || k", "'rs' || k", "'rsx' || k", "'chr1_' || k || '_A_T'", "'X:' || k || ':ac:g'", "'EFO_' || k", "'GSSO_' || k", "'ABC_' || k", "'ENSG0' || k", "'ENST0' || k", "'ENSP0' || k", "'MONDO:' || k", "' HP:' || k", "'' || k", "'part-' || k")
+_SHAPED = "r AS (SELECT l_orderkey AS k, l_returnflag AS node_type, CASE l_orderkey % 23 " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_SHAPES)) + " END AS id FROM lineitem)"
+_LABEL = r"""CASE WHEN id = '' THEN '<blank>' WHEN id LIKE 'PMID:%' THEN 'PMID' WHEN id LIKE 'CHEMBL%' THEN 'ChEMBL' WHEN regexp_full_match(id, 'DB[0-9]+') THEN 'DrugBank' WHEN starts_with(id, 'CVCL_') THEN 'Cellosaurus'
+  WHEN id LIKE 'EH38E%' THEN 'ENCODE' WHEN id LIKE 'R-HSA-%' THEN 'Reactome' WHEN regexp_full_match(id, 'rs[0-9]+') THEN 'dbSNP' WHEN regexp_full_match(lower(id), '(chr)?[0-9xym]+[_:-][0-9]+[_:-][acgtn]+[_:-][acgtn]+') THEN 'gnomAD-like'
+  WHEN regexp_matches(id, '^(EFO|DOID|CL|HP|GO|MONDO|UBERON|OBA|NCIT|GSSO|MP)_') THEN split_part(id, '_', 1) || '_underscore' WHEN id LIKE 'ENSG%' THEN 'Ensembl Gene' WHEN id LIKE 'ENST%' THEN 'Ensembl Transcript' WHEN id LIKE 'ENSP%' THEN 'Ensembl Protein'
+  WHEN contains(id, ':') THEN split_part(id, ':', 1) WHEN regexp_full_match(id, '[0-9]+') THEN 'numeric' ELSE 'unprefixed' END"""
+
+
+@query(f"WITH {_SHAPED}, t AS (SELECT k, node_type, trim(id) AS id FROM r) SELECT node_type, {_LABEL} AS label, count(*) AS n, min(k) AS sample FROM t GROUP BY ALL")
 def q_namespace_coverage(spark: SparkSession, d: str) -> DataFrame:
-    events = table(spark, d, "events").select(F.col("event_id").cast("string").alias("id"), F.lit("event").alias("node_type"))
-    return nodes(spark, d).unionByName(events).groupBy("node_type", ids.namespace(F.col("id")).alias("label")).agg(F.count("*").alias("n"))
+    k = F.col("l_orderkey")
+    shape = F.expr("CASE l_orderkey % 23 " + " ".join(f"WHEN {i} THEN {x.replace(' k', ' l_orderkey')}" for i, x in enumerate(_SHAPES)) + " END")
+    return table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("node_type"), ids.namespace(shape).alias("label")).agg(F.count("*").alias("n"), F.min(k).alias("sample"))
+
+
+_RAW = "' EFO_', 'MONDO_', 'HP_', 'OBA_', 'GO_', 'MP_ ', 'NCIT_', 'GSSO_', 'DOID_', 'CL_', 'UBERON_', 'Orphanet_', 'CHEBI_', 'BTO_', 'OTAR_', 'EFO:', 'x EFO_', 'efo_', 'nan', 'None', ' <NA> ', ''"
 
 
-@query("WITH r AS (SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'EFO_' WHEN 1 THEN ' MONDO_' WHEN 2 THEN 'XX_' ELSE 'HP:' END || p_partkey AS raw FROM part) SELECT p_partkey, raw, regexp_replace(trim(raw), '^(EFO|MONDO)_([A-Za-z0-9]+)$', '\\1:\\2') AS curie FROM r")
+@query(f"WITH r AS (SELECT l_orderkey, l_linenumber, [{_RAW}][1 + l_orderkey % 22] AS p FROM lineitem), t AS (SELECT l_orderkey, l_linenumber, p || CASE WHEN l_orderkey % 22 >= 18 THEN '' ELSE l_orderkey::VARCHAR END AS raw FROM r) SELECT l_orderkey, l_linenumber, raw, CASE WHEN lower(trim(raw)) IN ('', 'nan', 'none', 'null', '<na>') THEN NULL ELSE regexp_replace(trim(raw), '^(EFO|MONDO|HP|OBA|GO|MP|NCIT|GSSO|DOID|CL|UBERON|Orphanet)_([A-Za-z0-9]+)$', '\\1:\\2') END AS curie FROM t")
 def q_curie_normalise(spark: SparkSession, d: str) -> DataFrame:
-    kind = F.col("p_size") % 4
-    raw = F.concat(F.when(kind == 0, "EFO_").when(kind == 1, " MONDO_").when(kind == 2, "XX_").otherwise("HP:"), F.col("p_partkey"))
-    return table(spark, d, "part").select("p_partkey", raw.alias("raw")).withColumn("curie", ids.normalize_curie(F.col("raw")))
+    k = F.col("l_orderkey") % 22
+    raw = F.concat(F.expr(f"array({_RAW})")[k.cast("int")], F.when(k >= 18, "").otherwise(F.col("l_orderkey").cast("string")))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", raw.alias("raw")).withColumn("curie", ids.normalize_curie(F.col("raw")))
 
 
 _MAP = "m AS (SELECT 'part:' || p_partkey AS old, 'part:' || (p_partkey - p_partkey % 2) AS new, CASE p_size % 10 WHEN 0 THEN 'ambiguous' WHEN 1 THEN 'retired' ELSE 'mapped' END AS status FROM part)"
@@ -198,9 +242,9 @@ def q_rank_metrics(spark: SparkSession, d: str) -> DataFrame:
     return G.ranking_metrics(scored, "l_suppkey", 10)
 
 
-@query("SELECT b.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine FROM embeddings a, embeddings b WHERE a.vec_id = 0 AND b.vec_id <> 0 ORDER BY list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id LIMIT 10")
+@query("SELECT query_id, vec_id, cosine, rank FROM (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) DESC, b.vec_id) AS rank FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE rank <= 10")
 def q_knn_cosine(spark: SparkSession, d: str) -> DataFrame:
-    return G.knn(table(spark, d, "embeddings"), 0, 10)
+    return G.knn_all(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, 10)
 
 
 @query("WITH l AS (SELECT vec_id AS src, label AS dst, unnest(embedding) AS value, unnest(range(len(embedding))) AS dim FROM embeddings) SELECT dst, dim, round(avg(value::DOUBLE), 6) AS value FROM l WHERE dst IS NOT NULL GROUP BY ALL")

@@ -103,21 +103,30 @@ def q_distmult(spark: SparkSession, d: str) -> DataFrame:
     return G.distmult(pairs, "a", "b", "r").select("u", "v", F.round("score", 5).alias("score"), F.round("probability", 5).alias("probability"))
 
 
-@query("WITH l AS (SELECT DISTINCT s_nationkey AS n FROM supplier WHERE s_nationkey < 3), t AS (SELECT DISTINCT p_partkey AS part, n FROM part, l), k AS (SELECT l_partkey AS part, s_nationkey AS n, bool_or(l_linestatus = 'O') AS test FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL) SELECT part, n AS nation, CASE WHEN test THEN 1 WHEN test IS NOT NULL THEN -1 ELSE 0 END AS label FROM t LEFT JOIN k USING (part, n)")
+@query("WITH l AS (SELECT DISTINCT s_nationkey AS n FROM supplier), t AS (SELECT DISTINCT p_partkey AS part, n FROM part, l), k AS (SELECT l_partkey AS part, s_nationkey AS n, bool_or(l_linestatus = 'O') AS test FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL) SELECT part, n AS nation, CASE WHEN test THEN 1 WHEN test IS NOT NULL THEN -1 ELSE 0 END AS label FROM t LEFT JOIN k USING (part, n)")
 def q_evaluation_pairs(spark: SparkSession, d: str) -> DataFrame:
-    listed = [r.n for r in table(spark, d, "supplier").where("s_nationkey < 3").select(F.col("s_nationkey").alias("n")).distinct().orderBy("n").collect()]  # the listed entities, three at most
-    pairs = table(spark, d, "part").select(F.col("p_partkey").alias("part"), F.explode(F.array(*map(F.lit, listed)).cast("array<int>")).alias("nation")).distinct()
+    listed = table(spark, d, "supplier").agg(F.collect_set("s_nationkey").alias("listed")).withColumn("one", F.lit(1))  # one row: the listed entities, 25 at most
+    parts = table(spark, d, "part").select(F.col("p_partkey").alias("part"), F.lit(1).alias("one")).distinct()
+    pairs = parts.join(F.broadcast(listed), "one").select("part", F.explode("listed").alias("nation"))
     seen = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).groupBy(F.col("l_partkey").alias("part"), F.col("s_nationkey").alias("nation")).agg(F.bool_or(F.col("l_linestatus") == "O").alias("test"))
     return pairs.join(seen, ["part", "nation"], "left").select("part", "nation", F.when(F.col("test"), 1).when(F.col("test").isNotNull(), -1).otherwise(0).alias("label"))
 
 
-@query("SELECT o_orderkey, sha256(concat_ws('|', o_orderkey, o_custkey, o_orderstatus)) AS record_id, CASE WHEN o_orderpriority LIKE '%URGENT%' THEN 'efficacy' WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'active' ELSE 'unknown' END AS trial, [o_orderkey::VARCHAR, (o_orderkey + 1)::VARCHAR] AS pmids FROM orders")
+_STATES = ("Completed", "Terminated", "Suspended", "Withdrawn", "Recruiting", "Active, not recruiting", "active not recruiting", "Enrolling by invitation", "Unknown status")
+_REASONS = ("", "Serious adverse events", "Sponsor decision", "slow accrual", "Lack of effect", "did not meet Primary Endpoint", "moved abroad")
+_TRIAL = """CASE WHEN regexp_matches(r, 'safety|adverse|toxicity|toxic|death|mortality|harm') THEN 'safety_failure_or_harm'
+  WHEN regexp_matches(r, 'business|commercial|strategic|portfolio|sponsor|funding|financial|resource|administrative|recruitment|enrollment|accrual|slow|feasibility') THEN 'terminated_business_funding_or_feasibility'
+  WHEN regexp_matches(r, 'efficacy|futility|lack of effect|lack of efficacy|ineffective|not effective|no benefit|endpoint|failed') THEN 'failed_efficacy_or_endpoint'
+  WHEN s IN ('TERMINATED', 'SUSPENDED') THEN 'terminated_unknown_reason' WHEN s = 'WITHDRAWN' THEN 'withdrawn_unknown_reason'
+  WHEN s IN ('RECRUITING', 'ENROLLING_BY_INVITATION', 'NOT_YET_RECRUITING', 'ACTIVE_NOT_RECRUITING') THEN 'active_or_recruiting_unknown_outcome' WHEN s = 'COMPLETED' THEN 'completed_outcome_unknown' ELSE 'unknown_trial_trajectory' END"""
+
+
+@query(f"WITH o AS (SELECT *, upper(replace({list(_STATES)}[1 + o_orderkey % 9], ' ', '_')) AS s, lower({list(_REASONS)}[1 + o_custkey % 7]) AS r FROM orders) SELECT o_orderkey, sha256(concat_ws('|', o_orderkey, o_custkey, o_orderstatus)) AS record_id, {_TRIAL} AS trial, [o_orderkey::VARCHAR, (o_orderkey + 1)::VARCHAR] AS pmids, '10.1000/ab.' || o_orderkey AS doi FROM o")
 def q_record_fields(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
-    state = F.when(F.col("o_orderstatus") == "F", "Completed").when(F.col("o_orderstatus") == "O", "Recruiting")
-    reason = F.when(F.col("o_orderpriority").contains("URGENT"), "Lack of effect")
+    o, pick = table(spark, d, "orders"), lambda xs, k: F.array(*map(F.lit, xs))[(F.col(k) % len(xs)).cast("int")]
     tokens = F.concat(F.lit("pubmed:"), "o_orderkey", F.lit("|doi:10.1|PMID: "), F.col("o_orderkey") + 1, F.lit("|pubmed:"), "o_orderkey")
-    return o.select("o_orderkey", text.record_id(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")).alias("record_id"), text.trial_class(state, reason).alias("trial"), text.pubmed_ids(tokens).alias("pmids"))
+    doi = text.doi(F.concat(F.lit(" https://doi.org/10.1000/AB."), "o_orderkey"))
+    return o.select("o_orderkey", text.record_id(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")).alias("record_id"), text.trial_class(pick(_STATES, "o_orderkey"), pick(_REASONS, "o_custkey")).alias("trial"), text.pubmed_ids(tokens).alias("pmids"), doi.alias("doi"))
 
 
 @query("SELECT event_id, (props->>'$.k')::BIGINT AS k, CASE WHEN (props->>'$.k')::DOUBLE <= 50 THEN 1 WHEN (props->>'$.k')::DOUBLE <= 90 THEN 2 ELSE 3 END::BIGINT AS credibility FROM events")

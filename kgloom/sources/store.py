@@ -12,11 +12,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.edges import KEY, merge_edges
+from ..functions.schema import NODE_TYPES, relation, xref_columns
+from ..operators.edges import dedup_edges
 
 EDGE_COLUMNS = ("x_id", "x_type", "y_id", "y_type", "relation", "display_relation", "source")
-EVIDENCE_KEY = ("edge_key", "evidence_type", "source", "source_dataset", "source_record_id", "paper_id", "dataset_id", "study_id", "predicate", "text_span", "section")
-EVIDENCE_TEXT = (*EVIDENCE_KEY, "relation", "x_id", "x_type", "y_id", "y_type", "direction", "confidence_interval", "extraction_method", "license", "release", "created_at")
+#: What identifies an evidence row, what it must have, and its other texts.
+EVIDENCE_KEY = ("relation", "x_id", "y_id", "evidence_type", "source", "source_dataset", "source_record_id", "paper_id", "dataset_id", "study_id", "predicate")
+EVIDENCE_REQUIRED = ("relation", "x_id", "x_type", "y_id", "y_type", "evidence_type", "source", "source_dataset", "source_record_id")
+EVIDENCE_TEXT = (
+    "edge_key", "relation", "x_id", "x_type", "y_id", "y_type", "evidence_type", "source", "source_dataset", "source_record_id", "paper_id", "dataset_id", "study_id",
+    "direction", "confidence_interval", "predicate", "text_span", "section", "extraction_method", "license", "release", "created_at",
+)
 EVIDENCE_NUMBERS = ("evidence_score", "effect_size", "p_value")
 
 
@@ -79,21 +85,33 @@ class KGRoot:
         """One node for each id: the last by batch and `_pos` (where absent, an order by content)."""
         if "id" not in df.columns:
             raise ValueError("nodes need an id")
+        if name in NODE_TYPES:
+            if missing := [c for c in xref_columns(name) if c not in df.columns]:
+                raise ValueError(f"nodes/{name} lack {missing}")
+            df = df.withColumns({c: F.col(c).cast("string") for c in ("id", *xref_columns(name))})
         kept = last_of(self._with_old(df.drop("node_type"), "nodes", name, append), ["id"], "_batch", "_pos")
         self._swap(kept.drop("_batch", "_pos"), "nodes", name)
 
     def write_edges(self, name: str, df: DataFrame, append: bool = False) -> None:
-        """One edge for each key: the first row, all sources in first-seen order, the highest credibility."""
+        """One edge for each key, as `dedup_edges` makes it."""
         if missing := [c for c in (*EDGE_COLUMNS, "credibility") if c not in df.columns]:
             raise ValueError(f"edges lack {missing}")
         rows = self._with_old(df, "edges", name, append).withColumn("pos", F.struct("_batch", "_pos"))
-        extra = [c for c in rows.columns if c not in (*KEY, "source", "credibility", "pos", "_batch", "_pos")]
-        firsts = rows.groupBy(*KEY).agg(F.min_by(F.struct(*extra), "pos").alias("f")).select(*KEY, "f.*")
-        self._swap(firsts.join(merge_edges(rows), list(KEY)), "edges", name)
+        self._swap(dedup_edges(rows.drop("_batch", "_pos")), "edges", name)
 
     def write_evidence(self, name: str, df: DataFrame, append: bool = False) -> None:
-        """All 25 columns, texts never null, edge key recomputed; the last row of each evidence key stays."""
+        """All 25 columns, texts never null, edge key recomputed; the last row of each evidence key stays.
+
+        A missing required column, an unknown relation, rows of another relation or
+        ends of other types than the relation's are errors.
+        """
         have = set(df.columns)
+        if missing := [c for c in EVIDENCE_REQUIRED if c not in have]:
+            raise ValueError(f"evidence/{name} lacks {missing}")
+        spec = relation(name)
+        bad = df.agg(F.count_if(F.col("relation") != name).alias("relation"), F.count_if(F.col("x_type") != spec.source).alias("x_type"), F.count_if(F.col("y_type") != spec.target).alias("y_type")).first()
+        if wrong := [c for c, n in bad.asDict().items() if n]:
+            raise ValueError(f"evidence/{name} has rows with another {wrong}")
         texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in have else F.lit("") for c in EVIDENCE_TEXT}
         numbers = {c: F.col(c).cast("double") if c in have else F.lit(None).cast("double") for c in EVIDENCE_NUMBERS}
         texts["edge_key"] = F.concat_ws("|", texts["relation"], texts["x_id"], texts["y_id"])

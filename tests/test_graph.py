@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-@pytest.mark.parametrize("name", ["q_edge_dedup_merge", "q_dangling_edges", "q_interval_overlap", "q_rank_metrics", "q_split_random", "q_index_nodes"])
+@pytest.mark.parametrize("name", [n for n, f in Q.QUERIES.items() if f.__module__ == Q.__name__])
 def test_matches_sql(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -26,14 +26,35 @@ def test_matches_sql(spark, name):
 
 
 def test_curie(spark):
-    rows = spark.createDataFrame([(" EFO_1 ",), ("nan",), ("HP:2",), ("XX_3",), (None,)], "x string")
-    assert [r[0] for r in rows.select(ids.normalize_curie(F.col("x"))).collect()] == ["EFO:1", None, "HP:2", "XX_3", None]
+    rows = spark.createDataFrame([(" EFO_1 ",), ("nan",), ("HP:2",), ("XX_3",), (None,), ("OBA_4",), ("GSSO_5",), ("CHEBI_6",)], "x string")
+    assert [r[0] for r in rows.select(ids.normalize_curie(F.col("x"))).collect()] == ["EFO:1", None, "HP:2", "XX_3", None, "OBA:4", "GSSO:5", "CHEBI_6"]
 
 
 def test_credibility(spark):
-    rows = [("a", "b", "r", "s1", 1, 10, 0.1, 1), ("a", "b", "r", "s1", 1, 10, 0.9, 2), ("a", "c", "r", "s1", None, None, 0.1, 1), ("a", "c", "r", "s2", None, None, 0.1, 2), ("a", "d", "r", "curated", 1, 1, 0.0, 1), ("a", "e", "r", "s1", 1, 1, 0.1, 1)]
-    df = spark.createDataFrame(rows, "x_id string, y_id string, relation string, source string, paper_id long, author_group long, score double, pos long")
-    assert {r.y_id: r.credibility for r in E.score_credibility(df, ["curated"]).collect()} == {"b": 2, "c": 2, "d": 3, "e": 1}
+    rows = [
+        ("a", "b", "r", "s1", "1", "g1", 0.1, "known_drug", 1), ("a", "b", "r", "s1", "1", "g1", 0.9, "known_drug", 2), ("a", "c", "r", "s1", None, None, 0.1, None, 1), ("a", "c", "r", "s2", None, None, 0.1, None, 2),
+        ("a", "d", "r", "hpo", "1", "g1", 0.0, None, 1), ("a", "e", "r", "s1", "1", "g1", 0.1, None, 1), ("a", "f", "r", "s1", "1", "g1", 0.9, "literature", 1),
+        ("a", "g", "r", "go", "1", "g1", 0.1, None, 1), ("a", "g", "r", "s1", "1", "g1", 0.5, None, 2), ("a", "h", "r", "s1", "1", "g1", None, None, 1), ("a", "h", "r", "s2", "2", "g1", None, None, 2), ("a", "i", "r", "s1", "", "", None, None, 1), ("a", "i", "r", "s1", "", "", None, None, 2),
+    ]
+    df = spark.createDataFrame(rows, "x_id string, y_id string, relation string, source string, paper_id string, author_group_key string, raw_score double, datatype string, pos long")
+    # d, g: a curated source counts even where a better row of its paper stands for it; f: the datatype does not count; h: one author group
+    assert {r.y_id: r.credibility for r in E.score_credibility(df).collect()} == {"b": 2, "c": 2, "d": 3, "e": 1, "f": 1, "g": 3, "h": 1, "i": 1}
+
+
+def test_dense_index_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", False)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = G.dense_index(spark.range(300_000).select(F.lit("n").alias("node_type"), F.sha2(F.col("id").cast("string"), 256).alias("id")))
+        assert tuple(found.agg(F.count_distinct("node_index"), F.min("node_index"), F.max("node_index")).first()) == (300_000, 0, 299_999)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_unknown_vector_is_an_error(spark):
+    with pytest.raises(KeyError):
+        G.knn(spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>"), 2, 1)
 
 
 def test_split_is_exact_and_repeatable(spark):

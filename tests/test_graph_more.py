@@ -37,10 +37,12 @@ def test_resolve_ranks_id_before_name(spark):
 
 
 def test_alias_search_says_when_it_stops(spark):
-    rows = spark.createDataFrame([("a", "red"), ("b", "reddish"), ("c", "scarred"), ("d", "blue"), ("a", "redder")], "id string, alias string")
+    given = [("a", "n", "A", 0, "redder"), ("b", "n", "B", 0, "reddish"), ("c", "n", "C", 0, "scarred"), ("d", "n", "D", 0, "blue"), ("a", "n", "A", 1, "red"), ("e", "m", "E", 0, "red")]
+    rows = spark.createDataFrame(given, "id string, node_type string, name string, pos int, alias string")
     found = L.alias_search(rows, "RED", 2).orderBy("place").collect()
-    assert [(r.id, r.score, r.truncated) for r in found] == [("a", 0, True), ("b", 1, True)]
-    assert not L.alias_search(rows, "red", 3).first().truncated
+    assert [(r.id, r.score, r.truncated) for r in found] == [("e", 0, True), ("a", 1, True)]  # the first alias of a that matches, not its best
+    assert not L.alias_search(rows, "red", 4).first().truncated
+    assert [r.id for r in L.alias_search(rows, "red", 4, ["m"]).collect()] == ["e"]
 
 
 def test_unknown_shard_is_an_error(spark):
@@ -85,24 +87,42 @@ def test_text_fields(spark):
     assert one(T.reverse_complement(F.lit("AACGTn"))) == "NACGTT"
     assert one(T.slug(F.lit("  Golgi (app.) "))) == "golgi-app"
     assert one(T.id_variants(F.lit("PMID:1"))) == ["PMID:1", "PMID_1", "1"]
-    assert one(T.trial_class(F.lit("Terminated"), F.lit("Sponsor decision"))) == "business"
+    assert one(T.trial_class(F.lit("Terminated"), F.lit("Sponsor decision"))) == "terminated_business_funding_or_feasibility"
+    assert one(T.doi(F.lit("https://doi.org/10.1000/AB.c"))) == "10.1000/ab.c" and one(T.doi(F.lit("none"))) is None
 
 
 def test_store_keeps_last_node_and_merges_edges(spark, tmp_path):
     kg = KGRoot(spark, str(tmp_path))
-    kg.write_nodes("gene", spark.createDataFrame([("a", "old"), ("b", "old")], "id string, name string"))
-    kg.write_nodes("gene", spark.createDataFrame([("a", "new", "x"), (None, "new", "x")], "id string, name string, extra string"), append=True)
-    assert {r.id: r.name for r in kg.read("nodes", "gene").collect()} == {"a": "new", "b": "old"}
+    kg.write_nodes("thing", spark.createDataFrame([("a", "old"), ("b", "old")], "id string, name string"))
+    kg.write_nodes("thing", spark.createDataFrame([("a", "new", "x"), (None, "new", "x")], "id string, name string, extra string"), append=True)
+    with pytest.raises(ValueError, match="hgnc_id"):  # a registered type needs its cross-references
+        kg.write_nodes("gene", spark.createDataFrame([("a", "old")], "id string, name string"))
+    assert {r.id: r.name for r in kg.read("nodes", "thing").collect()} == {"a": "new", "b": "old"}
     cols = "x_id string, x_type string, y_id string, y_type string, relation string, display_relation string, source string, credibility long, _pos long"
     edge = lambda s, c, p: ("a", "g", "b", "g", "r", "r", s, c, p)
     kg.write_edges("r", spark.createDataFrame([edge("s2", 1, 0), edge("s1", 3, 1)], cols))
     kg.write_edges("r", spark.createDataFrame([edge("s3", 2, 0)], cols), append=True)
     assert [(r.source, r.credibility) for r in kg.read("edges", "r").collect()] == [("s2,s1,s3", 3)]
-    kg.write_evidence("r", spark.createDataFrame([("r", "a", "b", "s", 0.5, 0), ("r", "a", "b", "s", 0.7, 1)], "relation string, x_id string, y_id string, source string, evidence_score double, _pos long"))
-    row = kg.read("evidence", "r").collect()
-    assert len(row) == 1 and (row[0].evidence_score, row[0].edge_key, row[0].paper_id, row[0].p_value) == (0.7, "r|a|b", "", None) and len(row[0]) == 25
+    one = spark.createDataFrame([("r", "a", "b", "r", "r", 3, "s", 1), ("r", "a", "b", "r", "r", 1, "s", 0)], "relation string, x_id string, y_id string, x_type string, y_type string, credibility long, source string, _pos long").withColumn("display_relation", F.lit("r"))
+    kg.write_edges("single", one)
+    assert [r.credibility for r in kg.read("edges", "single").collect()] == [1]  # one source in all: the first row's
+    kg.write_edges("papers", one.withColumn("paper_id", F.col("_pos").cast("string")))
+    assert [r.credibility for r in kg.read("edges", "papers").collect()] == [2]  # two papers
+    name = "disease_associated_gene"
+    full = "relation string, x_id string, x_type string, y_id string, y_type string, evidence_type string, source string, source_dataset string, source_record_id string, text_span string, evidence_score double, _pos long"
+    record = lambda span, score, pos, y="disease": (name, "a", "gene", "b", y, "paper", "s", "d", "1", span, score, pos)
+    kg.write_evidence(name, spark.createDataFrame([record("t", 0.5, 0), record("u", 0.7, 1)], full))  # the span is no part of the key
+    row = kg.read("evidence", name).collect()
+    assert len(row) == 1 and (row[0].evidence_score, row[0].edge_key, row[0].paper_id, row[0].p_value) == (0.7, f"{name}|a|b", "", None) and len(row[0]) == 25
+    for bad in (spark.createDataFrame([record("t", 0.5, 0, "gene")], full), spark.createDataFrame([record("t", 0.5, 0)], full).drop("source_dataset")):
+        with pytest.raises(ValueError):
+            kg.write_evidence(name, bad)
+    with pytest.raises(ValueError, match="unknown"):
+        kg.write_evidence("r", spark.createDataFrame([record("t", 0.5, 0)], full))
+    for gone in ("single", "papers"):
+        kg.remove_source(gone, "s")
     assert kg.remove_source("r", "none") == 0 and kg.remove_source("r", "s2,s1,s3") == 1 and kg.read("edges", "r").count() == 0
-    assert {(r.layer, r.name): r.n_rows for r in kg.catalog().collect()} == {("nodes", "gene"): 2, ("edges", "r"): 0, ("evidence", "r"): 1}
+    assert {(r.layer, r.name): r.n_rows for r in kg.catalog().collect()} == {("nodes", "thing"): 2, ("edges", "r"): 0, ("edges", "single"): 0, ("edges", "papers"): 0, ("evidence", "disease_associated_gene"): 1}
     with pytest.raises(ValueError):
         kg.bounded("nodes", "gene", ["id"], 10_001)
 
