@@ -151,12 +151,11 @@ _SQL = {
     ),
     "pharmacogenomic_efficacy_treatment_v2": lambda n: _sql(n, _RESPONSE, "mutation_associated_disease a JOIN mutation_affects_molecule_response b ON b.x_id = a.x_id", "b.y_id", "a.y_id", f"lower(b.response_category) = 'efficacy' AND lower(b.response_direction) IN ('benefit', 'sensitivity') AND lower(b.disease_context) = a.y_id AND {_compatible(_RESPONSE)}"),
 }
-_COLUMNS = ("x_id", "y_id", "member_id", "anchor_id", "support_multiplicity", "derivation_hash", F.concat_ws(";", "supports").alias("supports"))
 
 
 def _registered(name: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return T.candidates(name, _frames(spark, d)).select(*_COLUMNS)
+        return T.candidates(name, _frames(spark, d)).select("x_id", "y_id", "member_id", "anchor_id", "support_multiplicity", "derivation_hash", F.concat_ws(";", "supports").alias("supports"))
 
     run.__name__ = "q_" + name.removesuffix("_v2")
     run.__module__ = __name__
