@@ -74,7 +74,7 @@ def threshold_metrics(scored: DataFrame, at: float = 0.5) -> DataFrame:
     hit, true = F.col("score") >= at, F.col("label") == 1
     c = scored.agg(F.count_if(hit & true).alias("tp"), F.count_if(hit & ~true).alias("fp"), F.count_if(~hit & true).alias("fn"), F.count_if(~hit & ~true).alias("tn"))
     rate = lambda a, b: F.round(F.try_divide(F.expr(a), F.expr(b)), 6)
-    return c.select("tp", "fp", "fn", "tn", rate("tp + tn", "tp + tn + fp + fn").alias("accuracy"), rate("tp", "tp + fn").alias("sensitivity"), rate("tn", "tn + fp").alias("specificity"), rate("tp", "tp + fp").alias("ppv"), rate("2 * tp", "2 * tp + fp + fn").alias("f1"))
+    return c.select("tp", "fp", "fn", "tn", rate("tp + tn", "tp + tn + fp + fn").alias("accuracy"), rate("tp", "tp + fn").alias("sensitivity"), rate("tn", "tn + fp").alias("specificity"), rate("tp", "tp + fp").alias("ppv"), rate("2 * tp", "2 * tp + fp + fn").alias("f1"), rate("tn", "tn + fn").alias("npv"), rate("fp", "fp + tn").alias("fpr"), rate("fn", "tp + fn").alias("fnr"), rate("fp", "tp + fp").alias("fdr"))
 
 
 def ranking_metrics(scored: DataFrame, entity: str, k: int) -> DataFrame:

@@ -231,7 +231,7 @@ def q_split_random(spark: SparkSession, d: str) -> DataFrame:
     return G.split(table(spark, d, "events").select("event_id", "event_type"), "event_type", "event_id", 7, 0.2, 0.1)
 
 
-@query("WITH s AS (SELECT (l_returnflag = 'R')::INT AS label, l_discount * 10 AS score FROM lineitem), c AS (SELECT count(*) FILTER (score >= 0.5 AND label = 1) AS tp, count(*) FILTER (score >= 0.5 AND label = 0) AS fp, count(*) FILTER (score < 0.5 AND label = 1) AS fn, count(*) FILTER (score < 0.5 AND label = 0) AS tn FROM s) SELECT tp, fp, fn, tn, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, round(tp / (tp + fn), 6) AS sensitivity, round(tn / (tn + fp), 6) AS specificity, round(tp / (tp + fp), 6) AS ppv, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM c")
+@query("WITH s AS (SELECT (l_returnflag = 'R')::INT AS label, l_discount * 10 AS score FROM lineitem), c AS (SELECT count(*) FILTER (score >= 0.5 AND label = 1) AS tp, count(*) FILTER (score >= 0.5 AND label = 0) AS fp, count(*) FILTER (score < 0.5 AND label = 1) AS fn, count(*) FILTER (score < 0.5 AND label = 0) AS tn FROM s) SELECT tp, fp, fn, tn, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, round(tp / (tp + fn), 6) AS sensitivity, round(tn / (tn + fp), 6) AS specificity, round(tp / (tp + fp), 6) AS ppv, round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round(tn / nullif(tn + fn, 0), 6) AS npv, round(fp / nullif(fp + tn, 0), 6) AS fpr, round(fn / nullif(tp + fn, 0), 6) AS fnr, round(fp / nullif(tp + fp, 0), 6) AS fdr FROM c")
 def q_threshold_metrics(spark: SparkSession, d: str) -> DataFrame:
     return G.threshold_metrics(table(spark, d, "lineitem").select((F.col("l_returnflag") == "R").cast("int").alias("label"), (F.col("l_discount") * 10).alias("score")))
 
