@@ -68,3 +68,54 @@ def shard(df: DataFrame, column: str, value: str, columns: list[str]) -> DataFra
 def shards(df: DataFrame, column: str) -> DataFrame:
     """The shards there are, with their rows."""
     return df.groupBy(column).agg(F.count("*").alias("n_rows"))
+
+
+GENE_COLUMNS = ("id", "ncbi_gene_id", "hgnc_id", "uniprot_id", "gene_name", "name", "description", "source")
+
+
+def resolve_gene(genes: DataFrame, identifier: str | None = None, *, gene_id: str | None = None, gene_name: str | None = None, symbol: str | None = None, human_only: bool = True, limit: int | None = 20) -> DataFrame:
+    """Genes that one value may mean: ids and cross-references as given, names in any case; the best kind of match first.
+
+    Exactly one value is asked for.  Names reach human genes only, unless told otherwise; an id reaches all.
+    """
+    given = {k: v for k, v in {"identifier": identifier, "gene_id": gene_id, "gene_name": gene_name, "symbol": symbol}.items() if v}
+    if len(given) != 1:
+        raise ValueError(f"give exactly one gene value, not {', '.join(given) or 'none'}")
+    (kind, text), = given.items()
+    if not text.strip():
+        raise ValueError("a gene value can't be blank")
+    v, col = F.lit(text.strip()), F.col
+    same = lambda c: F.upper(c) == F.upper(v)
+    hit = (col("id") == v) | (col("ncbi_gene_id") == v) | (col("hgnc_id") == v) | (col("uniprot_id") == v) | same("gene_name") | same("name") | same("id") | (F.upper(F.coalesce("description", F.lit(""))) == F.upper(v))
+    found = genes.where(hit)
+    if human_only and kind != "gene_id":
+        other = F.lower(F.coalesce("source", F.lit(""))).contains("homologues") | F.lower(F.coalesce("description", F.lit(""))).contains("ortholog")
+        found = found.where(col("id").startswith("ENSG") | col("id").startswith("NCBI:") | ~other)
+    named = same("gene_name") | same("name")
+    order = F.when(col("id") == v, 0).when(same("id"), 1).when(col("id").startswith("ENSG") & named, 2).when(col("id").startswith("NCBI:") & named, 3).when(same("gene_name"), 4).when(same("name"), 5).otherwise(9)
+    match = F.when(same("id"), "id").when(col("ncbi_gene_id") == v, "ncbi_gene_id").when(col("hgnc_id") == v, "hgnc_id").when(col("uniprot_id") == v, "uniprot_id").when(same("gene_name"), "gene_name").when(same("name"), "name").otherwise("description")
+    ranked = found.select(*GENE_COLUMNS, match.alias("match_kind"), F.row_number().over(Window.orderBy(order, "id")).alias("rank"))  # genes of one name
+    return ranked if limit is None else ranked.where(col("rank") <= limit)
+
+
+DISEASE_RESULT = ("gene_id", "gene_name", "gene_label", "disease_id", "disease_name", "disease_description", "mondo_id", "efo_id", "mesh_id", "hp_id", "omim_id", "doid_id", "icd10_code", "edge_source", "credibility", "score", "evidence_count", "evidence_sources", "evidence_score_max")
+
+
+def diseases_for_gene(genes: DataFrame, edges: DataFrame, diseases: DataFrame, evidence: DataFrame | None, identifier: str | None = None, *, limit: int | None = None, **how) -> DataFrame:
+    """Diseases of the genes that a value resolves to, with a summary of their evidence; those with evidence first.
+
+    Without an evidence table every count is 0.
+    """
+    g = resolve_gene(genes, identifier, limit=None, **how).select(F.col("id").alias("x_id"), "gene_name", F.coalesce("name", "gene_name", "id").alias("gene_label"))
+    e = edges.where("relation = 'disease_associated_gene'").join(F.broadcast(g), "x_id")  # genes of one name
+    labels = diseases.select(F.col("id").alias("y_id"), F.nullif("name", F.lit("")).alias("_name"), F.col("description").alias("disease_description"), "mondo_id", "efo_id", "mesh_id", "hp_id", "omim_id", "doid_id", "icd10_code")
+    out = e.join(labels, "y_id", "left")
+    if evidence is None:
+        out = out.withColumns({"evidence_count": F.lit(0).cast("long"), "evidence_sources": F.lit(None).cast("string"), "evidence_score_max": F.lit(None).cast("double")})
+    else:
+        own = evidence.join(F.broadcast(g.select("x_id")), "x_id", "left_semi")
+        told = own.groupBy("x_id", "y_id").agg(F.count("*").alias("evidence_count"), F.array_join(F.array_sort(F.collect_set("source")), "; ").alias("evidence_sources"), F.max("evidence_score").alias("evidence_score_max"))
+        out = out.join(told, ["x_id", "y_id"], "left").withColumn("evidence_count", F.coalesce("evidence_count", F.lit(0)))
+    rows = out.select(F.col("x_id").alias("gene_id"), "gene_name", "gene_label", F.col("y_id").alias("disease_id"), F.coalesce("_name", "y_id").alias("disease_name"), *DISEASE_RESULT[5:13], F.col("source").alias("edge_source"), *DISEASE_RESULT[14:]).distinct()
+    ordered = rows.orderBy(F.when(F.col("evidence_count") > 0, 0).otherwise(1), "disease_name", "disease_id", "gene_id")
+    return ordered if limit is None else ordered.limit(limit)
