@@ -80,6 +80,17 @@ t AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
 kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS rest FROM t ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op2_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+x AS (SELECT doc_id, unnest(range(1, octet_length(b) - 398)) AS s, b FROM d WHERE octet_length(b) >= 400),
+h AS (SELECT doc_id, s, md5(b[s:s + 399]) AS m FROM x),
+g AS (SELECT doc_id, s, s - lag(s, 1, -1000) OVER (PARTITION BY doc_id ORDER BY s) > 400 AS new FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY m) AS n FROM h) WHERE n > 1),
+r AS (SELECT doc_id, min(s) AS a, max(s) + 399 AS z FROM (SELECT doc_id, s, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM g) GROUP BY doc_id, run),
+k AS (SELECT r.doc_id, a, z, hex(b[coalesce(lag(z) OVER (PARTITION BY r.doc_id ORDER BY a), 0) + 1:a - 1]) AS before, row_number() OVER (PARTITION BY r.doc_id ORDER BY a DESC) = 1 AS last, hex(b[z + 1:octet_length(b)]) AS after FROM r JOIN d USING (doc_id)),
+c AS (SELECT doc_id, sum(z - a + 1)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(CASE WHEN last THEN before || after ELSE before END, '' ORDER BY a) AS kept FROM k GROUP BY doc_id)
+SELECT d.doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, CASE WHEN kept IS NULL THEN sha256(b) ELSE sha256(unhex(kept)) END AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
 """,
     "op8_ngram_jaccard": r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -14,7 +15,8 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from kgloom.llm import html_extract, labelled_pages, mixing, suffix_dedup, toxicity
+from kgloom.llm import html_extract, labelled_pages, mixing, pretokens, suffix_dedup, toxicity
+from kgloom.llm import queries as llm_queries
 from kgloom.llm.bcr import repeated_starts
 from kgloom.llm.buckets import repeated_answer
 from kgloom.llm.bpe import Codec, encode_texts, read_ranks
@@ -407,6 +409,39 @@ def test_jaccard(docs, rows):
     assert sorted(map(tuple, jaccard_components(docs).collect()), key=str) == sorted(want, key=str)
 
 
+def thue_morse(n):
+    """A word of 2**n letters and its complement: any sum of letters times powers of one base is the same modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(1 << n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_cancel_in_powers_of_a_base(spark):
+    one, two = thue_morse(10)
+    lead = " ".join(f"w{i}" for i in range(19))
+    docs = spark.createDataFrame([(1, f"{lead} {one}"), (2, f"{lead} {two}")], "doc_id long, text string")
+    assert [r.n_removed for r in dedup_substrings(docs).collect()] == [0, 0]
+    assert {r.component_id for r in jaccard_components(docs.selectExpr("doc_id", "split_part(text, ' ', 20) AS text")).collect()} == {1, 2}
+    got = {r.doc_id: r.ids for r in encode_texts(docs, RANKS).collect()}
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(RANKS), special_tokens={})
+    assert all(np.frombuffer(got[i], "<u4").tolist() == library.encode_ordinary(t) for i, t in ((1, f"{lead} {one}"), (2, f"{lead} {two}")))
+
+
+def test_words_with_one_hash_keep_their_own_ids(monkeypatch):
+    monkeypatch.setattr(pretokens, "word_hash", lambda data, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(2))
+    table = pretokens.WordTable(lambda words: [list(w) for w in words], lambda lists: [bytes(x) for x in lists])
+    for text in (b"ab cd ab xyz cd", b"cd ab uvw xyz"):
+        ids, n, back, size = table.encode(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        assert bytes(ids.astype(np.uint8)) == text and bytes(back) == text and n.tolist() == size.tolist() == [len(text)]
+
+
+def test_suffix_query_against_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    got = llm_queries.op2_suffix_dedup(spark, "/root/testdata/sf0.001")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({llm_queries.ORACLE_SQL['op2_suffix_dedup']})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) and any(r[2] for r in want)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOC)
     for found in (dedup_substrings(none), dedup_suffixes(none), encode_texts(none, RANKS), jaccard_components(none), score_texts(none, F.lit(False))):
@@ -430,6 +465,7 @@ def test_html(spark):
     html = "<html><head><title>t</title><script>var a='<p>no</p>'</script></head><body><nav><a href='/'>Home</a></nav><article><h1>A &amp; B</h1><p>First\n  line.<br>Still it.<p>Second.</article><footer>&copy; me</footer></body></html>"
     pages = spark.createDataFrame([(1, "u", html, 1), (2, None, None, 1), (3, "u", "", 1), (4, "u", "<div class='ad'>Buy it</div", 1)], "page_id long, url string, html string, text int")
     got = {r.page_id: (r.text, r.n_chars) for r in html_extract.extract_pages(pages).collect()}
+    assert [(b.text, b.tags[-1]) for b in blocks('<p class=x">Hello there</p><p title="a > b" id = \'c>d\'>Two</p><p it\'s>Three')] == [("Hello there", "p"), ("Two", "p"), ("Three", "p")]
     assert got[1] == ("A & B\nFirst line. Still it.\nSecond.", 35) and got[2] == got[3] == ("", 0)
 
 
@@ -466,3 +502,32 @@ def test_pipeline_cuts_short_shared_passages(spark):
         want[i] = None if t is None else bytes(np.frombuffer(b, np.uint8)[~gone]).decode(errors="ignore")
     got = {r.doc_id: r.text for r in C.cut_repeated_passages(spark, given, "").collect()}
     assert got == want and shared not in got[1] and got[0] == texts[0]
+
+
+def test_whole_pipeline(spark, tmp_path):
+    """Every stage by hand, in turn, over a table with clashing extra columns."""
+    import corpus_pipeline as C
+
+    rnd = random.Random(12)
+    shared = " ".join("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(60))
+    item = "the colour of a quiet river at dawn is said to be the oldest question of the northern school of painters"
+    texts = [f"{words(rnd, 60)} {'vile scum filth' if i % 10 == 0 else 'kind warm words'} {words(rnd, 40)}" for i in range(60)]
+    texts += [texts[1], texts[1].replace("ba", "ko", 1), *(f"{words(rnd, 50)} kind warm words {middle} {words(rnd, 50)}" for middle in (shared, shared, item))]
+    rows = [(i, t, "en", "s", len(t or ""), 0.5, "k", "z") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, _key string, _kept string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(60)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    steps = {}
+    for name, stage in C.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, str(tmp_path)).collect(), docs.schema)
+        steps[name] = {r.doc_id: r for r in docs.collect()}
+        assert all((r.score, r._key, r._kept) == (0.5, "k", "z") for r in steps[name].values()), name
+    assert set(steps["toxicity"]) == {i for i in range(len(texts)) if i >= 60 or i % 10}
+    assert set(steps["toxicity"]) - set(steps["ngram_jaccard"]) == {60, 61}
+    cut = {i for i, r in steps["suffix_dedup"].items() if r.text != texts[i]}
+    assert cut == {62, 63} and all(shared not in steps["suffix_dedup"][i].text for i in cut) and steps["suffix_dedup"][62].n_chars == len(steps["suffix_dedup"][62].text)
+    assert set(steps["suffix_dedup"]) - set(steps["decontaminate"]) == {64}
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(RANKS), special_tokens={})
+    got = {r.doc_id: (np.frombuffer(r.ids, "<u4").tolist(), r.decoded_sha256) for r in C.run(spark, str(tmp_path)).collect()}
+    assert got == {i: (library.encode_ordinary(r.text or ""), hashlib.sha256((r.text or "").encode()).hexdigest()) for i, r in steps["decontaminate"].items()}
