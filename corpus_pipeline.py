@@ -92,7 +92,7 @@ STAGES = [
     ("decontaminate", drop_contaminated),
     ("bpe", encode),
 ]
-#: SQL expresses neither the classifier nor the alignment; tests hold the stages against brute force.
+#: SQL expresses neither the classifier nor the alignment; tests follow the whole pipeline stage by stage over planted rows, and hold ids against the library.
 ORACLE_SQL = None
 
 
