@@ -59,6 +59,31 @@ def corrupt_targets(edges: DataFrame, targets: DataFrame, k: int, seed: int) ->
     return drawn.join(index, "pick").select("x_id", F.col("y_new").alias("y_id")).distinct().join(e, ["x_id", "y_id"], "left_anti")
 
 
+def _swapped(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("y_id").alias("x_id"), F.col("x_id").alias("y_id"))
+
+
+def corrupt_sources(edges: DataFrame, sources: DataFrame, k: int, seed: int) -> DataFrame:
+    """k uniform sources (x_id) for each edge, else as `corrupt_targets`."""
+    return _swapped(corrupt_targets(_swapped(edges), sources.select(F.col("x_id").alias("y_id")), k, seed))
+
+
+def corrupt_both(edges: DataFrame, sources: DataFrame, targets: DataFrame, k: int, seed: int) -> DataFrame:
+    """k pairs of a uniform source and a uniform target for each edge; pairs that exist are dropped, repeated ones count once."""
+    e = edges.select("x_id", "y_id").distinct()
+    drawn = e.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    for n, (ids, end) in enumerate(((sources, "x_id"), (targets, "y_id"))):
+        index = dense_index(ids.select(F.lit("").alias("node_type"), F.col(end).alias("id"))).select(F.col("id").alias(f"new_{end}"), F.col("node_index").alias("pick"))
+        size = index.agg(F.count("*").alias("size")).withColumn("one", F.lit(1))  # one row
+        drawn = drawn.withColumn("one", F.lit(1)).join(F.broadcast(size), "one").withColumn("pick", draw(seed + n, "x_id", "y_id", F.col("copy").cast("string")) % F.col("size")).join(index, "pick").drop("pick", "one", "size")
+    return drawn.select(F.col("new_x_id").alias("x_id"), F.col("new_y_id").alias("y_id")).distinct().join(e, ["x_id", "y_id"], "left_anti")
+
+
+def weighted_sources(edges: DataFrame, k: int, seed: int, power: float = 0.75) -> DataFrame:
+    """k sources for each edge, drawn with weight degree^power."""
+    return weighted_targets(_swapped(edges), k, seed, power).select(F.col("y_id").alias("x_id"), F.col("x_id").alias("y_id"), "copy", "negative")
+
+
 def cumulative(weights: DataFrame) -> DataFrame:
     """(id, weight) with the half-open range [lo, hi) that each id owns; whole weights, in id order."""
     dealt = ranged(weights, "id")

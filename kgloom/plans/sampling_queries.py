@@ -69,6 +69,22 @@ def q_negatives_weighted(spark: SparkSession, d: str) -> DataFrame:
     return S.weighted_targets(_supplied(spark, d), 1, 19)
 
 
+@query(f"WITH {_E}, t AS (SELECT 'supplier:' || s_suppkey AS id, row_number() OVER (ORDER BY 'supplier:' || s_suppkey) - 1 AS k FROM supplier), q AS (SELECT y_id, {_DRAW.format(repr('29') + ', y_id, x_id, j')} % (SELECT count(*) FROM supplier) AS k FROM e, (SELECT unnest([0, 1]) AS j)), n AS (SELECT DISTINCT id AS x_id, y_id FROM q JOIN t USING (k)) SELECT x_id, y_id FROM n ANTI JOIN e USING (x_id, y_id)")
+def q_negatives_sources(spark: SparkSession, d: str) -> DataFrame:
+    return S.corrupt_sources(_supplied(spark, d), table(spark, d, "supplier").select(node_id("supplier", F.col("s_suppkey")).alias("x_id")), 2, 29)
+
+
+@query(f"WITH {_E}, t AS (SELECT 'supplier:' || s_suppkey AS a, row_number() OVER (ORDER BY 'supplier:' || s_suppkey) - 1 AS k FROM supplier), u AS (SELECT 'part:' || p_partkey AS b, row_number() OVER (ORDER BY 'part:' || p_partkey) - 1 AS l FROM part), q AS (SELECT {_DRAW.format(repr('31') + ', x_id, y_id, j')} % (SELECT count(*) FROM supplier) AS k, {_DRAW.format(repr('32') + ', x_id, y_id, j')} % (SELECT count(*) FROM part) AS l FROM e, (SELECT unnest([0, 1]) AS j)), n AS (SELECT DISTINCT a AS x_id, b AS y_id FROM q JOIN t USING (k) JOIN u USING (l)) SELECT x_id, y_id FROM n ANTI JOIN e USING (x_id, y_id)")
+def q_negatives_both(spark: SparkSession, d: str) -> DataFrame:
+    ends = table(spark, d, "supplier").select(node_id("supplier", F.col("s_suppkey")).alias("x_id")), table(spark, d, "part").select(node_id("part", F.col("p_partkey")).alias("y_id"))
+    return S.corrupt_both(_supplied(spark, d), *ends, 2, 31)
+
+
+@query(f"WITH {_E}, w AS (SELECT x_id AS id, floor(pow(count(*), 0.75) * 1000)::BIGINT AS w FROM e GROUP BY 1), c AS (SELECT id, sum(w) OVER (ORDER BY id)::BIGINT AS hi, w FROM w), q AS (SELECT x_id, y_id, {_DRAW.format(repr('37') + ', y_id, x_id, 0')} % (SELECT sum(w)::BIGINT FROM w) AS spot FROM e) SELECT x_id, y_id, 0 AS copy, id AS negative FROM q ASOF JOIN (SELECT id, hi - w AS lo FROM c) ON spot >= lo")
+def q_negatives_weighted_sources(spark: SparkSession, d: str) -> DataFrame:
+    return S.weighted_sources(_supplied(spark, d), 1, 37)
+
+
 @query(f"WITH {_BUSINESS}, b AS (SELECT x_id AS id, y_id AS nx FROM e UNION SELECT y_id, x_id FROM e), h1 AS (SELECT DISTINCT nx AS id FROM b WHERE id = 'region:1'), h2 AS (SELECT DISTINCT nx AS id FROM b WHERE id IN (SELECT id FROM h1)) SELECT 'region:1' AS id, 0 AS hops UNION ALL SELECT id, 1 FROM h1 UNION ALL SELECT id, 2 FROM h2 WHERE id <> 'region:1' AND id NOT IN (SELECT id FROM h1)")
 def q_two_hop_subgraph(spark: SparkSession, d: str) -> DataFrame:
     return S.k_hop(business_edges(spark, d), nodes(spark, d).where("id = 'region:1'"), 2)
