@@ -30,9 +30,11 @@ SET = "part long, bucket long, payload binary"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is set where the session has none."""
+    """The folder that driver and executors share; in local mode a local one is set where the session has none."""
     context = spark.sparkContext
     if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="kgloom-checkpoint-"))
     return context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
 
