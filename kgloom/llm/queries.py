@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from .bpe import encode_texts
 from . import toxicity
 from .decontaminate import contaminated
+from .divergence import divergence
 from .embedding_dedup import link_embeddings
+from .exact_dedup import dedup_exact
 from .html_extract import extract_pages
 from .jaccard import jaccard_components
 from .lm_score import score_texts
 from .substring import dedup_substrings
 from .suffix_dedup import dedup_suffixes
 from .token_files import read_token_files, store_path, write_token_files
+from .whitening import whiten
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +72,25 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_bpe, op4_decontaminate, op5_toxicity, op6_lm_score, op7_embedding_dedup, op8_ngram_jaccard, op9_token_files, op10_html_extract)}
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_exact(read(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(read(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_suffix_dedup, op3_bpe, op4_decontaminate, op5_toxicity, op6_lm_score, op7_embedding_dedup,
+        op8_ngram_jaccard, op9_token_files, op10_html_extract, op11_exact_dedup, op12_source_divergence, op13_embedding_whitening,
+    )
+}
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -112,5 +133,26 @@ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label
 r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, c.component_id, c.vec_id = c.component_id AS kept FROM c
+""",
+    "op11_exact_dedup": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d
+""",
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT i, lang, source, translate(unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+x AS (SELECT lang, source, term, coalesce(n, 0)::BIGINT AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT *, 1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang, source)::BIGINT + 2 * count(*) OVER (PARTITION BY lang, source)) AS p FROM x),
+e AS (SELECT lang, term, sum(n)::BIGINT AS n FROM x GROUP BY lang, term),
+q AS (SELECT *, 1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang)::BIGINT + 2 * count(*) OVER (PARTITION BY lang)) AS q FROM e),
+a AS (SELECT x.lang, x.source, y.source AS item, coalesce((SELECT sum((m.p - o.p) * (m.p - o.p) // (m.p + o.p)) FROM p m JOIN p o ON m.lang = o.lang AND m.term = o.term WHERE m.lang = x.lang AND m.source = x.source AND o.source = y.source), 0)::BIGINT AS value
+      FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source),
+b AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM a
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM b) WHERE rank <= 10
 """,
 }
