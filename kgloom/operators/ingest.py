@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.ids import credibility_from_score, normalize_curie
 
 SOURCE = "OpenTargets"
+#: Fixed value: the release whose records evidence rows name.
+RELEASE = "26.03"
 #: Datatypes by what their rows say; datatypes whose score counts for credibility.
 DRUG_TYPES = ("known_drug", "chembl", "cancer_biomarkers")
 PATHWAY_TYPES = ("reactome", "progeny", "slapenrich", "affected_pathway")
@@ -56,7 +58,9 @@ def distinct_nodes(df: DataFrame) -> DataFrame:
 
 def stub_nodes(ids: DataFrame, known: DataFrame | None, source: str) -> DataFrame:
     """Minimal nodes for ids (id, and a name where there is one) that no node table has."""
-    found = distinct_nodes(ids if "name" in ids.columns else ids.withColumn("name", F.col("id"))).withColumn("name", F.coalesce("name", "id")).withColumn("source", F.lit(source))
+    named = ids if "name" in ids.columns else ids.withColumn("name", F.col("id"))
+    found = named.where("id IS NOT NULL AND id <> ''").groupBy("id").agg(F.min("name").alias("name"))
+    found = found.select("id", F.coalesce("name", "id").alias("name"), F.lit(source).alias("source"))
     return found if known is None else found.join(known.select("id"), "id", "left_anti")
 
 
@@ -139,34 +143,42 @@ def interactions(df: DataFrame) -> dict[str, DataFrame]:
     return {"protein_interacts_protein": distinct_edges(found)}
 
 
-def evidence(df: DataFrame, genes: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Records of all evidence datasets (column dataset) routed by datatype to gene, molecule and pathway edges."""
-    df = lacking(df, drugId="string", reactionId="string", pathways="array<struct<id:string,name:string>>")
+def evidence(df: DataFrame, genes: DataFrame | None = None, pathways: DataFrame | None = None, release: str = RELEASE) -> dict[str, DataFrame]:
+    """Records of all evidence datasets (column dataset) routed by datatype to gene, molecule and pathway edges.
+
+    Genes and pathways that no given node table has become stubs, pathways under the
+    name that a record gives them.
+    """
+    df = lacking(df, drugId="string", reactionId="string", reactionName="string", pathways="array<struct<id:string,name:string>>")
     blank = F.lit("")
     kind, target = F.coalesce(text("datatypeId"), blank), F.trim("targetId")
     rows = df.select(
         target.alias("t"), normalize_curie(F.col("diseaseId")).alias("d"), kind.alias("kind"), F.coalesce(text("datasourceId"), kind).alias("origin"), F.round(F.coalesce("score", F.lit(0.0)), 4).alias("score"), scored(F.col("score"), kind).alias("cred"),
-        F.coalesce(text("drugId"), F.when(target.startswith("CHEMBL"), target)).alias("drug"), "pathways", text("reactionId").alias("reaction"), "dataset",
+        F.coalesce(text("drugId"), F.when(target.startswith("CHEMBL"), target)).alias("drug"), "pathways", text("reactionId").alias("reaction"), text("reactionName").alias("reaction_name"), "dataset",
     ).where("t <> '' AND d IS NOT NULL")
     source = F.concat(F.lit(f"{SOURCE}/"), "origin")
     is_drug, is_path = F.col("kind").isin(*DRUG_TYPES), F.col("kind").isin(*PATHWAY_TYPES)
     treats = rows.where(is_drug & F.col("drug").isNotNull()).select(*edge(F.col("drug"), "molecule", F.col("d"), "disease", "molecule_treats_disease", "indication", source, F.col("cred"), score=F.col("score")))
-    told = F.filter(F.concat(F.transform(F.coalesce("pathways", F.array().cast("array<struct<id:string,name:string>>")), lambda p: F.trim(p["id"])), F.array("reaction")), lambda p: p.startswith("R-HSA-"))
-    told = F.when(F.size(told) == 0, F.filter(F.array("t"), lambda p: p.startswith("R-HSA-"))).otherwise(told)
-    paths = rows.where(is_path).withColumn("p", F.explode(told))
-    involves = paths.select(*edge(F.col("p"), "pathway", F.col("d"), "disease", "disease_involves_pathway", "involved in disease", source, F.col("cred"), score=F.col("score")))
+    named = lambda i, n: F.struct(i.alias("id"), n.alias("name"))
+    ours = lambda items: F.filter(items, lambda p: p["id"].startswith("R-HSA-"))
+    listed = F.transform(F.coalesce("pathways", F.array().cast("array<struct<id:string,name:string>>")), lambda p: named(F.trim(p["id"]), text(p["name"])))
+    told = ours(F.concat(listed, F.array(named(F.col("reaction"), F.col("reaction_name")))))
+    told = F.when(F.size(told) == 0, ours(F.array(named(F.col("t"), F.lit(None).cast("string"))))).otherwise(told)
+    paths = rows.where(is_path).withColumn("path", F.explode(told)).withColumns({"p": F.col("path.id"), "pathway_name": F.col("path.name")})
+    involves = paths.select(*edge(F.col("p"), "pathway", F.col("d"), "disease", "disease_involves_pathway", "involved in disease", source, F.col("cred"), score=F.col("score"), pathway_name=F.col("pathway_name")))
     own = rows.where(~is_drug & F.col("t").startswith("ENSG"))
     strength = F.when(F.col("kind").isin(*GENE_TYPES, *PATHWAY_TYPES), F.col("cred")).otherwise(1)
     linked = own.select(*edge(F.col("t"), "gene", F.col("d"), "disease", "disease_associated_gene", "associated disease", source, strength, score=F.col("score")))
     base = F.concat_ws(":", "origin", "d", "t", "kind")
     record = lambda frame, relation, x, x_type, key: frame.select(
         F.lit(relation).alias("relation"), x.alias("x_id"), F.lit(x_type).alias("x_type"), F.col("d").alias("y_id"), F.lit("disease").alias("y_type"), F.lit("database_record").alias("evidence_type"), F.lit(SOURCE).alias("source"),
-        F.col("dataset").alias("source_dataset"), key.alias("source_record_id"), F.col("score").alias("evidence_score"), F.col("kind").alias("predicate"),
+        F.col("dataset").alias("source_dataset"), key.alias("source_record_id"), F.col("score").alias("evidence_score"), F.col("kind").alias("predicate"), F.lit(release).alias("release"),
     )
+    stubs = stub_nodes(paths.select(F.col("p").alias("id"), F.col("pathway_name").alias("name")), pathways, f"{SOURCE}/evidence")
     return {
         "molecule_treats_disease": distinct_edges(treats), "disease_involves_pathway": distinct_edges(involves), "disease_associated_gene": distinct_edges(linked),
         "evidence/disease_associated_gene": record(own, "disease_associated_gene", F.col("t"), "gene", base), "evidence/disease_involves_pathway": record(paths, "disease_involves_pathway", F.col("p"), "pathway", F.concat_ws(":", base, "p")),
-        "gene": stub_nodes(own.select(F.col("t").alias("id")), genes, f"{SOURCE}/evidence"), "pathway": stub_nodes(paths.select(F.col("p").alias("id")), None, f"{SOURCE}/evidence"),
+        "gene": stub_nodes(own.select(F.col("t").alias("id")), genes, f"{SOURCE}/evidence"), "pathway": stubs.withColumn("reactome_id", F.col("id")),
     }
 
 
@@ -209,12 +221,17 @@ def essentiality(df: DataFrame, dataset: str) -> dict[str, DataFrame]:
     }
 
 
-def disease_phenotypes(df: DataFrame) -> dict[str, DataFrame]:
-    """Phenotypes of diseases, negated rows dropped; credibility by the strongest evidence (TAS or PCS 3, IEA 2, else 1)."""
+def disease_phenotypes(df: DataFrame, diseases: DataFrame | None = None, phenotypes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Phenotypes of diseases, negated rows dropped; credibility by the strongest evidence (TAS or PCS 3, IEA 2, else 1).
+
+    Diseases and phenotypes that no given node table has become stubs.
+    """
     rows = df.where(F.col("disease").startswith("MONDO_") & F.col("phenotype").startswith("HP_") & ~F.exists(F.coalesce("evidence", F.array()), lambda e: F.coalesce(e["qualifierNot"], F.lit(False))))
     has = lambda *kinds: F.exists("evidence", lambda e: e["evidenceType"].isin(*kinds))
     found = rows.select(*edge(F.translate("disease", "_", ":"), "disease", F.translate("phenotype", "_", ":"), "phenotype", "disease_has_phenotype", "has phenotype", f"{SOURCE}/HPO", F.when(has("TAS", "PCS"), 3).when(has("IEA"), 2).otherwise(1)))
-    return {"disease_has_phenotype": distinct_edges(found)}
+    linked = distinct_edges(found)
+    ill = stub_nodes(linked.select(F.col("x_id").alias("id")), diseases, f"{SOURCE}/HPO").withColumn("mondo_id", F.col("id"))
+    return {"disease_has_phenotype": linked, "disease": ill, "phenotype": stub_nodes(linked.select(F.col("y_id").alias("id")), phenotypes, f"{SOURCE}/HPO")}
 
 
 def expression(df: DataFrame, proteins: DataFrame, genes: DataFrame | None = None) -> dict[str, DataFrame]:

@@ -27,7 +27,7 @@ FLAT: dict[str, tuple[str, str, dict[str, str]]] = {
         "lineitem", "true",
         {"t": "CASE l_linenumber WHEN 1 THEN 'CHEMBL' || l_suppkey WHEN 2 THEN 'R-HSA-' || l_suppkey WHEN 3 THEN '' ELSE 'ENSG' || l_partkey END", "d": "CASE WHEN l_orderkey % 9 = 0 THEN 'nan' ELSE 'EFO_' || (l_orderkey % 50) END",
          "kind": "CASE l_orderkey % 7 WHEN 0 THEN 'known_drug' WHEN 1 THEN 'affected_pathway' WHEN 2 THEN 'genetic_association' WHEN 3 THEN 'literature' WHEN 4 THEN 'animal_model' WHEN 5 THEN 'clinical_trial' ELSE 'reactome' END",
-         "origin": "CASE l_returnflag WHEN 'A' THEN 'chembl' WHEN 'R' THEN 'eva' ELSE '' END", "score": "l_discount * 10", "drug": "CASE WHEN l_suppkey % 2 = 0 THEN 'CHEMBL' || l_partkey ELSE '' END", "path": "CASE l_suppkey % 3 WHEN 0 THEN 'R-HSA-' || l_partkey WHEN 1 THEN 'WP' || l_partkey END", "reaction": "CASE WHEN l_suppkey % 5 = 0 THEN 'R-HSA-' || l_orderkey ELSE '' END", "dataset": "'evidence_' || l_linestatus"},
+         "origin": "CASE l_returnflag WHEN 'A' THEN 'chembl' WHEN 'R' THEN 'eva' ELSE '' END", "score": "l_discount * 10", "drug": "CASE WHEN l_suppkey % 2 = 0 THEN 'CHEMBL' || l_partkey ELSE '' END", "path": "CASE l_suppkey % 3 WHEN 0 THEN 'R-HSA-' || l_partkey WHEN 1 THEN 'WP' || l_partkey END", "path_name": "CASE WHEN l_partkey % 2 = 0 THEN 'Path ' || l_partkey END", "reaction": "CASE WHEN l_suppkey % 5 = 0 THEN 'R-HSA-' || l_orderkey ELSE '' END", "reaction_name": "CASE WHEN l_orderkey % 3 = 0 THEN 'Reaction ' || l_orderkey END", "dataset": "'evidence_' || l_linestatus"},
     ),
     "indication": ("lineitem", "l_linenumber <= 4", {"id": "CASE WHEN l_suppkey % 4 = 3 THEN 'X' || l_partkey ELSE 'CHEMBL' || l_partkey END", "d": "CASE WHEN l_orderkey % 8 = 0 THEN '' ELSE 'MONDO_' || l_orderkey END", "approved": "l_linestatus = 'O'", "phase": "CASE WHEN l_linenumber = 4 THEN NULL ELSE l_orderkey % 5 END"}),
     "screen": (
@@ -148,12 +148,12 @@ def q_ingest_interactions(spark: SparkSession, d: str) -> DataFrame:
 
 
 _RECORD = f"""{_cte('record')}, r AS (SELECT t, replace(d, '_', ':') AS d, kind, coalesce(nullif(origin, ''), kind) AS origin, CASE WHEN score >= 0.75 AND kind IN ('genetic_association', 'animal_model', 'known_drug', 'clinical_trial') THEN 2 ELSE 1 END AS c,
-    coalesce(nullif(drug, ''), CASE WHEN t LIKE 'CHEMBL%' THEN t END) AS drug, list_filter([path, reaction], lambda p: p LIKE 'R-HSA-%') AS told, score, dataset FROM record WHERE t <> '' AND d <> 'nan'),
-  w AS (SELECT *, unnest(CASE WHEN len(told) > 0 THEN told WHEN t LIKE 'R-HSA-%' THEN [t] ELSE [] END) AS p FROM r WHERE kind IN ('affected_pathway', 'reactome'))"""
+    coalesce(nullif(drug, ''), CASE WHEN t LIKE 'CHEMBL%' THEN t END) AS drug, list_filter([struct_pack(id := path, name := path_name), struct_pack(id := reaction, name := reaction_name)], lambda p: p.id LIKE 'R-HSA-%') AS told, score, dataset FROM record WHERE t <> '' AND d <> 'nan'),
+  w AS (SELECT * EXCLUDE (said), said.id AS p, said.name AS name FROM (SELECT *, unnest(CASE WHEN len(told) > 0 THEN told WHEN t LIKE 'R-HSA-%' THEN [struct_pack(id := t, name := NULL)] ELSE [] END) AS said FROM r WHERE kind IN ('affected_pathway', 'reactome')))"""
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
-    return _flat(spark, d, "record").select(F.col("t").alias("targetId"), F.col("d").alias("diseaseId"), F.col("kind").alias("datatypeId"), F.col("origin").alias("datasourceId"), "score", F.col("drug").alias("drugId"), F.array(F.struct(F.col("path").alias("id"), F.lit("n").alias("name"))).alias("pathways"), F.col("reaction").alias("reactionId"), "dataset")
+    return _flat(spark, d, "record").select(F.col("t").alias("targetId"), F.col("d").alias("diseaseId"), F.col("kind").alias("datatypeId"), F.col("origin").alias("datasourceId"), "score", F.col("drug").alias("drugId"), F.array(F.struct(F.col("path").alias("id"), F.col("path_name").alias("name"))).alias("pathways"), F.col("reaction").alias("reactionId"), F.col("reaction_name").alias("reactionName"), "dataset")
 
 
 @query(f"""{_RECORD} SELECT 'molecule_treats_disease' AS relation, drug AS x_id, d AS y_id, 'OpenTargets/' || origin AS source, max(c) AS credibility FROM r WHERE kind = 'known_drug' AND drug IS NOT NULL GROUP BY ALL
@@ -170,11 +170,12 @@ def q_ingest_evidence_records(spark: SparkSession, d: str) -> DataFrame:
     return every.groupBy("relation", "source_record_id", "source_dataset").agg(F.count("*").alias("n"), F.max("evidence_score").alias("best"))
 
 
-@query(f"{_RECORD} SELECT 'gene' AS node_type, t AS id FROM r WHERE kind <> 'known_drug' AND t LIKE 'ENSG%' AND t NOT IN (SELECT 'ENSG' || p_partkey FROM part WHERE p_size > 20) GROUP BY t UNION ALL SELECT 'pathway', p FROM w GROUP BY p")
+@query(f"{_RECORD} SELECT 'gene' AS node_type, t AS id, t AS name FROM r WHERE kind <> 'known_drug' AND t LIKE 'ENSG%' AND t NOT IN (SELECT 'ENSG' || p_partkey FROM part WHERE p_size > 20) GROUP BY t UNION ALL SELECT 'pathway', p, coalesce(min(name), p) FROM w WHERE p NOT IN (SELECT 'R-HSA-' || s_suppkey FROM supplier WHERE s_nationkey > 12) GROUP BY p")
 def q_ingest_evidence_stubs(spark: SparkSession, d: str) -> DataFrame:
     known = table(spark, d, "part").where("p_size > 20").selectExpr("'ENSG' || p_partkey AS id")
-    found = I.evidence(_records(spark, d), known)
-    return found["gene"].select(F.lit("gene").alias("node_type"), "id").unionAll(found["pathway"].select(F.lit("pathway"), "id"))
+    paths = table(spark, d, "supplier").where("s_nationkey > 12").selectExpr("'R-HSA-' || s_suppkey AS id")
+    found = I.evidence(_records(spark, d), known, paths)
+    return found["gene"].select(F.lit("gene").alias("node_type"), "id", "name").unionAll(found["pathway"].select(F.lit("pathway"), "id", "name"))
 
 
 @query(f"{_cte('indication')} SELECT id AS x_id, replace(d, '_', ':') AS y_id, CASE WHEN approved THEN 'approved indication' ELSE 'indication (phase ' || coalesce(phase, 0) || ')' END AS display_relation, CASE WHEN approved OR phase >= 4 THEN 3 WHEN phase >= 3 THEN 2 ELSE 1 END AS credibility FROM indication WHERE id LIKE 'CHEMBL%' AND d <> ''")

@@ -24,6 +24,8 @@ EVIDENCE_TEXT = (
     "direction", "confidence_interval", "predicate", "text_span", "section", "extraction_method", "license", "release", "created_at",
 )
 EVIDENCE_NUMBERS = ("evidence_score", "effect_size", "p_value")
+#: Columns that hold no text.
+COLUMN_TYPES = {"credibility": "long", **dict.fromkeys((*EVIDENCE_NUMBERS, "score", "gene_effect", "expression", "tpm", "e2g_score", "max_phase", "max_clinical_trial_phase"), "double"), "expression_level": "long", **dict.fromkeys(("is_essential", "is_approved", "has_been_withdrawn", "black_box_warning"), "boolean")}
 
 
 def last_of(df: DataFrame, keys: list[str], batch: str, pos: str) -> DataFrame:
@@ -52,9 +54,9 @@ class KGRoot:
         return sorted(s.getPath().getName().removesuffix(".parquet") for s in fs.listStatus(where) if s.getPath().getName().endswith(".parquet")) if fs.exists(where) else []
 
     def read(self, layer: str, name: str, columns: list[str] | None = None) -> DataFrame:
-        """Columns that a table lacks are null."""
+        """Columns that a table lacks are null, of the type that such a column has."""
         df = self.spark.read.option("mergeSchema", True).parquet(self.path(layer, name))
-        return df if columns is None else df.select([F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
+        return df if columns is None else df.select([F.col(c) if c in df.columns else F.lit(None).cast(COLUMN_TYPES.get(c, "string")).alias(c) for c in columns])
 
     def bounded(self, layer: str, name: str, keys: list[str], limit: int, offset: int = 0) -> DataFrame:
         if not 0 < limit <= 10_000:
@@ -92,6 +94,10 @@ class KGRoot:
         kept = last_of(self._with_old(df.drop("node_type"), "nodes", name, append), ["id"], "_batch", "_pos")
         self._swap(kept.drop("_batch", "_pos"), "nodes", name)
 
+    def save_nodes(self, name: str, df: DataFrame) -> None:
+        """Nodes of an ingest appended; the type's cross-references that the ingest does not know are null."""
+        self.write_nodes(name, df.withColumns({c: F.lit(None).cast("string") for c in xref_columns(name) if c not in df.columns} or {"id": F.col("id")}), append=True)
+
     def write_edges(self, name: str, df: DataFrame, append: bool = False) -> None:
         """One edge for each key, as `dedup_edges` makes it."""
         if missing := [c for c in (*EDGE_COLUMNS, "credibility") if c not in df.columns]:
