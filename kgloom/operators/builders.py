@@ -122,13 +122,3 @@ def backfilled(edges: DataFrame, dataset: Column) -> DataFrame:
         F.concat_ws("|", "relation", "x_id", "y_id").alias("edge_key"), "relation", "x_id", "y_id", F.lit("database_record").alias("evidence_type"), part(1).alias("source"), F.coalesce(F.nullif(part(2), F.lit("")), dataset).alias("source_dataset"),
         F.sha2(F.concat_ws("|", "relation", "x_id", "y_id", "source"), 256).alias("source_record_id"),
     ).distinct()
-
-
-def windows_of(intervals: DataFrame, contigs: DataFrame, flank: int) -> DataFrame:
-    """Strand-aware sequence of each closed interval with its flanks, and why one has none."""
-    joined = intervals.join(contigs, "chromosome", "left")
-    lo, hi = F.greatest(F.lit(1), F.col("start") - flank), F.least(F.length("contig"), F.col("end") + flank)
-    forward = F.substr("contig", lo, hi - lo + 1)
-    sequence = F.when(F.col("strand") == "-", F.reverse(F.translate(forward, "ACGTN", "TGCAN"))).otherwise(forward)
-    why = first_reason((F.col("contig").isNull(), "missing_contig"), (F.col("start") > F.length("contig"), "outside_contig"))
-    return joined.select("id", F.when(why.isNull(), sequence).alias("sequence"), why.alias("reason"))

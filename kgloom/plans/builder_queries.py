@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import builders as B
+from ..operators import sequences as S
 from ..sources.tables import table
 from .queries import query
 
@@ -109,11 +110,14 @@ def q_backfilled_evidence(spark: SparkSession, d: str) -> DataFrame:
     return B.backfilled(edges, F.lit("none"))
 
 
-@query("WITH g AS (SELECT n_nationkey AS k, repeat('ACGTTN' || CASE WHEN n_nationkey % 2 = 0 THEN 'A' ELSE 'C' END, 30) AS contig FROM nation WHERE n_nationkey % 5 > 0), i AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey % 25 AS k, l_orderkey % 260 + 1 AS start, l_orderkey % 260 + l_linenumber AS stop, CASE WHEN l_returnflag = 'A' THEN '-' ELSE '+' END AS strand FROM lineitem), j AS (SELECT *, greatest(1, start - 5) AS lo, least(len(contig), stop + 5) AS hi FROM i LEFT JOIN g USING (k)) SELECT id, CASE WHEN contig IS NOT NULL AND start <= len(contig) THEN CASE WHEN strand = '-' THEN reverse(translate(contig[lo:hi], 'ACGTN', 'TGCAN')) ELSE contig[lo:hi] END END AS sequence, CASE WHEN contig IS NULL THEN 'missing_contig' WHEN start > len(contig) THEN 'outside_contig' END AS reason FROM j")
+@query("""WITH g AS (SELECT n_nationkey AS k, repeat('ACgtRYn' || CASE WHEN n_nationkey % 2 = 0 THEN 'A' ELSE 'C' END, 30) AS contig FROM nation WHERE n_nationkey % 5 > 0),
+i AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS id, l_suppkey % 25 AS k, l_orderkey % 260 + 1 AS start, l_orderkey % 260 + l_linenumber AS stop, CASE WHEN l_returnflag = 'A' THEN '-' ELSE '+' END AS strand FROM lineitem),
+j AS (SELECT *, upper(contig[greatest(1, start - 5):least(len(contig), stop + 5)]) AS s FROM i LEFT JOIN g USING (k))
+SELECT id, CASE WHEN stop <= len(contig) THEN CASE WHEN strand = '-' THEN reverse(translate(s, 'ACGTRYN', 'TGCAYRN')) ELSE s END END AS sequence, CASE WHEN contig IS NULL THEN 'missing_contig' WHEN stop > len(contig) THEN 'outside_contig' END AS reason FROM j""")
 def q_interval_sequences(spark: SparkSession, d: str) -> DataFrame:
-    contigs = table(spark, d, "nation").where("n_nationkey % 5 > 0").selectExpr("n_nationkey AS chromosome", "repeat('ACGTTN' || CASE WHEN n_nationkey % 2 = 0 THEN 'A' ELSE 'C' END, 30) AS contig")
+    contigs = table(spark, d, "nation").where("n_nationkey % 5 > 0").selectExpr("n_nationkey AS chromosome", "0 AS at", "repeat('ACgtRYn' || CASE WHEN n_nationkey % 2 = 0 THEN 'A' ELSE 'C' END, 30) AS text")
     rows = table(spark, d, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS id", "l_suppkey % 25 AS chromosome", "l_orderkey % 260 + 1 AS start", "l_orderkey % 260 + l_linenumber AS end", "CASE WHEN l_returnflag = 'A' THEN '-' ELSE '+' END AS strand")
-    return B.windows_of(rows, contigs, 5)
+    return S.windows(rows, S.contig_blocks(contigs, 64), 5, width=64).select("id", "sequence", "reason")
 
 
 @query("SELECT l_suppkey AS line, 'p' || p_partkey AS protein, l_quantity FROM lineitem JOIN part ON l_partkey % 100 = p_partkey % 100 AND p_partkey < 200")
