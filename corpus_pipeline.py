@@ -51,13 +51,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of the n-gram Jaccard join.
 
-    Rows without an id stay; of rows that repeat an id, and so are one document, one stays.
+    Rows without an id stay; of rows that repeat an id, and so are one document, the one
+    with the smallest hash of its contents stays.
     """
     found = jaccard_components(docs)
     lost = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(lost, "doc_id", "left_anti").select(docs.columns)
     named, nameless = kept.where("doc_id IS NOT NULL"), kept.where("doc_id IS NULL")
-    return named.dropDuplicates(["doc_id"]).union(nameless)
+    contents, least = F.xxhash64(*docs.columns), _spare(docs, "_least")
+    twice = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(contents).alias(least), F.count("*").alias("n")).where("n > 1").drop("n")
+    named = named.join(twice, "doc_id", "left").where(F.col(least).isNull() | (contents == F.col(least)))
+    return named.select(docs.columns).dropDuplicates(["doc_id"]).union(nameless)  # what still shares an id is equal in all columns
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
