@@ -10,6 +10,7 @@ counts and a spanning forest of its links, never the pairs.
 from __future__ import annotations
 
 import math
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,9 @@ from .buckets import cut
 
 TABLES, PLANES, SEED, BLOCK = 12, 16, 11, 1024
 PART_ROWS = 20_000
-SIGNED = "table_no int, cell long, rep long, m long, signs binary, vector binary"
+SIGNED = "table_no int, cell binary, rep long, m long, signs binary, vector binary"
+#: What a cell's vectors have in common, byte for byte: label, length, table, signs.
+CELL = "<qiiq"
 FOUND = "a long, b long, n long"
 
 
@@ -41,12 +44,12 @@ def _signed(tables: int, planes: int, seed: int):
                 for i, u, k in zip(some, unit, key):
                     for t in range(tables):
                         out["table_no"].append(t)
-                        out["cell"].append(hash((labels[i], int(dim), t, int(k[t]))))
+                        out["cell"].append(struct.pack(CELL, labels[i], int(dim), t, int(k[t])))
                         out["rep"].append(reps[i])
                         out["m"].append(counts[i])
                         out["signs"].append(k.astype(np.int32).tobytes())
                         out["vector"].append(u.tobytes())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("table_no", pa.int32()), ("cell", pa.int64()), ("rep", pa.int64()), ("m", pa.int64()), ("signs", pa.binary()), ("vector", pa.binary())]))
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("table_no", pa.int32()), ("cell", pa.binary()), ("rep", pa.int64()), ("m", pa.int64()), ("signs", pa.binary()), ("vector", pa.binary())]))
 
     return sign
 
@@ -64,7 +67,8 @@ def _forest(near: np.ndarray) -> np.ndarray:
 
 def _verified(least: float):
     def verify(table: pa.Table) -> pa.Table:
-        cell, i, j, block, table_no, rep, m = (table[k].to_numpy() for k in ("cell", "i", "j", "block", "table_no", "rep", "m"))
+        i, j, block, table_no, rep, m = (table[k].to_numpy() for k in ("i", "j", "block", "table_no", "rep", "m"))
+        cell = table["cell"].combine_chunks().dictionary_encode().indices.to_numpy()  # a number for each different cell
         order = np.lexsort((rep, j, i, cell))
         cell, i, j, block, table_no, rep, m = (x[order] for x in (cell, i, j, block, table_no, rep, m))
         signs, vectors = table["signs"].to_pylist(), table["vector"].to_pylist()
