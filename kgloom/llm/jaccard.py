@@ -32,7 +32,9 @@ BLOCK, BLOCK_TOKENS = 1500, 400_000
 LEVELS = 12
 TOKEN, SET = 0, 1
 SENT = "kind int, part long, bucket long, payload binary"
-SHOWN = "kind int, doc_id long, n_shingles long, class long, part long, payload binary"
+SHOWN = "kind int, doc_id long, node long, n_shingles long, class long, part long, payload binary"
+#: Nodes of the further rows that repeat an id are counted from here; ids are smaller.
+AGAIN = 1 << 62
 LINK = "a long, b long"
 #: A token's key within its partition, and how common it is.
 GRADED = np.dtype([("key", np.uint32), ("level", np.uint8)])
@@ -53,8 +55,17 @@ def shingles(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
     return doc[new], h[new]
 
 
-def _ids(table: pa.Table) -> np.ndarray:
-    return np.array([-(1 << 62) if i is None else i for i in table["doc_id"].to_pylist()], np.int64)
+def _nodes(table: pa.Table) -> np.ndarray:
+    """A node for each row of a bucket: its id, or, where an earlier row has that id, a number of its own.
+
+    All rows of an id lie in one bucket, in one order, so a row's node is the same each time.
+    """
+    ids = table["doc_id"].to_numpy().astype(np.int64)
+    if len(ids) and ids.max() >= AGAIN:
+        raise ValueError(f"ids of {AGAIN} and more are not supported")
+    again = np.zeros(len(ids), bool)
+    again[1:] = ids[1:] == ids[:-1]
+    return np.where(again, AGAIN + (table["bucket"][0].as_py() << 31) + np.arange(len(ids)), ids)
 
 
 def _signature(doc: np.ndarray, h: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,7 +82,7 @@ def _signature(doc: np.ndarray, h: np.ndarray, n_docs: int) -> tuple[np.ndarray,
 def _sent(size: int, parts: int):
     def send(table: pa.Table) -> pa.Table:
         table = ordered(table)
-        bucket, ids = table["bucket"][0].as_py(), _ids(table)
+        bucket, ids = table["bucket"][0].as_py(), _nodes(table)
         doc, h = shingles(table, size)
         tokens = flagged_set(bucket, h, np.zeros(len(h), bool), parts)
         n, one, two = _signature(doc, h, table.num_rows)
@@ -131,7 +142,7 @@ def _shown(size: int, parts: int, num: int, den: int):
 
     def show(table: pa.Table, answers: pa.Table) -> pa.Table:
         table = ordered(table)
-        ids, doc_id = _ids(table), table["doc_id"].to_pylist()
+        ids, doc_id = _nodes(table), table["doc_id"].to_pylist()
         doc, h = shingles(table, size)
         n = np.bincount(doc, minlength=table.num_rows)
         level = np.zeros(len(h), np.int64)
@@ -152,9 +163,9 @@ def _shown(size: int, parts: int, num: int, den: int):
         own = np.array([rep.get(i, i) for i in ids.tolist()], np.int64)
         shared = np.bincount(doc, level > 0, table.num_rows)
         can = (n > 0) & (own == ids) & (shared >= need(n, num, den))
-        rows: dict[str, list] = {k: [] for k in ("kind", "doc_id", "n_shingles", "class", "part", "payload")}
+        rows: dict[str, list] = {k: [] for k in ("kind", "doc_id", "node", "n_shingles", "class", "part", "payload")}
         for i in range(table.num_rows):
-            for k, x in zip(rows, (0, doc_id[i], int(n[i]), int(own[i]) if n[i] else doc_id[i], 0, None)):
+            for k, x in zip(rows, (0, doc_id[i], int(ids[i]), int(n[i]), int(own[i]) if n[i] else int(ids[i]), 0, None)):
                 rows[k].append(x)
         order = np.lexsort((h, level, doc))
         h, level, start = h[order], level[order], np.cumsum(n) - n
@@ -162,7 +173,7 @@ def _shown(size: int, parts: int, num: int, den: int):
         for i in np.flatnonzero(can):
             mine, grades = h[start[i] : start[i] + n[i]], level[start[i] : start[i] + n[i]]
             counts = np.bincount(grades, minlength=LEVELS + 1).astype(np.uint32)
-            for k, x in zip(rows, (2, int(ids[i]), int(n[i]), int(own[i]), 0, counts.tobytes() + mine.tobytes())):
+            for k, x in zip(rows, (2, None, int(ids[i]), int(n[i]), int(own[i]), 0, counts.tobytes() + mine.tobytes())):
                 rows[k].append(x)
             lead = slice(counts[0], n[i] - need(n[i], num, den) + 1)  # tokens of one document only join nothing
             tokens.append(mine[lead])
@@ -172,9 +183,9 @@ def _shown(size: int, parts: int, num: int, den: int):
         order = np.argsort(part, kind="stable")
         cells = np.stack((tokens, holders.view(U64)), axis=1)[order]
         for r in set_rows(0, part[order], cells).to_pylist():
-            for k, x in zip(rows, (1, None, None, None, r["part"], r["payload"])):
+            for k, x in zip(rows, (1, None, None, None, None, r["part"], r["payload"])):
                 rows[k].append(x)
-        types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(rows.items(), types)})
 
     return show
@@ -268,8 +279,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 75, den: int =
     `size`-word shingles (words lower-cased in A-Z).  With fewer words the whole
     sequence is the one shingle.  A null text, or one without words, has an empty
     set and links with nothing: its component is its own id.  Rows that repeat an
-    id are separate sets of one document.  A null id is not linked.  An empty
-    table gives no rows; other columns are ignored.
+    id are separate sets of one document: what either links with is one component
+    with it.  Ids are under 2^62.  A null id is not linked.  An empty table gives no
+    rows; other columns are ignored.
     """
     spark = docs.sparkSession
     layout = Layout(docs, text_col)
@@ -280,18 +292,18 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 75, den: int =
     answers = sets.groupBy("kind", "part").applyInArrow(_answered, ANSWER)
     shown = cut(texts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_shown(size, parts, num, den), SHOWN))
     stars = shown.where("kind = 1").select("part", "payload").groupBy("part").applyInArrow(_stars, LINK)
-    groups = cut(components(stars).select(F.col("node").alias("doc_id"), F.col("component").alias("group")))
-    held = shown.where("kind = 2").select("doc_id", "n_shingles").join(groups, "doc_id")
+    groups = cut(components(stars).select("node", F.col("component").alias("group")))
+    held = shown.where("kind = 2").select("node", "n_shingles").join(groups, "node")
     sizes = held.groupBy("group").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_TOKENS)).cast("int").alias("blocks"))
-    members = shown.where("kind = 2").select("doc_id", "n_shingles", "payload").join(groups, "doc_id").join(sizes, "group")
-    members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("group", "doc_id", "n_shingles", "payload", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    members = shown.where("kind = 2").select("node", "n_shingles", "payload").join(groups, "node").join(sizes, "group")
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.select("group", F.col("node").alias("doc_id"), "n_shingles", "payload", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     tasks = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
     links = members.withColumn("part", F.pmod(F.xxhash64("group", "i", "j"), F.lit(tasks))).groupBy("part").applyInArrow(_verified(num, den), LINK)
-    rows = shown.where("kind = 0").select("doc_id", "n_shingles", "class")
-    same = rows.where("class <> doc_id").select(F.col("doc_id").alias("a"), F.col("class").alias("b"))
-    found = components(links.union(same)).withColumnRenamed("node", "doc_id")
-    out = rows.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    rows = shown.where("kind = 0").select("doc_id", "node", "n_shingles", "class")
+    same = rows.where("class <> node OR doc_id <> node").select(F.col("node").alias("a"), F.explode(F.array("class", "doc_id")).alias("b"))
+    found = components(links.union(same))
+    out = rows.join(found, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     empty = docs.where(F.col(id_col).isNull())
     nameless = bucketed(empty, layout, id_col, text_col).groupBy("bucket").applyInArrow(_counted(size), "doc_id long, n_shingles long, component_id long")
     return out.union(nameless)
