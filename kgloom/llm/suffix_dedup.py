@@ -34,6 +34,8 @@ ANCHOR = 64
 BLOCK = 16
 #: An anchor that has MANY_RUNS runs in one bucket, or runs in over MANY_BUCKETS buckets, is crowded.
 MANY_RUNS, MANY_BUCKETS = 32, 512
+#: Bits of a place in a bucket; the rest of a word are the first bits of a hash.
+PLACE_BITS = 32
 RUN = "part long, anchor long, bucket long, places binary, shift int, text binary"
 SPAN = "bucket long, doc int, spans binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
@@ -55,7 +57,9 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int, anchor: in
     if len(data) < length:
         return none, none, none, none, np.zeros(0, U64)
     h = rolling(data, anchor)
-    bits = U64(int(len(data)).bit_length())
+    bits = U64(PLACE_BITS)  # the same for every bucket, so that equal windows have equal anchors wherever they are
+    if len(data) >> PLACE_BITS:
+        raise ValueError(f"a bucket of {len(data)} bytes: texts of 4 GiB are not supported")
     least = _sliding_min(((h >> bits) << bits) | np.arange(len(h), dtype=U64), length - anchor + 1)
     spot = (least & ((U64(1) << bits) - U64(1))).astype(np.int64)
     size = np.diff(offsets)

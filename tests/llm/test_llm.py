@@ -380,6 +380,12 @@ def test_embeddings(spark):
     assert sorted(map(tuple, link_embeddings(df, tables=20, planes=8).collect()), key=str) == sorted(want, key=str)
 
 
+def test_labels_with_one_hash_do_not_link(spark):
+    rows = [(1, [1.0, 0.0, 0.1], -1), (2, [1.0, 0.0, 0.1001], -2), (3, [1.0, 0.0, 0.1002], -1), (4, [1.0, 0.0], -1)]
+    found = link_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found.collect()) == [(1, 1, 1), (2, 0, 2), (3, 1, 1), (4, 0, 4)]
+
+
 def test_components(spark):
     rnd = random.Random(6)
     for links in ([(i, i + 1) for i in range(40)], [(rnd.randrange(80), rnd.randrange(80)) for _ in range(50)] + [(None, 1)]):
@@ -409,6 +415,16 @@ def test_jaccard(docs, rows):
     assert sorted(map(tuple, jaccard_components(docs).collect()), key=str) == sorted(want, key=str)
 
 
+def test_an_id_with_two_texts_keeps_the_links_of_both(spark):
+    rnd = random.Random(8)
+    a, b = words(rnd, 60), words(rnd, 60)
+    rows = [(2, a), (3, a), (3, b), (5, f"{b} more"), (7, words(rnd, 60)), (8, None), (8, b), (9, ""), (3, b)]
+    found = jaccard_components(spark.createDataFrame([(i, t, "clash", 7) for i, t in rows], DOC).repartition(3)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == sorted((i, i if i in (7, 9) else 2) for i, _ in rows)
+    apart = jaccard_components(spark.createDataFrame([(i, t, "clash", 7) for i, t in [(2, a), (3, a), (4, b), (5, f"{b} more")]], DOC)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in apart) == [(2, 2), (3, 2), (4, 4), (5, 4)]
+
+
 def thue_morse(n):
     """A word of 2**n letters and its complement: any sum of letters times powers of one base is the same modulo 2**64."""
     bits = [bin(i).count("1") % 2 for i in range(1 << n)]
@@ -531,3 +547,26 @@ def test_whole_pipeline(spark, tmp_path):
     library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(RANKS), special_tokens={})
     got = {r.doc_id: (np.frombuffer(r.ids, "<u4").tolist(), r.decoded_sha256) for r in C.run(spark, str(tmp_path)).collect()}
     assert got == {i: (library.encode_ordinary(r.text or ""), hashlib.sha256((r.text or "").encode()).hexdigest()) for i, r in steps["decontaminate"].items()}
+
+
+def test_equal_windows_have_equal_anchors_in_buckets_of_any_size():
+    rnd = random.Random(3)
+    shared = bytes(rnd.choice(b"ab") for _ in range(900))
+    found = []
+    for n in (50, 1 << 17, 1 << 21):
+        data = np.frombuffer(bytes(rnd.randrange(256) for _ in range(1000)) * (n // 1000) + shared, np.uint8)
+        _, first, count, spot, h = suffix_dedup.anchored_runs(data, np.array([0, len(data)]), 400, 64)
+        at = len(data) - len(shared)
+        inside = first >= at
+        found.append(list(zip((first[inside] - at).tolist(), count[inside].tolist(), (spot[inside] - at).tolist(), h[inside].tolist())))
+    assert found[0][1:] == found[1][-len(found[0][1:]):] == found[2][-len(found[0][1:]):]
+
+
+def test_rows_of_one_id_leave_the_same_one(spark, docs):
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard"]
+    rnd = random.Random(2)
+    rows = [(1, words(rnd, 40), "a", k) for k in range(6)] + [(1, words(rnd, 40), "b", 9), (2, words(rnd, 40), "c", 1)]
+    one = [sorted(map(tuple, stage(spark, spark.createDataFrame(rows[::step], DOC).repartition(n), None).collect()), key=str) for step, n in ((1, 1), (-1, 5))]
+    assert one[0] == one[1] and sorted(r[0] for r in one[0]) == [1, 2]
