@@ -7,7 +7,6 @@ Trained by maximum likelihood on the labelled pages, decoded by Viterbi.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -17,31 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import labelled_pages
-from .html_blocks import Block, blocks
+from .html_blocks import FEATURES, Block, blocks, slot
 
-FEATURES = 1 << 12
 PAGES, STEPS, L2 = 700, 160, 2e-4
-#: Words of classes and ids in their general sense.
-SENSES = {
-    "nav": "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc tabs toolbar", "head": "header masthead logo branding topbar", "foot": "footer copyright colophon legal imprint bottom",
-    "side": "sidebar aside related recommended widget rail teaser teasers trending popular more", "ad": "ad ads advert advertisement sponsored promo promotion banner adsense commercial",
-    "notice": "notice cookie consent alert popup modal overlay gdpr newsletter subscribe signup paywall warning toast", "form": "form login search register contact", "comment": "comment comments commentlist discussion replies reply disqus respond reader feedback",
-    "share": "share social follow tags tag meta byline", "main": "article content main post entry story body text page-content",
-}
-_SENSE = {w: s for s, words in SENSES.items() for w in words.split()}
-
-
-@lru_cache(maxsize=1 << 16)
-def _slot(feature: str) -> int:
-    return zlib.crc32(feature.encode()) % FEATURES
+#: Cells of the tables that pages of like length are decoded in at once.
+CELLS = 1 << 17
 
 
 @lru_cache(maxsize=1 << 14)
-def _around(tags: tuple[str, ...], names: frozenset[str]) -> tuple[int, ...]:
-    found = {f"in:{t}" for t in tags if t not in ("html", "body")} | {f"name:{n}" for n in names} | {f"sense:{_SENSE[n]}" for n in names if n in _SENSE}
-    inner = [t for t in tags if t not in ("b", "i", "em", "strong", "a", "span", "u", "small", "font")]
-    found |= {f"leaf:{inner[-1] if inner else ''}", "bias"}
-    return tuple(_slot(f) for f in sorted(found))
+def _around(bits: int, leaf: str) -> tuple[int, ...]:
+    """Feature slots of the elements around a block."""
+    raw = np.frombuffer(bits.to_bytes(FEATURES // 8, "little"), np.uint8)
+    return tuple(np.flatnonzero(np.unpackbits(raw, bitorder="little")).tolist()) + (slot(f"leaf:{leaf}"), slot("bias"))
 
 
 def features(page: list[Block]) -> list[tuple[int, ...]]:
@@ -50,7 +36,7 @@ def features(page: list[Block]) -> list[tuple[int, ...]]:
         n, words = len(b.text), b.text.count(" ") + 1
         share = 2 if b.linked > 0.6 * n else int(b.linked > 0.2 * n)
         shape = (f"words:{words.bit_length()}", f"links:{share}", f"end:{b.text[-1] in '.?!:'}", f"place:{'first' if not k else 'last' if k == len(page) - 1 else 'mid'}", f"mark:{'©' in b.text}")
-        out.append(_around(b.tags, b.names) + tuple(_slot(f) for f in shape))
+        out.append(_around(b.around.bits, b.around.leaf) + tuple(slot(f) for f in shape))
     return out
 
 
@@ -72,7 +58,20 @@ class Model:
         return np.stack([np.bincount(block, self.emission[slots, k], n) for k in (0, 1)], axis=1)
 
     def decode(self, pages: list[list[tuple[int, ...]]]) -> list[np.ndarray]:
-        """The likeliest labels of each page's blocks."""
+        """The likeliest labels of each page's blocks; pages of like length are decoded together."""
+        order = sorted(range(len(pages)), key=lambda k: len(pages[k]))
+        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(pages)
+        lo = 0
+        while lo < len(order):
+            hi = lo + 1
+            while hi < len(order) and (hi + 1 - lo) * len(pages[order[hi]]) <= CELLS:
+                hi += 1
+            for k, labels in zip(order[lo:hi], self._decoded([pages[k] for k in order[lo:hi]])):
+                out[k] = labels
+            lo = hi
+        return out
+
+    def _decoded(self, pages: list[list[tuple[int, ...]]]) -> list[np.ndarray]:
         slots, block, number = _padded(pages)
         n, width = int(number.max(initial=-1)) + 1, number.shape[1]
         score = np.vstack((self.scores(slots, block, n), np.zeros((1, 2))))

@@ -23,7 +23,11 @@ OTHER = [
 ARTICLE = ["<article>%a</article>", "<article><h1>%s</h1>%a</article>", "<main>%a</main>", "<main><article><header><h1>%s</h1></header>%a</article></main>", "<main><h1>%s</h1><section>%a</section></main>", "<div class='article'>%a</div>", "<div class='content'><h1>%s</h1>%a</div>", "<div id='main' class='post entry'><h2>%s</h2>%a</div>", "<div class='story body text'>%a</div>", "<div><h1>%s</h1>%a</div>"]
 BODY = ["<p>%w</p>", "<p>%w</p>", "<p>%w</p>", "<p>%w", "<p><b>%w<br>", "<p>%s</p>", "<h2>%s</h2><p>%w</p>", "<ul><li>%w</li><li>%w</li></ul>", "<ol><li>%s<li>%s</ol>", "<blockquote>%w</blockquote>", "<table><tr><td>%s<td>%s</table>", "<pre>%w</pre>", "<p><a href='/x'>%s</a> %w</p>", "<div>%w</div>"]
 #: Parts that stand inside articles and are none of their text.
-INSIDE = ["<aside><p>%w</p></aside>", "<div class='ad'>%w</div>", "<div class='share'>%k</div>", "<form><button>%s</button></form>", "<div class='related'><ul>%l</ul></div>", "<footer><p>%s</p></footer>", "<nav>%k</nav>", "<div class='comments'><p>%w</p></div>"]
+INSIDE = [
+    "<aside><p>%w</p></aside>", "<div class='ad'>%w</div>", "<div class='share'>%k</div>", "<form><button>%s</button></form>", "<div class='related'><ul>%l</ul></div>", "<footer><p>%s</p></footer>", "<nav>%k</nav>", "<div class='comments'><p>%w</p></div>",
+    "<div class='newsletter'><p>%s</p></div>", "<div class='newsletter signup'><p>%w</p><form><input name='m'><button>%s</button></form></div>", "<div class='notice'><p>%w</p></div>", "<p class='notice'>%w</p>", "<div role='alert'>%s</div>", "<div class='cookie-banner'><p>%w</p><button>%s</button></div>",
+    "<div class='paywall subscribe'>%w</div>", "<section class='promo'><p>%w</p></section>", "<div class='related'><h3>%s</h3><p>%w</p></div>", "<div class='warning toast'>%s</div>", "<ul class='social'>%l</ul>",
+]
 
 
 def _fill(shape: str, rnd: random.Random, mark: str) -> str:

@@ -481,7 +481,7 @@ def test_html(spark):
     html = "<html><head><title>t</title><script>var a='<p>no</p>'</script></head><body><nav><a href='/'>Home</a></nav><article><h1>A &amp; B</h1><p>First\n  line.<br>Still it.<p>Second.</article><footer>&copy; me</footer></body></html>"
     pages = spark.createDataFrame([(1, "u", html, 1), (2, None, None, 1), (3, "u", "", 1), (4, "u", "<div class='ad'>Buy it</div", 1)], "page_id long, url string, html string, text int")
     got = {r.page_id: (r.text, r.n_chars) for r in html_extract.extract_pages(pages).collect()}
-    assert [(b.text, b.tags[-1]) for b in blocks('<p class=x">Hello there</p><p title="a > b" id = \'c>d\'>Two</p><p it\'s>Three')] == [("Hello there", "p"), ("Two", "p"), ("Three", "p")]
+    assert [(b.text, b.around.leaf) for b in blocks('<p class=x">Hello there</p><p title="a > b" id = \'c>d\'>Two</p><p it\'s>Three')] == [("Hello there", "p"), ("Two", "p"), ("Three", "p")]
     assert got[1] == ("A & B\nFirst line. Still it.\nSecond.", 35) and got[2] == got[3] == ("", 0)
 
 

@@ -211,3 +211,58 @@ def test_whitening_without_variance(spark):
 def test_new_operators_on_empty_tables(spark):
     empty = spark.createDataFrame([], DOC)
     assert dedup_exact(empty).collect() == [] and divergence(empty).collect() == []
+
+
+#: Pages labelled by hand: what stands in curly brackets is the article.
+PAGES = [
+    "<div id=content><p>{The fox went out that night.}</p><div class='newsletter'><p>Sign up to our newsletter now</p></div><p>{It came home late.}</p></div>",
+    "<nav><a href=/>Home</a> <a href=/n>News</a></nav><article><h1>{A long road}</h1><p>{We walked for days along the river.}</p><div class='cookie-banner'><p>We use cookies on this site.</p><button>Accept</button></div><p>{Then the snow began to fall.}</p></article><footer>Copyright 2020</footer>",
+    "<header><div class=logo>The Paper</div></header><main><h1>{Prices rise}</h1><p>{Prices rose again in May, the office said.}</p><aside><h3>Related</h3><ul><li><a href=/a>More on prices</a><li><a href=/b>Old news</a></ul></aside><p>{Wages did not.}</p></main><div class=sidebar><p>Popular posts of the week</p></div>",
+    "<body><div class='notice banner'>This site will close on Monday</div><div class=post><h2>{Bread at home}</h2><p>{Mix flour and water; wait a day.}</p><ul><li>{500 g of flour}</li><li>{350 g of water}</li></ul><div role=alert>Your session ends soon</div><p>{Bake it hot.}</p></div><section id=comments><h2>Comments</h2><div class=comment><p>I loved this bread so much.</p></div></section>",
+    "<div class='ad'>Buy shoes today at half the price</div><article><p>{Shoes were once made by hand.}</p><form class=login><label>Name</label><input><button>Log in</button></form><blockquote>{A shoe is a promise, he said.}</blockquote></article><div class='share social'><a href=/t>Tweet</a> | <a href=/f>Post</a></div>",
+]
+
+
+def test_pages_labelled_by_hand():
+    from kgloom.llm import html_extract
+
+    wants = ["\n".join(re.findall(r"\{(.*?)\}", p)) for p in PAGES]
+    got = html_extract.main_text([p.replace("{", "").replace("}", "") for p in PAGES], html_extract.train())
+    assert got == wants
+
+
+def test_deep_nesting_takes_time_in_proportion():
+    import time
+
+    from kgloom.llm import html_extract
+
+    model = html_extract.train()
+    for page in ("<div>x" * 50_000, "<b>x<div>" * 50_000, "<i><div>" + "<b>x" * 50_000 + "</i>" * 50_000):
+        began = time.process_time()
+        html_extract.main_text([page], model)
+        assert time.process_time() - began < 10
+
+
+def test_long_and_short_pages_are_decoded_apart(monkeypatch):
+    from kgloom.llm import html_extract, labelled_pages
+
+    model, pages = html_extract.train(), [labelled_pages.page(s).replace(labelled_pages.IN, "").replace(labelled_pages.OUT, "") for s in range(40)]
+    whole = html_extract.main_text([*pages, "<p>x</p>" * 3000, "", None], model)
+    monkeypatch.setattr(html_extract, "CELLS", 7)
+    assert html_extract.main_text([*pages, "<p>x</p>" * 3000, "", None], model) == whole == [html_extract.main_text([p], model)[0] for p in [*pages, "<p>x</p>" * 3000, "", None]]
+
+
+def test_viterbi_against_all_labellings():
+    import itertools
+
+    from kgloom.llm.html_extract import FEATURES, Model
+
+    rng = np.random.default_rng(7)
+    model = Model(rng.standard_normal((FEATURES, 2)), rng.standard_normal((2, 2)))
+    pages = [[tuple(rng.integers(0, FEATURES, 3)) for _ in range(n)] for n in (1, 2, 5, 8, 0)]
+    for page, labels in zip(pages, model.decode(pages)):
+        def worth(ys, page=page):
+            return sum(model.emission[list(f), y].sum() for f, y in zip(page, ys)) + sum(model.transition[a, b] for a, b in zip(ys, ys[1:]))
+
+        best = max(itertools.product((0, 1), repeat=len(page)), key=worth)
+        assert labels.tolist() == list(best)
