@@ -6,6 +6,9 @@ Spark task.
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
 import numpy as np
 import pyarrow as pa
 
@@ -23,6 +26,18 @@ _BASE = {0: 0x9E3779B97F4A7C15, 1: 0xD1342543DE82EF95}
 _powers: dict[tuple[int, bool], np.ndarray] = {}
 
 
+def steady_memory() -> None:
+    """Let arrays of over 1 MB go back to the system when they are freed.
+
+    By default glibc keeps freed arrays of up to 32 MB in the process, so a worker
+    that is reused holds the most that any of its tasks needed.
+    """
+    if sys.platform == "linux":
+        mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+        if mallopt is not None:
+            mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
 def _power(which: int, inverse: bool, n: int) -> np.ndarray:
     """base**i (or its inverse) for i < n, modulo 2**64."""
     have = _powers.get((which, inverse))

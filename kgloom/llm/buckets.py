@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrays import runs
+from .arrays import runs, steady_memory
 
 U64 = np.uint64
 BUCKET_BYTES = 3 << 20
@@ -86,6 +86,7 @@ def bucketed(docs: DataFrame, layout: Layout, id_col: str = "doc_id", text_col:
 
 def ordered(table: pa.Table) -> pa.Table:
     """A bucket's documents by id (null first), then text: the same order each time the bucket is read."""
+    steady_memory()
     bucket = table["bucket"][0]
     rows = pa.concat_tables([pa.ipc.open_stream(cell).read_all() for cell in table["rows"].to_pylist()])
     rows = rows.take(pc.sort_indices(rows, [("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start"))

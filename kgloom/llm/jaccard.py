@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import Words, mix, prefix, runs, span_hash, text_bytes
+from .arrays import Words, mix, prefix, runs, span_hash, steady_memory, text_bytes
 from .buckets import ANSWER, Layout, answer_rows, bucketed, cut, flagged_set, ordered, place, set_rows, split_hash
 from .components import components
 
@@ -30,6 +30,8 @@ U64 = np.uint64
 #: Sets, and tokens of sets, that a block of a large component holds.
 BLOCK, BLOCK_TOKENS = 1500, 400_000
 LEVELS = 12
+#: Bytes of text whose tokens meet in a task.
+PART_BYTES = 8 << 20
 TOKEN, SET = 0, 1
 SENT = "kind int, part long, bucket long, payload binary"
 SHOWN = "kind int, doc_id long, node long, n_shingles long, class long, part long, payload binary"
@@ -100,6 +102,7 @@ def _sent(size: int, parts: int):
 def _answered(table: pa.Table) -> pa.Table:
     """For each bucket one row: its tokens held by two documents or more, and how common each is; or
     the class of each set that is not its own."""
+    steady_memory()
     kind, part = table["kind"][0].as_py(), table["part"][0].as_py()
     buckets = np.array(table["bucket"].to_pylist(), np.int64)
     order = np.argsort(buckets, kind="stable")
@@ -284,7 +287,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 75, den: int =
     rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    layout = Layout(docs, text_col)
+    layout = Layout(docs, text_col, part_bytes=PART_BYTES)
     parts = layout.parts
     named = docs.where(F.col(id_col).isNotNull())
     texts = bucketed(named, layout, id_col, text_col)
