@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph_ml import dense_index, split
+from .graph_ml import dense_index, ranged, split
 from .sampling import descendants, draw, global_order, split_entities
 
 
@@ -139,6 +139,28 @@ def areas(scored: DataFrame, entity: list[str]) -> DataFrame:
     return agg.select(*entity, "n_pos", "n_neg", auroc.alias("auroc"), F.when(p > 0, F.col("precisions") / p).otherwise(-1.0).alias("auprc"))
 
 
+def spread_areas(scored: DataFrame, pool: list[str]) -> DataFrame:
+    """The areas of pools of any size, none of which is one task.
+
+    Equal scores of a pool are one row of counts; those are dealt to ranges, and the
+    counts above a row are those of the ranges before and of its own range.
+    """
+    true = F.col("label") == 1
+    ties = scored.groupBy(*pool, "score").agg(F.count_if(true).alias("p"), F.count_if(~true).alias("q"))
+    dealt = ranged(ties.withColumn("down", -F.col("score").cast("double")), *pool, "down")
+    sizes = dealt.groupBy(*pool, "chunk").agg(F.sum("p").alias("sp"), F.sum("q").alias("sq"))
+    before = Window.partitionBy(*pool).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    base = sizes.select(*pool, "chunk", F.coalesce(F.sum("sp").over(before), F.lit(0)).alias("bp"), F.coalesce(F.sum("sq").over(before), F.lit(0)).alias("bq"))
+    inside = Window.partitionBy(*pool, "chunk").orderBy("down").rowsBetween(Window.unboundedPreceding, 0)
+    rows = dealt.withColumns({"cp": F.sum("p").over(inside), "cq": F.sum("q").over(inside)}).join(base, [*pool, "chunk"])
+    hits, misses = F.col("cp") + F.col("bp"), F.col("cq") + F.col("bq")  # down to the end of the tie
+    above = F.sum(F.col("p") * (misses - F.col("q") / 2))  # of the negatives, those that a positive ranks below
+    agg = rows.groupBy(*pool).agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"), above.alias("lost"), F.sum(F.col("p") * hits / (hits + misses)).alias("precisions"))
+    p, n = F.col("n_pos"), F.col("n_neg")
+    auroc = F.when((p > 0) & (n > 0), 1 - F.col("lost") / (p * n)).otherwise(-1.0)
+    return agg.select(*pool, "n_pos", "n_neg", auroc.alias("auroc"), F.when(p > 0, F.col("precisions") / p).otherwise(-1.0).alias("auprc"))
+
+
 def top_k_metrics(scored: DataFrame, entity: str, ks: dict[str, int], n_items: int) -> DataFrame:
     """Recall, recall of a random order, enrichment, average precision and reciprocal rank at each k.
 
@@ -166,8 +188,8 @@ def top_k_metrics(scored: DataFrame, entity: str, ks: dict[str, int], n_items: i
 
 def micro_macro(scored: DataFrame, relation: str) -> DataFrame:
     """Areas of each relation, of all pairs together (micro), and the mean over relations that have both classes (macro)."""
-    each = areas(scored, [relation]).select(F.col(relation).cast("string").alias("name"), "auroc", "auprc")
-    micro = areas(scored.withColumn("_all", F.lit("micro")), ["_all"]).select(F.col("_all").alias("name"), "auroc", "auprc")
+    each = spread_areas(scored, [relation]).select(F.col(relation).cast("string").alias("name"), "auroc", "auprc")
+    micro = spread_areas(scored.withColumn("_all", F.lit("micro")), ["_all"]).select(F.col("_all").alias("name"), "auroc", "auprc")
     macro = each.where("auroc >= 0").agg(F.lit("macro").alias("name"), F.avg("auroc").alias("auroc"), F.avg("auprc").alias("auprc"))
     return each.unionAll(micro).unionAll(macro).select("name", F.round("auroc", 6).alias("auroc"), F.round("auprc", 6).alias("auprc"))
 
@@ -180,7 +202,7 @@ def summary(metrics: DataFrame, by: list[str], values: list[str]) -> DataFrame:
 
 def pooled_areas(scored: DataFrame, run: list[str], seed: str) -> DataFrame:
     """Areas of the pooled scores of each run and seed, then mean and deviation over the seeds."""
-    return summary(areas(scored, [*run, seed]), run, ["auroc", "auprc"])
+    return summary(spread_areas(scored, [*run, seed]), run, ["auroc", "auprc"])
 
 
 def rarity(degree: Column, rate: float) -> Column:
