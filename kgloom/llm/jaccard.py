@@ -83,6 +83,7 @@ def _signature(doc: np.ndarray, h: np.ndarray, n_docs: int) -> tuple[np.ndarray,
 
 def _sent(size: int, parts: int):
     def send(table: pa.Table) -> pa.Table:
+        steady_memory()
         table = ordered(table)
         bucket, ids = table["bucket"][0].as_py(), _nodes(table)
         doc, h = shingles(table, size)
@@ -144,6 +145,7 @@ def _shown(size: int, parts: int, num: int, den: int):
     """A row for each document; of each class that can have a partner, its set and its prefix tokens."""
 
     def show(table: pa.Table, answers: pa.Table) -> pa.Table:
+        steady_memory()
         table = ordered(table)
         ids, doc_id = _nodes(table), table["doc_id"].to_pylist()
         doc, h = shingles(table, size)
@@ -314,6 +316,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 75, den: int =
 
 def _counted(size: int):
     def count(table: pa.Table) -> pa.Table:
+        steady_memory()
         table = ordered(table)
         doc, _ = shingles(table, size)
         return pa.table({"doc_id": table["doc_id"], "n_shingles": pa.array(np.bincount(doc, minlength=table.num_rows), pa.int64()), "component_id": table["doc_id"]})

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .arrays import covered, member, mix, rolling, runs, text_bytes
+from .arrays import covered, member, mix, rolling, runs, steady_memory, text_bytes
 from .bcr import repeated_starts
 from .buckets import ANSWER, Layout, answer_rows, bucketed, flagged_set, looked_up, ordered, place, repeated_answer, set_rows, split_hash
 
@@ -78,6 +78,7 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int, anchor: in
 
 def _anchor_sets(length: int, anchor: int, parts: int, many: int):
     def sets(table: pa.Table) -> pa.Table:
+        steady_memory()
         table = ordered(table)
         h = anchored_runs(*text_bytes(table["text"]), length, anchor)[4]
         back, count = np.unique(h, return_inverse=True, return_counts=True)[1:]
@@ -120,6 +121,7 @@ def _repeated_runs(length: int, anchor: int, parts: int):
         schema = pa.schema([("part", pa.int64()), ("anchor", pa.int64()), ("bucket", pa.int64()), ("places", pa.binary()), ("shift", pa.int32()), ("text", pa.binary())])
         if not table.num_rows or not answers.num_rows:
             return schema.empty_table()
+        steady_memory()
         table = ordered(table)
         data, offsets = text_bytes(table["text"])
         doc, first, count, spot, h = anchored_runs(data, offsets, length, anchor)
@@ -229,6 +231,7 @@ def _repeated_spans(length: int, batch: int):
 
 def _removed(texts: bool, length: int):
     def remove(table: pa.Table, found: pa.Table) -> pa.Table:
+        steady_memory()
         table = ordered(table)
         spans: dict[int, list[np.ndarray]] = defaultdict(list)
         again: list[np.ndarray] = []
