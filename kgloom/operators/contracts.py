@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.schema import RELATIONS
+from .graph_ml import places
 
 #: Letters of sequences by alphabet; feature-context tables by their ends; evidence types that claim no cause.
 ALPHABETS = {"dna_iupac": "ACGTRYSWKMBDHVN", "rna_iupac": "ACGURYSWKMBDHVN", "protein_iupac": "ABCDEFGHIJKLMNOPQRSTUVWXYZ*"}
@@ -166,8 +167,8 @@ def pooled(df: DataFrame, key: str, weight: Column | None = None) -> DataFrame:
 
 def ordered_digest(df: DataFrame, group: str, order: list[str], value: str, block: int = 1000) -> DataFrame:
     """SHA-256 over the values of each group in order: of blocks of rows first, then of the blocks' digests."""
-    place = (F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1).alias("place")
-    rows = df.select(group, place, F.col(value).cast("string").alias("v")).withColumn("block", F.floor(F.col("place") / block))
+    own = df.select(group, *[c for c in order if c != group], F.col(value).cast("string").alias("v"))
+    rows = places(own, group, order).select(group, "place", "v").withColumn("block", F.floor(F.col("place") / block))
     text = lambda p, v: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(p, v))), lambda x: x[v]), "\n")
     blocks = rows.groupBy(group, "block").agg(F.sha2(text("place", "v"), 256).alias("h"))
     return blocks.groupBy(group).agg(F.sha2(text("block", "h"), 256).alias("digest"))

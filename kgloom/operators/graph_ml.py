@@ -41,6 +41,17 @@ def dense_index(nodes: DataFrame) -> DataFrame:
     return dealt.withColumn("rank", rank).join(F.broadcast(offsets), ["node_type", "chunk"]).select("node_type", "id", (F.col("rank") + F.col("offset")).cast("long").alias("node_index"))
 
 
+def places(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """rows with `place` 0.. in their group by order, ranked range by range; rows with a null come first."""
+    dealt = ranged(rows, group, *order)
+    sizes = dealt.groupBy(group, "chunk").count()
+    before = Window.partitionBy(group).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    offsets = sizes.select(F.col(group).alias("_group"), F.col("chunk").alias("_chunk"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
+    rank = F.row_number().over(Window.partitionBy(group, "chunk").orderBy(*order)) - 1
+    joined = dealt.withColumn("_rank", rank).join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("chunk") == F.col("_chunk")))
+    return joined.select(*rows.columns, (F.col("_rank") + F.col("_offset")).cast("long").alias("place"))
+
+
 def reversed_edges(edges: DataFrame) -> DataFrame:
     """Swapped edges; the relation is renamed where the ends have different types."""
     name = F.when(F.col("x_type") == F.col("y_type"), F.col("relation")).otherwise(F.concat(F.lit("rev_"), "relation"))
@@ -65,7 +76,7 @@ def split(df: DataFrame, group: str, key: str, seed: int, valid: float, test: fl
     place = dense_index(ids).select(F.col("node_type").alias("_group"), F.substring("id", 66, 1 << 20).alias("_key"), (F.col("node_index") + 1).alias("_rank"))
     sizes = df.groupBy(F.col(group).cast("string").alias("_group")).agg(F.count("*").alias("_n"))
     a, b = F.floor(F.col("_n") * test), F.floor(F.col("_n") * test) + F.floor(F.col("_n") * valid)
-    joined = df.withColumns({"_group": F.col(group).cast("string"), "_key": F.col(key).cast("string")}).join(place, ["_group", "_key"]).join(F.broadcast(sizes), "_group")
+    joined = df.withColumns({"_group": F.col(group).cast("string"), "_key": F.col(key).cast("string")}).join(place, ["_group", "_key"]).join(sizes, "_group")
     return joined.withColumn("split", F.when(F.col("_rank") <= a, "test").when(F.col("_rank") <= b, "valid").otherwise("train")).select(*df.columns, "split")
 
 
@@ -105,37 +116,53 @@ def knn(vectors: DataFrame, query_id: int, k: int) -> DataFrame:
     return scored.select("vec_id", F.round("cosine", 6).alias("cosine")).orderBy(F.desc("cosine"), "vec_id").limit(k)
 
 
+#: Queries whose cosines a task holds at once.
+QUERIES_AT_ONCE = 64
+
+
 def _top_of_block(k: int):
     """The k best partners in one block of vectors for each query of the block's query group."""
 
     def top(table: pa.Table) -> pa.Table:
-        ids = np.array(table["vec_id"].to_pylist(), np.int64)
-        v = np.array(table["embedding"].to_pylist(), np.float64)
-        v /= np.maximum(np.sqrt((v * v).sum(1)), 1e-300)[:, None]
-        asks = np.flatnonzero(np.array(table["is_query"].to_pylist(), bool))
-        rest = np.flatnonzero(~np.array(table["is_query"].to_pylist(), bool))
+        ids, is_query = table["vec_id"].to_numpy(), table["is_query"].to_numpy()
+        lists = table["embedding"].combine_chunks()
+        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        v = flat.reshape(len(lists), -1)  # vectors of one length, as the key of the group says
+        v = v / np.maximum(np.sqrt((v * v).sum(1)), 1e-300)[:, None]
+        asks, rest = np.flatnonzero(is_query), np.flatnonzero(~is_query)
+        names, base = ids[rest], v[rest]
         out: list[tuple] = []
-        for q in asks:
-            cos = np.round(v[rest] @ v[q], 6)
-            best = np.lexsort((ids[rest], -cos))
-            best = best[ids[rest][best] != ids[q]][:k]
-            out += zip([ids[q]] * len(best), ids[rest][best].tolist(), cos[best].tolist())
+        for lo in range(0, len(asks), QUERIES_AT_ONCE):
+            some = asks[lo : lo + QUERIES_AT_ONCE]
+            cosines = np.round(v[some] @ base.T, 6)
+            for q, cos in zip(ids[some].tolist(), cosines):
+                if len(cos) > k + 1:  # all that reach the k + 1st value, so ties stay whole
+                    near = np.flatnonzero(cos >= np.partition(cos, -k - 1)[-k - 1])
+                else:
+                    near = np.arange(len(cos))
+                near = near[np.lexsort((names[near], -cos[near]))]
+                near = near[names[near] != q][:k]
+                out += zip([q] * len(near), names[near].tolist(), cos[near].tolist())
         return pa.table({"query_id": pa.array([r[0] for r in out], pa.int64()), "vec_id": pa.array([r[1] for r in out], pa.int64()), "cosine": pa.array([r[2] for r in out], pa.float64())})
 
     return top
 
 
-def knn_all(vectors: DataFrame, queries: Column, k: int, blocks: int = 8, groups: int = 4) -> DataFrame:
+def knn_all(vectors: DataFrame, queries: Column, k: int, block_rows: int = 100_000, group_rows: int = 10_000) -> DataFrame:
     """The k vectors of highest cosine for every query row, in blocks: each block of vectors meets each group of queries.
 
-    A task holds one block and one group, and sends k rows a query; `blocks` and `groups` bound its memory.
+    A task holds one block and one group of so many rows on average, and sends k rows
+    a query.  Vectors of different length do not meet.  One count of the rows says
+    how many blocks there are.
     """
-    rows = vectors.where("vec_id IS NOT NULL AND size(embedding) > 0").select("vec_id", "embedding")
+    rows = vectors.where("vec_id IS NOT NULL AND size(embedding) > 0").select("vec_id", "embedding", F.size("embedding").alias("dim"))
+    n = rows.agg(F.count("*"), F.count_if(queries)).first()
+    blocks, groups = max(1, -(-n[0] // block_rows)), max(1, -(-n[1] // group_rows))
     deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    base = rows.select("vec_id", "embedding", F.lit(False).alias("is_query"), deal(blocks).alias("block"), every(groups).alias("group"))
-    asks = rows.where(queries).select("vec_id", "embedding", F.lit(True).alias("is_query"), every(blocks).alias("block"), deal(groups).alias("group"))
-    found = base.unionByName(asks).groupBy("block", "group").applyInArrow(_top_of_block(k), "query_id long, vec_id long, cosine double")
+    base = rows.select("vec_id", "embedding", "dim", F.lit(False).alias("is_query"), deal(blocks).alias("block"), every(groups).alias("group"))
+    asks = rows.where(queries).select("vec_id", "embedding", "dim", F.lit(True).alias("is_query"), every(blocks).alias("block"), deal(groups).alias("group"))
+    found = base.unionByName(asks).groupBy("dim", "block", "group").applyInArrow(_top_of_block(k), "query_id long, vec_id long, cosine double")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))
     return found.withColumn("rank", best).where(F.col("rank") <= k)
 

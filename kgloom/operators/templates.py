@@ -28,6 +28,8 @@ NEGATIVE = ("inhibit", "inhibition", "inhibitor", "antagonist", "loss_of_functio
 CAUSAL = ("causal", "causal_mechanistic", "genetic_causal", "mechanistic", "pathogenic_causal", "validated_causal")
 BENEFIT = ("sensitive", "sensitivity", "benefit", "increased_efficacy", "increased_response", "therapeutic_benefit")
 WEAK_ATTRIBUTION = ("containment", "genomic_containment", "nearest_gene", "ld_only")
+#: SQL text of an empty list.
+NO_TEXT = "CAST(array() AS array<string>)"
 _OWN = ("x_id", "y_id", "x_type", "y_type", "relation", "edge_key", "evidence_ids")
 
 
@@ -39,6 +41,13 @@ def values(c: Column, lower: bool = True) -> Column:
     return F.array_sort(F.array_distinct(F.filter(clean, lambda x: x.isNotNull() & (x != ""))))
 
 
+#: The same as SQL text of a column {c}.
+_VALUES = (
+    "array_sort(array_distinct(filter(transform(CASE WHEN startswith(trim(CAST({c} AS STRING)), '[') THEN coalesce(from_json(trim(CAST({c} AS STRING)), 'array<string>'), array(trim(CAST({c} AS STRING)))) ELSE array(trim(CAST({c} AS STRING))) END,"
+    " x -> lower(trim(x))), x -> x IS NOT NULL AND x <> '')))"
+)
+
+
 def with_evidence(edges: DataFrame, evidence: DataFrame | None = None) -> DataFrame:
     """Edges with an edge key and the ids of their evidence, and with what their evidence says.
 
@@ -72,7 +81,7 @@ def _premise(edges: DataFrame) -> tuple[DataFrame, frozenset[str]]:
     if "evidence_ids" not in edges.columns:
         edges = with_evidence(edges)
     fields = [c for c in edges.columns if c not in _OWN]
-    return edges.select("x_id", "y_id", "edge_key", "evidence_ids", *[values(F.col(c)).alias(c) for c in fields]), frozenset(fields)
+    return edges.select("x_id", "y_id", "edge_key", "evidence_ids", *[F.expr(_VALUES.format(c=f"`{c}`")).alias(c) for c in fields]), frozenset(fields)
 
 
 @dataclass
@@ -107,28 +116,38 @@ class Paths:
         marked = self.df.withColumn("_reason", reason)
         return Paths(marked.where("_reason IS NULL").drop("_reason"), self.fields, [*self.rejects, marked.where("_reason IS NOT NULL").select(F.col("_reason").alias("reason"))])
 
+    # Expressions of fields are written as SQL text: a template has hundreds, and each call from Python costs more than its work.
+    def _values(self, role: str, *names: str) -> str:
+        have = [f"coalesce({role}.`{n}`, {NO_TEXT})" for n in names if n in self.fields[role]]
+        return reduce(lambda x, y: f"array_union({x}, {y})", have) if have else NO_TEXT
+
+    def _state(self, role: str, *names: str) -> str:
+        marks, found = self._values(role, *[f"{n}_status" for n in names]), self._values(role, *names)
+        has = lambda items, word: f"array_contains({items}, '{word}')" if items != NO_TEXT else "false"
+        return f"CASE WHEN {has(marks, 'conflicting')} OR {has(found, 'conflicting')} OR size({found}) > 1 THEN 'conflicting' WHEN size({found}) = 0 OR {has(marks, 'unknown')} THEN 'unknown' ELSE 'known' END"
+
+    def _known(self, role: str, *names: str) -> str:
+        return f"CASE WHEN {self._state(role, *names)} = 'known' THEN get({self._values(role, *names)}, 0) END"
+
     def values(self, role: str, *names: str) -> Column:
-        have = [F.coalesce(F.col(f"{role}.{n}"), F.array().cast("array<string>")) for n in names if n in self.fields[role]]
-        return reduce(F.array_union, have, F.array().cast("array<string>"))
+        return F.expr(self._values(role, *names))
 
     def state(self, role: str, *names: str) -> Column:
-        marks, found = self.values(role, *[f"{n}_status" for n in names]), self.values(role, *names)
-        conflict = F.array_contains(marks, "conflicting") | F.array_contains(found, "conflicting") | (F.size(found) > 1)
-        return F.when(conflict, "conflicting").when((F.size(found) == 0) | F.array_contains(marks, "unknown"), "unknown").otherwise("known")
+        return F.expr(self._state(role, *names))
 
     def known(self, role: str, *names: str) -> Column:
         """The one value of a known field, else null."""
-        return F.when(self.state(role, *names) == "known", F.get(self.values(role, *names), F.lit(0)))
+        return F.expr(self._known(role, *names))
 
     def compatible(self, roles: tuple[str, ...], fields: tuple[str, ...] = CONTEXT_FIELDS) -> Column:
         """No field conflicts, and no field has two different known values."""
-        out = F.lit(True)
+        rules = ["true"]
         for f in fields:
             have = [r for r in roles if f in self.fields[r] or f"{f}_status" in self.fields[r]]
-            if have:
-                seen = F.array_distinct(F.array_compact(F.array(*[self.known(r, f) for r in have])))
-                out = out & reduce(lambda a, b: a & b, [self.state(r, f) != "conflicting" for r in have]) & (F.size(seen) <= 1)
-        return out
+            rules += [f"{self._state(r, f)} <> 'conflicting'" for r in have]
+            if len(have) > 1:
+                rules.append(f"size(array_distinct(array_compact(array({', '.join(self._known(r, f) for r in have)})))) <= 1")
+        return F.expr(" AND ".join(rules))
 
     def sources(self, role: str) -> Column:
         return self.values(role, *SOURCE_FIELDS)
@@ -139,8 +158,8 @@ class Paths:
     def shares_context(self, a: str, b: str) -> Column:
         """Some context field has the same one value in both."""
         both = [f for f in CONTEXT_FIELDS if f in self.fields[a] and f in self.fields[b]]
-        same = [(F.size(self.values(a, f)) == 1) & (self.values(a, f) == self.values(b, f)) for f in both]
-        return reduce(lambda x, y: x | y, same, F.lit(False))
+        same = [f"size({self._values(a, f)}) = 1 AND {self._values(a, f)} = {self._values(b, f)}" for f in both]
+        return F.expr(" OR ".join(same) or "false")
 
     def sign(self, role: str, *names: str) -> tuple[Column, Column]:
         """State and sign (+1, -1) of fields that hold words with a sign."""
@@ -298,8 +317,12 @@ def _pathway_member(membership: str, association: str):
 
 def _pathway_disease(r, most: int = 500):
     """A pathway and a disease by two members from disjoint sources, or by native support; no large pathways."""
-    p = Paths.of("a", r["pathway_contains_gene"]).join("b", r["disease_associated_gene"], "a.y_id", "x_id")
     size = r["pathway_contains_gene"].groupBy(F.col("x_id").alias("x")).agg(F.count("*").alias("pathway_size"))
+    inside = r["pathway_contains_gene"].join(size.select(F.col("x").alias("x_id"), (F.col("pathway_size") > most).alias("_large")), "x_id")
+    associated = r["disease_associated_gene"]
+    pairs = inside.where("_large").select(F.col("x_id").alias("x"), F.col("y_id").alias("g")).join(associated.select(F.col("x_id").alias("g"), F.col("y_id").alias("y")), "g").select("x", "y").distinct()
+    fanout = pairs.select(F.lit("pathway_fanout").alias("reason"))  # large pathways are counted, none of their members gathered
+    p = Paths.of("a", inside.where("NOT _large").drop("_large")).join("b", associated, "a.y_id", "x_id")
     native = F.arrays_overlap(p.values("b", "pathway_native_support"), F.array(F.lit("true"), F.lit("1"), F.lit("yes")))
     one = p.df.select(F.col("a.x_id").alias("x"), F.col("b.y_id").alias("y"), F.col("a.y_id").alias("member"), F.array("a.edge_key", "b.edge_key").alias("keys"), F.flatten(F.array("a.evidence_ids", "b.evidence_ids")).alias("ids"), p.independent("a", "b").alias("free"), native.alias("native"), p.sources("b").alias("sources"))
     members = one.groupBy("x", "y", "member").agg(
@@ -312,7 +335,7 @@ def _pathway_disease(r, most: int = 500):
         F.collect_set(F.when(F.col("free"), F.col("sources"))).alias("sets"),
     )
     disjoint = F.exists("sets", lambda s: F.exists("sets", lambda t: (F.size(s) > 0) & (F.size(t) > 0) & ~F.arrays_overlap(s, t)))  # distinct source sets of one group
-    rules = Paths(groups.join(size, "x"), {}).decide((F.col("pathway_size") > most, "pathway_fanout"), ((F.col("n_free") < 2) & ~F.col("native"), "insufficient_independent_members"), (~disjoint & ~F.col("native"), "source_commonality_or_circularity"))
+    rules = Paths(groups.join(size, "x"), {}, [fanout]).decide(((F.col("n_free") < 2) & ~F.col("native"), "insufficient_independent_members"), (~disjoint & ~F.col("native"), "source_commonality_or_circularity"))
     none = F.lit("")
     rows = rules.df.select(
         F.col("x").alias("x_id"), F.col("y").alias("y_id"), none.alias("member_id"), none.alias("anchor_id"), F.when(F.col("native"), F.col("all_keys")).otherwise(F.col("free_keys")).alias("supports"), "evidence",
@@ -321,21 +344,94 @@ def _pathway_disease(r, most: int = 500):
     return rules, rows
 
 
+def _facts(p: Paths, role: str, fields: tuple[str, ...] = CONTEXT_FIELDS) -> dict[str, Column]:
+    """What compatibility asks of one premise, as plain columns: a conflict in any field, each field's one known value and its single value."""
+    own = [f for f in fields if f in p.fields[role] or f"{f}_status" in p.fields[role]]
+    conflict = " OR ".join(f"{p._state(role, f)} = 'conflicting'" for f in own) or "false"
+    single = {f"_{role}_single_{f}": F.expr(f"CASE WHEN size({p._values(role, f)}) = 1 THEN get({p._values(role, f)}, 0) END") for f in own if f in p.fields[role]}
+    return {f"_{role}_conflict": F.expr(conflict)} | {f"_{role}_known_{f}": p.known(role, f) for f in own} | single
+
+
+def _fits(columns: list[str], a: str, b: str, fields: tuple[str, ...] = CONTEXT_FIELDS) -> tuple[Column, Column]:
+    """Whether two premises are compatible, and whether they share a context, from their facts."""
+    same = lambda kind, otherwise: [f"coalesce(_{a}_{kind}_{f} = _{b}_{kind}_{f}, {otherwise})" for f in fields if {f"_{a}_{kind}_{f}", f"_{b}_{kind}_{f}"} <= set(columns)]
+    return F.expr(" AND ".join([f"NOT _{a}_conflict", f"NOT _{b}_conflict", *same("known", "true")])), F.expr(" OR ".join(same("single", "false")) or "false")
+
+
+def _with_sign(p: Paths, role: str, name: str, *fields: str) -> Paths:
+    """Columns _{name}_state and _{name}_sign, each worked out once."""
+    up = F.arrays_overlap(p.values(role, *fields), F.array(*map(F.lit, POSITIVE)))
+    df = p.df.withColumn(f"_{name}_state", p.sign(role, *fields)[0]).withColumn(f"_{name}_sign", F.when(F.col(f"_{name}_state") == "known", F.when(up, 1).otherwise(-1)))
+    return Paths(df, p.fields, p.rejects)
+
+
+def _worst(states: list[Column]) -> Column:
+    """conflicting, unknown or known, the worst of some states."""
+    some = lambda what: reduce(lambda x, y: x | y, [s == what for s in states], F.lit(False))
+    return F.when(some("conflicting"), "conflicting").when(some("unknown"), "unknown").otherwise("known")
+
+
+def _marked(told: Column, state: Column) -> Column:
+    """A state, overridden by what a status field says."""
+    return F.when(F.array_contains(told, "conflicting"), "conflicting").when(F.array_contains(told, "unknown"), "unknown").otherwise(state)
+
+
+def _action_facts(p: Paths, role: str) -> DataFrame:
+    """p.df with _action_state and _action_sign, as `action_sign` says."""
+    names = [f for f in ("action_direction", "target_modulation", "action_types", "action_type") if {f, f"{f}_status"} & p.fields[role]]
+    mark, there = p.values(role, "action_status"), {f: F.size(p.values(role, f, f"{f}_status")) > 0 for f in names}
+    for f in names:
+        p = _with_sign(p, role, f, f)
+    said = [F.when(there[f], F.col(f"_{f}_state")) for f in names]
+    signs = F.array_distinct(F.array_compact(F.array(*[F.when(there[f], F.col(f"_{f}_sign")) for f in names]))) if names else F.array().cast("array<int>")
+    df = p.df.withColumn("_signs", signs)
+    some = lambda what: reduce(lambda x, y: x | y, [F.coalesce(s == what, F.lit(False)) for s in said], F.lit(False))
+    state = F.when(some("conflicting"), "conflicting").when(some("unknown"), "unknown").when(F.size("_signs") > 1, "conflicting").when(F.size("_signs") == 0, "unknown").otherwise("known")
+    df = df.withColumn("_action_state", _marked(mark, state))
+    return df.withColumn("_action_sign", F.when(F.col("_action_state") == "known", F.get("_signs", F.lit(0))))
+
+
+def _disease_facts(p: Paths, role: str) -> DataFrame:
+    """p.df with _disease_state and _disease_sign, as `disease_sign` says, and _causal_state and _causal."""
+    parts = {"mechanism": ("causal_mechanisms", "causal_mechanism", "pathological_mechanism_sign"), "effect": ("effect_directions", "effect_direction")}
+    told = {"mechanism": p.values(role, "mechanism_status"), "effect": p.values(role, "effect_direction_status")}
+    support = ("causal_support_level", "causal_support")
+    causal = {"_causal_state": p.state(role, *support), "_causal": p.known(role, *support)}
+    for name, fields in parts.items():
+        p = _with_sign(p, role, name, *fields)
+    df = p.df.withColumns({f"_{n}_state": _marked(told[n], F.col(f"_{n}_state")) for n in parts})
+    df = df.withColumns({"_disease_state": _worst([F.col(f"_{n}_state") for n in parts]), "_product": F.col("_mechanism_sign") * F.col("_effect_sign")} | causal)
+    return df.withColumn("_disease_sign", F.when(F.col("_disease_state") == "known", F.col("_product")))
+
+
 def _signed(protein: bool, harmful: bool):
-    """A molecule acts on a target as, or against, the disease does."""
+    """A molecule acts on a target as, or against, the disease does.
+
+    Signs, causal support and known contexts are facts of one premise and worked out
+    before the join.  Paths that a sign rejects are counted by a join of those facts
+    alone; whole premises meet only where their signs fit.
+    """
 
     def build(r):
         kind = "protein" if protein else "gene"
-        p = Paths.of("a", r[f"molecule_targets_{kind}"]).join("b", r[f"disease_associated_{kind}"], "a.y_id", "x_id")
-        (s1, v1), (s2, v2) = p.action_sign("a"), p.disease_sign("b")
-        fields = ("causal_support_level", "causal_support")
-        s3, causal = p.state("b", *fields), p.known("b", *fields)
-        conflict = (s1 == "conflicting") | (s2 == "conflicting") | (s3 == "conflicting")
-        p = p.decide(
-            (conflict, "conflicting_sign"), (v1.isNull() | v2.isNull() | (s3 != "known"), "missing_sign_or_causal_support"), (~causal.isin(*CAUSAL), "noncausal_support"),
-            ((v1 * v2 > 0) != F.lit(harmful), "nonharmful_sign_product" if harmful else "nontherapeutic_sign_product"), (~p.compatible(("a", "b")), "context_mismatch"), (~p.shares_context("a", "b"), "missing_shared_context"),
-        )
-        return p, p.rows("a.x_id", "b.y_id", ("a", "b"), causal_support=causal, sign_product=v1 * v2)
+        a, b = Paths.of("a", r[f"molecule_targets_{kind}"]), Paths.of("b", r[f"disease_associated_{kind}"])
+        # dealt by target before any fact is worked out: the join needs it, and premises are read once instead of within every fact
+        dealt = lambda p, key: Paths(p.df.withColumn("_target", F.col(key)).repartition("_target"), p.fields)
+        action, disease = _action_facts(dealt(a, "a.y_id"), "a"), _disease_facts(dealt(b, "b.x_id"), "b")
+        acts = F.when(F.col("_action_state") == "conflicting", "conflicting").when(F.col("_action_sign").isNull(), "missing").otherwise("signed")
+        left = action.select("a", "_target", acts.alias("_a_class"), F.col("_action_sign").alias("_a_sign"), *[c.alias(n) for n, c in _facts(a, "a").items()])
+        known = F.when((F.col("_disease_state") == "conflicting") | (F.col("_causal_state") == "conflicting"), "conflicting").when(F.col("_disease_sign").isNull() | (F.col("_causal_state") != "known"), "missing")
+        known = known.when(~F.col("_causal").isin(*CAUSAL), "noncausal").otherwise("signed")
+        right = disease.select("b", "_target", known.alias("_b_class"), F.col("_disease_sign").alias("_b_sign"), "_causal", *[c.alias(n) for n, c in _facts(b, "b").items()])
+        either = lambda what: (F.col("_a_class") == what) | (F.col("_b_class") == what)
+        wanted = 1 if harmful else -1
+        reason = F.when(either("conflicting"), "conflicting_sign").when(either("missing"), "missing_sign_or_causal_support").when(either("noncausal"), "noncausal_support")
+        reason = reason.when(F.col("_a_sign") * F.col("_b_sign") != wanted, "nonharmful_sign_product" if harmful else "nontherapeutic_sign_product")
+        by_sign = left.select("_target", "_a_class", "_a_sign").join(right.select("_target", "_b_class", "_b_sign"), "_target").select(reason.alias("reason")).where("reason IS NOT NULL")
+        good = left.where("_a_class = 'signed'").join(right.where("_b_class = 'signed'"), "_target").where(F.col("_a_sign") * F.col("_b_sign") == wanted)
+        compatible, shared = _fits(good.columns, "a", "b")
+        p = Paths(good, a.fields | b.fields, [by_sign]).decide((~compatible, "context_mismatch"), (~shared, "missing_shared_context"))
+        return p, p.rows("a.x_id", "b.y_id", ("a", "b"), causal_support=F.col("_causal"), sign_product=F.lit(wanted))
 
     return build
 

@@ -59,8 +59,20 @@ def relation_frame(spark: SparkSession, d: str, name: str) -> DataFrame:
     return table(spark, d, source).where(where).selectExpr(f"{x} AS x_id", f"{y} AS y_id", f"'{name}' AS relation", *[f"{e} AS {f}" for f, e in fields.items()])
 
 
+class _Frames(dict):
+    """Relations by name, each read when it is asked for."""
+
+    def __init__(self, spark: SparkSession, d: str):
+        super().__init__()
+        self.spark, self.d = spark, d
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = relation_frame(self.spark, self.d, name)
+        return self[name]
+
+
 def _frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return {name: relation_frame(spark, d, name) for name in RELATIONS}
+    return _Frames(spark, d)
 
 
 def _cte(name: str) -> str:
