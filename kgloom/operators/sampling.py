@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import cut
-from .graph_ml import dense_index, ranged, split_key
+from .graph_ml import dense_index, places, ranged, split_key
 
 
 def draw(seed: int, *keys) -> Column:
@@ -132,14 +132,13 @@ def descendants(parents: DataFrame, roots: DataFrame) -> DataFrame:
 def walk(edges: DataFrame, walks: int, length: int, seed: int) -> DataFrame:
     """Walks from every x_id over undirected edges: one row for each start, walk and step (0 is the start)."""
     both = edges.select(F.col("x_id").alias("at"), F.col("y_id").alias("next")).union(edges.select("y_id", "x_id")).distinct()
-    w = Window.partitionBy("at")
-    ways = cut(both.select("at", "next", (F.row_number().over(w.orderBy("next")) - 1).alias("way"), F.count("*").over(w).alias("degree")))
-    degree = ways.where("way = 0").select("at", "degree")
+    ways = cut(places(both, "at", ["next"]).withColumnRenamed("place", "way"))  # ranked by ranges: a hub's neighbours are no single task
+    degree = ways.groupBy("at").agg(F.count("*").alias("degree"))
     now = edges.select(F.col("x_id").alias("start")).distinct().withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(walks - 1)))).select("start", "walk", F.lit(0).alias("step"), F.col("start").alias("at"))
     out = now
     for step in range(1, length + 1):
         pick = draw(seed, "start", F.col("walk").cast("string"), F.lit(str(step))) % F.col("degree")
-        now = now.join(degree, "at").withColumn("way", pick).join(ways.drop("degree"), ["at", "way"]).select("start", "walk", F.lit(step).alias("step"), F.col("next").alias("at"))
+        now = now.join(degree, "at").withColumn("way", pick).join(ways, ["at", "way"]).select("start", "walk", F.lit(step).alias("step"), F.col("next").alias("at"))
         out = out.unionByName(now)
     return out
 

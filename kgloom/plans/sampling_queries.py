@@ -98,10 +98,10 @@ def q_closure(spark: SparkSession, d: str) -> DataFrame:
 
 def _step(n: int) -> str:
     pick = _DRAW.format(f"'23', start, walk, {n}")
-    return f"s{n} AS (SELECT start, walk, {n} AS step, g.nx AS here FROM (SELECT start, walk, s.here, {pick} % deg AS way FROM s{n - 1} s JOIN deg ON deg.here = s.here) p JOIN g ON g.here = p.here AND g.way = p.way)"
+    return f"s{n} AS MATERIALIZED (SELECT start, walk, {n} AS step, g.nx AS here FROM (SELECT start, walk, s.here, {pick} % deg AS way FROM s{n - 1} s JOIN deg ON deg.here = s.here) p JOIN g ON g.here = p.here AND g.way = p.way)"
 
 
-@query(f"WITH {_E}, b AS (SELECT x_id AS here, y_id AS nx FROM e UNION SELECT y_id, x_id FROM e), g AS (SELECT here, nx, row_number() OVER (PARTITION BY here ORDER BY nx) - 1 AS way FROM b), deg AS (SELECT here, count(*) AS deg FROM b GROUP BY 1), s0 AS (SELECT x_id AS start, unnest([0, 1]) AS walk, 0 AS step, x_id AS here FROM (SELECT DISTINCT x_id FROM e)), {_step(1)}, {_step(2)}, {_step(3)} SELECT start, walk, step, here AS \"at\" FROM (SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)")
+@query(f"WITH {_E}, b AS MATERIALIZED (SELECT x_id AS here, y_id AS nx FROM e UNION SELECT y_id, x_id FROM e), g AS MATERIALIZED (SELECT here, nx, row_number() OVER (PARTITION BY here ORDER BY nx) - 1 AS way FROM b), deg AS MATERIALIZED (SELECT here, count(*) AS deg FROM b GROUP BY 1), s0 AS MATERIALIZED (SELECT x_id AS start, unnest([0, 1]) AS walk, 0 AS step, x_id AS here FROM (SELECT DISTINCT x_id FROM e)), {_step(1)}, {_step(2)}, {_step(3)} SELECT start, walk, step, here AS \"at\" FROM (SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)")
 def q_random_walk(spark: SparkSession, d: str) -> DataFrame:
     return S.walk(_supplied(spark, d), 2, 3, 23)
 
