@@ -15,7 +15,7 @@ def migrated(triples: DataFrame, ids: DataFrame, relations: DataFrame, flipped:
 
     Also the old relations without a new name, with their rows.
     """
-    named = triples.join(F.broadcast(relations), triples["relation"] == relations["old"], "left").drop("old")
+    named = triples.join(relations, triples["relation"] == relations["old"], "left").drop("old")
     end = lambda s: ids.select(F.col("node_index").alias(f"{s}_index"), F.struct("id", "node_type").alias(s))
     rows = named.where("new IS NOT NULL").join(end("x"), "x_index").join(end("y"), "y_index")
     swap = F.col("relation").isin(flipped)
@@ -53,7 +53,7 @@ def located(df: DataFrame, places: DataFrame, proteins: DataFrame) -> DataFrame:
     label = F.explode(F.split("labels", r"[,;]"))
     rows = df.select("accession", label.alias("label"), "credibility").withColumn("label", F.trim("label")).where("label <> ''")
     slug = F.regexp_replace(F.lower("label"), r"[^a-z0-9]+", "-")
-    named = rows.join(F.broadcast(places), F.lower("label") == places["place"], "left").withColumn("y_id", F.coalesce("place_id", F.concat(F.lit("local:"), slug)))
+    named = rows.join(places, F.lower("label") == places["place"], "left").withColumn("y_id", F.coalesce("place_id", F.concat(F.lit("local:"), slug)))
     return named.join(proteins, "accession").groupBy(F.col("protein").alias("x_id"), "y_id").agg(F.max("credibility").alias("credibility"))
 
 
