@@ -1,7 +1,7 @@
 """A graph kept as Parquet under one root: nodes/, edges/, evidence/, features/.
 
-Writes go to a new folder that then takes the table's place, so a table can be
-read while it is rewritten, and a job that dies leaves the old table.
+Writes go to a new folder that then takes the table's place by two renames: a job
+that dies leaves the old table, and between the renames there is none for a moment.
 """
 
 from __future__ import annotations
