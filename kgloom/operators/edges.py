@@ -100,6 +100,43 @@ def collisions(remapped: DataFrame) -> DataFrame:
     return remapped.withColumn("edge_rank", F.row_number().over(w.orderBy(F.desc_nulls_last("credibility"), F.desc("source"), "pos"))).withColumn("edge_count", F.count("*").over(w))
 
 
+def composed_paths(ac: DataFrame, cb: DataFrame, rows: int = 200_000) -> DataFrame:
+    """Every path a - c - b of two edge tables as an edge a - b: both relations and sources in its names, the middle in its display, the weaker credibility.
+
+    Other columns come from the first edge, then from the second.  A middle of very
+    many edges is split on both sides.
+    """
+    from .hot import split_join
+
+    left = ac.select(F.col("y_id").alias("_mid"), F.struct(*ac.columns).alias("_first"))
+    right = cb.select(F.col("x_id").alias("_mid"), F.struct(*cb.columns).alias("_second"))
+    own = ("x_id", "x_type", "y_id", "y_type", "relation", "display_relation", "source", "credibility")
+    rest = {c: F.col(f"_first.{c}") for c in ac.columns if c not in own} | {c: F.col(f"_second.{c}") for c in cb.columns if c not in (*own, *ac.columns)}
+    both = lambda c: F.concat(F.lit("composed:"), F.coalesce(F.col(f"_first.{c}"), F.lit("")), F.lit("+"), F.coalesce(F.col(f"_second.{c}"), F.lit("")))
+    weaker = F.least(F.coalesce("_first.credibility", F.lit(1)), F.coalesce("_second.credibility", F.lit(1)))
+    return split_join(left, right, ["_mid"], rows).select(
+        F.col("_first.x_id").alias("x_id"), F.col("_first.x_type").alias("x_type"), F.col("_second.y_id").alias("y_id"), F.col("_second.y_type").alias("y_type"), both("relation").alias("relation"), F.concat(F.lit("via:"), "_first.y_type", F.lit(":"), "_mid").alias("display_relation"),
+        both("source").alias("source"), weaker.cast("long").alias("credibility"), *[c.alias(n) for n, c in rest.items()],
+    )
+
+
+def paired_records(records: DataFrame, others: DataFrame, key: list[str], name: str, other: str) -> DataFrame:
+    """Each record (name) with the smallest of the other records (other) that agree with it in all keys; null keys agree with none."""
+    least = others.groupBy(*key).agg(F.min(other).alias("_other"))
+    return records.join(least, key).groupBy(name).agg(F.min("_other").alias(other))
+
+
+def union_of_ids(*parts: DataFrame) -> DataFrame:
+    """Distinct tokens of one-column tables; those of lists are exploded, null and blank ones left out."""
+    out = None
+    for part in parts:
+        column = part.columns[0]
+        each = part.select((F.explode(column) if part.schema[0].dataType.typeName() == "array" else F.col(column)).alias("token"))
+        items = each.select(F.col("token").cast("string"))
+        out = items if out is None else out.unionAll(items)
+    return out.where("trim(token) <> ''").distinct()
+
+
 def resolver_classes(aliases: DataFrame) -> DataFrame:
     """alias -> unambiguous or ambiguous, with the smallest id; aliases has (alias, id)."""
     agg = aliases.groupBy("alias").agg(F.countDistinct("id").alias("n_ids"), F.min("id").alias("first_id"))

@@ -120,6 +120,31 @@ def feature_rows(nodes: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
     return nodes.join(vectors, "id", "left").select("node_type", "id", F.coalesce("vector", fallback).alias("vector"), F.col("vector").isNotNull().alias("is_real"))
 
 
+def evaluation_pairs(entities: DataFrame, items: DataFrame, seen: DataFrame) -> DataFrame:
+    """Every item for each entity to be evaluated: label 1 for a test edge, -1 for one of training, 0 for none.
+
+    entities: entity; items: item; seen: entity, item, test (a pair in both counts as
+    test).  All pairs are the output asked for; entities are spread over the items by
+    an explode of their list, which is that of an evaluation and bounded by it.
+    """
+    listed = entities.agg(F.collect_set("entity").alias("listed")).withColumn("one", F.lit(1))  # one row
+    every = items.select("item", F.lit(1).alias("one")).distinct().join(listed, "one").select("item", F.explode("listed").alias("entity"))
+    known = seen.groupBy("entity", "item").agg(F.bool_or("test").alias("test"))
+    label = F.when(F.col("test"), 1).when(F.col("test").isNotNull(), -1).otherwise(0)
+    return every.join(known, ["entity", "item"], "left").select("entity", "item", label.alias("label"))
+
+
+def id_names(nodes: DataFrame) -> DataFrame:
+    """node_type, node_index, id and name of every node (node_type, id, name): both ways from index to id to name; of names of one id the smallest."""
+    names = nodes.groupBy("node_type", "id").agg(F.min("name").alias("name"))
+    return dense_index(nodes.select("node_type", "id")).join(names, ["node_type", "id"]).select("node_type", "node_index", "id", F.coalesce("name", "id").alias("name"))
+
+
+def test_entities(split_edges: DataFrame, side: str = "y_id", part: str = "test") -> DataFrame:
+    """relation, entity, n: the entities of each relation's test edges, and how many edges they have there."""
+    return split_edges.where(F.col("split") == part).groupBy("relation", F.col(side).alias("entity")).agg(F.count("*").alias("n"))
+
+
 def _ranked(scored: DataFrame, entity: list[str]) -> DataFrame:
     """Scores with their mean rank among equals, and counts of rows and hits down to the end of each tie."""
     w, ties = Window.partitionBy(*entity), Window.partitionBy(*entity, "score")

@@ -15,7 +15,7 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], rows: int = 200
     """Inner join by `on`; of a key with more than `rows` rows on a side, that side is dealt into blocks and the other repeated for each.
 
     Blocks are dealt by a hash of the row, so a task that runs again gets the same rows.
-    Null keys join nothing.
+    Null keys join nothing.  Columns _a, _b, _i, _j are its own.
     """
     crowded = _blocks(left, on, rows, "_a").join(_blocks(right, on, rows, "_b"), on, "full")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.coalesce(c, F.lit(1)) - 1))

@@ -232,8 +232,7 @@ def q_point_in_gene(spark: SparkSession, d: str) -> DataFrame:
 def q_evidence_pairing(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").selectExpr("l_suppkey", "l_returnflag", "l_linestatus", "l_partkey % 20 AS s", "l_orderkey * 10 + l_linenumber AS id", "l_linenumber AS n")
     key = ["l_suppkey", "l_returnflag", "l_linestatus", "s"]
-    least = rows.where("n > 3").groupBy(*key).agg(F.min("id").alias("other"))  # the first record of each key is all that a pair needs
-    return rows.where("n <= 3").join(least, key).groupBy("id").agg(F.min("other").alias("other"))
+    return E.paired_records(rows.where("n <= 3"), rows.where("n > 3").withColumnRenamed("id", "other"), key, "id", "other")
 
 
 @query("WITH t AS (SELECT o_orderkey, unnest(['NCT' || lpad((o_orderkey % 500)::VARCHAR, 8, '0'), 'NCT' || lpad((o_custkey % 500)::VARCHAR, 8, '0')]) AS trial FROM orders), k AS (SELECT 'NCT' || lpad(c_custkey::VARCHAR, 8, '0') AS trial, c_name FROM customer) SELECT DISTINCT o_orderkey, trial, c_name FROM t JOIN k USING (trial)")
@@ -251,8 +250,4 @@ def q_condition_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT DISTINCT token FROM (SELECT 'customer' || c_custkey AS token FROM customer UNION SELECT c_mktsegment FROM customer UNION SELECT lower(p_brand) FROM part UNION SELECT unnest(string_split(p_name, ' ')) FROM part)")
 def q_union_of_ids(spark: SparkSession, d: str) -> DataFrame:
     c, p = table(spark, d, "customer"), table(spark, d, "part")
-    parts = [c.select(F.concat(F.lit("customer"), "c_custkey").alias("token")), c.select("c_mktsegment"), p.select(F.lower("p_brand")), p.select(F.explode(F.split("p_name", " ")))]
-    out = parts[0]
-    for one in parts[1:]:
-        out = out.union(one)
-    return out.distinct()
+    return E.union_of_ids(c.select(F.concat(F.lit("customer"), "c_custkey")), c.select("c_mktsegment"), p.select(F.lower("p_brand")), p.select(F.split("p_name", " ")))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import edges as E
 from ..operators import evaluation as V
-from ..sources.tables import business_edges, nodes, table
-from .queries import _BUSINESS, _NODES, query
+from ..sources.tables import business_edges, nodes, supplies, table
+from .queries import _BUSINESS, _NODES, _SUPPLIES, query
 from .sampling_queries import _DRAW
 
 
@@ -162,3 +163,22 @@ def q_rarity_blend(spark: SparkSession, d: str) -> DataFrame:
 def q_split_entity_and_rest(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
     return V.entity_split(o.where("o_orderstatus <> 'O'"), o.where("o_orderstatus = 'O'").select("o_orderkey", "o_custkey"), "o_custkey", 4, 0.11875, 0.05, "o_orderpriority", "o_orderkey")
+
+
+@query(f"""WITH {_SUPPLIES}, a AS (SELECT x_id, y_id AS c, source, credibility FROM s WHERE pos % 7 = 0), b AS (SELECT x_id AS c, y_id, credibility, relation FROM (SELECT 'part:' || p_partkey AS x_id, 'brand:' || p_brand AS y_id, 1 + p_size % 3 AS credibility, 'part_of_brand' AS relation FROM part))
+SELECT x_id, y_id, 'composed:supplier_supplies_part+part_of_brand' AS relation, 'via:part:' || c AS display_relation, 'composed:' || source || '+catalogue' AS source, least(a.credibility, b.credibility)::BIGINT AS credibility FROM a JOIN b USING (c)""")
+def q_composed_paths(spark: SparkSession, d: str) -> DataFrame:
+    first = supplies(spark, d).where("pos % 7 = 0")
+    second = table(spark, d, "part").selectExpr("concat('part:', p_partkey) AS x_id", "'part' AS x_type", "concat('brand:', p_brand) AS y_id", "'brand' AS y_type", "'part_of_brand' AS relation", "'catalogue' AS source", "1 + p_size % 3 AS credibility")
+    return E.composed_paths(first, second).select("x_id", "y_id", "relation", "display_relation", "source", "credibility")
+
+
+@query(f"WITH {_NODES} SELECT node_type, row_number() OVER (PARTITION BY node_type ORDER BY id) - 1 AS node_index, id, upper(id) AS name FROM (SELECT DISTINCT node_type, id FROM v)")
+def q_id_names(spark: SparkSession, d: str) -> DataFrame:
+    return V.id_names(nodes(spark, d).withColumn("name", F.upper("id")))
+
+
+@query("SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'treats' ELSE 'near' END AS relation, o_custkey AS entity, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL")
+def q_test_entities(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").selectExpr("CASE WHEN o_orderkey % 3 = 0 THEN 'treats' ELSE 'near' END AS relation", "o_custkey AS y_id", "CASE o_orderstatus WHEN 'O' THEN 'test' ELSE 'train' END AS split")
+    return V.test_entities(rows)

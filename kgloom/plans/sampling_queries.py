@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
+from ..operators import evaluation as V
 from ..operators import graph_ml as G
 from ..operators import sampling as S
 from ..sources.tables import business_edges, node_id, nodes, supplies, table
@@ -121,11 +122,9 @@ def q_distmult(spark: SparkSession, d: str) -> DataFrame:
 
 @query("WITH l AS (SELECT DISTINCT s_nationkey AS n FROM supplier), t AS (SELECT DISTINCT p_partkey AS part, n FROM part, l), k AS (SELECT l_partkey AS part, s_nationkey AS n, bool_or(l_linestatus = 'O') AS test FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL) SELECT part, n AS nation, CASE WHEN test THEN 1 WHEN test IS NOT NULL THEN -1 ELSE 0 END AS label FROM t LEFT JOIN k USING (part, n)")
 def q_evaluation_pairs(spark: SparkSession, d: str) -> DataFrame:
-    listed = table(spark, d, "supplier").agg(F.collect_set("s_nationkey").alias("listed")).withColumn("one", F.lit(1))  # one row: the listed entities, 25 at most
-    parts = table(spark, d, "part").select(F.col("p_partkey").alias("part"), F.lit(1).alias("one")).distinct()
-    pairs = parts.join(F.broadcast(listed), "one").select("part", F.explode("listed").alias("nation"))
-    seen = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).groupBy(F.col("l_partkey").alias("part"), F.col("s_nationkey").alias("nation")).agg(F.bool_or(F.col("l_linestatus") == "O").alias("test"))
-    return pairs.join(seen, ["part", "nation"], "left").select("part", "nation", F.when(F.col("test"), 1).when(F.col("test").isNotNull(), -1).otherwise(0).alias("label"))
+    seen = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("entity"), F.col("l_partkey").alias("item"), (F.col("l_linestatus") == "O").alias("test"))
+    found = V.evaluation_pairs(table(spark, d, "supplier").select(F.col("s_nationkey").alias("entity")), table(spark, d, "part").select(F.col("p_partkey").alias("item")), seen)
+    return found.select(F.col("item").alias("part"), F.col("entity").alias("nation"), "label")
 
 
 _STATES = ("Completed", "Terminated", "Suspended", "Withdrawn", "Recruiting", "Active, not recruiting", "active not recruiting", "Enrolling by invitation", "Unknown status")

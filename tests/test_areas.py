@@ -85,3 +85,21 @@ def test_areas_by_ranges_equal_areas_by_windows(spark):
     scored = spark.createDataFrame(rows, "pool string, label int, score double").repartition(8)
     tell = lambda df: {r["pool"]: (r["n_pos"], r["n_neg"], round(r["auroc"], 9), round(r["auprc"], 9)) for r in df.collect()}
     assert tell(V.spread_areas(scored, ["pool"])) == tell(V.areas(scored, ["pool"]))
+
+
+def test_composed_paths(spark):
+    from kgloom.operators import edges as E
+
+    edge = "x_id string, x_type string, y_id string, y_type string, relation string, source string, credibility int, "
+    first = spark.createDataFrame([("a", "A", "c", "C", "r", "s", 3, "x", 1), ("b", "A", "c", "C", "r", None, None, "y", 2), ("b", "A", "z", "C", "r", "s", 1, "y", 2)], edge + "note string, n int")
+    second = spark.createDataFrame([("c", "C", "d", "D", "q", "t", 2, "other", 0.5)], edge + "note string, score double")
+    for rows in (1, 100):
+        got = sorted(tuple(r) for r in E.composed_paths(first, second, rows).select("x_id", "x_type", "y_id", "y_type", "relation", "display_relation", "source", "credibility", "note", "n", "score").collect())
+        assert got == [("a", "A", "d", "D", "composed:r+q", "via:C:c", "composed:s+t", 2, "x", 1, 0.5), ("b", "A", "d", "D", "composed:r+q", "via:C:c", "composed:+t", 1, "y", 2, 0.5)]
+
+
+def test_names_and_test_entities(spark):
+    nodes = spark.createDataFrame([("d", "x", "b"), ("d", "x", "a"), ("d", "y", None), ("m", "x", "c")], "node_type string, id string, name string")
+    assert sorted(map(tuple, V.id_names(nodes).collect())) == [("d", 0, "x", "a"), ("d", 1, "y", "y"), ("m", 0, "x", "c")]
+    split = spark.createDataFrame([("r", "a", "test"), ("r", "a", "test"), ("r", "b", "train"), ("q", "a", "test")], "relation string, y_id string, split string")
+    assert sorted(map(tuple, V.test_entities(split).collect())) == [("q", "a", 1), ("r", "a", 2)]
