@@ -266,3 +266,52 @@ def test_viterbi_against_all_labellings():
 
         best = max(itertools.product((0, 1), repeat=len(page)), key=worth)
         assert labels.tolist() == list(best)
+
+
+def fewest_edits(item, text):
+    """Over all places of the text, by the whole table."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item):
+        new = [i + 1]
+        for j, y in enumerate(text):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def edited(rnd, text, n):
+    chars = list(text)
+    for _ in range(n):
+        p = rnd.randrange(len(chars))
+        kind = rnd.randrange(3)
+        if kind == 0:
+            chars[p] = rnd.choice("xyz")
+        elif kind == 1:
+            del chars[p]
+        else:
+            chars.insert(p, rnd.choice("xyz"))
+    return "".join(chars)
+
+
+@pytest.mark.parametrize("seed, alphabet", [(1, "abcdefghij"), (2, "ab"), (3, "abc")])
+def test_decontamination_against_all_places_and_items(spark, seed, alphabet):
+    from kgloom.llm.decontaminate import Q, RATE, contaminated
+
+    rnd = random.Random(seed)
+    make = lambda n: "".join(rnd.choice(alphabet) for _ in range(n))
+    items = [(k, make(rnd.randrange(20, 130))) for k in range(6)] + [(6, make(11)), (7, make(60))] + [(8, "ab" * 40)]
+    docs = []
+    for k in range(16):
+        item = rnd.choice(items)[1]
+        docs.append((k, make(rnd.randrange(60)) + edited(rnd, item, rnd.randrange(10)) + make(rnd.randrange(60))))
+    docs += [(20, items[0][1]), (21, items[1][1][:-2]), (22, items[2][1][3:]), (23, "ba" * 45), (24, items[3][1] + items[4][1])]
+    want = set()
+    for d, text in docs:
+        for i, item in items:
+            m = len(item)
+            most = min(int(RATE * m), max(0, (m - Q) // Q))
+            if m >= Q and (edits := fewest_edits(item, text)) <= most:
+                want.add((d, i, edits))
+    found = contaminated(spark.createDataFrame([(i, t, "l", "s", *CLASH) for i, t in docs], DOC).repartition(3), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"], r["edits"]) for r in found.collect()}
+    assert got == want and want
