@@ -315,3 +315,79 @@ def test_decontamination_against_all_places_and_items(spark, seed, alphabet):
     found = contaminated(spark.createDataFrame([(i, t, "l", "s", *CLASH) for i, t in docs], DOC).repartition(3), spark.createDataFrame(items, "item_id long, text string"))
     got = {(r["doc_id"], r["item_id"], r["edits"]) for r in found.collect()}
     assert got == want and want
+
+
+def slow_toxicity(texts, toxic, share, features, l2, steps):
+    """The classifier in plain Python: sets of hashed n-grams, log-count ratios, logistic regression by the same steps."""
+    from math import exp, log, sqrt
+
+    def grams(text):
+        data, out = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()), set()
+        for size in (3, 4, 5, 6):
+            for p in range(len(data) - size + 1):
+                code = int.from_bytes(data[p : p + size], "little")
+                out.add((((code * 0x9E3779B97F4A7C15 + size) * 0xD1342543DE82EF95) % 2**64) >> 44)
+        return out
+
+    sets, n1 = [grams(t) for t in texts], sum(toxic)
+    n0 = len(toxic) - n1
+    every = sorted(set().union(*sets))
+    count = {g: [sum(g in s for s, y in zip(sets, toxic) if y == k) for k in (0, 1)] for g in every}
+    ratio = {g: log((c[1] + 1) / (n1 + 2)) - log((c[0] + 1) / (n0 + 2)) for g, c in count.items()}
+    told = {}
+    for g, c in count.items():
+        both = sum(c) / (n0 + n1)
+        told[g] = abs(c[1] / n1 - c[0] / n0) / sqrt((both + 1e-9) * (1 - both + 1e-9) * (1 / n0 + 1 / n1)) if sum(c) >= 3 else 0
+    keep = sorted(g for g in sorted(every, key=lambda g: (-told[g], g))[:features] if told[g] > 3)
+    place = {g: k for k, g in enumerate(keep)}
+    rows = [[place[g] for g in s if g in place] for s in sets]
+    size = len(keep) + 1
+    w, speed, square = [0.0] * size, [0.0] * size, [0.0] * size
+    for step in range(1, steps + 1):
+        slope = [0.0] * size
+        for row, y in zip(rows, toxic):
+            error = 1 / (1 + exp(-(sum(ratio[keep[k]] * w[k] for k in row) + w[-1]))) - y
+            for k in row:
+                slope[k] += ratio[keep[k]] * error / len(rows)
+            slope[-1] += error / len(rows)
+        for k in range(size):
+            own = slope[k] + (l2 * w[k] if k < size - 1 else 0)
+            speed[k] += 0.1 * (own - speed[k])
+            square[k] += 0.01 * (own * own - square[k])
+            w[k] -= 0.03 * (1 - step / (steps + 1)) * speed[k] / (1 - 0.9**step) / (sqrt(square[k] / (1 - 0.99**step)) + 1e-10)
+    bias = w[-1] + log((share + 1e-3) / (1 - share + 1e-3)) - log(n1 / n0)
+    return lambda text: 1 / (1 + exp(-(bias + sum(ratio[g] * w[place[g]] for g in grams(text) if g in place)))), len(keep)
+
+
+def test_toxicity_against_a_slow_version(spark):
+    import pyarrow as pa
+
+    from kgloom.llm import toxicity
+
+    rnd = random.Random(3)
+    words = ["good", "day", "Tree", "river", "stone", "walk", "é", "blue"]
+    make = lambda bad: " ".join(rnd.choice(words + ["vile", "SCUM", "rotten"] * (2 if bad else 0)) for _ in range(rnd.randrange(4, 14)))
+    toxic = [int(rnd.random() < 0.4) for _ in range(70)]
+    texts = [make(y) for y in toxic] + ["", None]
+    toxic += [0, 1]
+    model = toxicity.fit(pa.chunked_array([pa.array(texts)]), np.array(toxic), 0.1, features=60, l2=1e-3, steps=40)
+    slow, kept = slow_toxicity(texts, toxic, 0.1, 60, 1e-3, 40)
+    assert kept == len(model.features) > 10
+    asked = [*texts, make(1), make(0), "vile " * 3000, "字" * 50]
+    rows = spark.createDataFrame([(k, t, "l", "s", *CLASH) for k, t in enumerate(asked)], DOC).repartition(3)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(rows, model, ["doc_id"]).collect()}
+    assert len(got) == len(asked) and all(abs(got[k] - slow(t)) < 1e-9 for k, t in enumerate(asked))
+    empty = toxicity.score(spark.createDataFrame([], DOC), model, ["doc_id"])
+    assert empty.columns == ["doc_id", "score"] and empty.count() == 0
+
+
+def test_toxicity_of_clashing_and_lacking_labels(spark):
+    from kgloom.llm import toxicity
+
+    docs = spark.createDataFrame([(k, "vile scum" if k % 2 else "good day", "l", "s", *CLASH) for k in range(40)], DOC)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(0, 1), (None, 1), (3, None), (99, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model, ["doc_id"]).collect()}
+    assert min(scores[k] for k in range(1, 40, 2)) > max(scores[k] for k in range(0, 40, 2))
+    one = toxicity.train(docs, labels.where("toxic = 1"))
+    assert len({r["score"] for r in toxicity.score(docs, one, ["doc_id"]).collect()}) == 1
