@@ -18,11 +18,14 @@ from pyspark.sql.window import Window
 
 from .arrays import text_bytes
 from .buckets import cut
+from .pretokens import slices
 from .quadtree import Tree
 
 LEAST_DOCS, TOP, SCALE, PRIOR = 10, 10, 1_000_000_000, 2
 #: Terms of a block, first groups of the pairs of a task, and cells of a descent at a time.
 BLOCK_TERMS, CHUNK_GROUPS, CELLS = 2048, 256, 1 << 20
+#: Bytes of texts whose terms are counted at a time; a longer text is counted alone.
+SLICE_BYTES = 16 << 20
 COUNTED = "lang string, source string, term string, n long, docs long"
 PRICED = "kind int, source string, item string, value long"
 
@@ -41,23 +44,26 @@ def _codes(a: np.ndarray, b: np.ndarray, width: int, weights: list[np.ndarray])
 
 
 def _counted(batches):
-    """Counts and documents of each (lang, source, term) of a batch."""
+    """Counts and documents of each (lang, source, term) of some MB of texts at a time."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
         data, offsets = text_bytes(batch.column("text"))
-        plain = pa.LargeStringArray.from_buffers(batch.num_rows, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(_LETTER[data].tobytes()))
-        lists = pc.split_pattern(plain, " ")
-        terms, doc = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy()
-        some = pc.greater(pc.binary_length(terms), 0)
-        terms, doc = terms.filter(some).dictionary_encode(), doc[some.to_numpy(zero_copy_only=False)]
-        words, code = terms.dictionary, terms.indices.to_numpy()
-        doc, code, (n,) = _codes(doc, code, max(1, len(words)), [np.ones(len(code), np.int64)])
-        lang, source = batch.column("lang").dictionary_encode(), batch.column("source").dictionary_encode()
-        group = lang.indices.to_numpy().astype(np.int64) * max(1, len(source.dictionary)) + source.indices.to_numpy()
-        group, code, (n, docs) = _codes(group[doc], code, max(1, len(words)), [n, np.ones(len(doc), np.int64)])
-        wide = max(1, len(source.dictionary))
-        yield pa.RecordBatch.from_pydict({"lang": lang.dictionary.take(pa.array(group // wide)), "source": source.dictionary.take(pa.array(group % wide)), "term": words.take(pa.array(code)).cast(pa.string()), "n": pa.array(n, pa.int64()), "docs": pa.array(docs, pa.int64())})
+        for a, b in slices(offsets, SLICE_BYTES):
+            yield _counted_texts(batch.slice(a, b - a), _LETTER[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a])
+
+
+def _counted_texts(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+    plain = pa.LargeStringArray.from_buffers(rows.num_rows, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data.tobytes()))
+    lists = pc.split_pattern(plain, " ")
+    terms, doc = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy()
+    some = pc.greater(pc.binary_length(terms), 0)
+    terms, doc = terms.filter(some).dictionary_encode(), doc[some.to_numpy(zero_copy_only=False)]
+    words, code = terms.dictionary, terms.indices.to_numpy()
+    doc, code, (n,) = _codes(doc, code, max(1, len(words)), [np.ones(len(code), np.int64)])
+    lang, source = rows.column("lang").dictionary_encode(), rows.column("source").dictionary_encode()
+    wide = max(1, len(source.dictionary))
+    group = lang.indices.to_numpy().astype(np.int64) * wide + source.indices.to_numpy()
+    group, code, (n, docs) = _codes(group[doc], code, max(1, len(words)), [n, np.ones(len(doc), np.int64)])
+    return pa.RecordBatch.from_pydict({"lang": lang.dictionary.take(pa.array(group // wide)), "source": source.dictionary.take(pa.array(group % wide)), "term": words.take(pa.array(code)).cast(pa.string()), "n": pa.array(n, pa.int64()), "docs": pa.array(docs, pa.int64())})
 
 
 def share(n, total):
