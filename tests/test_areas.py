@@ -103,3 +103,21 @@ def test_names_and_test_entities(spark):
     assert sorted(map(tuple, V.id_names(nodes).collect())) == [("d", 0, "x", "a"), ("d", 1, "y", "y"), ("m", 0, "x", "c")]
     split = spark.createDataFrame([("r", "a", "test"), ("r", "a", "test"), ("r", "b", "train"), ("q", "a", "test")], "relation string, y_id string, split string")
     assert sorted(map(tuple, V.test_entities(split).collect())) == [("q", "a", 1), ("r", "a", 2)]
+
+
+def test_random_edges_are_not_ranked_and_budgets_end_inside_a_bin(spark, graph, monkeypatch):
+    rows, edges = graph
+    monkeypatch.setattr(A, "_BIN", 0)  # all rows in one bin
+    one = pairs(A.without_share(edges, 30, 3))
+    monkeypatch.setattr(A, "_BIN", 4)
+    assert one == pairs(A.without_share(edges, 30, 3))
+    assert pairs(A.without_share(edges, 0, 3)) == sorted((x, y) for _, x, y, *_ in rows) and pairs(A.without_share(edges, 100, 3)) == []
+    nodes = spark.createDataFrame(sorted({(t, i) for _, x, y, a, b in rows for t, i in ((a, x), (b, y))}), "node_type string, id string")
+    mixed = edges.withColumn("relation", F.lit("one"))  # three pairs of types in one relation
+    monkeypatch.setattr(A, "_RUN", 7)
+    kinds = lambda df: {(r["x_type"], r["y_type"]): r["count"] for r in df.groupBy("x_type", "y_type").count().collect()}
+    assert kinds(A.randomised(mixed, nodes)) == kinds(mixed)
+    assert A.with_random(mixed, nodes, 250).count() == len(rows) + int(2.5 * len(rows))
+    # the rows are never sorted or shuffled whole to number them
+    plan = A.without_share(edges, 30, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "RangePartitioning" not in plan and "rangepartitioning" not in plan and "SortMergeJoin" not in plan
