@@ -1,8 +1,8 @@
 """Sequences of genome intervals and of nodes.
 
-A contig is never one row: it is cut into blocks of fixed width.  An interval
-meets the blocks that it touches, takes its slice of each and puts the slices
-together in order.
+A contig is never one row: it is cut into blocks of fixed width.  The blocks that
+the longest interval of a block reaches are put together once, and all intervals
+that start in the block read their bases from that text.
 """
 
 from __future__ import annotations
@@ -78,6 +78,21 @@ def contig_lengths(blocks: DataFrame, width: int = BLOCK) -> DataFrame:
     return blocks.groupBy("chromosome").agg(F.max(F.col("block") * width + F.length("bases")).alias("contig_length"))
 
 
+#: Places of a block at which texts for intervals start, so that the intervals of one block are the work of many tasks.
+STARTS = 16
+
+
+def _reaches(intervals: DataFrame, blocks: DataFrame, width: int, step: int) -> DataFrame:
+    """chromosome, place, text, complement: the bases from base place * step on to the last that an interval (chromosome, place, hi) of this place reaches, in both directions."""
+    reach = intervals.groupBy("chromosome", "place").agg(F.max("hi").alias("hi"))
+    own = F.floor(F.col("place") * step / width)
+    each = reach.withColumn("block", F.explode(F.sequence(own, F.floor((F.col("hi") - 1) / width))))
+    skipped = F.col("place") * step - own * width
+    joined = each.join(blocks, ["chromosome", "block"]).groupBy("chromosome", "place", "hi").agg(_together("block", "bases").alias("whole"))
+    text = joined.select("chromosome", "place", F.upper(F.substr("whole", (skipped + 1).cast("int"), (F.col("hi") - F.col("place") * step).cast("int"))).alias("text"))
+    return text.withColumn("complement", reverse_complement(F.col("text")))
+
+
 def windows(intervals: DataFrame, blocks: DataFrame, flank: int = 0, longest: int = LONGEST, prefix: int | None = None, width: int = BLOCK) -> DataFrame:
     """id, sequence, length, checksum_sha256 and reason of closed 1-based intervals (id, chromosome, start, end, strand), in the strand's direction.
 
@@ -87,7 +102,8 @@ def windows(intervals: DataFrame, blocks: DataFrame, flank: int = 0, longest: in
     empty, too long, or holds letters that are no IUPAC nucleotides.  Intervals that
     repeat in full count once; an id may have several.
     """
-    known = intervals.join(contig_lengths(blocks, width), "chromosome", "left")
+    columns = ["id", "chromosome", "start", "end", "strand"]
+    known = intervals.select(columns).distinct().join(F.broadcast(contig_lengths(blocks, width)), "chromosome", "left")  # a row for each contig
     minus = F.col("strand") == "-"
     length = F.col("end") - F.col("start") + 1
     first = F.when(minus & (length > prefix), F.col("end") - prefix + 1).otherwise(F.col("start")) if prefix else F.col("start")
@@ -96,13 +112,14 @@ def windows(intervals: DataFrame, blocks: DataFrame, flank: int = 0, longest: in
         (F.col("contig_length").isNull(), "missing_contig"), ((F.col("start") < 1) | (length < 1), "empty_interval"), (F.col("end") > F.col("contig_length"), "outside_contig"), (F.lit(prefix is None) & (length > longest), "over_length")
     )
     marked = known.select("id", "chromosome", "strand", F.greatest(F.lit(1), first - flank).alias("lo"), F.least("contig_length", last + flank).alias("hi"), why.alias("reason")).distinct()
-    touched = marked.where("reason IS NULL").withColumn("block", F.explode(F.sequence(F.floor((F.col("lo") - 1) / width), F.floor((F.col("hi") - 1) / width))))
-    start = F.col("block") * width
-    lo, hi = F.greatest(F.col("lo") - 1, start), F.least(F.col("hi"), start + width)
-    slices = touched.join(blocks, ["chromosome", "block"]).select("id", "chromosome", "strand", "lo", "hi", lo.alias("at"), F.substr("bases", (lo - start + 1).cast("int"), (hi - lo).cast("int")).alias("piece"))
-    forward = slices.groupBy("id", "chromosome", "strand", "lo", "hi").agg(_together("at", "piece").alias("s"))
-    sequence = F.when(minus, reverse_complement(F.col("s"))).otherwise(F.upper("s"))
-    read = forward.select("id", sequence.alias("sequence"))
+    step = max(1, width // STARTS)
+    good = marked.where("reason IS NULL").withColumn("place", F.floor((F.col("lo") - 1) / step))
+    texts = _reaches(good, blocks, width, step)
+    tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, as rows are few bytes and much work
+    n, at = (F.col("hi") - F.col("lo") + 1).cast("int"), (F.col("lo") - F.col("place") * step).cast("int")
+    met = good.repartition(tasks, "chromosome", "place").join(texts, ["chromosome", "place"])
+    sequence = F.when(minus, F.substr("complement", F.length("complement") - at - n + 2, n)).otherwise(F.substr("text", at, n))
+    read = met.select("id", sequence.alias("sequence"))
     bad = ~F.col("sequence").rlike(rf"^[{ALPHABETS['dna_iupac']}]*$")
     read = read.select("id", F.when(~bad, F.col("sequence")).alias("sequence"), F.when(bad, F.lit("invalid_alphabet")).alias("reason"))
     every = read.unionByName(marked.where("reason IS NOT NULL").select("id", F.lit(None).cast("string").alias("sequence"), "reason"))

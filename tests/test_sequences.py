@@ -118,3 +118,24 @@ def test_no_row_holds_a_contig(spark):
     lines = spark.range(2000).select(F.lit("1").alias("chromosome"), F.col("id").alias("line_no"), F.lit("ACGTACGTAC").alias("text"))
     blocks = S.contig_blocks(S.numbered_lines(lines), 1000)
     assert blocks.agg(F.max(F.length("bases")), F.count("*")).first()[0:2] == (1000, 20)
+
+
+def test_intervals_of_one_block_read_one_text(spark):
+    import random
+    import re
+
+    from kgloom.operators import sequences as S
+
+    rnd = random.Random(4)
+    contig = "".join(rnd.choice("ACGTRYN") for _ in range(500))
+    lines = spark.createDataFrame([("c", k, contig[k : k + 50]) for k in range(0, 500, 50)], "chromosome string, at int, text string")
+    rows = [(k, "c", start := rnd.randrange(1, 440), start + rnd.randrange(0, 60), rnd.choice("+-")) for k in range(300)]
+    turn = str.maketrans("ACGTRYN", "TGCAYRN")
+    found = S.windows(spark.createDataFrame(rows, "id int, chromosome string, start int, end int, strand string"), S.contig_blocks(lines, 64), flank=3, width=64)
+    got = {r["id"]: r["sequence"] for r in found.collect()}
+    for k, _, start, end, strand in rows:
+        own = contig[max(0, start - 4) : end + 3]
+        assert got[k] == (own if strand == "+" else own.translate(turn)[::-1])
+    # pieces of sequences are not grouped by interval
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "collect_list" in x and re.search(r"\bid#", x)]
