@@ -102,7 +102,7 @@ def remapped(rows: DataFrame, mapping: DataFrame, evidence: bool = False) -> dic
     other = F.col("_x_other") | F.col("_y_other")
     ended = ended.withColumn("relation", F.when(other, F.raise_error(F.concat_ws(" ", F.lit("an end of another species in"), "relation")).cast("string")).otherwise(F.col("relation")))
     touched = ended.groupBy("relation").agg(F.bool_or(F.col("_x_ncbi") | F.col("_y_ncbi")).alias("_affected"))
-    ended = ended.join(touched, "relation")
+    ended = ended.join(F.broadcast(touched), "relation")  # a row for each relation, so its rows do not meet in one task
     lost = F.col("_x_lost") | F.col("_y_lost")
     ambiguous = lambda s: F.col(f"_{s}_ncbi") & F.coalesce(F.col(f"_{s}_status").startswith("ambiguous"), F.lit(False))
     reason = F.when(ambiguous("x"), "ambiguous_x").when(ambiguous("y"), "ambiguous_y").when(F.col("_x_ncbi"), F.coalesce("_x_status", F.lit("unmapped_x"))).otherwise(F.coalesce("_y_status", F.lit("unmapped_y")))

@@ -80,3 +80,16 @@ def test_evidence_keeps_all_rows_and_old_ends(spark):
 def test_an_end_of_another_species_is_an_error(spark):
     with pytest.raises(Exception, match="another species"):
         M.remapped(edges(spark, [("g", "ENSMUSG1", "EFO:1", "a", 1)]), mapping(spark))["after"].collect()
+
+
+def test_a_relation_is_not_one_task(spark):
+    from kgloom.operators import gene_migration as G
+
+    rows = spark.createDataFrame([("r", "NCBI:1", "gene", "d", "disease")], "relation string, x_id string, x_type string, y_id string, y_type string")
+    mapping = spark.createDataFrame([("NCBI:1", "ENSG1", "accepted_1to1")], "ncbi_node_id string, canonical_ensembl_gene_id string, mapping_status string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = G.remapped(rows, mapping)["after"]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [relation" not in plan
