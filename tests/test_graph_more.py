@@ -136,3 +136,18 @@ def test_text_formats(spark, tmp_path):
     gtf = '#x\nchr1\ts\tgene\t5\t9\t.\t+\t.\tgene_id "G1"; gene_name "N1";\nchr1\ts\texon\t5\t9\t.\t+\t.\tgene_id "G1";\n'
     assert [tuple(r) for r in texts.gtf_genes(spark, put("a.gtf", gtf)).collect()] == [("G1", "N1", "1", 5, 9, "+")]
     assert sorted(map(tuple, texts.wide_matrix(spark, put("a.csv", "id,g1,g2\nr1,1.5,\nr2,x,2\n")).collect())) == [("r1", "g1", 1.5), ("r2", "g2", 2.0)]
+
+
+def test_shared_neighbours_are_counted_without_shuffling_pairs(spark):
+    import random
+    from collections import Counter
+
+    from kgloom.operators import sampling as S
+
+    rnd = random.Random(8)
+    e = {(f"x{rnd.randrange(40)}", f"y{rnd.randrange(25)}") for _ in range(300)} | {(f"x{k}", "hub") for k in range(40)}
+    by: dict = {}
+    for x, y in e:
+        by.setdefault(y, []).append(x)
+    want = Counter((a, b) for xs in by.values() for a in xs for b in xs if a != b)
+    assert {(r["x_id"], r["other"]): r["common"] for r in S._common(spark.createDataFrame(sorted(e), "x_id string, y_id string")).collect()} == dict(want)
