@@ -53,7 +53,7 @@ def mapped(c: Column, values: dict[str, str], default: Column | str = "") -> Col
 
 
 def among(c: Column, values: tuple[str, ...]) -> Column:
-    return F.when(c.isin(*values), c).otherwise("")
+    return mapped(c, {v: v for v in values})
 
 
 @dataclass(frozen=True)
@@ -74,8 +74,7 @@ def _actions(raw: dict[str, Column]) -> dict[str, Column]:
 
 
 def _effect(c: Column) -> Column:
-    found = among(snake(c), EFFECTS)
-    return F.when(found == "protection", "protective").otherwise(found)
+    return mapped(snake(c), {v: "protective" if v == "protection" else v for v in EFFECTS})
 
 
 def _diseases(raw: dict[str, Column]) -> dict[str, Column]:
@@ -126,16 +125,18 @@ def edge_key(relation: str) -> Column:
     return F.concat_ws("|", F.lit(relation), clean(F.col("x_id")), clean(F.col("y_id")))
 
 
-def assertion_id(df: DataFrame) -> Column:
-    """Which assertion a row belongs to: by its source's id or record, else by all it holds.
+def _with_assertion(df: DataFrame, columns: list[str]) -> DataFrame:
+    """df with the assertion that a row belongs to: by its source's id or record, else by all that these columns hold.
 
     Records of reviewed comments are cut before their papers.
     """
-    have = lambda c: clean(F.col(c)) if c in df.columns else F.lit("")
-    record = F.when((have("source_dataset") == COMMENTS) & F.contains(have("source_record_id"), F.lit(":PMID:")), F.substring_index(have("source_record_id"), ":PMID:", 1)).otherwise(have("source_record_id"))
-    assertion = F.coalesce(F.nullif(have("source_assertion_id"), F.lit("")), F.nullif(record, F.lit("")))
-    named = F.concat_ws("|", *[have(c) for c in ("relation", "x_id", "y_id", "source", "source_dataset")], assertion)
-    return F.when(assertion.isNotNull(), named).otherwise(F.sha2(F.to_json(F.struct(*[clean(F.col(c)).alias(c) for c in sorted(df.columns)])), 256))
+    have = lambda c: clean(F.col(c)) if c in columns else F.lit("")
+    record = F.when((have("source_dataset") == COMMENTS) & F.contains(F.col("_record"), F.lit(":PMID:")), F.substring_index("_record", ":PMID:", 1)).otherwise(F.col("_record"))
+    assertion = F.coalesce(F.nullif(have("source_assertion_id"), F.lit("")), F.nullif(F.col("_cut"), F.lit("")))
+    named = F.concat_ws("|", *[have(c) for c in ("relation", "x_id", "y_id", "source", "source_dataset")], "_assertion")
+    whole = F.sha2(F.to_json(F.struct(*[clean(F.col(c)).alias(c) for c in sorted(columns)])), 256)
+    steps = df.withColumn("_record", have("source_record_id")).withColumn("_cut", record).withColumn("_assertion", assertion)
+    return steps.withColumn("materialization_assertion_id", F.when(F.col("_assertion").isNotNull(), named).otherwise(whole)).drop("_record", "_cut", "_assertion")
 
 
 def _checked(df: DataFrame, relation: str, what: str, required: tuple[str, ...]) -> DataFrame:
@@ -152,25 +153,41 @@ def _checked(df: DataFrame, relation: str, what: str, required: tuple[str, ...])
     wrong = F.when(blank, "a blank required value").when(clean(F.col("relation")) != relation, "another relation").when((clean(F.col("x_type")) != source) | (clean(F.col("y_type")) != target), "an end of another type")
     if "edge_key" in df.columns:
         wrong = wrong.when(clean(F.col("edge_key")) != edge_key(relation), "an edge key that does not fit")
-    failed = F.raise_error(F.concat(F.lit(f"{what}/{relation} has "), wrong)).cast("string")
-    return df.withColumn("x_id", F.when(wrong.isNotNull(), failed).otherwise(F.col("x_id")))
+    failed = F.raise_error(F.concat(F.lit(f"{what}/{relation} has "), "_wrong")).cast("string")
+    return df.withColumn("_wrong", wrong).withColumn("x_id", F.when(F.col("_wrong").isNotNull(), failed).otherwise(F.col("x_id"))).drop("_wrong")
 
 
-def normalised(evidence: DataFrame, relation: str) -> DataFrame:
-    """Evidence with edge key, assertion, normalised values, and whether its assertion contradicts itself."""
+def _said_rows(evidence: DataFrame, relation: str) -> DataFrame:
+    """Evidence with edge key, assertion, normalised values, and as _payload what its fields say.
+
+    Values are worked out in steps, each once: one projection of all of them is code too large to be compiled.
+    """
     rows = _checked(evidence, relation, "evidence", (*REQUIRED, "source", "source_dataset", "source_record_id"))
     kind = RELATIONS[relation][2]
-    raw = {k: _said(evidence, columns) for k, columns in (kind.raw | kind.extra).items()}
-    payload = F.to_json(F.struct(*[raw[k].alias(k) for k in kind.raw]))
-    marked = rows.withColumns({"edge_key": edge_key(relation), "materialization_assertion_id": assertion_id(evidence), "_payload": payload} | kind.normal(raw))
+    raw = {k: F.col(f"_said_{k}") for k in kind.raw | kind.extra}
+    rows = _with_assertion(rows, evidence.columns).withColumns({f"_said_{k}": _said(evidence, columns) for k, columns in (kind.raw | kind.extra).items()})
+    marked = rows.withColumns({"edge_key": edge_key(relation), "_payload": F.struct(*[raw[k].alias(k) for k in kind.raw])} | kind.normal(raw))
+    return marked.drop(*[f"_said_{k}" for k in raw])
+
+
+def _split() -> Column:
+    """Whether the rows of one assertion say different things."""
+    return F.min("_payload") != F.max("_payload")
+
+
+def _told_apart(said: DataFrame, evidence: DataFrame) -> DataFrame:
     own = ["edge_key", "materialization_assertion_id"]
-    conflicts = marked.groupBy(*own).agg((F.min("_payload") != F.max("_payload")).alias("materialization_assertion_conflict"))
-    out = marked.drop("_payload").join(conflicts, own)
+    out = said.drop("_payload").join(said.groupBy(*own).agg(_split().alias("materialization_assertion_conflict")), own)
     if "source_assertion_id" not in evidence.columns:
         out = out.withColumn("source_assertion_id", F.col("materialization_assertion_id"))
     return out.withColumn("causal_feature_contract_version", F.lit(CONTRACT))
 
 
+def normalised(evidence: DataFrame, relation: str) -> DataFrame:
+    """Evidence with edge key, assertion, normalised values, and whether its assertion contradicts itself."""
+    return _told_apart(_said_rows(evidence, relation), evidence)
+
+
 def _usable(c: Column, number: bool) -> Column:
     return c.isNotNull() if number else ~c.isin("", "unknown")
 
@@ -182,6 +199,11 @@ def _status(values: Column, n: Column, conflicting: Column) -> Column:
 
 def edge_features(evidence: DataFrame, relation: str) -> DataFrame:
     """Features of each edge (edge_key) that has normalised evidence."""
+    return _features(evidence, relation, F.bool_or("materialization_assertion_conflict"))
+
+
+def _features(evidence: DataFrame, relation: str, conflict: Column) -> DataFrame:
+    """Features of each edge; conflict is an aggregate of the rows of an assertion."""
     kind = RELATIONS[relation][2]
     columns = {c: c in kind.numbers for c in dict.fromkeys((*kind.normal({k: F.lit("") for k in kind.raw | kind.extra}), *kind.usable))}
     rows = evidence
@@ -190,7 +212,7 @@ def edge_features(evidence: DataFrame, relation: str) -> DataFrame:
         rows, columns = rows.withColumn("assertion", said), columns | {"assertion": False}
     counted = reduce(lambda a, b: a | b, [F.bool_or(_usable(F.col(c), columns[c])) for c in kind.usable])
     by_assertion = rows.groupBy("edge_key", "materialization_assertion_id").agg(
-        F.bool_or("materialization_assertion_conflict").alias("conflict"), F.coalesce(counted, F.lit(False)).alias("counted"),
+        conflict.alias("conflict"), F.coalesce(counted, F.lit(False)).alias("counted"),
         *[F.collect_set(F.col(c) if number else F.nullif(c, F.lit(""))).alias(c) for c, number in columns.items()],
     )
     sets = {c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))) for c in columns}
@@ -226,15 +248,15 @@ def materialised(edges: DataFrame, evidence: DataFrame, relation: str) -> tuple[
     An edge without evidence has empty lists and unknown states.  A feature column
     that the edges have already is an error.
     """
-    rows = normalised(evidence, relation)
-    features = edge_features(rows, relation)
+    said = _said_rows(evidence, relation)
+    features = _features(said, relation, _split())  # of the rows as they are read: they need not meet their conflicts first
     added = [c for c in features.columns if c != "edge_key"]
     if taken := [c for c in added if c in edges.columns]:
         raise ValueError(f"edges/{relation} already has {taken}")
     own = _checked(edges, relation, "edges", REQUIRED)
     keyed = own.withColumn("_key", edge_key(relation)).join(features.withColumnRenamed("edge_key", "_key"), "_key", "left").drop("_key")
     blank = {c: F.coalesce(c, F.lit(0).cast("long")) if c == "evidence_count" else F.coalesce(c, F.lit("unknown" if c.endswith(("_status", "_level")) else "[]")) for c in added}
-    return keyed.withColumns(blank | {"causal_feature_contract_version": F.lit(CONTRACT)}), rows
+    return keyed.withColumns(blank | {"causal_feature_contract_version": F.lit(CONTRACT)}), _told_apart(said, evidence)
 
 
 def staged_failures(edges: DataFrame, evidence: DataFrame, relation: str) -> DataFrame:

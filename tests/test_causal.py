@@ -206,3 +206,12 @@ def test_fingerprints_add_up(spark):
     assert added(parts, []).select("n_rows", fingerprint().alias("fingerprint")).first() == whole
     assert table_fingerprint(df.withColumn("k", F.when(F.col("id") == 3, 9).otherwise(F.col("k")))).first()["fingerprint"] != whole["fingerprint"]
     assert table_fingerprint(df.limit(0)).first()["n_rows"] == 0
+
+
+@pytest.mark.parametrize("relation", sorted(C.RELATIONS))
+def test_evidence_is_not_joined_for_features(spark, relation):
+    ev = table(spark, relation, [{"source_record_id": str(k)} for k in range(3)])
+    own = table(spark, relation, [{}]).select("relation", "x_id", "x_type", "y_id", "y_type")
+    edges, rows = C.materialised(own, ev, relation)
+    assert edges._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert edges.first()["evidence_count"] == C.edge_features(rows, relation).first()["evidence_count"]
