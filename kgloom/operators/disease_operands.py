@@ -14,7 +14,9 @@ CONTRACT, RELATION, VARIANTS = "disease-causal-operands-v1", "disease_associated
 SOURCES = {COMMENTS: ("UniProtKB", "UniProtKB_reviewed_disease_comment"), VARIANTS: ("UniProtKB/humsavar", "UniProtKB_humsavar")}
 EXACT = ("exact_uniprot_accession_to_existing_protein_node", "exact_disease_xref_to_existing_disease_node")
 GAIN = r"(?i)\b(?:disorder|disease)\s+due\s+to\s+(?:an?\s+)?gain[ -]of[ -]function\s+defect\b"
-OPERANDS = ("mechanism_operand", "disease_direction_operand")
+#: The operands of an assertion and the one value each may have.
+OPERAND_VALUES = {"mechanism_operand": "gain_of_function", "disease_direction_operand": "risk"}
+OPERANDS = tuple(OPERAND_VALUES)
 EDGE = ["causal_mechanisms", "mechanism_status", "effect_directions", "effect_direction_status", "both_operands_known"]
 
 
@@ -27,7 +29,7 @@ def _truthy(df: DataFrame) -> Column:
 
 
 def reject_reason(df: DataFrame) -> Column:
-    """The first gate that an assertion fails: dataset, provenance, source, disease, variant, isoform, mapping; or that it says nothing outright."""
+    """The first gate that an assertion (with _gain) fails: dataset, provenance, source, disease, variant, isoform, mapping; or that it says nothing outright."""
     have = _have(df)
     dataset, record, variant = have("source_dataset"), have("source_record_id"), have("variant_ft_id")
     source = F.when(dataset == COMMENTS, SOURCES[COMMENTS][0]).when(dataset == VARIANTS, SOURCES[VARIANTS][0])
@@ -37,7 +39,7 @@ def reject_reason(df: DataFrame) -> Column:
         (source.isNull(), "unsupported_source_family_or_mapping"), ((have("source") == "") | (record == "") | (have("release") == ""), "missing_source_provenance"), (have("source") != source, "source_family_mismatch"),
         ((have("disease_source_id") == "") | (have("y_id") == ""), "missing_disease_context"), ((dataset == VARIANTS) & ((variant == "") | (record == "")), "missing_exact_variant_identity"),
         (have("isoform") != "canonical", "mixed_or_noncanonical_isoform"), (~exact, "ambiguous_or_inexact_mapping"), ((dataset == VARIANTS) & (record != variant), "variant_source_record_mismatch"),
-        (~(_gain(df) | _pathogenic(df)), "no_eligible_explicit_operand"),
+        (~(F.col("_gain") | _pathogenic(df)), "no_eligible_explicit_operand"),
     )
 
 
@@ -51,36 +53,50 @@ def _pathogenic(df: DataFrame) -> Column:
     return (have("source_dataset") == VARIANTS) & (F.upper(have("variant_category")) == "LP/P")
 
 
+def _with_operands(evidence: DataFrame) -> DataFrame:
+    """Evidence with why it has no operand, its operands, and whether it inherits a conflict (_inherited)."""
+    rows = evidence.withColumn("_gain", _gain(evidence))
+    rows = rows.withColumn("operand_reject_reason", F.coalesce(reject_reason(evidence), F.lit("")))
+    usable = F.col("operand_reject_reason") == ""
+    mechanism, direction = OPERAND_VALUES.values()
+    return rows.withColumns({"mechanism_operand": F.when(usable & F.col("_gain"), mechanism).otherwise(""), "disease_direction_operand": F.when(usable, direction).otherwise(""), "_inherited": _truthy(evidence)})
+
+
 def operand_assertions(evidence: DataFrame) -> DataFrame:
     """Evidence with its operands, their support, why it has none, and whether its assertion contradicts itself."""
-    have, reason = _have(evidence), F.col("operand_reject_reason")
+    have, usable = _have(evidence), F.col("operand_reject_reason") == ""
     family = F.when(have("source_dataset") == COMMENTS, SOURCES[COMMENTS][1]).when(have("source_dataset") == VARIANTS, SOURCES[VARIANTS][1]).otherwise("unsupported")
     path = {"mapping_confidence": "mapping_confidence", "mapping_method": "mapping_method", "protein_id": "x_id", "source_disease_id": "disease_source_id", "source_protein_id": "uniprot_accession", "target_disease_id": "y_id", "variant_id": "variant_ft_id"}
-    rows = evidence.withColumns({"operand_reject_reason": F.coalesce(reject_reason(evidence), F.lit("")), "operand_source_family": family, "operand_source_record_id": have("source_record_id"), "operand_source_release": have("release"), "operand_mapping_path": F.to_json(F.struct(*[have(c).alias(k) for k, c in path.items()]))})
-    usable = reason == ""
-    support = F.when(usable & _gain(evidence), "explicit_uniprot_disease_causal_phrase").when(usable, "explicit_humsavar_pathogenic_variant_disease").otherwise("unusable")
-    rows = rows.withColumns({
-        "mechanism_operand": F.when(usable & _gain(evidence), "gain_of_function").otherwise(""), "disease_direction_operand": F.when(usable, "risk").otherwise(""), "operand_support_class": support,
-        "operand_confidence": F.when(usable, "direct_explicit").otherwise("unknown"), "_inherited": _truthy(evidence),
+    support = F.when(usable & F.col("_gain"), "explicit_uniprot_disease_causal_phrase").when(usable, "explicit_humsavar_pathogenic_variant_disease").otherwise("unusable")
+    rows = _with_operands(evidence).withColumns({
+        "operand_source_family": family, "operand_source_record_id": have("source_record_id"), "operand_source_release": have("release"), "operand_mapping_path": F.to_json(F.struct(*[have(c).alias(k) for k, c in path.items()])),
+        "operand_support_class": support, "operand_confidence": F.when(usable, "direct_explicit").otherwise("unknown"),
     })
     own = ["edge_key", "materialization_assertion_id"]
     split = rows.groupBy(*own).agg(*[(F.min(c) != F.max(c)).alias(f"_{c}") for c in OPERANDS])
     marked = rows.join(split, own)
     marked = marked.withColumns({f"{c}_conflict": F.col("_inherited") | F.col(f"_{c}") for c in OPERANDS} | {"disease_operand_contract_version": F.lit(CONTRACT)})
-    return marked.withColumns({"normalized_causal_mechanism": F.col(OPERANDS[0]), "normalized_effect_direction": F.col(OPERANDS[1])}).drop("_inherited", *[f"_{c}" for c in OPERANDS])
+    return marked.withColumns({"normalized_causal_mechanism": F.col(OPERANDS[0]), "normalized_effect_direction": F.col(OPERANDS[1])}).drop("_inherited", "_gain", *[f"_{c}" for c in OPERANDS])
 
 
 def edge_operands(assertions: DataFrame) -> DataFrame:
     """What the assertions of each edge (edge_key) agree on; values never come through a conflict as known."""
-    blank = F.nullif("materialization_assertion_id", F.lit(""))
-    values = {c: F.array_sort(F.collect_set(F.nullif(c, F.lit("")))) for c in OPERANDS}
-    supported = {c: F.count_distinct(F.when(F.col(c) != "", blank)) for c in OPERANDS}
-    found = assertions.groupBy("edge_key").agg(*[v.alias(c) for c, v in values.items()], *[n.alias(f"n_{c}") for c, n in supported.items()], *[F.bool_or(f"{c}_conflict").alias(f"x_{c}") for c in OPERANDS])
+    return _edge_states(assertions, {c: F.bool_or(f"{c}_conflict") for c in OPERANDS})
+
+
+def _edge_states(rows: DataFrame, conflicts: dict[str, Column]) -> DataFrame:
+    """States of each edge from rows with operands: by assertion, then by edge; conflicts are aggregates of an assertion's rows.
+
+    An operand has one value or none, so flags stand for it and no set is gathered.
+    """
+    once = rows.groupBy("edge_key", "materialization_assertion_id").agg(*[F.bool_or(F.col(c) != "").alias(c) for c in OPERANDS], *[x.alias(f"x_{c}") for c, x in conflicts.items()])
+    named = F.coalesce(F.col("materialization_assertion_id") != "", F.lit(False))
+    found = once.groupBy("edge_key").agg(*[F.bool_or(c).alias(c) for c in OPERANDS], *[F.count_if(F.col(c) & named).alias(f"n_{c}") for c in OPERANDS], *[F.bool_or(f"x_{c}").alias(f"x_{c}") for c in OPERANDS])
 
     def status(c: str) -> Column:
-        return F.when(F.col(f"x_{c}"), "conflicting").when(F.col(f"n_{c}") == 0, "unknown").when(F.size(c) > 1, "conflicting").when(F.col(f"n_{c}") == 1, "single").otherwise("consensus")
+        return F.when(F.col(f"x_{c}"), "conflicting").when(F.col(f"n_{c}") == 0, "unknown").when(F.col(f"n_{c}") == 1, "single").otherwise("consensus")
 
-    listed = lambda c: F.to_json(F.when(~F.col(f"x_{c}") & (F.col(f"n_{c}") == 0), F.array().cast("array<string>")).otherwise(F.col(c)))
+    listed = lambda c: F.when(F.col(c) & (F.col(f"x_{c}") | (F.col(f"n_{c}") > 0)), f'["{OPERAND_VALUES[c]}"]').otherwise("[]")
     return _known(found.select("edge_key", listed(OPERANDS[0]).alias("causal_mechanisms"), status(OPERANDS[0]).alias("mechanism_status"), listed(OPERANDS[1]).alias("effect_directions"), status(OPERANDS[1]).alias("effect_direction_status")))
 
 
@@ -100,9 +116,12 @@ def materialised_operands(edges: DataFrame, evidence: DataFrame) -> tuple[DataFr
     own = edges.withColumn("edge_key", F.when(odd(edges), error("an edge of another relation or type")).otherwise(key))
     counted = own.groupBy("edge_key").agg(F.count("*").alias("_n"))
     rows = evidence.withColumn("edge_key", F.when(odd(evidence), error("evidence of another relation or type")).when(clean(F.col("edge_key")) != key, error("an edge key that does not fit")).otherwise(F.col("edge_key")))
-    rows = rows.join(counted, "edge_key", "left").withColumn("edge_key", F.when(F.col("_n").isNull(), error("evidence without an edge")).when(F.col("_n") > 1, error("two edges of one identity")).otherwise(F.col("edge_key"))).drop("_n")
-    assertions = operand_assertions(rows)
-    joined = own.join(edge_operands(assertions), "edge_key", "left")
+    fitting = lambda df: df.join(counted, "edge_key", "left").withColumn("edge_key", F.when(F.col("_n").isNull(), error("evidence without an edge")).when(F.col("_n") > 1, error("two edges of one identity")).otherwise(F.col("edge_key"))).drop("_n")
+    assertions = operand_assertions(fitting(rows))
+    named = F.col("materialization_assertion_id").isNotNull()
+    told = _with_operands(rows).withColumns({c: F.when(named, F.col(c)).otherwise("") for c in OPERANDS} | {"_inherited": named & F.col("_inherited")})
+    states = _edge_states(told, {c: F.bool_or("_inherited") | (F.min(F.col(c) != "") != F.max(F.col(c) != "")) for c in OPERANDS})
+    joined = own.join(fitting(states), "edge_key", "left")  # edges meet states, not rows
     fill = {c: F.coalesce(c, F.lit("unknown" if c.endswith("status") else "[]")) for c in EDGE[:4]} | {"both_operands_known": F.coalesce("both_operands_known", F.lit(False))}
     out = joined.withColumns(fill | {"disease_operand_contract_version": F.lit(CONTRACT)})
     return (out if "edge_key" in edges.columns else out.drop("edge_key")), assertions

@@ -215,3 +215,15 @@ def test_evidence_is_not_joined_for_features(spark, relation):
     edges, rows = C.materialised(own, ev, relation)
     assert edges._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
     assert edges.first()["evidence_count"] == C.edge_features(rows, relation).first()["evidence_count"]
+
+
+def test_operands_do_not_join_evidence_rows(spark):
+    ev = table(spark, D.RELATION, [GOOD, SEEN, GOOD | {"materialization_assertion_id": None}]).withColumn("edge_key", C.edge_key(D.RELATION))
+    own = ev.select("relation", "x_id", "x_type", "y_id", "y_type").distinct()
+    edges, assertions = D.materialised_operands(own, ev)
+    assert edges._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+    assert [tuple(r) for r in edges.select(*D.EDGE).collect()] == [tuple(r) for r in D.edge_operands(assertions).select(*D.EDGE).collect()]
+    with pytest.raises(Exception, match="evidence without an edge"):
+        D.materialised_operands(own.where("false"), ev)[0].collect()
+    with pytest.raises(Exception, match="two edges of one identity"):
+        D.materialised_operands(own.union(own), ev)[0].collect()
