@@ -38,9 +38,7 @@ w AS (SELECT p.*, node, coalesce(listed, '') AS listed, CASE WHEN space = 'compl
 
 @query(f"""{_RULES} SELECT 'protein_part_of_protein_complex' AS relation, node AS x_id, complex AS y_id, raw, n AS stoichiometry FROM w WHERE reason IS NULL AND space = 'uniprotkb' UNION ALL SELECT 'protein_complex_part_of_protein_complex', id, complex, raw, n FROM w WHERE reason IS NULL AND space = 'complex_portal'""")
 def q_complex_evidence(spark: SparkSession, d: str) -> DataFrame:
-    found = _found(spark, d)
-    both = found["evidence"].unionByName(found["nested_evidence"])
-    return both.select("relation", "x_id", "y_id", F.split_part("source_record_id", F.lit("|"), F.lit(2)).alias("raw"), "stoichiometry")
+    return _found(spark, d)["all_evidence"].select("relation", "x_id", "y_id", F.split_part("source_record_id", F.lit("|"), F.lit(2)).alias("raw"), "stoichiometry")
 
 
 @query(f"{_RULES} SELECT complex AS source_complex_id, id AS source_participant_id, space AS source_participant_namespace, reason, listed AS candidate_protein_ids FROM w WHERE reason IS NOT NULL")

@@ -88,3 +88,18 @@ def test_a_chain_of_many_levels(spark):
     assert sorted((r["depth"], r["copies"]) for r in found.collect()) == [(k, 2) for k in range(1, 14)] and cycles.count() == 0
     with pytest.raises(RuntimeError):
         C.nesting_cycles(nested, 3)
+
+
+def test_nestings_on_no_cycle_are_peeled_off(spark):
+    """A tree of 12 levels with one cycle at its foot: three rounds are enough, since only the cycle's ways are walked."""
+    tree = [(f"t{k // 2}", f"t{k}", "1") for k in range(2, 4096)] + [("a", "b", "1"), ("b", "a", "1"), ("b", "t1", "1"), ("s", "s", "1")]
+    found = C.nesting_cycles(spark.createDataFrame(tree, EDGE), 12)
+    assert {(r["part"], r["whole"]) for r in found.collect()} == {("a", "b"), ("b", "a"), ("s", "s")}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Scan ExistingRDD") <= 8
+
+
+def test_all_evidence_is_both_kinds(spark):
+    source = rows(spark, ("CPX-1", "One", "9606", "P00001(2)|CPX-2(1)|P00004|CPX-1(1)"), ("CPX-2", "-", "9606", "uniprotkb:P00001(0)"))
+    found = C.complexes(source, spark.createDataFrame([("ENSP1", "P00001")], "id string, uniprot_id string"))
+    assert sorted(map(tuple, found["all_evidence"].collect())) == sorted(map(tuple, found["evidence"].unionByName(found["nested_evidence"]).collect())) and found["all_evidence"].count() == 3
+    assert {(r["relation"], r["x_id"], r["x_type"], r["y_id"]) for r in found["all_evidence"].collect()} == {(C.MEMBER, "ENSP1", "protein", "CPX-1"), (C.MEMBER, "ENSP1", "protein", "CPX-2"), (C.NESTED, "CPX-2", "protein_complex", "CPX-1")}
