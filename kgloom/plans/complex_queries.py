@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import complexes as C
+from ..sources.shared import cut
 from ..sources.tables import table
 from .queries import query
 
@@ -53,8 +54,8 @@ f(protein, place, depth, copies) AS (SELECT node, complex, 1, CASE WHEN n <> ''
 
 @query(f"{_FLAT} SELECT protein AS x_id, place AS y_id, min(depth) AS depth, CASE WHEN count(*) FILTER (copies IS NULL) = 0 THEN sum(copies)::BIGINT END AS copies FROM f GROUP BY ALL")
 def q_complex_members(spark: SparkSession, d: str) -> DataFrame:
-    found = _found(spark, d)
-    return C.flattened(found["evidence"], found["nested_evidence"])[0]
+    every = cut(_found(spark, d)["all_evidence"].select("relation", "x_id", "y_id", "stoichiometry"))  # tokens are read once
+    return C.flattened(every.where(F.col("relation") == C.MEMBER), every.where(F.col("relation") == C.NESTED))[0]
 
 
 @query(f"{_FLAT} SELECT part, whole FROM c")
