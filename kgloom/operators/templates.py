@@ -41,10 +41,10 @@ def values(c: Column, lower: bool = True) -> Column:
     return F.array_sort(F.array_distinct(F.filter(clean, lambda x: x.isNotNull() & (x != ""))))
 
 
-#: The same as SQL text of a column {c}.
+#: The same as SQL text of a column {c}; a scalar is not sorted, nor gone through by functions of lists.
 _VALUES = (
-    "array_sort(array_distinct(filter(transform(CASE WHEN startswith(trim(CAST({c} AS STRING)), '[') THEN coalesce(from_json(trim(CAST({c} AS STRING)), 'array<string>'), array(trim(CAST({c} AS STRING)))) ELSE array(trim(CAST({c} AS STRING))) END,"
-    " x -> lower(trim(x))), x -> x IS NOT NULL AND x <> '')))"
+    "CASE WHEN startswith(trim(CAST({c} AS STRING)), '[') THEN array_sort(array_distinct(filter(transform(coalesce(from_json(trim(CAST({c} AS STRING)), 'array<string>'), array(trim(CAST({c} AS STRING)))), x -> lower(trim(x))), x -> x IS NOT NULL AND x <> '')))"
+    " WHEN trim(CAST({c} AS STRING)) <> '' THEN array(lower(trim(CAST({c} AS STRING)))) ELSE CAST(array() AS array<string>) END"
 )
 
 
@@ -97,12 +97,16 @@ class Paths:
         df, fields = _premise(edges)
         return cls(df.select(F.struct("*").alias(role)), {role: fields})
 
-    def join(self, role: str, edges: DataFrame, left: str, right: str, how: str = "inner", once: bool = False) -> Paths:
-        """Join a premise where left (`role.column`) equals its column; `once`: a pair of its ends counts once."""
+    def join(self, role: str, edges: DataFrame, left: str, right: str, how: str = "inner", once: bool = False, keep: str | None = None) -> Paths:
+        """Join a premise where left (`role.column`) equals its column; `once`: a pair of its ends counts once.
+
+        `keep` names a column for the key: rows grouped by it among others need no further shuffle.
+        """
         df, fields = _premise(edges)
         df = df.dropDuplicates(["x_id", "y_id"]) if once else df
         key = df.select(F.col(right).alias("_k"), F.struct("*").alias(role))
-        return Paths(self.df.withColumn("_k", F.col(left)).join(key, "_k", how).drop("_k"), self.fields | {role: fields}, self.rejects)
+        met = self.df.withColumn("_k", F.col(left)).join(key, "_k", how)
+        return Paths(met.withColumnRenamed("_k", keep) if keep else met.drop("_k"), self.fields | {role: fields}, self.rejects)
 
     def attach(self, other: Paths, left: str, right: str, how: str = "inner") -> Paths:
         """Join other paths."""
@@ -212,7 +216,7 @@ class Paths:
         flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"{r}.{c}") for r in roles]))))
         context = {f: reduce(F.array_union, [self.values(r, f) for r in roles]) for f in CONTEXT_FIELDS if any(f in self.fields[r] for r in roles)}
         context = F.to_json(F.struct(*[F.array_sort(v).alias(f) for f, v in sorted(context.items())])) if context else F.lit("{}")
-        text = lambda c: F.coalesce(F.col(c), F.lit("")) if c else F.lit("")
+        text = lambda c: F.col(c) if c else F.lit("")  # noqa: E731  (keys of inner joins, so never null; bare, so that Spark still knows how they are dealt)
         return self.df.select(
             F.col(x).alias("x_id"), F.col(y).alias("y_id"), text(member).alias("member_id"), text(anchor).alias("anchor_id"), F.array_sort(F.array_distinct(F.array(*[F.col(f"{r}.edge_key") for r in roles]))).alias("supports"),
             flat("evidence_ids").alias("evidence"), context.alias("context_intersection"), F.to_json(F.array(*[F.struct(f"{r}.x_id", f"{r}.y_id", f"{r}.edge_key") for r in roles])).alias("typed_path"), *[c.alias(n) for n, c in extra.items()],
@@ -247,10 +251,10 @@ def _two_hop(first: str, second: str, triangle: str | None):
     """mutation - disease - phenotype: compatible, from independent sources; or closed by an observed edge."""
 
     def build(r):
-        p = Paths.of("a", r[first]).join("b", r[second], "a.y_id", "x_id")
+        p = Paths.of("a", r[first]).join("b", r[second], "a.y_id", "x_id", keep="_anchor")
         p = p.decide((~p.compatible(("a", "b")) | ~p.independent("a", "b"), "context_or_source_circularity"))
         if triangle is None:
-            return p, p.rows("a.x_id", "b.y_id", ("a", "b"), anchor="a.y_id")
+            return p, p.rows("a.x_id", "b.y_id", ("a", "b"), anchor="_anchor")
         p = p.df.withColumn("_end", F.concat_ws("\0", "a.x_id", "b.y_id")), p
         seen, fields = _premise(r[triangle])
         seen = seen.dropDuplicates(["x_id", "y_id"]).select(F.concat_ws("\0", "x_id", "y_id").alias("_end"), F.struct("*").alias("c"))
@@ -264,10 +268,10 @@ def _same_disease(triangle: str | None):
     """phenotype and tissue of one disease."""
 
     def build(r):
-        p = Paths.of("a", r["disease_has_phenotype"]).join("b", r["disease_manifests_in_tissue"], "a.x_id", "x_id")
+        p = Paths.of("a", r["disease_has_phenotype"]).join("b", r["disease_manifests_in_tissue"], "a.x_id", "x_id", keep="_anchor")
         p = p.decide((~p.compatible(("a", "b")) | ~p.independent("a", "b"), "context_or_source_circularity"))
         if triangle is None:
-            return p, p.rows("b.y_id", "a.y_id", ("a", "b"), anchor="a.x_id")
+            return p, p.rows("b.y_id", "a.y_id", ("a", "b"), anchor="_anchor")
         seen, fields = _premise(r[triangle])
         seen = seen.dropDuplicates(["x_id", "y_id"]).select(F.concat_ws("\0", "x_id", "y_id").alias("_end"), F.struct("*").alias("c"))
         p = Paths(p.df.withColumn("_end", F.concat_ws("\0", "b.y_id", "a.y_id")).join(seen, "_end", "left").drop("_end"), p.fields | {"c": fields}, p.rejects).decide((F.col("c").isNull(), "incomplete_triangle"))
@@ -309,8 +313,37 @@ def _gene_to_protein(r):
 
 def _pathway_member(membership: str, association: str):
     def build(r):
-        p = Paths.of("a", r[membership]).join("b", r[association], "a.y_id", "x_id")
-        return p, p.rows("a.x_id", "b.y_id", ("a", "b"), member="a.y_id")
+        p = Paths.of("a", r[membership]).join("b", r[association], "a.y_id", "x_id", keep="_member")
+        return p, p.rows("a.x_id", "b.y_id", ("a", "b"), member="_member")
+
+    return build
+
+
+def _folded_members(membership: str, association: str):
+    """The same, one row for each pathway, disease and member, with how many paths there are; none where edges bring their own keys or evidence.
+
+    A key made of an edge's relation and ends is the same for all edges of one pair, and so
+    is their paths' hash.  So each premise is folded to its pairs of ends before they meet
+    and the rows of the join are neither sorted nor shuffled.
+    """
+
+    def one(edges: DataFrame, by: str, role: str) -> tuple[DataFrame, frozenset[str]]:
+        df, fields = _premise(edges.where(F.col(by).isNotNull()).repartition(by))  # dealt by member once, for folding and for the join
+        fields &= set(CONTEXT_FIELDS)
+        flat = {c: f"_{role}_{c}" for c in ("x_id", "y_id", *sorted(fields))}
+        df = df.groupBy("x_id", "y_id").agg(F.count("*").alias(f"_n_{role}"), *[F.first(c).alias(c) for c in sorted(fields)])
+        return df.select(F.col(by).alias("_member"), f"_n_{role}", *[F.col(c).alias(n) for c, n in flat.items()]), fields
+
+    def whole(role: str, relation: str, fields: frozenset[str]) -> Column:
+        ends = [F.col(f"_{role}_{c}").alias(c) for c in ("x_id", "y_id", *sorted(fields))]
+        return F.struct(*ends, F.concat_ws("|", F.lit(relation), *ends[:2]).alias("edge_key"), F.expr(NO_TEXT).alias("evidence_ids")).alias(role)
+
+    def build(r):
+        if {"edge_key", "evidence_ids"} & {*r[membership].columns, *r[association].columns}:
+            return None
+        (a, of_a), (b, of_b) = one(r[membership], "y_id", "a"), one(r[association], "x_id", "b")
+        met = a.join(b, "_member").select("_member", "_n_a", "_n_b", whole("a", membership, of_a), whole("b", association, of_b))
+        return Paths(met, {"a": of_a, "b": of_b}).rows("a.x_id", "b.y_id", ("a", "b"), member="_member", support_multiplicity=F.col("_n_a") * F.col("_n_b"))
 
     return build
 
@@ -463,6 +496,8 @@ class Template:
     target: str
     epistemic_class: str
     build: Callable
+    #: One row for each candidate without making its paths, or None where that cannot be.
+    folded: Callable | None = None
 
 
 OBVIOUS, WEAK, VIEW = "inferred_obvious", "inferred_weak", "coherence_only"
@@ -481,8 +516,8 @@ TEMPLATES = {
     "cell_line_protein_to_gene_expression_v2": Template("cell_line_expresses_gene", OBVIOUS, _through_mapping("cell_line_expresses_protein", "y")),
     "protein_disease_to_gene_disease_v2": Template("disease_associated_gene", OBVIOUS, _through_mapping("disease_associated_protein", "x", "x_id", False)),
     "gene_disease_to_protein_disease_strict_v2": Template("disease_associated_protein", WEAK, _gene_to_protein),
-    "pathway_associated_member_feature_v2": Template("pathway_associated_member", VIEW, _pathway_member("pathway_contains_gene", "disease_associated_gene")),
-    "pathway_associated_protein_member_feature_v2": Template("pathway_associated_member", VIEW, _pathway_member("pathway_contains_protein", "disease_associated_protein")),
+    "pathway_associated_member_feature_v2": Template("pathway_associated_member", VIEW, _pathway_member("pathway_contains_gene", "disease_associated_gene"), _folded_members("pathway_contains_gene", "disease_associated_gene")),
+    "pathway_associated_protein_member_feature_v2": Template("pathway_associated_member", VIEW, _pathway_member("pathway_contains_protein", "disease_associated_protein"), _folded_members("pathway_contains_protein", "disease_associated_protein")),
     "pathway_disease_candidate_v2": Template("disease_involves_pathway", WEAK, _pathway_disease),
     "disease_phenotype_tissue_localization_v2": Template("phenotype_observed_in_tissue", WEAK, _same_disease(None)),
     "disease_phenotype_tissue_triangle_v2": Template("disease_phenotype_tissue_coherence", VIEW, _same_disease("phenotype_observed_in_tissue")),
@@ -495,22 +530,32 @@ TEMPLATES = {
 }
 
 
+def _hashed(name: str, rows: DataFrame) -> DataFrame:
+    return rows.withColumn("derivation_hash", F.sha2(F.concat_ws("|", F.lit(name), "x_id", "y_id", F.concat_ws(";", "supports"), F.concat_ws(";", "evidence")), 256))
+
+
 def paths_of(name: str, relations: dict[str, DataFrame], **options) -> tuple[DataFrame, DataFrame]:
     """All paths of a template with their derivation hash, and one row for each rejected path with its reason."""
     found, rows = TEMPLATES[name].build(relations, **options)
-    rows = rows.withColumn("derivation_hash", F.sha2(F.concat_ws("|", F.lit(name), "x_id", "y_id", F.concat_ws(";", "supports"), F.concat_ws(";", "evidence")), 256))
+    rows = _hashed(name, rows)
     rejects = reduce(DataFrame.unionAll, found.rejects) if found.rejects else rows.select(F.lit("").alias("reason")).limit(0)
     return rows, rejects
 
 
 def candidates(name: str, relations: dict[str, DataFrame], **options) -> DataFrame:
     """One row for each pair (of a derived view: each pair, member and anchor): the path of the smallest hash, and how many there are."""
+    identity, t = ["x_id", "y_id", "member_id", "anchor_id"], TEMPLATES[name]
+    what = [F.lit(t.target).alias("relation"), F.lit(name).alias("inference_template_id"), F.lit(t.epistemic_class).alias("epistemic_class")]
+    if t.folded and (found := t.folded(relations, **options)) is not None:
+        found = _hashed(name, found)
+        rest = [c for c in found.columns if c not in (*identity, "support_multiplicity")]
+        return found.select(*identity, *rest, "support_multiplicity", F.array_repeat("derivation_hash", F.col("support_multiplicity").cast("int")).alias("derivation_hashes"), *what)
     rows, _ = paths_of(name, relations, **options)
-    identity = ["x_id", "y_id", "member_id", "anchor_id"]
     rest = [c for c in rows.columns if c not in identity]
-    kept = rows.groupBy(*identity).agg(F.min_by(F.struct(*rest), "derivation_hash").alias("first"), F.count("*").alias("support_multiplicity"), F.array_sort(F.collect_list("derivation_hash")).alias("derivation_hashes"))
-    t = TEMPLATES[name]
-    return kept.select(*identity, "first.*", "support_multiplicity", "derivation_hashes", F.lit(t.target).alias("relation"), F.lit(name).alias("inference_template_id"), F.lit(t.epistemic_class).alias("epistemic_class"))
+    # one aggregate a column, so that columns nobody reads are neither made nor shuffled
+    first = [(F.min(c) if c == "derivation_hash" else F.min_by(c, "derivation_hash")).alias(c) for c in rest]
+    kept = rows.groupBy(*identity).agg(*first, F.count("*").alias("support_multiplicity"), F.array_sort(F.collect_list("derivation_hash")).alias("derivation_hashes"))
+    return kept.select(*identity, *rest, "support_multiplicity", "derivation_hashes", *what)
 
 
 def bounded(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:

@@ -51,3 +51,17 @@ def test_nothing_is_new_without_an_inventory(spark):
     found = spark.createDataFrame([("a", "b")], "x_id string, y_id string")
     new, gone = T.unobserved(found, None, None)
     assert new.count() == 0 and [r.reason for r in gone.collect()] == ["canonical_target_inventory_missing"]
+
+
+def test_member_features_are_folded_before_they_meet(spark):
+    rows = [("r", "w1", "g1", "Liver", "a"), ("r", "w1", "g1", "Liver", "b"), ("r", "w2", "g1", None, "a"), ("r", "w2", None, None, "a"), ("r", "w3", "g3", None, "a")]
+    a = spark.createDataFrame(rows, "relation string, x_id string, y_id string, tissue string, source string").withColumn("relation", F.lit("pathway_contains_gene"))
+    b = spark.createDataFrame([("g1", "d1", "kidney")] * 3 + [("g1", "d2", None), ("g3", "d2", "[\"Liver\",\"lung\"]")], "x_id string, y_id string, tissue string").withColumn("relation", F.lit("disease_associated_gene"))
+    keyed = lambda df: df.withColumn("edge_key", F.concat_ws("|", "relation", "x_id", "y_id"))  # noqa: E731  (edges with keys are not folded)
+    name = "pathway_associated_member_feature_v2"
+    one, other = (T.candidates(name, {"pathway_contains_gene": f(a), "disease_associated_gene": f(b)}) for f in (lambda df: df, keyed))
+    text = lambda df: sorted(map(str, map(tuple, df.select(sorted(df.columns)).collect())))
+    assert sorted(one.columns) == sorted(other.columns) and text(one) == text(other)
+    assert {(r.x_id, r.y_id): (r.support_multiplicity, len(r.derivation_hashes)) for r in one.collect()} == {("w1", "d1"): (6, 6), ("w1", "d2"): (2, 2), ("w2", "d1"): (3, 3), ("w2", "d2"): (1, 1), ("w3", "d2"): (1, 1)}
+    after = Q.QUERIES["q_pathway_associated_member_feature"](spark, SF)._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert "Aggregate" not in after and "Exchange" not in after  # what the join gives is neither sorted nor shuffled
