@@ -447,10 +447,10 @@ def _signed(protein: bool, harmful: bool):
 
     def build(r):
         kind = "protein" if protein else "gene"
-        a, b = Paths.of("a", r[f"molecule_targets_{kind}"]), Paths.of("b", r[f"disease_associated_{kind}"])
-        # dealt by target before any fact is worked out: the join needs it, and premises are read once instead of within every fact
-        dealt = lambda p, key: Paths(p.df.withColumn("_target", F.col(key)).repartition("_target"), p.fields)
-        action, disease = _action_facts(dealt(a, "a.y_id"), "a"), _disease_facts(dealt(b, "b.x_id"), "b")
+        # dealt by target as they are read, before fields become lists and facts: the join needs it, and a source of few blocks is not the work of few tasks
+        dealt = lambda role, relation, key: Paths.of(role, r[relation].where(F.col(key).isNotNull()).repartition(key))
+        a, b = dealt("a", f"molecule_targets_{kind}", "y_id"), dealt("b", f"disease_associated_{kind}", "x_id")
+        action, disease = _action_facts(Paths(a.df.withColumn("_target", F.col("a.y_id")), a.fields), "a"), _disease_facts(Paths(b.df.withColumn("_target", F.col("b.x_id")), b.fields), "b")
         acts = F.when(F.col("_action_state") == "conflicting", "conflicting").when(F.col("_action_sign").isNull(), "missing").otherwise("signed")
         left = action.select("a", "_target", acts.alias("_a_class"), F.col("_action_sign").alias("_a_sign"), *[c.alias(n) for n, c in _facts(a, "a").items()])
         known = F.when((F.col("_disease_state") == "conflicting") | (F.col("_causal_state") == "conflicting"), "conflicting").when(F.col("_disease_sign").isNull() | (F.col("_causal_state") != "known"), "missing")
@@ -461,7 +461,9 @@ def _signed(protein: bool, harmful: bool):
         reason = F.when(either("conflicting"), "conflicting_sign").when(either("missing"), "missing_sign_or_causal_support").when(either("noncausal"), "noncausal_support")
         reason = reason.when(F.col("_a_sign") * F.col("_b_sign") != wanted, "nonharmful_sign_product" if harmful else "nontherapeutic_sign_product")
         by_sign = left.select("_target", "_a_class", "_a_sign").join(right.select("_target", "_b_class", "_b_sign"), "_target").select(reason.alias("reason")).where("reason IS NOT NULL")
-        good = left.where("_a_class = 'signed'").join(right.where("_b_class = 'signed'"), "_target").where(F.col("_a_sign") * F.col("_b_sign") == wanted)
+        # one rule over both sides: a rule over one would be worked out, with all it rests on, once more as the source is read
+        used = lambda df, role: df.withColumn("_use_" + role, F.when(F.col(f"_{role}_class") == "signed", F.coalesce(f"_{role}_sign", F.lit(0))).otherwise(0))
+        good = used(left, "a").join(used(right, "b"), "_target").where(F.col("_use_a") * F.col("_use_b") == wanted)
         compatible, shared = _fits(good.columns, "a", "b")
         p = Paths(good, a.fields | b.fields, [by_sign]).decide((~compatible, "context_mismatch"), (~shared, "missing_shared_context"))
         return p, p.rows("a.x_id", "b.y_id", ("a", "b"), causal_support=F.col("_causal"), sign_product=F.lit(wanted))

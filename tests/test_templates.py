@@ -65,3 +65,10 @@ def test_member_features_are_folded_before_they_meet(spark):
     assert {(r.x_id, r.y_id): (r.support_multiplicity, len(r.derivation_hashes)) for r in one.collect()} == {("w1", "d1"): (6, 6), ("w1", "d2"): (2, 2), ("w2", "d1"): (3, 3), ("w2", "d2"): (1, 1), ("w3", "d2"): (1, 1)}
     after = Q.QUERIES["q_pathway_associated_member_feature"](spark, SF)._jdf.queryExecution().executedPlan().toString().split("Join")[0]
     assert "Aggregate" not in after and "Exchange" not in after  # what the join gives is neither sorted nor shuffled
+
+
+@pytest.mark.parametrize("kind", ["gene", "protein"])
+def test_signs_are_worked_out_after_premises_are_dealt(spark, kind):
+    plan = Q.QUERIES[f"q_signed_{kind}_target_treatment"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    below = [line.split("Exchange")[0] for line in plan[plan.index("RepartitionByExpression") :].splitlines() if "Filter" in line]
+    assert below and not any("array_except" in line or "arrays_overlap" in line for line in below)
