@@ -351,32 +351,46 @@ def _folded_members(membership: str, association: str):
 def _pathway_disease(r, most: int = 500):
     """A pathway and a disease by two members from disjoint sources, or by native support; no large pathways."""
     size = r["pathway_contains_gene"].groupBy(F.col("x_id").alias("x")).agg(F.count("*").alias("pathway_size"))
-    inside = r["pathway_contains_gene"].join(size.select(F.col("x").alias("x_id"), (F.col("pathway_size") > most).alias("_large")), "x_id")
+    inside = r["pathway_contains_gene"].join(size.withColumnRenamed("x", "x_id"), "x_id")
     associated = r["disease_associated_gene"]
-    pairs = inside.where("_large").select(F.col("x_id").alias("x"), F.col("y_id").alias("g")).join(associated.select(F.col("x_id").alias("g"), F.col("y_id").alias("y")), "g").select("x", "y").distinct()
+    large = F.col("pathway_size") > most
+    pairs = inside.where(large).select(F.col("x_id").alias("x"), F.col("y_id").alias("g")).join(associated.select(F.col("x_id").alias("g"), F.col("y_id").alias("y")), "g").select("x", "y").distinct()
     fanout = pairs.select(F.lit("pathway_fanout").alias("reason"))  # large pathways are counted, none of their members gathered
-    p = Paths.of("a", inside.where("NOT _large").drop("_large")).join("b", associated, "a.y_id", "x_id")
-    native = F.arrays_overlap(p.values("b", "pathway_native_support"), F.array(F.lit("true"), F.lit("1"), F.lit("yes")))
-    one = p.df.select(F.col("a.x_id").alias("x"), F.col("b.y_id").alias("y"), F.col("a.y_id").alias("member"), F.array("a.edge_key", "b.edge_key").alias("keys"), F.flatten(F.array("a.evidence_ids", "b.evidence_ids")).alias("ids"), p.independent("a", "b").alias("free"), native.alias("native"), p.sources("b").alias("sources"))
-    members = one.groupBy("x", "y", "member").agg(
-        F.bool_or("native").alias("native"), F.bool_or("free").alias("free"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("free"), F.col("sources")))))).alias("sources"),
-        F.flatten(F.collect_set("keys")).alias("all_keys"), F.flatten(F.collect_set(F.when(F.col("free"), F.col("keys")))).alias("free_keys"), F.flatten(F.collect_set("ids")).alias("ids"),
+    # each premise is folded to its pairs of ends, so a member of a pathway and a disease is one row of the join, and the join's rows are not grouped by member
+    a, b = (Paths.of(role, df.where(F.col(key).isNotNull()).repartition(key)) for role, df, key in (("a", inside.where(~large), "y_id"), ("b", associated, "x_id")))
+    native = F.arrays_overlap(b.values("b", "pathway_native_support"), F.array(F.lit("true"), F.lit("1"), F.lit("yes")))
+    fact = lambda p, role: F.struct(F.col(f"{role}.edge_key").alias("key"), F.col(f"{role}.evidence_ids").alias("ids"), p.sources(role).alias("sources")).alias("fact")
+    left = a.df.select(F.col("a.y_id").alias("member"), F.col("a.x_id").alias("x"), F.get(F.col("a.pathway_size"), F.lit(0)).cast("long").alias("pathway_size"), fact(a, "a")).groupBy("x", "member").agg(F.max("pathway_size").alias("pathway_size"), F.collect_set("fact").alias("of_a"))
+    right = b.df.select(F.col("b.x_id").alias("member"), F.col("b.y_id").alias("y"), native.alias("native"), fact(b, "b")).groupBy("member", "y").agg(F.bool_or("native").alias("native"), F.collect_set("fact").alias("of_b"))
+    free = lambda s, t: (F.size(s) > 0) & (F.size(t) > 0) & ~F.arrays_overlap(s, t)
+    each = F.flatten(F.transform("of_a", lambda s: F.transform("of_b", lambda t: F.struct(free(s["sources"], t["sources"]).alias("free"), F.array(s["key"], t["key"]).alias("keys"), F.concat(s["ids"], t["ids"]).alias("ids"), t["sources"].alias("sources")))))
+    of = lambda rows, c: F.array_distinct(F.flatten(F.transform(rows, lambda x: x[c])))
+    met = left.join(right, "member").select("x", "y", "pathway_size", "native", each.alias("each")).withColumn("free_each", F.filter("each", lambda x: x["free"]))
+    members = met.select(
+        "x", "y", "pathway_size", "native", (F.size("free_each") > 0).alias("free"), F.array_sort(of("free_each", "sources")).alias("sources"), of("free_each", "keys").alias("free_keys"),
+        of(F.filter("each", lambda x: ~x["free"]), "keys").alias("bound_keys"), of("each", "ids").alias("ids"),
     )
-    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    listed = lambda c: F.flatten(F.collect_list(c))
+    flat = lambda c: F.array_sort(F.array_distinct(c))
     groups = members.groupBy("x", "y").agg(
-        F.bool_or("native").alias("native"), F.count_if("free").alias("n_free"), F.count("*").alias("n_all"), flat("all_keys").alias("all_keys"), flat("free_keys").alias("free_keys"), flat("ids").alias("evidence"),
+        F.bool_or("native").alias("native"), F.count_if("free").alias("n_free"), F.count("*").alias("n_all"), F.max("pathway_size").alias("pathway_size"), listed("bound_keys").alias("bound_keys"), listed("free_keys").alias("free_keys"), flat(listed("ids")).alias("evidence"),
         F.collect_set(F.when(F.col("free"), F.col("sources"))).alias("sets"),
     )
     disjoint = F.exists("sets", lambda s: F.exists("sets", lambda t: (F.size(s) > 0) & (F.size(t) > 0) & ~F.arrays_overlap(s, t)))  # distinct source sets of one group
-    rules = Paths(groups.join(size, "x"), {}, [fanout]).decide(((F.col("n_free") < 2) & ~F.col("native"), "insufficient_independent_members"), (~disjoint & ~F.col("native"), "source_commonality_or_circularity"))
+    rules = Paths(groups, {}, [fanout]).decide(((F.col("n_free") < 2) & ~F.col("native"), "insufficient_independent_members"), (~disjoint & ~F.col("native"), "source_commonality_or_circularity"))
     none = F.lit("")
     rows = rules.df.select(
-        F.col("x").alias("x_id"), F.col("y").alias("y_id"), none.alias("member_id"), none.alias("anchor_id"), F.when(F.col("native"), F.col("all_keys")).otherwise(F.col("free_keys")).alias("supports"), "evidence",
+        F.col("x").alias("x_id"), F.col("y").alias("y_id"), none.alias("member_id"), none.alias("anchor_id"), flat(F.when(F.col("native"), F.concat("free_keys", "bound_keys")).otherwise(F.col("free_keys"))).alias("supports"), "evidence",
         F.lit("{}").alias("context_intersection"), F.lit("[]").alias("typed_path"), F.when(F.col("native"), F.col("n_all")).otherwise(F.col("n_free")).alias("associated_member_count"), "pathway_size",
     )
     return rules, rows
 
 
+def _pathway_disease_pairs(r, most: int = 500):
+    """The same: its rows are one for each pair as they are."""
+    return _pathway_disease(r, most)[1].withColumn("support_multiplicity", F.lit(1).cast("long"))
+
+
 def _facts(p: Paths, role: str, fields: tuple[str, ...] = CONTEXT_FIELDS) -> dict[str, Column]:
     """What compatibility asks of one premise, as plain columns: a conflict in any field, each field's one known value and its single value."""
     own = [f for f in fields if f in p.fields[role] or f"{f}_status" in p.fields[role]]
@@ -520,7 +534,7 @@ TEMPLATES = {
     "gene_disease_to_protein_disease_strict_v2": Template("disease_associated_protein", WEAK, _gene_to_protein),
     "pathway_associated_member_feature_v2": Template("pathway_associated_member", VIEW, _pathway_member("pathway_contains_gene", "disease_associated_gene"), _folded_members("pathway_contains_gene", "disease_associated_gene")),
     "pathway_associated_protein_member_feature_v2": Template("pathway_associated_member", VIEW, _pathway_member("pathway_contains_protein", "disease_associated_protein"), _folded_members("pathway_contains_protein", "disease_associated_protein")),
-    "pathway_disease_candidate_v2": Template("disease_involves_pathway", WEAK, _pathway_disease),
+    "pathway_disease_candidate_v2": Template("disease_involves_pathway", WEAK, _pathway_disease, _pathway_disease_pairs),
     "disease_phenotype_tissue_localization_v2": Template("phenotype_observed_in_tissue", WEAK, _same_disease(None)),
     "disease_phenotype_tissue_triangle_v2": Template("disease_phenotype_tissue_coherence", VIEW, _same_disease("phenotype_observed_in_tissue")),
     "signed_gene_target_treatment_v2": Template("molecule_treats_disease", WEAK, _signed(False, False)),

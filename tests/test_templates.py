@@ -72,3 +72,15 @@ def test_signs_are_worked_out_after_premises_are_dealt(spark, kind):
     plan = Q.QUERIES[f"q_signed_{kind}_target_treatment"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     below = [line.split("Exchange")[0] for line in plan[plan.index("RepartitionByExpression") :].splitlines() if "Filter" in line]
     assert below and not any("array_except" in line or "arrays_overlap" in line for line in below)
+
+
+def test_pathway_members_are_not_grouped_after_they_meet(spark):
+    cols = "relation string, x_id string, y_id string, source string"
+    inside = spark.createDataFrame([("m", "w1", "g1", "go"), ("m", "w1", "g1", "A"), ("m", "w1", "g2", "go"), ("m", "w2", "g1", "go"), ("m", "w3", "g3", None), ("m", "w1", None, "go")], cols)
+    told = spark.createDataFrame([("d", "g1", "d1", "A", None), ("d", "g1", "d1", "N", None), ("d", "g2", "d1", "R", None), ("d", "g2", "d1", "go", None), ("d", "g3", "d2", None, "Yes")], f"{cols}, pathway_native_support string")
+    relations = {"pathway_contains_gene": inside, "disease_associated_gene": told}
+    got = {(r.x_id, r.y_id): (r.associated_member_count, r.pathway_size, r.supports, r.support_multiplicity) for r in T.candidates("pathway_disease_candidate_v2", relations, most=4).collect()}
+    assert got == {("w1", "d1"): (2, 4, ["d|g1|d1", "d|g2|d1", "m|w1|g1", "m|w1|g2"], 1), ("w3", "d2"): (1, 1, ["d|g3|d2", "m|w3|g3"], 1)}
+    assert [r.reason for r in T.paths_of("pathway_disease_candidate_v2", relations, most=4)[1].collect()] == ["insufficient_independent_members"]
+    plan = Q.QUERIES["q_pathway_disease_candidate"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert plan.count("Aggregate") == 1  # by pairs only
