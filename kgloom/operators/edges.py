@@ -33,13 +33,15 @@ def dedup_edges(df: DataFrame, pos: str = "pos") -> DataFrame:
     is the highest, or that of the first row where the whole table has one source.
     """
     extra = [c for c in df.columns if c not in (*KEY, "source", "credibility", pos)]
+    if set(EVIDENCE_COLUMNS) & set(df.columns):
+        missing = {c: F.lit(None).cast("double" if c == "raw_score" else "string") for c in EVIDENCE_COLUMNS if c not in df.columns}
+        rows = _dealt((df.withColumns(missing) if missing else df).dropna(subset=list(KEY)), KEY)  # an edge without an end has none to be joined by
+        scored = _scored(rows, CURATED_SOURCES, pos, extra)
+        sources = rows.groupBy("_edge", "source").agg(F.min(pos).alias(pos)).groupBy("_edge").agg(ordered_distinct("source", pos).alias("source"))
+        return scored.join(sources, "_edge").select(*[f"_edge.{c}" for c in KEY], *[F.col(f"f.{c}") for c in extra], "source", "credibility")
     first = df.groupBy(*KEY).agg(F.min_by(F.struct("credibility", *extra), pos).alias("f"), F.max("credibility").alias("highest"))
     sources = df.groupBy(*KEY, "source").agg(F.min(pos).alias(pos)).groupBy(*KEY).agg(ordered_distinct("source", pos).alias("source"))
     out = first.join(sources, list(KEY), "left")
-    if set(EVIDENCE_COLUMNS) & set(df.columns):
-        missing = {c: F.lit(None).cast("double" if c == "raw_score" else "string") for c in EVIDENCE_COLUMNS if c not in df.columns}
-        scored = score_credibility(df.withColumns(missing) if missing else df, pos=pos)
-        return out.join(scored, list(KEY)).select(*KEY, *[F.col(f"f.{c}") for c in extra], "source", "credibility")
     single = df.agg(F.count_distinct(F.coalesce("source", F.lit("\0"))).alias("n")).select((F.col("n") == 1).alias("single"), F.lit(1).alias("one"))
     credibility = F.when(F.col("single"), F.col("f.credibility")).otherwise(F.col("highest")).alias("credibility")
     return out.withColumn("one", F.lit(1)).join(F.broadcast(single), "one").select(*KEY, *[F.col(f"f.{c}") for c in extra], "source", credibility)  # one row
@@ -55,17 +57,32 @@ def score_credibility(evidence: DataFrame, curated: tuple[str, ...] = CURATED_SO
     Of the rows of one paper the best-scored counts, the first among equals; rows
     without a paper are never merged.
     """
-    rows = evidence.withColumn("_paper", F.coalesce(F.nullif(F.trim(F.col("paper_id").cast("string")), F.lit("")), F.concat(F.lit("\0"), F.col(pos).cast("string"))))
+    return _scored(_dealt(evidence, key), curated, pos).select(*[f"_edge.{c}" for c in key], "credibility")
+
+
+def _dealt(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Rows dealt by _edge, once for all that is asked of an edge; a hash leads its keys, so that sorts rarely compare texts.
+
+    Most edges have a row or two, so nothing is merged before: that would sort all rows once more.
+    """
+    return rows.withColumn("_edge", F.struct(F.xxhash64(*key).alias("hash"), *key)).drop(*key).repartition("_edge")
+
+
+def _scored(rows: DataFrame, curated: tuple[str, ...], pos: str, extra: list[str] | None = None) -> DataFrame:
+    """_edge, credibility, and `f`: the extra columns of the edge's first row.  Sorted by edge and paper, rows are merged as they pass."""
+    rows = rows.withColumn("_paper", F.coalesce(F.nullif(F.trim(F.col("paper_id").cast("string")), F.lit("")), F.concat(F.lit("\0"), F.col(pos).cast("string"))))
     rank = F.struct((-F.coalesce("raw_score", F.lit(float("-inf")))).alias("s"), F.col(pos).alias("p"))
-    best = rows.groupBy(*key, "_paper").agg(F.min_by(F.struct("source", "author_group_key", "raw_score", "datatype"), rank).alias("b"), F.bool_or(F.col("source").isin(*curated)).alias("curated"))
-    seen = lambda c: F.size(F.collect_set(c))
-    named = F.when(~F.startswith("_paper", F.lit("\0")), F.col("_paper"))
-    agg = best.groupBy(*key).agg(
-        F.bool_or("curated").alias("curated"), seen(F.nullif(F.col("b.author_group_key").cast("string"), F.lit(""))).alias("groups"), seen(named).alias("papers"), seen("b.source").alias("sources"),
-        F.bool_or((F.col("b.raw_score") >= 0.75) & F.col("b.datatype").isin(*SCORED_DATATYPES)).alias("strong"),
+    first = [F.min_by(F.struct(*extra), pos).alias("f"), F.min(pos).alias("p")] if extra else []
+    best = rows.groupBy("_edge", "_paper").agg(F.min_by(F.struct("source", "author_group_key", "raw_score", "datatype"), rank).alias("b"), F.bool_or(F.col("source").isin(*curated)).alias("curated"), *first)
+    group, named = F.nullif(F.col("b.author_group_key").cast("string"), F.lit("")), ~F.startswith("_paper", F.lit("\0"))
+    agg = best.groupBy("_edge").agg(
+        F.bool_or("curated").alias("curated"), F.min(group).alias("group"), F.max(group).alias("group_to"), F.count_if(named).alias("papers"), F.min("b.source").alias("source"), F.max("b.source").alias("source_to"),
+        F.bool_or((F.col("b.raw_score") >= 0.75) & F.col("b.datatype").isin(*SCORED_DATATYPES)).alias("strong"), *([F.min_by("f", "p").alias("f")] if extra else []),
     )
-    spread = F.when(F.col("groups") > 0, F.col("groups")).when(F.col("papers") > 0, F.col("papers")).otherwise(F.col("sources"))
-    return agg.select(*key, F.when(F.col("curated"), 3).when((spread >= 2) | F.col("strong"), 2).otherwise(1).cast("long").alias("credibility"))
+    # two of a kind: the smallest is not the largest
+    spread = F.when(F.col("group").isNotNull(), F.col("group") != F.col("group_to")).when(F.col("papers") > 0, F.col("papers") > 1).otherwise(F.coalesce(F.col("source") != F.col("source_to"), F.lit(False)))
+    credibility = F.when(F.col("curated"), 3).when(spread | F.col("strong"), 2).otherwise(1).cast("long").alias("credibility")
+    return agg.select("_edge", credibility, *(["f"] if extra else []))
 
 
 def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:

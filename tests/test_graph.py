@@ -73,3 +73,11 @@ def test_append_in_two_batches_equals_one(spark, tmp_path):
     append.append_edges(spark, str(tmp_path / "in"), df.schema, str(tmp_path / "store"), str(tmp_path / "progress"))
     got = append.current(spark, str(tmp_path / "store"), 1)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, E.merge_edges(df).collect()))
+
+
+def test_scored_edges_are_dealt_once_for_all_that_is_asked(spark):
+    cols = "x_id string, y_id string, relation string, source string, credibility int, pos long, paper_id string, author_group_key string, raw_score double, datatype string, note string"
+    rows = [("a", "b", "r", "s2", 1, 2, "p", "g", 0.1, None, "second"), ("a", "b", "r", "s1", 1, 1, "p", "g", 0.9, "known_drug", "first"), ("a", None, "r", "s1", 1, 4, None, "", None, None, None), ("a", None, "r", None, 1, 3, " ", None, None, None, "x"), ("a", "c", "r", "s1", 1, 5, "p", None, None, None, "y"), ("a", "c", "r", "s1", 1, 6, "q", None, None, None, "z")]
+    out = E.dedup_edges(spark.createDataFrame(rows, cols)).select("x_id", "y_id", "source", "credibility", "paper_id", "note")
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # one for scores, a narrower one for sources
+    assert {tuple(r) for r in out.collect()} == {("a", "b", "s1,s2", 2, "p", "first"), ("a", "c", "s1", 2, "p", "y")}
