@@ -2,7 +2,7 @@
 
 A softmax over a target's edges is a maximum, a sum and a weighted vector, and
 such triples merge in any order.  Tasks merge the edges that they happen to hold,
-then a target's triples meet in slots, then in one row.  So a target of very many
+batch by batch, then a target's triples meet in one row.  So a target of very many
 edges is the work of many tasks, and none holds its edges whole.
 """
 
@@ -12,11 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Slots in which the parts of a target meet before they meet in one.
-SLOTS = 32
 #: Bytes of weights that go into the tasks; a model of more is an error.
 WEIGHT_BYTES = 64 << 20
 PROJECTED = "relation string, node string, wh binary, own double, other double"
@@ -69,36 +68,52 @@ def _project(weights: Weights):
     return project
 
 
-def _triples(relation: list[str], dst: list[str], slot: np.ndarray, top: np.ndarray, total: np.ndarray, vectors: np.ndarray) -> pa.Table:
+def _triples(relation: pa.Array, dst: pa.Array, slot: pa.Array, top: np.ndarray, total: np.ndarray, vectors: np.ndarray) -> pa.Table:
     """Merged triples by (relation, target, slot)."""
-    key = pa.StructArray.from_arrays([pa.array(relation, pa.string()), pa.array(dst, pa.string()), pa.array(slot, pa.int32())], ["r", "d", "s"])
-    names = pa.array([f"{s}\0{r}\0{d}" for r, d, s in zip(relation, dst, slot.tolist())], pa.string()).dictionary_encode()
+    names = pc.binary_join_element_wise(slot.cast(pa.string()), relation, dst, "\0").dictionary_encode()
     group, n = names.indices.to_numpy(), len(names.dictionary)
-    most = np.full(n, -np.inf)
-    np.maximum.at(most, group, top)
-    scale = np.exp(top - most[group])
-    sums = np.bincount(group, total * scale, n)
+    if n == 0:
+        return pa.table({"relation": relation, "dst": dst, "slot": slot, "top": pa.array(top), "total": pa.array(total), "vector": pa.array([], pa.binary())})
     order = np.argsort(group, kind="stable")
     starts = np.searchsorted(group[order], np.arange(n))
-    merged = np.add.reduceat((vectors * scale[:, None])[order], starts, axis=0) if n else vectors[:0]
-    first = key.take(pa.array(order[starts])) if n else key.slice(0, 0)
-    return pa.table({"relation": first.field("r"), "dst": first.field("d"), "slot": first.field("s"), "top": pa.array(most), "total": pa.array(sums), "vector": pa.array([v.tobytes() for v in merged], pa.binary())})
+    most = np.maximum.reduceat(top[order], starts)
+    scale = np.exp(top - most[group])
+    sums = np.bincount(group, total * scale, n)
+    merged = np.add.reduceat((vectors * scale[:, None])[order], starts, axis=0)
+    first = pa.array(order[starts])
+    return pa.table({"relation": relation.take(first), "dst": dst.take(first), "slot": slot.take(first), "top": pa.array(most), "total": pa.array(sums), "vector": _cells(merged)})
+
+
+def _matrix(cells: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A row of doubles from each cell of bytes; cells are of one length and none is null."""
+    parts = []
+    for a in cells.chunks if isinstance(cells, pa.ChunkedArray) else [cells]:
+        if len(a):
+            _, ends, data = a.buffers()
+            ends = np.frombuffer(ends, np.int64 if pa.types.is_large_binary(a.type) else np.int32)[a.offset : a.offset + len(a) + 1]
+            parts.append(np.frombuffer(data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes()).reshape(len(a), -1))
+    return np.concatenate(parts) if parts else np.zeros((0, 0))
+
+
+def _cells(rows: np.ndarray) -> pa.Array:
+    ends = np.arange(len(rows) + 1, dtype=np.int64) * (rows.shape[1] * 8)
+    whole = pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows, float).tobytes())])
+    return whole.cast(pa.binary())
 
 
-def _matrix(cells: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(cells)).reshape(len(cells), -1) if cells else np.zeros((0, 0))
+def _flat(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) and column.num_chunks else column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            logit, wh = batch.column("logit").to_numpy(), _matrix(batch.column("wh").to_pylist())
-            slot = batch.column("slot").to_numpy()
-            yield from _triples(batch.column("relation").to_pylist(), batch.column("dst").to_pylist(), slot, logit, np.ones(len(logit)), wh).to_batches()
+            logit = batch.column("logit").to_numpy()
+            yield from _triples(batch.column("relation"), batch.column("dst"), batch.column("slot"), logit, np.ones(len(logit)), _matrix(batch.column("wh"))).to_batches()
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    return _triples(table["relation"].to_pylist(), table["dst"].to_pylist(), table["slot"].to_numpy(), table["top"].to_numpy(), table["total"].to_numpy(), _matrix(table["vector"].to_pylist()))
+    return _triples(_flat(table["relation"]), _flat(table["dst"]), _flat(table["slot"]), table["top"].to_numpy(), table["total"].to_numpy(), _matrix(table["vector"]))
 
 
 def attention_logits(edges: DataFrame, features: DataFrame, weights: Weights) -> DataFrame:
@@ -119,18 +134,17 @@ def attention_logits(edges: DataFrame, features: DataFrame, weights: Weights) ->
 
 def relation_messages(edges: DataFrame, features: DataFrame, weights: Weights) -> DataFrame:
     """relation, dst, vector: for each target the softmax-weighted sum of its sources' projections (their mean without attention)."""
-    logits = attention_logits(edges, features, weights).withColumn("slot", F.pmod(F.xxhash64("src"), F.lit(SLOTS)).cast("int"))
-    parts = logits.select("relation", "dst", "slot", "logit", "wh").mapInArrow(_combine, MERGED)
+    logits = attention_logits(edges, features, weights).withColumn("slot", F.lit(0))
+    parts = logits.select("relation", "dst", "slot", "logit", "wh").mapInArrow(_combine, MERGED)  # a row at most of each target from each batch, so of a hub few are left
     tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    dealt = lambda df, *by: df.withColumn("task", F.pmod(F.xxhash64(*by), F.lit(tasks)))
-    slots = dealt(parts, "relation", "dst", "slot").groupBy("task").applyInArrow(lambda t: _merge(t.drop_columns(["task"])), MERGED)
-    whole = dealt(slots.withColumn("slot", F.lit(0)), "relation", "dst").groupBy("task").applyInArrow(lambda t: _merge(t.drop_columns(["task"])), MERGED)
+    dealt = parts.withColumn("task", F.pmod(F.xxhash64("relation", "dst"), F.lit(tasks)))
+    whole = dealt.groupBy("task").applyInArrow(lambda t: _merge(t.drop_columns(["task"])), MERGED)
     return whole.mapInArrow(_scaled, "relation string, dst string, vector array<double>")
 
 
 def _scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        vectors = _matrix(batch.column("vector").to_pylist())
+        vectors = _matrix(batch.column("vector"))
         if batch.num_rows:
             yield pa.RecordBatch.from_pydict({"relation": batch.column("relation"), "dst": batch.column("dst"), "vector": pa.array(list(vectors / batch.column("total").to_numpy()[:, None]), pa.list_(pa.float64()))})
 

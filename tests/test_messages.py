@@ -97,3 +97,10 @@ def test_prototypes(spark):
         assert np.allclose(got["e5"], vectors["e5"])
     with pytest.raises(ValueError):
         M.blended_prototypes(similar, embeddings, degrees, 3, "odd")
+
+
+def test_a_targets_parts_meet_once(spark):
+    nodes, edges, linear, attention = graph(5)
+    features = spark.createDataFrame([(k, v.tolist()) for k, v in nodes.items()], "node string, vector array<double>")
+    found = M.relation_messages(spark.createDataFrame(edges, EDGE), features, M.Weights(linear, attention))
+    assert found._jdf.queryExecution().executedPlan().toString().count("FlatMapGroupsInArrow") == 1
