@@ -32,13 +32,17 @@ def ranged(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def dense_index(nodes: DataFrame) -> DataFrame:
-    """node_index 0.. within each type by id: ranks within ranges of ids, and the ranges' offsets."""
+    """node_index 0.. within each type by id: ranks within ranges of ids, and the ranges' offsets.
+
+    Its joins are named shuffled ones: its rows grow with the input, and are far larger
+    than the files from which their size is guessed, so the driver must not gather them.
+    """
     dealt = ranged(nodes.select("node_type", "id").distinct(), "node_type", "id")
     sizes = dealt.groupBy("node_type", "chunk").count()
     before = Window.partitionBy("node_type").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
     offsets = sizes.select("node_type", "chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     rank = F.row_number().over(Window.partitionBy("node_type", "chunk").orderBy("id")) - 1
-    return dealt.withColumn("rank", rank).join(F.broadcast(offsets), ["node_type", "chunk"]).select("node_type", "id", (F.col("rank") + F.col("offset")).cast("long").alias("node_index"))
+    return dealt.withColumn("rank", rank).join(F.broadcast(offsets), ["node_type", "chunk"]).select("node_type", "id", (F.col("rank") + F.col("offset")).cast("long").alias("node_index")).hint("shuffle_hash")
 
 
 def places(rows: DataFrame, group: str, order: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kgloom.operators import areas as A
 from kgloom.operators import evaluation as V
+from kgloom.plans import area_queries
 
 EDGE = "relation string, x_id string, y_id string, x_type string, y_type string"
 
@@ -121,3 +122,19 @@ def test_random_edges_are_not_ranked_and_budgets_end_inside_a_bin(spark, graph,
     # the rows are never sorted or shuffled whole to number them
     plan = A.without_share(edges, 30, 3)._jdf.queryExecution().executedPlan().toString()
     assert "RangePartitioning" not in plan and "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_random_ends_do_not_gather_the_index_in_the_driver(spark, graph):
+    """The index of nodes grows with the input: however small its guess, the driver does not send it to all tasks."""
+    nodes = spark.createDataFrame([("m", f"m{k}") for k in range(20)] + [("d", f"d{k}") for k in range(30)], "node_type string, id string")
+    edges = graph[1]
+    for drawn in (A.randomised(edges, nodes), A.with_random(edges, nodes, 20)):
+        assert drawn._jdf.queryExecution().executedPlan().toString().count("ShuffledHashJoin") >= 2
+
+
+def test_pairs_are_made_distinct_once_for_both_directions(spark):
+    """Line items' pairs are shuffled as numbers, so that both directions read one shuffle."""
+    edges = area_queries._tables(spark, "/root/testdata/sf0.001")["edges"]
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert len(grouped) == 3 and all("Aggregate [l_suppkey" in g or "Aggregate [o_custkey" in g for g in grouped)
