@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -71,17 +73,37 @@ def split_key(seed: int, key: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(str(seed)), key), 256)
 
 
+#: Bins of the seeded order, by the leading 12 bits of a row's hash.
+_BIN = 3
+
+
+def last_rows(keyed: DataFrame, asked: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """_g and, for each name of `asked`, hash and name (_h, _n) of the last of a group's first `asked(its size)` rows in the seeded order; null where there are none.  keyed: _g, _h, _n.
+
+    No row is moved but those of the bins in which a number ends: the others are counted by bins of their hash.
+    """
+    own, cell = Window.partitionBy("_g"), F.substring("_h", 1, _BIN).alias("_bin")  # 4,096 bins at most
+    bins = keyed.groupBy("_g", cell).agg(F.count("*").alias("n"))
+    placed = bins.select("_g", "_bin", "n", F.sum("n").over(own).alias("size"), (F.sum("n").over(own.orderBy("_bin")) - F.col("n")).alias("before"))
+    budgets = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.least(rule(F.col("size")), "size").cast("long").alias("asked")) for name, rule in asked.items()])).alias("b")
+    ends = placed.select("_g", "_bin", "n", "before", budgets).where("before < b.asked AND before + n >= b.asked")
+    ends = ends.select(F.col("_g").alias("_eg"), F.col("_bin").alias("_eb"), F.col("b.name").alias("name"), (F.col("b.asked") - F.col("before")).alias("left"))  # a row for each group and name
+    within = keyed.select("_g", "_h", "_n", cell).join(F.broadcast(ends), F.col("_g").eqNullSafe(F.col("_eg")) & (F.col("_bin") == F.col("_eb")))
+    found = within.withColumn("rank", F.row_number().over(Window.partitionBy("_g", "name").orderBy("_h", "_n"))).where("rank = left")
+    return found.groupBy("_g").agg(*[F.max(F.when(F.col("name") == name, F.struct("_h", "_n"))).alias(name) for name in asked])
+
+
 def split(df: DataFrame, group: str, key: str, seed: int, valid: float, test: float) -> DataFrame:
     """Exact shares within each group by a seeded hash order; `key` is unique in its group.
 
-    Ranks come range by range, so a group of most of the rows is not one task.
+    Rows stay where they are: each is held against the last row of its group's shares.
     """
-    ids = df.select(F.col(group).cast("string").alias("node_type"), F.concat_ws("|", split_key(seed, F.col(key)), F.col(key).cast("string")).alias("id"))
-    place = dense_index(ids).select(F.col("node_type").alias("_group"), F.substring("id", 66, 1 << 20).alias("_key"), (F.col("node_index") + 1).alias("_rank"))
-    sizes = df.groupBy(F.col(group).cast("string").alias("_group")).agg(F.count("*").alias("_n"))
-    a, b = F.floor(F.col("_n") * test), F.floor(F.col("_n") * test) + F.floor(F.col("_n") * valid)
-    joined = df.withColumns({"_group": F.col(group).cast("string"), "_key": F.col(key).cast("string")}).join(place, ["_group", "_key"]).join(sizes, "_group")
-    return joined.withColumn("split", F.when(F.col("_rank") <= a, "test").when(F.col("_rank") <= b, "valid").otherwise("train")).select(*df.columns, "split")
+    first, both = lambda n: F.floor(n * test), lambda n: F.floor(n * test) + F.floor(n * valid)
+    marks = {"_g": F.col(group), "_h": split_key(seed, F.col(key)), "_n": F.coalesce(F.col(key).cast("string"), F.lit(""))}
+    ends = cut(last_rows(df.select(*[c.alias(name) for name, c in marks.items()]), {"_test": first, "_valid": both})).withColumnRenamed("_g", "_eg")
+    marked = df.withColumns(marks).join(F.broadcast(ends), F.col("_g").eqNullSafe(F.col("_eg")), "left")  # a row for each group
+    upto = lambda end: F.coalesce(F.struct("_h", "_n") <= F.col(end), F.lit(False))
+    return marked.withColumn("split", F.when(upto("_test"), "test").when(upto("_valid"), "valid").otherwise("train")).select(*df.columns, "split")
 
 
 def threshold_metrics(scored: DataFrame, at: float = 0.5) -> DataFrame:
