@@ -1,5 +1,8 @@
 """Graph operators on small tables, the oracle queries, and the incremental append."""
 
+import hashlib
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 from kgloom.functions import ids
 from kgloom.operators import edges as E
 from kgloom.operators import graph_ml as G
+from kgloom.operators import sampling as S
 from kgloom.plans import queries as Q
 from kgloom.streaming import append
 
@@ -81,3 +85,31 @@ def test_scored_edges_are_dealt_once_for_all_that_is_asked(spark):
     out = E.dedup_edges(spark.createDataFrame(rows, cols)).select("x_id", "y_id", "source", "credibility", "paper_id", "note")
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # one for scores, a narrower one for sources
     assert {tuple(r) for r in out.collect()} == {("a", "b", "s1,s2", 2, "p", "first"), ("a", "c", "s1", 2, "p", "y")}
+
+
+def test_split_moves_no_rows_and_keeps_those_without_a_group(spark):
+    """Each row is held against the last row of its group's shares; shares are those of a plain rank."""
+    data = [("a" if k % 3 else None, k) for k in range(900)]
+    df = spark.createDataFrame(data, "g string, id long")
+    found = G.split(df, "g", "id", 5, 0.2, 0.1)
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r["id"]: r["split"] for r in found.collect()}
+    for group in ("a", None):
+        order = sorted((k for g, k in data if g == group), key=lambda k: (hashlib.sha256(f"5|{k}".encode()).hexdigest(), str(k)))
+        a, b = int(len(order) * 0.1), int(len(order) * 0.1) + int(len(order) * 0.2)
+        assert [got[k] for k in order] == ["test"] * a + ["valid"] * (b - a) + ["train"] * (len(order) - b)
+
+
+def test_most_similar_are_chosen_before_they_meet_their_names(spark):
+    """Pairs are cut to k where they are counted: only those join the names."""
+    rnd = random.Random(3)
+    edges = sorted({(f"x{rnd.randrange(12)}", f"y{rnd.randrange(30)}") for _ in range(120)})
+    found = S.profile_similarity(spark.createDataFrame(edges, "x_id string, y_id string"), 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert next(k for k, line in enumerate(plan) if "Join " in line) < next(k for k, line in enumerate(plan) if "Window" in line)
+    of = {x: {y for a, y in edges if a == x} for x, _ in edges}
+    expected = []
+    for x in of:
+        near = sorted(((-round(len(of[x] & of[o]) / (len(of[x]) * len(of[o])) ** 0.5, 6), o, len(of[x] & of[o])) for o in of if o != x and of[x] & of[o]))[:3]
+        expected += [(x, o, common, -cos, n) for n, (cos, o, common) in enumerate(near, 1)]
+    assert sorted((r[0], r[1], r[2], r[3], r[4]) for r in found.collect()) == sorted(expected)
