@@ -84,7 +84,7 @@ STARTS = 16
 
 def _reaches(intervals: DataFrame, blocks: DataFrame, width: int, step: int) -> DataFrame:
     """chromosome, place, text, complement: the bases from base place * step on to the last that an interval (chromosome, place, hi) of this place reaches, in both directions."""
-    reach = intervals.groupBy("chromosome", "place").agg(F.max("hi").alias("hi"))
+    reach = intervals.groupBy("chromosome", "place").agg(F.max("hi").alias("hi"), F.count("*").alias("n")).where("n > 0")  # counted, as a largest alone would be taken from another shuffle than the one that brings the intervals
     own = F.floor(F.col("place") * step / width)
     each = reach.withColumn("block", F.explode(F.sequence(own, F.floor((F.col("hi") - 1) / width))))
     skipped = F.col("place") * step - own * width
@@ -93,17 +93,9 @@ def _reaches(intervals: DataFrame, blocks: DataFrame, width: int, step: int) ->
     return text.withColumn("complement", reverse_complement(F.col("text")))
 
 
-def windows(intervals: DataFrame, blocks: DataFrame, flank: int = 0, longest: int = LONGEST, prefix: int | None = None, width: int = BLOCK) -> DataFrame:
-    """id, sequence, length, checksum_sha256 and reason of closed 1-based intervals (id, chromosome, start, end, strand), in the strand's direction.
-
-    `flank` bases on both sides are added and end at the contig's ends; `prefix` keeps
-    so many bases from the strand's 5' end instead of the whole.  A reason says why
-    an interval has no sequence: its contig is missing or shorter than it, it is
-    empty, too long, or holds letters that are no IUPAC nucleotides.  Intervals that
-    repeat in full count once; an id may have several.
-    """
-    columns = ["id", "chromosome", "start", "end", "strand"]
-    known = intervals.select(columns).distinct().join(F.broadcast(contig_lengths(blocks, width)), "chromosome", "left")  # a row for each contig
+def placed_windows(intervals: DataFrame, blocks: DataFrame, flank: int = 0, longest: int = LONGEST, prefix: int | None = None, width: int = BLOCK) -> DataFrame:
+    """id, chromosome, start, end, strand, sequence and reason: `windows`, with the place that was read; read again by that place, a row is the same."""
+    known = intervals.select("id", "chromosome", "start", "end", "strand").join(F.broadcast(contig_lengths(blocks, width)), "chromosome", "left")  # a row for each contig
     minus = F.col("strand") == "-"
     length = F.col("end") - F.col("start") + 1
     first = F.when(minus & (length > prefix), F.col("end") - prefix + 1).otherwise(F.col("start")) if prefix else F.col("start")
@@ -111,18 +103,32 @@ def windows(intervals: DataFrame, blocks: DataFrame, flank: int = 0, longest: in
     why = first_reason(
         (F.col("contig_length").isNull(), "missing_contig"), ((F.col("start") < 1) | (length < 1), "empty_interval"), (F.col("end") > F.col("contig_length"), "outside_contig"), (F.lit(prefix is None) & (length > longest), "over_length")
     )
-    marked = known.select("id", "chromosome", "strand", F.greatest(F.lit(1), first - flank).alias("lo"), F.least("contig_length", last + flank).alias("hi"), why.alias("reason")).distinct()
     step = max(1, width // STARTS)
-    good = marked.where("reason IS NULL").withColumn("place", F.floor((F.col("lo") - 1) / step))
-    texts = _reaches(good, blocks, width, step)
     tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, as rows are few bytes and much work
+    marked = known.select("id", "chromosome", "strand", F.greatest(F.lit(1), first - flank).alias("lo"), F.least("contig_length", last + flank).alias("hi"), why.alias("reason")).withColumn("place", F.floor((F.col("lo") - 1) / step))
+    marked = marked.repartition(tasks, "chromosome", "place").distinct()  # rows that repeat share a place, so they move once, to where they are read
+    good = marked.where("reason IS NULL AND chromosome IS NOT NULL AND place IS NOT NULL")  # the same filter for all who read it, so that one shuffle serves them
+    texts = _reaches(good, blocks, width, step)
     n, at = (F.col("hi") - F.col("lo") + 1).cast("int"), (F.col("lo") - F.col("place") * step).cast("int")
-    met = good.repartition(tasks, "chromosome", "place").join(texts, ["chromosome", "place"])
+    met = good.join(texts, ["chromosome", "place"])
     sequence = F.when(minus, F.substr("complement", F.length("complement") - at - n + 2, n)).otherwise(F.substr("text", at, n))
-    read = met.select("id", sequence.alias("sequence"))
+    placed = ["id", "chromosome", F.col("lo").alias("start"), F.col("hi").alias("end"), "strand"]
+    read = met.select(*placed, sequence.alias("sequence"))
     bad = ~F.col("sequence").rlike(rf"^[{ALPHABETS['dna_iupac']}]*$")
-    read = read.select("id", F.when(~bad, F.col("sequence")).alias("sequence"), F.when(bad, F.lit("invalid_alphabet")).alias("reason"))
-    every = read.unionByName(marked.where("reason IS NOT NULL").select("id", F.lit(None).cast("string").alias("sequence"), "reason"))
+    read = read.withColumns({"sequence": F.when(~bad, F.col("sequence")), "reason": F.when(bad, F.lit("invalid_alphabet"))})
+    return read.unionByName(marked.where("reason IS NOT NULL").select(*placed, F.lit(None).cast("string").alias("sequence"), "reason"))
+
+
+def windows(intervals: DataFrame, blocks: DataFrame, flank: int = 0, longest: int = LONGEST, prefix: int | None = None, width: int = BLOCK) -> DataFrame:
+    """id, sequence, length, checksum_sha256 and reason of closed 1-based intervals (id, chromosome, start, end, strand), in the strand's direction.
+
+    `flank` bases on both sides are added and end at the contig's ends; `prefix` keeps
+    so many bases from the strand's 5' end instead of the whole.  A reason says why
+    an interval has no sequence: its contig is missing or shorter than it, it is
+    empty, too long, or holds letters that are no IUPAC nucleotides.  Intervals that
+    repeat in full count once; an id may have several.
+    """
+    every = placed_windows(intervals, blocks, flank, longest, prefix, width)
     return every.select("id", "sequence", F.length("sequence").alias("length"), F.sha2("sequence", 256).alias("checksum_sha256"), "reason")
 
 

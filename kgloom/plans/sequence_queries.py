@@ -57,10 +57,11 @@ def q_window_counts(spark: SparkSession, d: str) -> DataFrame:
 @query(f"{_PREFIX} SELECT id, length(sequence) AS length, checksum FROM (SELECT id, sequence, sha256(sequence) AS checksum FROM r WHERE reason IS NULL)")
 def q_recovered_sequences(spark: SparkSession, d: str) -> DataFrame:
     """Half of the readable intervals have a sequence; the rest are recovered."""
-    blocks, every = _contigs(spark, d), _intervals(spark, d)
-    readable = S.windows(every, blocks, prefix=700, width=WIDTH).where("reason IS NULL")
-    have = readable.where("substr(id, -1) IN ('1', '2', '3')")
-    return S.recovered(have, every.join(readable.select("id").distinct(), "id", "left_semi"), blocks, 700, WIDTH).select("id", "length", F.col("checksum_sha256").alias("checksum"))
+    blocks = _contigs(spark, d)
+    readable = S.placed_windows(_intervals(spark, d), blocks, prefix=700, width=WIDTH).where("reason IS NULL")
+    have = readable.where("substr(id, -1) IN ('1', '2', '3')").select("id", "sequence", F.length("sequence").alias("length"), F.sha2("sequence", 256).alias("checksum_sha256"))
+    found = S.recovered(have, readable.select("id", "chromosome", "start", "end", "strand"), blocks, 700, WIDTH)
+    return found.select("id", "length", F.col("checksum_sha256").alias("checksum"))
 
 
 @query("""WITH n AS (SELECT CASE WHEN p_partkey % 9 = 0 THEN 'NCBI:' || p_partkey WHEN p_partkey % 9 = 1 THEN 'ENSMUSG' || p_partkey WHEN p_partkey % 9 = 2 THEN 'X' || p_partkey ELSE 'ENSG' || p_partkey END AS id, p_partkey AS k FROM part),

@@ -139,3 +139,16 @@ def test_intervals_of_one_block_read_one_text(spark):
     # pieces of sequences are not grouped by interval
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.splitlines() if "collect_list" in x and re.search(r"\bid#", x)]
+
+
+def test_intervals_are_shuffled_only_to_their_places(spark):
+    """Intervals that repeat meet where they are read: none is shuffled by its content first; read again by their place they are the same."""
+    bases = spark.createDataFrame([("1", 0, "ACGTACGTAC"), ("1", 1, "GGTTAACCGG")], "chromosome string, block long, bases string")
+    intervals = spark.createDataFrame([("a", "1", 2, 9, "+"), ("a", "1", 2, 9, "+"), ("b", "1", 5, 18, "-"), ("c", "2", 1, 4, "+")], "id string, chromosome string, start long, end long, strand string")
+    found = S.placed_windows(intervals, bases, prefix=6, width=10)
+    exchanges = [line.split("Exchange hashpartitioning(")[1] for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(" in line]
+    assert exchanges and not any("id#" in e.split("plan_id")[0] for e in exchanges)
+    got = sorted(map(tuple, found.collect()))
+    assert [(r[0], r[5], r[6]) for r in got] == [("a", "CGTACG", None), ("b", "GGTTAA", None), ("c", None, "missing_contig")]
+    again = S.placed_windows(found.where("reason IS NULL").select(intervals.columns), bases, prefix=6, width=10)
+    assert sorted(map(tuple, again.collect())) == [r for r in got if r[6] is None]
